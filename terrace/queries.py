@@ -501,3 +501,144 @@ def delete_where_q(spark, sf_dir):
     append(spark, e, spec)
     delete_where(spark, spec, "event_type = 'error' AND value > 50")
     return read_target(spark, spec).select(*EVENT_COLS)
+
+
+# ------------------------------------------------------------------ data quality
+
+from .quality.engine import python_rule, run_controls  # noqa: E402
+from .quality.rules import rules_frame  # noqa: E402
+
+DQ_DATE = "2024-01-15"
+DQ_LIMIT = 100
+
+
+@python_rule("positive_quantity")
+def positive_quantity(df, rule, **params):
+    """Data-level Python rule: every line has a quantity above one unit."""
+    ident = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return df.select(ident.alias("identifier"), (F.col("l_quantity") > 1.0).alias("result"))
+
+
+# Each entry: the rule row, the SQL giving (identifier, result) for the oracle, the oracle's flag
+# expression over ``result``, and the table the rule checks.
+DQ_RULES = {
+    "standard": dict(
+        rule=dict(control_master_id="M_STD", control_table_id="T_LINEITEM", control_algorithm_type="SQL",
+                  control_level="Data", control_threshold_type="Standard", control_threshold_min=0.0,
+                  control_threshold_max=0.05, control_threshold_rag_max=0.9, blocking_control_indicator=True,
+                  control_description="SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS identifier, "
+                                      "l_discount AS result FROM lineitem"),
+        outcomes="SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS identifier, l_discount AS result FROM lineitem",
+        flag="CASE WHEN result IS NULL THEN NULL ELSE (NOT isnan(result) AND result >= 0.0 AND result <= 0.05) END"),
+    "absolute": dict(
+        rule=dict(control_master_id="M_ABS", control_table_id="T_CUSTOMER", control_algorithm_type="SQL",
+                  control_level="Data", control_threshold_type="Absolute", control_threshold_max=5000.0,
+                  control_threshold_rag_max=0.5, blocking_control_indicator=True,
+                  control_description="SELECT CAST(c_custkey AS STRING) AS identifier, c_acctbal AS result FROM customer"),
+        outcomes="SELECT CAST(c_custkey AS VARCHAR) AS identifier, c_acctbal AS result FROM customer",
+        flag="CASE WHEN result IS NULL THEN NULL ELSE (NOT isnan(abs(result)) AND abs(result) <= 5000.0) END"),
+    "binary": dict(
+        rule=dict(control_master_id="M_BIN", control_table_id="T_ORDERS", control_algorithm_type="SQL",
+                  control_level="Data", control_threshold_type="Binary", blocking_control_indicator=False,
+                  control_description="SELECT CAST(o_orderkey AS STRING) AS identifier, o_orderstatus <> 'P' AS result "
+                                      "FROM orders WHERE o_orderdate >= DATE '{file_date}' - INTERVAL 10000 DAYS"),
+        outcomes="SELECT CAST(o_orderkey AS VARCHAR) AS identifier, o_orderstatus <> 'P' AS result FROM orders "
+                 "WHERE o_orderdate >= DATE '2024-01-15' - INTERVAL 10000 DAYS",
+        flag="result"),
+    "regex": dict(
+        rule=dict(control_master_id="M_REGEX", control_table_id="T_CUSTOMER", control_algorithm_type="Regex",
+                  control_level="Data", control_threshold_type="Binary", control_field="c_name, c_mktsegment",
+                  control_description=r"^Customer#\d{9}$", blocking_control_indicator=False),
+        outcomes="SELECT 'c_name' AS identifier, regexp_matches(coalesce(c_name, ''), '^Customer#\\d{9}$') AS result FROM customer "
+                 "UNION ALL SELECT 'c_mktsegment', regexp_matches(coalesce(c_mktsegment, ''), '^Customer#\\d{9}$') FROM customer",
+        flag="result", regex=True),
+    "python": dict(
+        rule=dict(control_master_id="M_PY", control_table_id="T_LINEITEM", control_algorithm_type="Python",
+                  control_level="Data", control_threshold_type="Binary", control_description="positive_quantity",
+                  blocking_control_indicator=True, control_threshold_rag_max=0.95),
+        outcomes="SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS identifier, "
+                 "l_quantity > 1.0 AS result FROM lineitem",
+        flag="result"),
+}
+DQ_DATA = {"standard": None, "absolute": None, "binary": None, "regex": "customer", "python": "lineitem"}
+
+
+def _listing_sql(label: str, ids: str, n: str) -> str:
+    return (f"CASE WHEN {n} > 0 THEN '{label}' || {ids} || CASE WHEN {n} > {DQ_LIMIT} "
+            f"THEN ' (and ' || CAST({n} - {DQ_LIMIT} AS VARCHAR) || ' more)' ELSE '' END END")
+
+
+def _dq_oracle(kind: str) -> str:
+    spec = DQ_RULES[kind]
+    r = spec["rule"]
+    regex = spec.get("regex", False)
+    valid_part = _listing_sql("Valid columns: ", "vids", "nv") if regex else "NULL"
+    inv_label = "Invalid columns: " if regex else "Invalid records: "
+    return f"""
+SELECT '{r['control_master_id']}' AS control_master_id, '{r['control_table_id']}' AS control_table_id,
+       '{{total: ' || CAST(a.total AS VARCHAR) || ', value: ' || CAST(a.invalid AS VARCHAR) || '}}' AS control_outcome,
+       CASE WHEN a.total = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - a.invalid::DOUBLE / a.total::DOUBLE END AS control_metric_value,
+       concat_ws('. ', {valid_part}, {_listing_sql(inv_label, "iids", "ni")}) AS control_detail,
+       DATE '{DQ_DATE}' AS data_date
+FROM (SELECT count(*) AS total, count(*) FILTER (WHERE flag = false) AS invalid
+      FROM (SELECT {spec['flag']} AS flag FROM ({spec['outcomes']}) o) f) a,
+     (SELECT count(*) FILTER (WHERE flag) AS nv, count(*) FILTER (WHERE NOT flag) AS ni,
+             coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE flag AND rn <= {DQ_LIMIT}), '') AS vids,
+             coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE NOT flag AND rn <= {DQ_LIMIT}), '') AS iids
+      FROM (SELECT identifier, flag, row_number() OVER (PARTITION BY flag ORDER BY identifier) AS rn
+            FROM (SELECT DISTINCT identifier, {spec['flag']} AS flag FROM ({spec['outcomes']}) o) d
+            WHERE flag IS NOT NULL) x) l
+"""
+
+
+DQ_VIEWS = ["lineitem", "customer", "orders"]
+DQ_OUT = ["control_master_id", "control_table_id", "control_outcome", "control_metric_value", "control_detail", "data_date"]
+
+
+def _dq_run(spark, sf_dir, kinds):
+    for v in DQ_VIEWS:
+        T(spark, sf_dir, v).createOrReplaceTempView(v)
+    rules = rules_frame(spark, [DQ_RULES[k]["rule"] for k in kinds])
+    data_tables = {DQ_DATA[k] for k in kinds if DQ_DATA[k]}
+    if len(data_tables) > 1:   # rules checking different frames run as separate controls
+        raise ValueError("one checked frame per run")
+    df = T(spark, sf_dir, data_tables.pop()) if data_tables else None
+    return run_controls(spark, df, rules, params={"file_date": DQ_DATE, "file_name": "orders.parquet"},
+                        detail_limit=DQ_LIMIT, data_date=DQ_DATE)
+
+
+for _kind in DQ_RULES:
+    def _make_dq(kind):
+        def q(spark, sf_dir):
+            """One rule evaluated, thresholded and scored into a controls_results row."""
+            return _dq_run(spark, sf_dir, [kind]).results.select(*DQ_OUT)
+        return q
+    register(f"dq_{_kind}", _dq_oracle(_kind))(_make_dq(_kind))
+
+
+@register("dq_results", "\nUNION ALL\n".join(_dq_oracle(k) for k in ("standard", "absolute", "binary", "python")))
+def dq_results(spark, sf_dir):
+    """Several SQL and Python rules over lineitem in one run, scored by one job."""
+    return _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"]).results.select(*DQ_OUT)
+
+
+def _overall_oracle(kinds) -> str:
+    rows = []
+    for k in kinds:
+        r = DQ_RULES[k]["rule"]
+        rag = r.get("control_threshold_rag_max")
+        rows.append(f"SELECT control_metric_value AS m, {str(bool(r.get('blocking_control_indicator'))).lower()} AS b, "
+                    f"{'NULL' if rag is None else rag}::DOUBLE AS rag FROM ({_dq_oracle(k)})")
+    body = "\nUNION ALL\n".join(rows)
+    return f"""
+SELECT count(*) FILTER (WHERE b AND m < coalesce(rag, 1.0)) = 0 AS overall,
+       count(*) FILTER (WHERE b AND m < coalesce(rag, 1.0)) AS failed_rules,
+       CAST(0 AS BIGINT) AS errored_rules
+FROM ({body}) x
+"""
+
+
+@register("dq_overall", _overall_oracle(["standard", "absolute", "binary", "python"]))
+def dq_overall(spark, sf_dir):
+    """Blocking rules below their pass ratio fail the run."""
+    return _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"]).overall

@@ -642,3 +642,162 @@ FROM ({body}) x
 def dq_overall(spark, sf_dir):
     """Blocking rules below their pass ratio fail the run."""
     return _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"]).overall
+
+
+# ------------------------------------------------------------------ files, landing, reports, flows
+
+from .functions.casting import all_string_schema  # noqa: E402
+from .plans.flows import raw_to_staging, refine, run_summary  # noqa: E402
+from .plans.landing import land  # noqa: E402
+from .plans.reports import run_reports  # noqa: E402
+from .quality.files import check_csv_columns, check_csv_format, check_filenames, flag_unchanged  # noqa: E402
+from .specs import LandingSpec, ReportSpec  # noqa: E402
+
+CUST_HEADER = "c_custkey,c_name,c_acctbal"
+
+
+@register("file_controls", """
+SELECT c_mktsegment AS segment, true AS name_ok, bool_and(c_acctbal >= 0) AS format_ok, true AS columns_ok,
+       count(*) AS rows
+FROM customer GROUP BY c_mktsegment
+""")
+def file_controls(spark, sf_dir):
+    """Customer delivered as CSV files per segment; rows of customers with a
+    negative balance carry one field too many, which makes their file's format invalid."""
+    c = T(spark, sf_dir, "customer")
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string"),
+                       F.when(F.col("c_acctbal") < 0, F.lit("extra")))
+    path = scratch_path(spark, "customer_delivery")
+    (c.select(line.alias(CUST_HEADER), "c_mktsegment").write.partitionBy("c_mktsegment")
+     .option("header", "true").option("sep", "\t").csv(path))
+    names = check_filenames(list_files(spark, path, "*.csv"), r"part-\d{5}-.*\.c000\.csv").select("path", F.col("result").alias("name_ok"))
+    fmt = check_csv_format(spark, path).select("path", F.col("result").alias("format_ok"), "rows")
+    cols = check_csv_columns(spark, path, ["c_custkey", "c_name", "c_acctbal"]).select("path", F.col("result").alias("columns_ok"))
+    per_file = names.join(fmt, "path").join(cols, "path")
+    seg = F.regexp_extract("path", r"c_mktsegment=([^/]+)/", 1)
+    return per_file.groupBy(seg.alias("segment")).agg(
+        F.bool_and("name_ok").alias("name_ok"), F.bool_and("format_ok").alias("format_ok"),
+        F.bool_and("columns_ok").alias("columns_ok"), F.sum("rows").alias("rows"))
+
+
+@register("landing_dedupe", """
+WITH p AS (SELECT doc_id, md5(CASE WHEN doc_id % 4 = 0 THEN text || ' [edited]' ELSE text END) AS h
+           FROM documents WHERE doc_id % 5 <> 0)
+SELECT 'doc_' || CAST(d.doc_id AS VARCHAR) || '.txt' AS file_name, coalesce(md5(d.text) = p.h, false) AS is_duplicate
+FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id
+""")
+def landing_dedupe(spark, sf_dir):
+    """Whole-document MD5 against the latest processed copy of the same file name."""
+    incoming, processed = fx.document_files(spark, sf_dir)
+    return flag_unchanged(incoming, processed).select("file_name", "is_duplicate")
+
+
+EVENT_RAW_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("landing_to_raw", """
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events
+""")
+def landing_to_raw(spark, sf_dir):
+    """A landing folder of daily CSV deliveries checked and filed into
+    the raw table by the date found in each file's path."""
+    e = T(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", fx.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props",
+        F.date_format("ts", "yyyy_MM_dd").alias("day"))
+    folder = scratch_path(spark, "landing")
+    e.write.partitionBy("day").option("header", "true").csv(folder)
+    spec = LandingSpec(filename_pattern=r"part-\d{5}-.*\.csv", file_format="csv",
+                       date_regex=r"day=(\d{4})_(\d{2})_(\d{2})")
+    raw = TableSpec(scratch_path(spark, "raw_events"), partition_field="data_date")
+    res = land(spark, folder, spec, raw, columns=EVENT_RAW_COLS, date_from="path")
+    bad = res.status.where(F.col("status") != "PROCESSED").count()
+    if bad:
+        raise RuntimeError(f"{bad} landing files were not processed")
+    typed = cast_to(read_target(spark, raw), {"event_id": "bigint", "user_id": "bigint", "value": "double"})
+    return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
+
+
+REPORT_PARAMS = {"file_date": "2024-01-15", "file_name": "orders.parquet", "status": "F", "excluded": "F"}
+
+
+def _report(spark, sf_dir, spec: ReportSpec):
+    out = scratch_path(spark, "outputs")
+    status = run_reports(spark, [spec], REPORT_PARAMS, out).collect()[0]
+    if not status.success:
+        raise RuntimeError(status.error)
+    return status.path
+
+
+@register("report_csv", """
+SELECT o_orderkey AS order_key, strftime(o_orderdate, '%Y%m%d') AS order_date, o_totalprice AS total
+FROM orders WHERE o_orderstatus = 'F'
+""")
+def report_csv(spark, sf_dir):
+    """Templated filter and aliased projection written as a CSV report."""
+    spec = ReportSpec(name="Orders Report", source=f"{sf_dir}/orders.parquet",
+                      columns=["o_orderkey", "date_format(o_orderdate, 'yyyyMMdd')", "o_totalprice"],
+                      columns_alias=["order_key", "order_date", "total"], where="o_orderstatus = '{status}'",
+                      filename_pattern="orders_{file_date}.csv", csv=CsvSpec(delimiter=";"))
+    path = _report(spark, sf_dir, spec)
+    back = spark.read.options(header="true", sep=";").schema("order_key string, order_date string, total string").csv(path)
+    return cast_to(back, {"order_key": "bigint", "total": "double"})
+
+
+@register("report_json", """
+SELECT o_orderkey AS order_key, CASE o_orderstatus WHEN 'O' THEN 'OPEN' ELSE o_orderstatus END AS status,
+       o_totalprice AS total
+FROM orders WHERE o_orderstatus <> 'F'
+""")
+def report_json(spark, sf_dir):
+    """A JSON-lines report with ordered literal replacements."""
+    spec = ReportSpec(name="Orders JSON", source=f"{sf_dir}/orders.parquet",
+                      columns=["o_orderkey AS order_key", "o_orderstatus AS status", "o_totalprice AS total"],
+                      where="o_orderstatus <> '{excluded}'", filename_pattern="orders_{file_date}.json", json=True,
+                      replaces=[('"status":"O"', '"status":"OPEN"')])
+    path = _report(spark, sf_dir, spec)
+    return spark.read.schema("order_key bigint, status string, total double").json(path)
+
+
+STAGING_SCHEMA = StructType.fromDDL(
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(12,2), o_orderdate date, "
+    "o_orderpriority string, data_date string")
+
+
+def _business_flow(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    raw = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey"),
+                   "o_orderstatus", F.col("o_totalprice").cast("string").alias("o_totalprice"),
+                   F.date_format("o_orderdate", "dd-MMM-yyyy").alias("o_orderdate"), "o_orderpriority",
+                   F.lit("2024-01-15").alias("data_date"))
+    raw_base = scratch_path(spark, "raw_orders")
+    raw.write.partitionBy("data_date").option("header", "true").csv(raw_base)
+    staging = TableSpec(scratch_path(spark, "staging_orders"), schema=STAGING_SCHEMA,
+                        primary_keys=["data_date", "o_orderkey"], partition_field="data_date")
+    r1 = raw_to_staging(spark, raw_base, staging, fmt="csv", mode="delta", file_date="2024-01-15", csv=CsvSpec(),
+                        raw_columns=[c for c in raw.columns if c != "data_date"],
+                        steps=[DateRepair(["o_orderdate"], ["dd-MMM-yyyy", "yyyy/MM/dd"])])
+    business = TableSpec(scratch_path(spark, "customer_totals"), primary_keys=["o_custkey"], partition_field=None)
+
+    def totals(df):
+        return df.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total_spent"),
+                                           F.count(F.lit(1)).alias("orders"), F.max("o_orderdate").alias("last_order"))
+    r2 = refine(spark, staging, business, totals, mode="delta", value="2024-01-15")
+    return business, [r1, r2]
+
+
+@register("flow_raw_to_business", """
+SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS total_spent, COUNT(*) AS orders,
+       MAX(CAST(o_orderdate AS DATE)) AS last_order
+FROM orders GROUP BY o_custkey
+""")
+def flow_raw_to_business(spark, sf_dir):
+    """Raw CSV strings -> date repair + cast -> staging merge -> business totals merge."""
+    business, _ = _business_flow(spark, sf_dir)
+    return read_target(spark, business)
+
+
+@register("flow_run_summary")
+def flow_run_summary(spark, sf_dir):
+    """The run summary row of the raw -> staging -> business flow (timings vary: rows-only)."""
+    _, results = _business_flow(spark, sf_dir)
+    return run_summary(spark, "raw_to_business", results, file_name="orders.csv", file_date="2024-01-15")

@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from ..functions.text import to_java_regex
 from ..functions.thresholds import pass_ratio, threshold_flag
 from ..operators.sets import union_all
-from .rules import rule_violations
+from .rules import violation_list
 
 KEYS = ["control_master_id", "control_table_id"]
-OUTCOME_COLS = KEYS + ["identifier", "result_num", "result_bool"]
+OUTCOME_COLS = KEYS + ["identifier", "result_num", "result_bool", "_kind"]
 
 # name -> fn(df, rule, **params) for Data level, fn(rule, **params) for File level;
 # returns a DataFrame with columns identifier, result.
@@ -67,7 +67,8 @@ def _as_outcomes(df: DataFrame, rule: dict) -> DataFrame:
     return df.select(F.lit(rule["control_master_id"]).alias("control_master_id"),
                      F.lit(rule["control_table_id"]).alias("control_table_id"),
                      F.col("identifier").cast("string").alias("identifier"),
-                     num.alias("result_num"), flag.alias("result_bool"))
+                     num.alias("result_num"), flag.alias("result_bool"),
+                     F.lit(rule.get("control_algorithm_type")).alias("_kind"))
 
 
 def regex_outcomes(df: DataFrame, rule: dict) -> DataFrame:
@@ -81,7 +82,8 @@ def regex_outcomes(df: DataFrame, rule: dict) -> DataFrame:
     matched = F.coalesce(F.col("value"), F.lit("")).rlike(pattern)
     return stacked.select(F.lit(rule["control_master_id"]).alias("control_master_id"),
                           F.lit(rule["control_table_id"]).alias("control_table_id"), "identifier",
-                          matched.cast("int").cast("double").alias("result_num"), matched.alias("result_bool"))
+                          matched.cast("int").cast("double").alias("result_num"), matched.alias("result_bool"),
+                          F.lit("Regex").alias("_kind"))
 
 
 def sql_outcomes(spark: SparkSession, rule: dict, df: DataFrame | None, params: dict) -> DataFrame:
@@ -130,15 +132,21 @@ def rule_identifiers(flagged: DataFrame) -> DataFrame:
 
 
 def _identifier_lists(flagged: DataFrame, limit: int) -> DataFrame:
-    ids = rule_identifiers(flagged)
+    """Detail identifiers, as the reference reports them: Regex rules list the distinct valid and
+    invalid column names (few); other rules list their invalid records, the ``limit`` smallest
+    (``row_number <= limit`` is a window group-limit: partial top-k before the shuffle)."""
+    regex = flagged.where((F.col("_kind") == "Regex") & F.col("flag").isNotNull())
+    cols = regex.groupBy(*KEYS, "flag", "identifier").agg(F.lit(1).alias("_one"))
+    invalid = flagged.where((F.col("_kind") != "Regex") & (F.col("flag") == F.lit(False))).select(*KEYS, "identifier", "flag")
     w = Window.partitionBy(*KEYS, "flag").orderBy("identifier")
-    top = ids.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit)
+    top = (cols.select(*KEYS, "identifier", "flag").unionByName(invalid)
+           .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit))
     listed = top.groupBy(*KEYS).agg(
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("flag"), F.col("identifier")))), ", ").alias("valid_ids"),
         F.array_join(F.array_sort(F.collect_list(F.when(~F.col("flag"), F.col("identifier")))), ", ").alias("invalid_ids"))
-    counts = ids.groupBy(*KEYS).agg(F.count_if(F.col("flag")).alias("n_valid_ids"),
-                                    F.count_if(~F.col("flag")).alias("n_invalid_ids"))
-    return counts.join(listed, KEYS, "left")
+    counts = cols.groupBy(*KEYS).agg(F.count_if(F.col("flag")).alias("n_valid_cols"),
+                                     F.count_if(~F.col("flag")).alias("n_invalid_cols"))
+    return listed.join(counts, KEYS, "full_outer")
 
 
 def _listing(label: Column, ids: str, n: str, limit: int):
@@ -158,8 +166,10 @@ def score(flagged: DataFrame, thresholds: DataFrame, initial_date, end_date, dat
     base = thresholds.select(*KEYS, "control_algorithm_type", "control_threshold_type", "control_threshold_min",
                              "control_threshold_max").join(agg, KEYS, "left").na.fill(0, ["total", "invalid", "null_results"])
     lists = _identifier_lists(flagged, detail_limit)
-    j = base.join(lists, KEYS, "left").na.fill(0, ["n_valid_ids", "n_invalid_ids"])
     is_regex = F.col("control_algorithm_type") == "Regex"
+    j = (base.join(lists, KEYS, "left").na.fill(0, ["n_valid_cols", "n_invalid_cols"])
+         .withColumn("n_valid_ids", F.when(is_regex, F.col("n_valid_cols")).otherwise(F.lit(0)))
+         .withColumn("n_invalid_ids", F.when(is_regex, F.col("n_invalid_cols")).otherwise(F.col("invalid"))))
     detail = F.concat_ws(". ",
                          F.when(is_regex, _listing(F.lit("Valid columns: "), "valid_ids", "n_valid_ids", detail_limit)),
                          _listing(F.when(is_regex, F.lit("Invalid columns: ")).otherwise(F.lit("Invalid records: ")),
@@ -202,8 +212,7 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
     if data_date is None:
         data_date = params.get("file_date") or dt.date.today()
     # rules are configuration rows: few, so they are collected with their violations
-    viol = rule_violations(rules).groupBy(*KEYS).agg(F.concat_ws("; ", F.collect_list("violation")).alias("v"))
-    rule_rows = [r.asDict() for r in rules.join(viol, KEYS, "left").collect()]
+    rule_rows = [r.asDict() for r in rules.select("*", F.array_join(violation_list(), "; ").alias("v")).collect()]
     errors: dict[tuple, str] = {}
     frames = []
     for rule in rule_rows:
@@ -223,7 +232,8 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
         flagged = _with_flags(union_all(frames), thresholds)
     else:
         flagged = spark.createDataFrame([], "control_master_id string, control_table_id string, identifier string, "
-                                            "result_num double, result_bool boolean, control_threshold_type string, "
+                                            "result_num double, result_bool boolean, _kind string, control_threshold_type string, "
+                                            "control_algorithm_type string, "
                                             "control_threshold_min double, control_threshold_max double, flag boolean")
     scored = score(flagged, thresholds, initial_date, dt.datetime.now(), data_date, detail_limit)
     status_rows = [(k[0], k[1], "error", msg) for k, msg in errors.items()]

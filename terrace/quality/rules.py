@@ -42,9 +42,8 @@ def _check(cond: Column, message: Column | str) -> Column:
     return F.when(cond, message if isinstance(message, Column) else F.lit(message))
 
 
-def rule_violations(rules: DataFrame) -> DataFrame:
-    """One row per broken rule property, ``(control_master_id, control_table_id,
-    violation)``; a valid rule has no rows."""
+def violation_list() -> Column:
+    """D2-D4 as one array expression over a rules row: the messages of every broken property."""
     t = F.col("control_threshold_type")
     lo, hi = F.col("control_threshold_min"), F.col("control_threshold_max")
     rlo, rhi = F.col("control_threshold_rag_min"), F.col("control_threshold_rag_max")
@@ -73,8 +72,13 @@ def rule_violations(rules: DataFrame) -> DataFrame:
                F.concat(F.lit("Invalid control level: "), F.coalesce(level, F.lit("None")),
                         F.lit(f". Available levels: {', '.join(CONTROL_LEVELS)}"))),
     ]
-    found = F.filter(F.array(*checks), lambda x: x.isNotNull())
-    return (rules.select("control_master_id", "control_table_id", F.explode(found).alias("violation")))
+    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+
+
+def rule_violations(rules: DataFrame) -> DataFrame:
+    """One row per broken rule property, ``(control_master_id, control_table_id,
+    violation)``; a valid rule has no rows."""
+    return rules.select("control_master_id", "control_table_id", F.explode(violation_list()).alias("violation"))
 
 
 def rules_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:

@@ -586,8 +586,8 @@ FROM (SELECT count(*) AS total, count(*) FILTER (WHERE flag = false) AS invalid
              coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE flag AND rn <= {DQ_LIMIT}), '') AS vids,
              coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE NOT flag AND rn <= {DQ_LIMIT}), '') AS iids
       FROM (SELECT identifier, flag, row_number() OVER (PARTITION BY flag ORDER BY identifier) AS rn
-            FROM (SELECT DISTINCT identifier, {spec['flag']} AS flag FROM ({spec['outcomes']}) o) d
-            WHERE flag IS NOT NULL) x) l
+            FROM (SELECT {'DISTINCT' if regex else ''} identifier, {spec['flag']} AS flag FROM ({spec['outcomes']}) o) d
+            WHERE flag IS NOT NULL {'' if regex else 'AND NOT flag'}) x) l
 """
 
 
@@ -801,3 +801,39 @@ def flow_run_summary(spark, sf_dir):
     """The run summary row of the raw -> staging -> business flow (timings vary: rows-only)."""
     _, results = _business_flow(spark, sf_dir)
     return run_summary(spark, "raw_to_business", results, file_name="orders.csv", file_date="2024-01-15")
+
+
+# ------------------------------------------------------------------ streaming and schema
+
+from .sources.tables import table_schema  # noqa: E402
+from .streaming.landing_stream import start_landing  # noqa: E402
+
+
+@register("streaming_landing", """
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events
+""")
+def streaming_landing(spark, sf_dir):
+    """Structured Streaming landing: daily CSV deliveries picked up by a file-source stream and
+    appended exactly-once to the raw table through the Parquet file sink."""
+    e = T(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", fx.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props",
+        F.date_format("ts", "yyyy_MM_dd").alias("day"))
+    folder = scratch_path(spark, "landing_stream_in")
+    e.write.partitionBy("day").option("header", "true").csv(folder)
+    spec = LandingSpec(filename_pattern=r"part-\d{5}-.*\.csv", date_regex=r"day=(\d{4})_(\d{2})_(\d{2})")
+    raw = TableSpec(scratch_path(spark, "raw_events_stream"), partition_field="data_date")
+    q = start_landing(spark, folder, spec, raw, EVENT_RAW_COLS, date_from="path")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    back = spark.read.schema(all_string_schema(EVENT_RAW_COLS + ["data_date"])).parquet(raw.path)
+    typed = cast_to(back, {"event_id": "bigint", "user_id": "bigint", "value": "double"})
+    return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
+
+
+@register("schema_lookup")
+def schema_lookup(spark, sf_dir):
+    """Columns of the raw events table with types, positions and partition flags
+    (data columns first, then the partition key).  Rows-only: type names differ between engines."""
+    spec = _events_table(spark, sf_dir)
+    return table_schema(spark, spec)

@@ -758,9 +758,13 @@ def report_json(spark, sf_dir):
     return spark.read.schema("order_key bigint, status string, total double").json(path)
 
 
-STAGING_SCHEMA = StructType.fromDDL(
-    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(12,2), o_orderdate date, "
-    "o_orderpriority string, data_date string")
+from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField  # noqa: E402
+
+STAGING_SCHEMA = StructType([
+    StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
+    StructField("o_orderstatus", StringType()), StructField("o_totalprice", DecimalType(12, 2)),
+    StructField("o_orderdate", DateType()), StructField("o_orderpriority", StringType()),
+    StructField("data_date", StringType())])
 
 
 def _business_flow(spark, sf_dir):

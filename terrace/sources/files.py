@@ -115,7 +115,11 @@ def read_nested_json(spark: SparkSession, path: str | DataFrame, spec: JsonSpec,
 
 
 def _decimal_to_double(ddl: str) -> str:
+    """A variant schema as a ``from_json`` type: OBJECT -> STRUCT, fractional DECIMAL -> DOUBLE,
+    VOID (only NULLs seen) -> STRING."""
     import re
+    ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)
+    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
     return re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl, flags=re.IGNORECASE)
 
 

@@ -8,6 +8,7 @@ not key nullness, tell the sides apart, so NULL-keyed rows keep their values.  K
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -41,12 +42,15 @@ def _key_match(t: DataFrame, s: DataFrame, keys: list[str], null_safe: bool) ->
     return cond
 
 
-def check_duplicate_source_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
+def check_duplicate_source_keys(target: DataFrame, source: DataFrame, keys: list[str],
+                                broadcast_source: bool = False) -> None:
     """Q2: two source rows with one key may not match the same target row (MERGE would fail).
-    Aggregates source keys (partial aggregation map-side), then a semi join with the target."""
-    dup = (source.where(F.lit(True) if not keys else _all_not_null(keys))
-           .groupBy(*keys).count().where(F.col("count") > 1).drop("count"))
-    hit = dup.join(target.select(*keys), on=keys, how="left_semi")
+    Aggregates source keys (partial aggregation map-side), then a semi join with the target keys;
+    the duplicate keys are a subset of the source, so they broadcast whenever the source does."""
+    dup = (source.where(_all_not_null(keys)).groupBy(*keys).count().where(F.col("count") > 1).drop("count"))
+    if broadcast_source:
+        dup = F.broadcast(dup)
+    hit = target.select(*keys).join(dup, on=keys, how="left_semi")
     if not hit.isEmpty():
         raise DuplicateSourceKeyError(f"several source rows share a key that matches a target row; keys={keys}")
 
@@ -62,15 +66,10 @@ def _all_not_null(keys: list[str]) -> Column:
 def merge_actions(target: DataFrame, source: DataFrame, keys: list[str], strategy: str = "upsert",
                   update_columns: list[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Every row of the keyed full outer join with the merged values of the target's columns
-    and ``_action`` in kept / updated / inserted / deleted / ignored."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown merge strategy {strategy!r}; allowed: {STRATEGIES}")
-    if not keys:
-        raise ValueError("merge needs primary keys")
+    and ``_action`` in kept / updated / inserted / deleted / ignored (a per-row audit of a
+    merge; :func:`plan_merge` is the cheaper plan for writing)."""
+    _validate(target, source, keys, strategy)
     cols = target.columns
-    missing = [c for c in cols if c not in source.columns]
-    if missing:
-        raise ValueError(f"source lacks target columns {missing}")
     t = target.select(*[F.col(f"`{c}`") for c in cols]).withColumn("_t", F.lit(True)).alias("t")
     s = source.select(*[F.col(f"`{c}`") for c in cols]).withColumn("_s", F.lit(True)).alias("s")
     j = t.join(s, _key_match(t, s, keys, null_safe), "full_outer")
@@ -94,37 +93,122 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: list[str], strateg
     return j.select(*[pick(c) for c in cols], action.alias("_action"))
 
 
-KEPT_ACTIONS = ("kept", "updated", "inserted")
+def _validate(target: DataFrame, source: DataFrame, keys: list[str], strategy: str) -> None:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown merge strategy {strategy!r}; allowed: {STRATEGIES}")
+    if not keys:
+        raise ValueError("merge needs primary keys")
+    missing = [c for c in target.columns if c not in source.columns]
+    if missing:
+        raise ValueError(f"source lacks target columns {missing}")
+
+
+@dataclass
+class MergePlan:
+    """The merged rows plus the observations that yield :class:`MergeCounts` once the frame has
+    been written (or otherwise computed by an action)."""
+    frame: DataFrame
+    strategy: str
+    observations: dict
+
+    def counts(self) -> MergeCounts:
+        g = {k: int(o.get.get("n", 0)) for k, o in self.observations.items()}
+        t, k = g.get("target", 0), g.get("kept", 0)
+        if self.strategy == "delete_matched":
+            return MergeCounts(0, 0, t - k, k)
+        if self.strategy == "insert_only":
+            return MergeCounts(g.get("inserted", 0), 0, 0, t)
+        updated = g["matched"] if "matched" in g else t - k
+        kept = t - updated
+        inserted = g.get("source", 0) - updated if self.strategy == "upsert" else 0
+        return MergeCounts(inserted, updated, 0, kept)
+
+
+def plan_merge(target: DataFrame, source: DataFrame, keys: list[str], strategy: str = "upsert",
+               update_columns: list[str] | None = None, null_safe: bool = False,
+               broadcast_source: bool = False) -> MergePlan:
+    """The merge as semi/anti joins and a union: with ``broadcast_source`` (decided by the caller
+    from the source's measured size) every join builds on the source and the target is streamed
+    without a shuffle; otherwise Spark shuffles both sides on the keys.
+
+    upsert          (target anti source) + source
+    insert_only     target + (source anti matched target keys)
+    update_only     (target anti source) + (source semi matched target keys)
+    delete_matched  target anti source
+    ``update_columns`` (partial update): target LEFT JOIN source, updated columns from the source.
+    Counts assume the source has one row per key among matched keys (MERGE's own rule; see
+    :func:`check_duplicate_source_keys`).
+    """
+    _validate(target, source, keys, strategy)
+    cols = target.columns
+    tag = uuid.uuid4().hex[:8]
+    obs: dict[str, Observation] = {}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        obs[name] = Observation(f"merge_{name}_{tag}")
+        return df.observe(obs[name], F.count(F.lit(1)).alias("n"))
+
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if broadcast_source else df
+
+    src = source.select(*[F.col(f"`{c}`") for c in cols])
+    tgt = target.select(*[F.col(f"`{c}`") for c in cols])
+    s_keys = small(src.select(*keys)).alias("s")
+
+    def on(left: DataFrame, right: DataFrame) -> Column:
+        return _key_match(left, right, keys, null_safe)
+
+    def matched_keys() -> DataFrame:
+        tk = target.select(*keys).alias("t")
+        return tk.join(s_keys, on(tk, s_keys), "left_semi")
+
+    partial = update_columns is not None and strategy in ("upsert", "update_only")
+    t = counted(tgt, "target").alias("t")
+    if strategy == "delete_matched":
+        frame = counted(t.join(s_keys, on(t, s_keys), "left_anti"), "kept")
+    elif strategy == "insert_only":
+        mk = small(matched_keys()).alias("m")
+        sa = src.alias("src")
+        inserts = counted(sa.join(mk, on(sa, mk), "left_anti"), "inserted")
+        frame = t.unionByName(inserts)
+    elif not partial:
+        kept = counted(t.join(s_keys, on(t, s_keys), "left_anti"), "kept")
+        if strategy == "upsert":
+            frame = kept.unionByName(counted(src, "source"))
+        else:
+            mk = small(matched_keys()).alias("m")
+            sa = src.alias("src")
+            frame = kept.unionByName(sa.join(mk, on(sa, mk), "left_semi"))
+    else:
+        upd = [c for c in update_columns if c not in keys]
+        su = small(src.select(*keys, *upd).withColumn("_s", F.lit(True))).alias("s")
+        j = t.join(su, on(t, su), "left")
+        hit = F.col("s._s").isNotNull()
+        obs["matched"] = Observation(f"merge_matched_{tag}")
+        j = j.observe(obs["matched"], F.count_if(hit).alias("n"))
+        frame = j.select(*[(F.when(hit, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")) if c in upd
+                            else F.col(f"t.`{c}`")).alias(c) for c in cols])
+        if strategy == "upsert":
+            mk = small(matched_keys()).alias("m")
+            sa = counted(src, "source").alias("src")
+            frame = frame.unionByName(sa.join(mk, on(sa, mk), "left_anti"))
+    return MergePlan(frame.select(*[F.col(f"`{c}`") for c in cols]), strategy, obs)
 
 
-def action_counts(observation: Observation | None = None) -> list[Column]:
-    """Aggregates for ``DataFrame.observe`` over a frame with ``_action``."""
-    a = F.col("_action")
-    return [F.count_if(a == k).alias(k) for k in ("inserted", "updated", "deleted", "kept")]
+KEPT_ACTIONS = ("kept", "updated", "inserted")
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], strategy: str = "upsert",
                  update_columns: list[str] | None = None, null_safe: bool = False,
-                 observation: Observation | None = None) -> DataFrame:
-    """The merged table as a DataFrame with the target's columns.
+                 broadcast_source: bool = False) -> DataFrame:
+    """The merged table as a DataFrame with the target's columns (see :func:`plan_merge`).
 
     upsert          matched -> source row (or only ``update_columns``), unmatched source -> insert
     insert_only     unmatched source rows are inserted; matched targets untouched
     update_only     matched targets updated; unmatched source rows dropped
     delete_matched  matched target rows removed
-    ``observation`` (optional) receives inserted / updated / deleted / kept counts when the
-    result is first computed by an action, with no extra pass.
     """
-    rows = merge_actions(target, source, keys, strategy, update_columns, null_safe)
-    if observation is not None:
-        rows = rows.observe(observation, *action_counts(observation))
-    return rows.where(F.col("_action").isin(*KEPT_ACTIONS)).drop("_action")
-
-
-def merge_counts(observation: Observation) -> MergeCounts:
-    got = observation.get
-    return MergeCounts(int(got.get("inserted", 0)), int(got.get("updated", 0)),
-                       int(got.get("deleted", 0)), int(got.get("kept", 0)))
+    return plan_merge(target, source, keys, strategy, update_columns, null_safe, broadcast_source).frame
 
 
 def merge_classified(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:

@@ -2,23 +2,23 @@
 K6/K7 raw partitions.
 
 Parquet has no row-level MERGE or DELETE, so both rewrite only the partitions they touch:
-the new content of those partitions is computed, its lineage is cut with a reliable
-``checkpoint()`` in the shared checkpoint folder (Spark cannot overwrite files its plan still
-reads, and a lost executor must not force a re-read of half-rewritten partitions), and then
-written with dynamic partition overwrite, which swaps partitions at job commit.
+the new content of those partitions is written as a staged table in the shared checkpoint folder
+(this cuts the lineage: Spark cannot overwrite files its plan still reads, and a lost executor
+re-reads staged files rather than half-rewritten partitions), then copied over the table with
+dynamic partition overwrite, which swaps partitions at job commit.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import conform
-from ..operators.merge import (KEPT_ACTIONS, MergeCounts, action_counts, check_duplicate_source_keys,
-                               merge_actions, merge_counts)
-from ..session import checkpoint_root, hadoop_fs, path_exists
+from ..operators.merge import MergeCounts, check_duplicate_source_keys, plan_merge
+from ..session import delete_path, hadoop_fs, path_exists, scratch_path
 from ..specs import TableSpec
 
 
@@ -79,31 +79,56 @@ def _drop_partitions(spark: SparkSession, spec: TableSpec, values: list) -> None
             fs.delete(p, True)
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str, int]:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back: the
+    lineage is cut (a lost executor re-reads the staged files, not the sources) and its size on
+    disk is known exactly.  Returns (frame, path, bytes)."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    fs, jpath = hadoop_fs(spark, path)
+    size = int(fs.getContentSummary(jpath).getLength())
+    return spark.read.parquet(path), path, size
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes of in-memory table a join may broadcast: the session's
+    ``spark.sql.autoBroadcastJoinThreshold`` (-1 disables broadcasting)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(raw)
+    except ValueError:  # e.g. "10MB"
+        units = {"b": 1, "kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30}
+        num = "".join(ch for ch in raw if ch.isdigit() or ch == "-")
+        unit = raw[len(num):].strip().lower() or "b"
+        return int(num) * units.get(unit, 1)
+
+
+# Parquet is compressed and encoded; a row set held in memory for a broadcast is several
+# times larger than its files.
+PARQUET_EXPANSION = 5
+
+
 def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched: list | None,
-             keep: "F.Column | None" = None, observation: Observation | None = None,
-             aggregates: list | None = None) -> None:
+             keep=None) -> None:
     """Write the new content of the touched partitions (the whole table when ``touched`` is None)
-    from a reliable checkpoint, then remove touched partitions that ended up empty.
-
-    ``keep`` filters the checkpointed rows; ``observation``/``aggregates`` are attached before the
-    filter and fire with the write (a checkpoint alone reports no observed metrics)."""
-    checkpoint_root(spark)
-    frozen = new_rows.checkpoint(eager=True)
-    out = frozen.observe(observation, *aggregates) if observation is not None else frozen
-    if keep is not None:
-        out = out.where(keep)
-    out = out.select(*[c for c in out.columns if not c.startswith("_action")])
-    if touched is None:
-        w = out.write.mode("overwrite")
-        if spec.partition_columns:
-            w = w.partitionBy(*spec.partition_columns)
-        w.parquet(spec.path)
-        return
-    if touched:
-        _writer(out, spec, "overwrite").parquet(spec.path)
-        survivors = frozen.where(keep) if keep is not None else frozen
-        remaining = set(_partition_values(survivors, spec.partition_field))
-        _drop_partitions(spark, spec, [v for v in touched if v not in remaining])
+    through a staged table in the shared checkpoint folder (Spark cannot overwrite files its
+    plan still reads), then remove touched partitions that ended up empty.  Observations in
+    ``new_rows`` fire with the staging write."""
+    rows = new_rows.where(keep) if keep is not None else new_rows
+    rows = rows.select(*[c for c in rows.columns if not c.startswith("_action")])
+    staged, path, _ = stage(spark, rows, "rewrite")
+    try:
+        if touched is None:
+            w = staged.write.mode("overwrite")
+            if spec.partition_columns:
+                w = w.partitionBy(*spec.partition_columns)
+            w.parquet(spec.path)
+        elif touched:
+            _writer(staged, spec, "overwrite").parquet(spec.path)
+            remaining = set(_partition_values(staged, spec.partition_field))
+            _drop_partitions(spark, spec, [v for v in touched if v not in remaining])
+    finally:
+        delete_path(spark, path)
 
 
 def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy: str = "upsert",
@@ -111,37 +136,45 @@ def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy
                check_duplicates: bool = True) -> WriteResult:
     """Merge ``source`` into the table on ``spec.primary_keys``.
 
-    When the partition column is a key, only the partitions the source names are read and
-    rewritten (static partition pruning on the scan).  Otherwise the whole table is rewritten.
+    The conformed source is staged once; its measured size decides whether the joins broadcast
+    it (then the target partitions stream through map-only anti/semi joins) or shuffle on the
+    keys.  When the partition column is a key, only the partitions the source names are read and
+    rewritten (partition pruning on the scan); otherwise the whole table is rewritten.
     """
     cols = _target_columns(spark, spec, source)
-    src = conform(source, cols)
     if not path_exists(spark, spec.path):
         if strategy in ("update_only", "delete_matched"):
             return WriteResult(rows_written=0, merge=MergeCounts(0, 0, 0, 0))
-        res = append(spark, src, spec)
+        res = append(spark, source, spec)
         return WriteResult(rows_written=res.rows_written, merge=MergeCounts(res.rows_written, 0, 0, 0))
-    target = read_target(spark, spec).select(*cols)
-    pf = spec.partition_field
-    touched = None
-    if pf and pf in spec.primary_keys:
-        touched = _partition_values(src, pf)
-        if not touched:
-            return WriteResult(rows_written=0, partitions=[], merge=MergeCounts(0, 0, 0, 0))
-        target = target.where(F.col(pf).isin(touched))
-    if check_duplicates:
-        check_duplicate_source_keys(target, src, spec.primary_keys)
-    obs = Observation("merge")
-    rows = merge_actions(target, src, spec.primary_keys, strategy, update_columns, null_safe)
-    _rewrite(spark, spec, rows, touched, keep=F.col("_action").isin(*KEPT_ACTIONS),
-             observation=obs, aggregates=action_counts(obs))
-    counts = merge_counts(obs)
+    src, src_path, src_bytes = stage(spark, conform(source, cols), "merge_source")
+    try:
+        limit = broadcast_limit(spark)
+        small = limit >= 0 and src_bytes * PARQUET_EXPANSION <= limit
+        target = read_target(spark, spec).select(*cols)
+        pf = spec.partition_field
+        touched = None
+        if pf and pf in spec.primary_keys:
+            touched = _partition_values(src, pf)
+            if not touched:
+                return WriteResult(rows_written=0, partitions=[], merge=MergeCounts(0, 0, 0, 0))
+            target = target.where(F.col(pf).isin(touched))
+        if check_duplicates:
+            check_duplicate_source_keys(target, src, spec.primary_keys, broadcast_source=small)
+        plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, broadcast_source=small)
+        if pf and touched is None:
+            _rewrite(spark, spec, plan.frame, _partition_values(read_target(spark, spec), pf))
+        else:
+            _rewrite(spark, spec, plan.frame, touched)
+    finally:
+        delete_path(spark, src_path)
+    counts = plan.counts()
     return WriteResult(rows_written=counts.total, partitions=touched, merge=counts)
 
 
 def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteResult:
     """K5: rows where ``predicate`` is true are removed (NULL keeps the row, as SQL DELETE).
-    Only partitions holding a matching row are rewritten."""
+    Only partitions holding a matching row are rewritten (map-only: filter and write)."""
     if not path_exists(spark, spec.path):
         return WriteResult(rows_written=0)
     table = read_target(spark, spec)
@@ -151,13 +184,13 @@ def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteR
     if pf and not touched:
         return WriteResult(rows_written=0, partitions=[])
     base = table.where(F.col(pf).isin(touched)) if pf else table
-    obs = Observation("delete")
-    marked = base.withColumn("_action", F.when(pred, "deleted").otherwise("kept"))
-    _rewrite(spark, spec, marked, touched, keep=F.col("_action") == "kept",
-             observation=obs, aggregates=[F.count_if(F.col("_action") == "deleted").alias("deleted"),
-                                          F.count_if(F.col("_action") == "kept").alias("kept")])
-    return WriteResult(rows_written=int(obs.get.get("kept", 0)), partitions=touched,
-                       merge=MergeCounts(0, 0, int(obs.get.get("deleted", 0)), int(obs.get.get("kept", 0))))
+    obs = Observation(f"delete_{uuid.uuid4().hex[:8]}")
+    marked = base.withColumn("_action", F.when(pred, "deleted").otherwise("kept")).observe(
+        obs, F.count_if(F.col("_action") == "deleted").alias("deleted"), F.count_if(F.col("_action") == "kept").alias("kept"))
+    _rewrite(spark, spec, marked, touched, keep=F.col("_action") == "kept")
+    got = obs.get
+    return WriteResult(rows_written=int(got.get("kept", 0)), partitions=touched,
+                       merge=MergeCounts(0, 0, int(got.get("deleted", 0)), int(got.get("kept", 0))))
 
 
 def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:

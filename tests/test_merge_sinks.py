@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from terrace.operators.merge import DuplicateSourceKeyError, merge_counts, merge_frames
+from terrace.operators.merge import DuplicateSourceKeyError, merge_frames, plan_merge
 from terrace.sinks.tables import append, delete_where, merge_into, overwrite_partitions, read_target
 from terrace.specs import TableSpec
 
@@ -16,14 +16,32 @@ def rows(df):
 def test_upsert_keeps_null_keys_and_counts(spark):
     t = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (None, "n", "x")], SCHEMA)
     s = spark.createDataFrame([(2, "B", "x"), (3, "C", "x"), (None, "N", "x")], SCHEMA)
-    obs = Observation("m")
-    out = merge_frames(t, s, ["k"], observation=obs)
+    plan = plan_merge(t, s, ["k"])
+    out = plan.frame
     expected = [(1, "a", "x"), (2, "B", "x"), (3, "C", "x"), (None, "n", "x"), (None, "N", "x")]
     assert rows(out) == sorted(expected, key=lambda r: tuple(str(x) for x in r))
-    c = merge_counts(obs)
+    c = plan.counts()
     assert (c.inserted, c.updated, c.kept) == (2, 1, 2)
 
 
+@pytest.mark.parametrize("broadcast", [False, True])
+@pytest.mark.parametrize("strategy", ["upsert", "insert_only", "update_only", "delete_matched"])
+def test_plan_matches_full_outer_audit(spark, strategy, broadcast):
+    from terrace.operators.merge import merge_actions
+    t = spark.createDataFrame([(i, f"t{i}", "x") for i in range(0, 40, 2)] + [(None, "tn", "x")], SCHEMA)
+    s = spark.createDataFrame([(i, f"s{i}", "y") for i in range(0, 60, 3)] + [(None, "sn", "y")], SCHEMA)
+    for upd in (None, ["d"]):
+        if upd and strategy not in ("upsert", "update_only"):
+            continue
+        plan = plan_merge(t, s, ["k"], strategy, update_columns=upd, broadcast_source=broadcast)
+        audit = merge_actions(t, s, ["k"], strategy, update_columns=upd)
+        want = audit.where(F.col("_action").isin("kept", "updated", "inserted")).drop("_action")
+        assert rows(plan.frame) == rows(want)
+        c = plan.counts()
+        acts = {r[0]: r[1] for r in audit.groupBy("_action").count().collect()}
+        assert (c.inserted, c.updated, c.deleted) == (acts.get("inserted", 0), acts.get("updated", 0), acts.get("deleted", 0))
+
+
 def test_null_safe_merge_matches_null_keys(spark):
     t = spark.createDataFrame([(None, "n", "x")], SCHEMA)
     s = spark.createDataFrame([(None, "N", "x")], SCHEMA)

@@ -249,3 +249,9 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
         if bad:
             raise RuleError(f"{len(bad)} rules failed: " + "; ".join(f"{r[0]}/{r[1]}: {r[3]}" for r in bad))
     return run
+
+
+def save_results(spark: SparkSession, run: ControlRun, spec) -> int:
+    """Append the run's controls_results rows to the results table (conformed first)."""
+    from ..sinks.tables import append
+    return append(spark, run.results, spec).rows_written

@@ -618,8 +618,22 @@ for _kind in DQ_RULES:
 
 @register("dq_results", "\nUNION ALL\n".join(_dq_oracle(k) for k in ("standard", "absolute", "binary", "python")))
 def dq_results(spark, sf_dir):
-    """Several SQL and Python rules over lineitem in one run, scored by one job."""
-    return _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"]).results.select(*DQ_OUT)
+    """Several SQL and Python rules in one run, scored by one job, appended to the
+    controls_results table and read back."""
+    from .quality.engine import save_results
+    from .sinks.tables import read_target
+    run = _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"])
+    spec = TableSpec(scratch_path(spark, "controls_results"), schema=StructType.fromJson(_RESULTS_JSON),
+                     partition_field="data_date")
+    save_results(spark, run, spec)
+    return read_target(spark, spec).select(*DQ_OUT)
+
+
+_RESULTS_JSON = {"type": "struct", "fields": [
+    {"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in [
+        ("control_master_id", "string"), ("control_table_id", "string"), ("control_outcome", "string"),
+        ("control_metric_value", "double"), ("control_detail", "string"), ("initial_date", "timestamp"),
+        ("end_date", "timestamp"), ("data_date", "date")]]}
 
 
 def _overall_oracle(kinds) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..quality.files import check_csv_columns, check_csv_format, flag_unchanged
+from ..quality.files import columns_result, csv_profile, flag_unchanged, format_result
 from ..sinks.tables import WriteResult, write_raw
 from ..sources.files import expand_archives, list_files, nested_json_items
 from ..specs import LandingSpec, TableSpec
@@ -36,13 +36,15 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     source = F.col("path") if date_from == "path" else F.col("file_name")
     files = files.withColumn("name_ok", name_ok).withColumn("file_date", file_date(source, spec.date_regex))
     errors = [F.when(F.col("file_date").isNull(), F.lit("no date in file name"))]
-    if spec.file_format == "csv" and not spec.zipped:
+    if spec.file_format == "csv" and not spec.zipped and checks:
+        # one pass over the lines serves both CSV checks
+        profile = csv_profile(spark, folder, spec.csv, glob=None)
         if "csv_format" in checks:
-            fmt = check_csv_format(spark, folder, spec.csv, glob=None).select("path", F.col("result").alias("format_ok"))
+            fmt = format_result(profile, spec.csv).select("path", F.col("result").alias("format_ok"))
             files = files.join(fmt, "path", "left")
             errors.append(F.when(~F.coalesce(F.col("format_ok"), F.lit(False)), F.lit("invalid CSV format")))
         if "csv_columns" in checks and columns:
-            cols = check_csv_columns(spark, folder, columns, spec.csv, glob=None).select(
+            cols = columns_result(profile, columns, spec.csv).select(
                 "path", F.col("result").alias("columns_ok"), "extra_columns", "missing_columns")
             files = files.join(cols, "path", "left")
             errors.append(F.when(~F.coalesce(F.col("columns_ok"), F.lit(False)), F.format_string(
@@ -81,11 +83,6 @@ def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[st
             r = r.schema(all_string_schema(columns))
         df = r.csv(folder)
         return df.select("*", meta)
-    if spec.file_format == "json":
-        lines = spark.read.option("recursiveFileLookup", "true").text(folder).select("value", meta)
-        items = nested_json_items(lines, spec.json, spec.partition_field, file_date=None, drop_missing=False)
-        m = F.from_json("item", "map<string,string>")
-        return items.select(*[m.getItem(c).alias(c) for c in columns], F.lit(None).cast("string").alias("path"))
     if spec.file_format == "xml":
         r = (spark.read.format("xml").option("rowTag", spec.xml.row_tag).option("attributePrefix", "")
              .option("recursiveFileLookup", "true"))

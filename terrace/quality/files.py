@@ -54,38 +54,69 @@ def csv_headers(lines: DataFrame, spec: CsvSpec) -> DataFrame:
             .select("path", F.col("line").alias("header"), F.col("pos").alias("header_pos")))
 
 
-def check_csv_format(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
-    """A file is valid when no data row has more fields than its header line (shorter rows
-    are allowed, as a CSV reader fills them with NULL).  Blank lines are ignored."""
+def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
+    """One row per CSV file: ``(path, header, max_width, rows)``, where ``max_width`` is the widest
+    data row and ``rows`` the non-blank data rows.
+
+    With the header on the first line (the usual case) this is ONE partial aggregation over the
+    lines: the header is the line read first in the file's first block (``min_by`` on the read
+    position), and the header's own width can be included in the maximum because a data row is
+    only invalid when wider than the header."""
     spec = spec or CsvSpec()
     lines = csv_lines(spark, path, glob, spec)
+    width = _field_count(F.col("line"), spec.delimiter)
+    blank = F.trim(F.col("line")) == ""
+    if spec.header_position == 0:
+        first = F.col("block") == 0
+        prof = lines.groupBy("path").agg(
+            F.min_by(F.when(first, F.col("line")), F.when(first, F.col("pos"))).alias("header"),
+            F.max(F.when(~blank, width)).alias("max_width"),
+            F.count_if(~blank).alias("_nonblank"))
+        return prof.select("path", "header", "max_width",
+                           F.greatest(F.col("_nonblank") - F.when(F.col("header").isNotNull() & (F.trim("header") != ""), 1)
+                                      .otherwise(0), F.lit(0)).alias("rows"))
     headers = csv_headers(lines, spec)
     body = (lines.join(headers.select("path", "header_pos"), "path")
-            .where((F.col("pos") > F.col("header_pos")) & (F.trim(F.col("line")) != "")))
-    widths = body.groupBy("path").agg(F.max(_field_count(F.col("line"), spec.delimiter)).alias("max_width"),
-                                      F.count(F.lit(1)).alias("rows"))
-    out = headers.join(widths, "path", "left")
+            .where((F.col("pos") > F.col("header_pos")) & ~blank))
+    widths = body.groupBy("path").agg(F.max(width).alias("max_width"), F.count(F.lit(1)).alias("rows"))
+    return headers.join(widths, "path", "left").select(
+        "path", "header", "max_width", F.coalesce(F.col("rows"), F.lit(0)).alias("rows"))
+
+
+def _named(profile: DataFrame) -> list:
+    name = F.element_at(F.split("path", "/"), -1)
+    return ["path", name.alias("file_name"), name.alias("identifier")]
+
+
+def format_result(profile: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
+    """D18 from a profile: valid when no data row is wider than the header (shorter rows are
+    allowed: a CSV reader fills them with NULL)."""
+    spec = spec or CsvSpec()
     expected = _field_count(F.col("header"), spec.delimiter)
-    return out.select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.element_at(F.split("path", "/"), -1).alias("identifier"),
-        (F.coalesce(F.col("max_width"), F.lit(0)) <= expected).alias("result"),
-        expected.alias("expected_columns"), F.coalesce(F.col("rows"), F.lit(0)).alias("rows"))
+    return profile.select(*_named(profile),
+                          (F.coalesce(F.col("max_width"), F.lit(0)) <= expected).alias("result"),
+                          expected.alias("expected_columns"), "rows")
 
 
-def check_csv_columns(spark: SparkSession, path: str, expected: list[str], spec: CsvSpec | None = None,
-                      glob: str | None = "*.csv") -> DataFrame:
-    """The normalised header equals the expected columns, in order; extra and missing names
-    are reported."""
+def columns_result(profile: DataFrame, expected: list[str], spec: CsvSpec | None = None) -> DataFrame:
+    """D19 from a profile: the normalised header equals the expected columns, in order."""
     spec = spec or CsvSpec()
-    headers = csv_headers(csv_lines(spark, path, glob, spec), spec)
     cols = F.transform(_split_header(F.col("header"), spec.delimiter), lambda x: normalise_header(x))
     exp = F.array(*[F.lit(c) for c in expected])
-    return headers.select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.element_at(F.split("path", "/"), -1).alias("identifier"),
-        (cols == exp).alias("result"), cols.alias("columns"),
-        F.array_except(cols, exp).alias("extra_columns"), F.array_except(exp, cols).alias("missing_columns"))
+    return profile.select(*_named(profile), (cols == exp).alias("result"), cols.alias("columns"),
+                          F.array_except(cols, exp).alias("extra_columns"),
+                          F.array_except(exp, cols).alias("missing_columns"))
+
+
+def check_csv_format(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
+    """D18 over a folder."""
+    return format_result(csv_profile(spark, path, spec, glob), spec)
+
+
+def check_csv_columns(spark: SparkSession, path: str, expected: list[str], spec: CsvSpec | None = None,
+                      glob: str | None = "*.csv") -> DataFrame:
+    """D19 over a folder; extra and missing names are reported."""
+    return columns_result(csv_profile(spark, path, spec, glob), expected, spec)
 
 
 def flag_unchanged(incoming: DataFrame, processed: DataFrame, name_col: str = "file_name",

@@ -664,7 +664,7 @@ from .functions.casting import all_string_schema  # noqa: E402
 from .plans.flows import raw_to_staging, refine, run_summary  # noqa: E402
 from .plans.landing import land  # noqa: E402
 from .plans.reports import run_reports  # noqa: E402
-from .quality.files import check_csv_columns, check_csv_format, check_filenames, flag_unchanged  # noqa: E402
+from .quality.files import check_filenames, columns_result, csv_profile, flag_unchanged, format_result  # noqa: E402
 from .specs import LandingSpec, ReportSpec  # noqa: E402
 
 CUST_HEADER = "c_custkey,c_name,c_acctbal"
@@ -685,8 +685,9 @@ def file_controls(spark, sf_dir):
     (c.select(line.alias(CUST_HEADER), "c_mktsegment").write.partitionBy("c_mktsegment")
      .option("header", "true").option("sep", "\t").csv(path))
     names = check_filenames(list_files(spark, path, "*.csv"), r"part-\d{5}-.*\.c000\.csv").select("path", F.col("result").alias("name_ok"))
-    fmt = check_csv_format(spark, path).select("path", F.col("result").alias("format_ok"), "rows")
-    cols = check_csv_columns(spark, path, ["c_custkey", "c_name", "c_acctbal"]).select("path", F.col("result").alias("columns_ok"))
+    profile = csv_profile(spark, path)
+    fmt = format_result(profile).select("path", F.col("result").alias("format_ok"), "rows")
+    cols = columns_result(profile, ["c_custkey", "c_name", "c_acctbal"]).select("path", F.col("result").alias("columns_ok"))
     per_file = names.join(fmt, "path").join(cols, "path")
     seg = F.regexp_extract("path", r"c_mktsegment=([^/]+)/", 1)
     return per_file.groupBy(seg.alias("segment")).agg(

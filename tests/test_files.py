@@ -116,3 +116,52 @@ def test_reports_status_and_template(spark, tmp_dir):
     assert not st["Empty"].success and "no data" in st["Empty"].error
     assert spark.read.option("header", "true").csv(st["My Report!"].path).count() == 2
     assert fill_template("x = '{v}'", {"v": "o'k"}, quote=True) == "x = 'o''k'"
+
+
+def test_csv_profile_header_position_one(spark, tmp_dir):
+    write(f"{tmp_dir}/in/p.csv", "# delivered by x\na,b\n1,2\n1,2,3\n")
+    spec = CsvSpec(header_position=1)
+    got = {r.file_name: (r.result, r.rows) for r in check_csv_format(spark, f"{tmp_dir}/in", spec).collect()}
+    assert got == {"p.csv": (False, 2)}
+    cols = check_csv_columns(spark, f"{tmp_dir}/in", ["a", "b"], spec).first()
+    assert cols.result is True
+
+
+def test_landing_json_documents(spark, tmp_dir):
+    write(f"{tmp_dir}/land/api_2024-03-01.json",
+          '{"response_content": [{"assetId": "A1", "price": 10.5}, {"assetId": "A2", "price": 3}]}\n'
+          '{"response_content": [{"assetId": "A3"}], "data_date": "2024-03-02"}\n')
+    spec = LandingSpec(filename_pattern=r"api_\d{4}-\d{2}-\d{2}\.json", file_format="json",
+                       json=JsonSpec("response_content"))
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["assetId", "price"])
+    assert [r.status for r in res.status.collect()] == ["PROCESSED"]
+    got = sorted(tuple(r) for r in read_target(spark, raw).fillna("-").collect())
+    assert got == [("A1", "10.5", "2024-03-01"), ("A2", "3", "2024-03-01"), ("A3", "-", "2024-03-02")]
+
+
+def test_landing_zip_members(spark, tmp_dir):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("RIPS_1.TXT", "id,v\n1,a\n2,b\n")
+        z.writestr("notes.md", "ignored\n")
+    os.makedirs(f"{tmp_dir}/land", exist_ok=True)
+    with open(f"{tmp_dir}/land/RIPS_20240105_PROD.ZIP", "wb") as fh:
+        fh.write(buf.getvalue())
+    spec = LandingSpec(filename_pattern=r"RIPS_\d{8}_PROD\.ZIP", zipped="zip", member_pattern=r"RIPS_.*\.TXT",
+                       date_regex=r"(\d{4})(\d{2})(\d{2})")
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"])
+    assert sorted(tuple(r) for r in read_target(spark, raw).collect()) == [("1", "a", "2024-01-05"), ("2", "b", "2024-01-05")]
+
+
+def test_landing_skips_unchanged_copy(spark, tmp_dir):
+    write(f"{tmp_dir}/land/data_2024_01_05.csv", "id,name\n1,a\n")
+    processed = spark.createDataFrame(
+        [("p/insert_date=2024-01-05/insert_time=10:00:00/data_2024_01_05.csv", "data_2024_01_05.csv", bytearray(b"id,name\n1,a\n"))],
+        "path string, file_name string, content binary")
+    spec = LandingSpec(filename_pattern=r"data_.*\.csv", date_regex=r"(\d{4})_(\d{2})_(\d{2})",
+                       compare_with_previous_file=True)
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["id", "name"], processed=processed)
+    assert [r.status for r in res.status.collect()] == ["SKIP_DUPLICATE"]
+    assert res.written.rows_written == 0

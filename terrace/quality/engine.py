@@ -3,11 +3,14 @@
 Each rule becomes a lazy frame of outcomes ``(rule keys, identifier, result_num, result_bool)``:
 Regex rules unpivot the checked columns and ``rlike`` a literal pattern (compiled once, inside
 codegen); SQL rules run their templated query; Python rules call a registered function.  All
-outcome frames are unioned and scored by ONE aggregation (partial aggregation map-side, one row
-per rule after the shuffle), joined to the rule thresholds, which are a handful of configuration
-rows.  The detail text lists at most ``detail_limit`` identifiers per rule and kind (window
-group-limit: a partial top-k before the shuffle), plus how many more there are; the complete
-identifier lists stay available as a DataFrame (:func:`rule_identifiers`).
+outcome frames are unioned, flagged against the rule thresholds (a broadcast of the already
+collected configuration rows) and scored by ONE aggregation grouped by rule and flag (plus the
+column for Regex rules): partial aggregation runs map-side, and its output is bounded by the
+configuration (rules x columns x 3 rows), so it is collected and the results rows are built from
+it.  Only failing SQL/Python rules need a second, filtered pass for their detail text: at most
+``detail_limit`` invalid identifiers (window group-limit: partial top-k before the shuffle) plus
+how many more there are; the complete identifier lists stay available as a DataFrame
+(:func:`rule_identifiers`).
 """
 
 from __future__ import annotations
@@ -131,86 +134,107 @@ def rule_identifiers(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col("flag").isNotNull()).select(*KEYS, "identifier", "flag").distinct()
 
 
-def _identifier_lists(flagged: DataFrame, limit: int) -> DataFrame:
-    """Detail identifiers, as the reference reports them: Regex rules list the distinct valid and
-    invalid column names (few); other rules list their invalid records, the ``limit`` smallest
-    (``row_number <= limit`` is a window group-limit: partial top-k before the shuffle)."""
-    regex = flagged.where((F.col("_kind") == "Regex") & F.col("flag").isNotNull())
-    cols = regex.groupBy(*KEYS, "flag", "identifier").agg(F.lit(1).alias("_one"))
-    invalid = flagged.where((F.col("_kind") != "Regex") & (F.col("flag") == F.lit(False))).select(*KEYS, "identifier", "flag")
-    w = Window.partitionBy(*KEYS, "flag").orderBy("identifier")
-    top = (cols.select(*KEYS, "identifier", "flag").unionByName(invalid)
-           .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit))
-    listed = top.groupBy(*KEYS).agg(
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("flag"), F.col("identifier")))), ", ").alias("valid_ids"),
-        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("flag"), F.col("identifier")))), ", ").alias("invalid_ids"))
-    counts = cols.groupBy(*KEYS).agg(F.count_if(F.col("flag")).alias("n_valid_cols"),
-                                     F.count_if(~F.col("flag")).alias("n_invalid_cols"))
-    return listed.join(counts, KEYS, "full_outer")
-
-
-def _listing(label: Column, ids: str, n: str, limit: int):
-    more = F.when(F.col(n) > limit, F.format_string(" (and %d more)", F.col(n) - limit)).otherwise(F.lit(""))
-    return F.when(F.col(n) > 0, F.concat(label, F.col(ids), more))
-
-
-
-def score(flagged: DataFrame, thresholds: DataFrame, initial_date, end_date, data_date,
-          detail_limit: int = 100) -> DataFrame:
-    """One controls_results row per rule."""
-    agg = flagged.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("flag") == F.lit(False)).alias("invalid"),
-        F.count_if(F.col("result_num").isNull() & F.col("result_bool").isNull()).alias("null_results"))
-    # rules whose outcome frame is empty still get a row (total 0)
-    base = thresholds.select(*KEYS, "control_algorithm_type", "control_threshold_type", "control_threshold_min",
-                             "control_threshold_max").join(agg, KEYS, "left").na.fill(0, ["total", "invalid", "null_results"])
-    lists = _identifier_lists(flagged, detail_limit)
-    is_regex = F.col("control_algorithm_type") == "Regex"
-    j = (base.join(lists, KEYS, "left").na.fill(0, ["n_valid_cols", "n_invalid_cols"])
-         .withColumn("n_valid_ids", F.when(is_regex, F.col("n_valid_cols")).otherwise(F.lit(0)))
-         .withColumn("n_invalid_ids", F.when(is_regex, F.col("n_invalid_cols")).otherwise(F.col("invalid"))))
-    detail = F.concat_ws(". ",
-                         F.when(is_regex, _listing(F.lit("Valid columns: "), "valid_ids", "n_valid_ids", detail_limit)),
-                         _listing(F.when(is_regex, F.lit("Invalid columns: ")).otherwise(F.lit("Invalid records: ")),
-                                  "invalid_ids", "n_invalid_ids", detail_limit))
-    has_limits = F.col("control_threshold_min").isNotNull() | F.col("control_threshold_max").isNotNull()
-    null_error = (F.col("control_threshold_type").isin("Standard", "Absolute") & has_limits
-                  & (F.col("null_results") > 0))
-    return j.select(
-        *KEYS,
-        F.format_string("{total: %d, value: %d}", F.col("total"), F.col("invalid")).alias("control_outcome"),
-        pass_ratio(F.col("total"), F.col("invalid")).alias("control_metric_value"),
-        detail.alias("control_detail"),
-        F.lit(initial_date).cast("timestamp").alias("initial_date"),
-        F.lit(end_date).cast("timestamp").alias("end_date"),
-        F.lit(data_date).cast("date").alias("data_date"),
-        F.when(null_error, F.lit("NULL result with threshold limits")).alias("_error"))
-
-
-def overall(results: DataFrame, rules: DataFrame, status: DataFrame) -> DataFrame:
+def _summaries(flagged: DataFrame) -> list:
+    """ONE aggregation over all rule outcomes, grouped by rule and flag (and, for Regex rules, the
+    checked column).  Partial aggregation runs map-side; the result has at most
+    rules x columns x 3 rows, so it is collected."""
+    ident = F.when(F.col("_kind") == "Regex", F.col("identifier"))
+    return (flagged.groupBy(*KEYS, ident.alias("ident"), "flag")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.count_if(F.col("result_num").isNull() & F.col("result_bool").isNull()).alias("nulls"))
+            .collect())
+
+
+def _invalid_records(flagged: DataFrame, failing: list[tuple], limit: int) -> dict:
+    """The ``limit`` smallest invalid identifiers of each failing SQL/Python rule.
+    ``row_number() <= limit`` plans as a window group-limit (partial top-k before the shuffle)."""
+    if not failing:
+        return {}
+    keyset = F.struct(*[F.col(k) for k in KEYS]).isin(*[F.struct(F.lit(m), F.lit(t)) for m, t in failing])
+    w = Window.partitionBy(*KEYS).orderBy("identifier")
+    top = (flagged.where((F.col("_kind") != "Regex") & (F.col("flag") == F.lit(False)) & keyset)
+           .select(*KEYS, "identifier").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit)
+           .groupBy(*KEYS).agg(F.array_sort(F.collect_list("identifier")).alias("ids")))
+    return {(r[0], r[1]): r["ids"] for r in top.collect()}
+
+
+def _listing(label: str, ids: list, n: int, limit: int) -> str | None:
+    if n <= 0:
+        return None
+    more = f" (and {n - limit} more)" if n > limit else ""
+    return label + ", ".join(ids[:limit]) + more
+
+
+def _has_limits(rule: dict) -> bool:
+    return rule.get("control_threshold_min") is not None or rule.get("control_threshold_max") is not None
+
+
+def score(spark: SparkSession, flagged: DataFrame, rules: list[dict], initial_date, end_date, data_date,
+          detail_limit: int = 100) -> tuple[list, dict]:
+    """controls_results rows (local, one per rule) and per-rule errors."""
+    acc: dict[tuple, dict] = {}
+    for r in _summaries(flagged):
+        a = acc.setdefault((r[0], r[1]), {"total": 0, "invalid": 0, "nulls": 0, "valid_cols": set(), "invalid_cols": set()})
+        a["total"] += r["n"]
+        a["nulls"] += r["nulls"]
+        if r["flag"] is False:
+            a["invalid"] += r["n"]
+        if r["ident"] is not None and r["flag"] is not None:
+            a["valid_cols" if r["flag"] else "invalid_cols"].add(r["ident"])
+    empty = {"total": 0, "invalid": 0, "nulls": 0, "valid_cols": set(), "invalid_cols": set()}
+    failing = [k for k, a in acc.items()
+               if a["invalid"] > 0 and next(r for r in rules if (r["control_master_id"], r["control_table_id"]) == k)
+               ["control_algorithm_type"] != "Regex"]
+    records = _invalid_records(flagged, failing, detail_limit)
+    rows, errors = [], {}
+    for rule in rules:
+        key = (rule["control_master_id"], rule["control_table_id"])
+        a = acc.get(key, empty)
+        if rule["control_threshold_type"] in ("Standard", "Absolute") and _has_limits(rule) and a["nulls"] > 0:
+            errors[key] = "NULL result with threshold limits"
+            continue
+        if rule["control_algorithm_type"] == "Regex":
+            parts = [_listing("Valid columns: ", sorted(a["valid_cols"]), len(a["valid_cols"]), detail_limit),
+                     _listing("Invalid columns: ", sorted(a["invalid_cols"]), len(a["invalid_cols"]), detail_limit)]
+        else:
+            parts = [_listing("Invalid records: ", records.get(key, []), a["invalid"], detail_limit)]
+        total, invalid = a["total"], a["invalid"]
+        rows.append((key[0], key[1], f"{{total: {total}, value: {invalid}}}",
+                     1.0 if total == 0 else 1.0 - invalid / total,
+                     ". ".join(p for p in parts if p), initial_date, end_date, data_date))
+    return rows, errors
+
+
+RESULT_DDL = ("control_master_id string, control_table_id string, control_outcome string, control_metric_value double, "
+              "control_detail string, initial_date timestamp, end_date timestamp, data_date date")
+
+
+def overall(results: list, rules: list[dict], errors: dict) -> tuple[bool, int, int]:
     """The run passes when no blocking rule's metric is below coalesce(rag_max, 1.0)
     and no rule failed to compute."""
-    j = results.select(*KEYS, "control_metric_value").join(
-        rules.select(*KEYS, "blocking_control_indicator", "control_threshold_rag_max"), KEYS, "inner")
-    failed = (F.coalesce(F.col("blocking_control_indicator"), F.lit(False))
-              & (F.col("control_metric_value") < F.coalesce(F.col("control_threshold_rag_max"), F.lit(1.0))))
-    fails = j.agg(F.count_if(failed).alias("failed_rules"))
-    errs = status.agg(F.count_if(F.col("status") == "error").alias("errored_rules"))
-    return fails.crossJoin(errs).select(
-        ((F.col("failed_rules") == 0) & (F.col("errored_rules") == 0)).alias("overall"), "failed_rules", "errored_rules")
+    by_key = {(r["control_master_id"], r["control_table_id"]): r for r in rules}
+    failed = 0
+    for row in results:
+        rule = by_key[(row[0], row[1])]
+        rag = rule.get("control_threshold_rag_max")
+        if rule.get("blocking_control_indicator") and row[3] < (1.0 if rag is None else rag):
+            failed += 1
+    return failed == 0 and not errors, failed, len(errors)
 
 
 def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, params: dict | None = None,
                  registry: dict | None = None, detail_limit: int = 100, strict: bool = False,
                  initial_date: dt.datetime | None = None, data_date: dt.date | str | None = None) -> ControlRun:
-    """Validate and evaluate every rule (each isolated), score them in one job, and
-    compute the overall verdict.  ``strict`` raises after the run when any rule failed."""
+    """Validate and evaluate every rule (each isolated), score them all with one
+    aggregation, and compute the overall verdict.  ``strict`` raises after the run when any rule
+    failed."""
     params = dict(params or {})
     registry = {**PYTHON_RULES, **(registry or {})}
     initial_date = initial_date or dt.datetime.now()
     if data_date is None:
         data_date = params.get("file_date") or dt.date.today()
+    if isinstance(data_date, str):
+        data_date = dt.date.fromisoformat(data_date)
     # rules are configuration rows: few, so they are collected with their violations
     rule_rows = [r.asDict() for r in rules.select("*", F.array_join(violation_list(), "; ").alias("v")).collect()]
     errors: dict[tuple, str] = {}
@@ -225,30 +249,28 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
         except Exception as e:  # isolate the rule: record and go on
             errors[key] = f"{type(e).__name__}: {e}"[:1000]
     ok_rules = [r for r in rule_rows if (r["control_master_id"], r["control_table_id"]) not in errors]
-    thresholds = rules.join(F.broadcast(spark.createDataFrame(
-        [(r["control_master_id"], r["control_table_id"]) for r in ok_rules], "control_master_id string, control_table_id string")),
-        KEYS, "left_semi")
     if frames:
+        thresholds = spark.createDataFrame(
+            [(r["control_master_id"], r["control_table_id"], r["control_threshold_type"],
+              r["control_threshold_min"], r["control_threshold_max"]) for r in ok_rules],
+            "control_master_id string, control_table_id string, control_threshold_type string, "
+            "control_threshold_min double, control_threshold_max double")
         flagged = _with_flags(union_all(frames), thresholds)
+        rows, score_errors = score(spark, flagged, ok_rules, initial_date, dt.datetime.now(), data_date, detail_limit)
     else:
-        flagged = spark.createDataFrame([], "control_master_id string, control_table_id string, identifier string, "
-                                            "result_num double, result_bool boolean, _kind string, control_threshold_type string, "
-                                            "control_algorithm_type string, "
-                                            "control_threshold_min double, control_threshold_max double, flag boolean")
-    scored = score(flagged, thresholds, initial_date, dt.datetime.now(), data_date, detail_limit)
-    status_rows = [(k[0], k[1], "error", msg) for k, msg in errors.items()]
-    status_static = spark.createDataFrame(status_rows, "control_master_id string, control_table_id string, status string, error string")
-    status_computed = scored.select(*KEYS, F.when(F.col("_error").isNotNull(), "error").otherwise("ok").alias("status"),
-                                    F.col("_error").alias("error"))
-    status = status_static.unionByName(status_computed)
-    results = scored.where(F.col("_error").isNull()).drop("_error")
-    verdict = overall(results, rules, status)
-    run = ControlRun(results, status, verdict, flagged, errors)
-    if strict:
-        bad = status.where(F.col("status") == "error").collect()
-        if bad:
-            raise RuleError(f"{len(bad)} rules failed: " + "; ".join(f"{r[0]}/{r[1]}: {r[3]}" for r in bad))
-    return run
+        flagged, rows, score_errors = None, [], {}
+    errors.update(score_errors)
+    rows = [r for r in rows if (r[0], r[1]) not in errors]
+    verdict, failed, errored = overall(rows, rule_rows, errors)
+    results = spark.createDataFrame(rows, RESULT_DDL)
+    status_rows = [(r["control_master_id"], r["control_table_id"],
+                    "error" if (r["control_master_id"], r["control_table_id"]) in errors else "ok",
+                    errors.get((r["control_master_id"], r["control_table_id"]))) for r in rule_rows]
+    status = spark.createDataFrame(status_rows, "control_master_id string, control_table_id string, status string, error string")
+    verdict_df = spark.createDataFrame([(verdict, failed, errored)], "overall boolean, failed_rules long, errored_rules long")
+    if strict and errors:
+        raise RuleError(f"{len(errors)} rules failed: " + "; ".join(f"{k[0]}/{k[1]}: {v}" for k, v in errors.items()))
+    return ControlRun(results, status, verdict_df, flagged, errors)
 
 
 def save_results(spark: SparkSession, run: ControlRun, spec) -> int:

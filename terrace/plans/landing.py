@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..quality.files import columns_result, csv_profile, flag_unchanged, format_result
+from ..quality.files import (columns_result, csv_profile, flag_unchanged, format_result, member_lines,
+                             member_profile)
 from ..sinks.tables import WriteResult, write_raw
 from ..sources.files import expand_archives, list_files, nested_json_items
 from ..specs import LandingSpec, TableSpec
@@ -35,8 +36,32 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     name_ok = F.col("file_name").rlike(anchored(spec.filename_pattern))
     source = F.col("path") if date_from == "path" else F.col("file_name")
     files = files.withColumn("name_ok", name_ok).withColumn("file_date", file_date(source, spec.date_regex))
-    errors = [F.when(F.col("file_date").isNull(), F.lit("no date in file name"))]
-    if spec.file_format == "csv" and not spec.zipped and checks:
+    errors = [] if spec.date_column else [F.when(F.col("file_date").isNull(), F.lit("no date in file name"))]
+    if spec.zipped:
+        archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        members = expand_archives(archives, spec.zipped)
+        per_archive = []
+        if spec.member_pattern and "member_names" in checks:
+            ok = F.col("member").rlike(anchored(spec.member_pattern))
+            per_archive.append(members.groupBy(F.col("archive").alias("path")).agg(
+                F.bool_and(ok).alias("members_ok"),
+                F.array_sort(F.collect_list(F.when(~ok, F.col("member")))).alias("bad_members")))
+            errors.append(F.when(~F.coalesce(F.col("members_ok"), F.lit(True)), F.concat(
+                F.lit("invalid member names: "), F.array_join("bad_members", ", "))))
+        if spec.file_format == "csv" and ({"csv_format", "csv_columns"} & set(checks)):
+            # D18/D19 on every member, one aggregation over the members' lines
+            prof = member_profile(member_lines(members.select("archive", "member", "content"), spec.csv), spec.csv)
+            if "csv_format" in checks:
+                fmt = format_result(prof, spec.csv)
+                per_archive.append(fmt.groupBy("path").agg(F.bool_and("result").alias("format_ok")))
+                errors.append(F.when(~F.coalesce(F.col("format_ok"), F.lit(False)), F.lit("invalid CSV format in a member")))
+            if "csv_columns" in checks and columns:
+                cols = columns_result(prof, columns, spec.csv)
+                per_archive.append(cols.groupBy("path").agg(F.bool_and("result").alias("columns_ok")))
+                errors.append(F.when(~F.coalesce(F.col("columns_ok"), F.lit(False)), F.lit("invalid member columns")))
+        for frame in per_archive:
+            files = files.join(frame, "path", "left")
+    elif spec.file_format == "csv" and checks:
         # one pass over the lines serves both CSV checks
         profile = csv_profile(spark, folder, spec.csv, glob=None)
         if "csv_format" in checks:
@@ -69,10 +94,7 @@ def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[st
     if spec.zipped:
         archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
         members = expand_archives(archives, spec.zipped)
-        if spec.member_pattern:
-            members = members.where(F.col("member").rlike(anchored(spec.member_pattern)))
-        lines = members.select(F.col("archive").alias("path"),
-                               F.posexplode(F.split(F.decode("content", spec.csv.encoding), "\r?\n")).alias("n", "line"))
+        lines = member_lines(members, spec.csv).withColumnRenamed("archive", "path")
         body = lines.where((F.col("n") > spec.csv.header_position) & (F.trim("line") != ""))
         ddl = ", ".join(f"`{c}` string" for c in columns)
         parsed = body.select("path", F.from_csv("line", ddl, {"sep": spec.csv.delimiter}).alias("r"))
@@ -95,7 +117,7 @@ def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[st
 
 def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, columns: list[str] | None = None,
          processed: DataFrame | None = None, date_from: str = "name",
-         checks: tuple[str, ...] = ("csv_format", "csv_columns")) -> LandingResult:
+         checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names")) -> LandingResult:
     """Land every file of ``folder`` into the raw table; returns per-file statuses and counts."""
     status = _file_status(spark, folder, spec, columns, processed, date_from, checks).checkpoint(eager=True)
     ok = status.where(F.col("status") == "PROCESSED").select("path", "file_date")
@@ -106,8 +128,12 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         m = F.from_json("item", "map<string,string>")
         rows = items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field)
     else:
-        rows = (_parse(spark, folder, spec, columns).join(ok, "path")
-                .withColumn(spec.partition_field, F.col("file_date")).drop("path", "file_date"))
+        rows = _parse(spark, folder, spec, columns).join(ok, "path")
+        stamp = F.col("file_date")
+        if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
+            stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
+        rows = rows.withColumn(spec.partition_field, stamp).drop("path", "file_date")
+        rows = rows.select(*[c for c in rows.columns if c != "member"])
     if raw.schema is None and columns:
         raw.schema = all_string_schema(list(columns) + [spec.partition_field])
     written = write_raw(spark, rows, raw) if not ok.isEmpty() else WriteResult(rows_written=0)

@@ -83,6 +83,26 @@ def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glo
         "path", "header", "max_width", F.coalesce(F.col("rows"), F.lit(0)).alias("rows"))
 
 
+def member_lines(members: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
+    """Numbered lines of archive members ``(archive, member, n, line)``; one member's lines are
+    split in memory (bounded by the member's size)."""
+    spec = spec or CsvSpec()
+    return members.select("archive", "member", F.posexplode(
+        F.split(F.decode("content", spec.encoding), "\r?\n")).alias("n", "line"))
+
+
+def member_profile(lines: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
+    """The CSV profile of each archive member, ``(path=archive, member, header, max_width, rows)``:
+    one partial aggregation, the header being line number ``header_position``."""
+    spec = spec or CsvSpec()
+    n, hp = F.col("n"), spec.header_position
+    body = (n > hp) & (F.trim(F.col("line")) != "")
+    return lines.groupBy("archive", "member").agg(
+        F.max(F.when(n == hp, F.col("line"))).alias("header"),
+        F.max(F.when(body, _field_count(F.col("line"), spec.delimiter))).alias("max_width"),
+        F.count_if(body).alias("rows")).withColumnRenamed("archive", "path")
+
+
 def _named(profile: DataFrame) -> list:
     name = F.element_at(F.split("path", "/"), -1)
     return ["path", name.alias("file_name"), name.alias("identifier")]

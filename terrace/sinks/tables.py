@@ -30,10 +30,13 @@ class WriteResult:
 
 
 def _writer(df: DataFrame, spec: TableSpec, mode: str):
-    w = df.write.mode(mode)
+    """Partitioned writes first REBALANCE on the partition columns: rows of one partition value
+    meet in few tasks (few, large files instead of tasks x partitions small ones), and AQE
+    splits a partition value that holds a large share of the rows and coalesces small ones."""
     if spec.partition_columns:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_columns)
-    return w
+        df = df.hint("rebalance", *spec.partition_columns)
+        return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_columns)
+    return df.write.mode(mode)
 
 
 def read_target(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -116,6 +119,8 @@ def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched:
     ``new_rows`` fire with the staging write."""
     rows = new_rows.where(keep) if keep is not None else new_rows
     rows = rows.select(*[c for c in rows.columns if not c.startswith("_action")])
+    if spec.partition_columns:
+        rows = rows.hint("rebalance", *spec.partition_columns)
     staged, path, _ = stage(spark, rows, "rewrite")
     try:
         if touched is None:

@@ -140,19 +140,41 @@ def test_landing_json_documents(spark, tmp_dir):
     assert got == [("A1", "10.5", "2024-03-01"), ("A2", "3", "2024-03-01"), ("A3", "-", "2024-03-02")]
 
 
-def test_landing_zip_members(spark, tmp_dir):
+def _zip(path, members):
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("RIPS_1.TXT", "id,v\n1,a\n2,b\n")
-        z.writestr("notes.md", "ignored\n")
-    os.makedirs(f"{tmp_dir}/land", exist_ok=True)
-    with open(f"{tmp_dir}/land/RIPS_20240105_PROD.ZIP", "wb") as fh:
+        for name, text in members.items():
+            z.writestr(name, text)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as fh:
         fh.write(buf.getvalue())
+
+
+def test_landing_zip_members(spark, tmp_dir):
+    _zip(f"{tmp_dir}/land/RIPS_20240105_PROD.ZIP", {"RIPS_1.TXT": "id,v\n1,a\n2,b\n", "RIPS_2.TXT": "id,v\n3,c\n"})
+    _zip(f"{tmp_dir}/land/RIPS_20240106_PROD.ZIP", {"RIPS_3.TXT": "id,v\n4,d\n", "notes.md": "id,v\n5,e\n"})
+    _zip(f"{tmp_dir}/land/RIPS_20240107_PROD.ZIP", {"RIPS_4.TXT": "id,v\n6,f,extra\n"})
     spec = LandingSpec(filename_pattern=r"RIPS_\d{8}_PROD\.ZIP", zipped="zip", member_pattern=r"RIPS_.*\.TXT",
                        date_regex=r"(\d{4})(\d{2})(\d{2})")
     raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
-    land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"])
-    assert sorted(tuple(r) for r in read_target(spark, raw).collect()) == [("1", "a", "2024-01-05"), ("2", "b", "2024-01-05")]
+    res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"])
+    st = {r.file_name: (r.status, r.error) for r in res.status.collect()}
+    assert st["RIPS_20240105_PROD.ZIP"] == ("PROCESSED", "")
+    assert st["RIPS_20240106_PROD.ZIP"] == ("ERROR", "invalid member names: notes.md")
+    assert st["RIPS_20240107_PROD.ZIP"] == ("ERROR", "invalid CSV format in a member")
+    assert sorted(tuple(r) for r in read_target(spark, raw).collect()) == [
+        ("1", "a", "2024-01-05"), ("2", "b", "2024-01-05"), ("3", "c", "2024-01-05")]
+
+
+def test_landing_partition_from_column_and_xml(spark, tmp_dir):
+    write(f"{tmp_dir}/land/rows.xml", '<rows><row id="1"><d>2024-02-01</d><v>x</v></row>'
+                                       '<row id="2"><d>bad</d></row></rows>')
+    spec = LandingSpec(filename_pattern=r"rows\.xml", file_format="xml", date_column="d")
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "d", "v"])
+    assert [r.status for r in res.status.collect()] == ["PROCESSED"]
+    got = sorted(tuple(r) for r in read_target(spark, raw).fillna("-").collect())
+    assert got == [("1", "2024-02-01", "x", "2024-02-01"), ("2", "bad", "", "-")]
 
 
 def test_landing_skips_unchanged_copy(spark, tmp_dir):

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
@@ -90,24 +89,31 @@ _quoted_key_re = re.compile(_QUOTED_KEY)
 _non_word_re = re.compile(r"\W")
 
 
-def _normalise_keys(text: str | None) -> str | None:
+def normalise_keys_text(text: str | None) -> str | None:
+    """Rewrite 2 on one string, in Python: the reference for :func:`normalise_keys` in tests."""
     if text is None:
         return None
     return _quoted_key_re.sub(lambda m: '"' + _non_word_re.sub("", m.group(1)).lower() + '"', text)
 
 
-@F.pandas_udf(StringType())
-def _normalise_keys_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(_normalise_keys, na_action="ignore")
+def normalise_keys(col: Column) -> Column:
+    """Rewrite 2 as JVM expressions: the text is split around the quoted keys, every key is
+    lower-cased with its non-word characters removed (``(?U)`` makes ``\\W`` Unicode-aware,
+    as in Python), and the pieces are zipped back together."""
+    parts = F.split(col, _QUOTED_KEY, -1)
+    keys = F.regexp_extract_all(col, F.lit(_QUOTED_KEY), 1)
+    fixed = F.transform(keys, lambda k: F.concat(F.lit('"'), F.lower(F.regexp_replace(k, r"(?U)\W", "")), F.lit('"')))
+    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
+    joined = F.array_join(F.zip_with(fixed, rest, lambda k, p: F.concat(k, F.coalesce(p, F.lit("")))), "")
+    return F.when(F.size(keys) == 0, col).otherwise(F.concat(F.element_at(parts, 1), joined))
 
 
 def repair_json(col: Column | str) -> Column:
-    """Make dirty map text parseable JSON.  Rewrites 1, 3 and 4 are JVM regex rewrites;
-    rewrite 2 lower-cases a capture, which Java regex replacement cannot, so it is one
-    Arrow-batched pandas UDF over the column."""
+    """Make dirty map text parseable JSON with the four rewrites, all JVM-side
+    (no Python UDF on the row path)."""
     c = F.col(col) if isinstance(col, str) else col
     step1 = F.regexp_replace(c, _KV, '"$1": "$2"')
-    step2 = _normalise_keys_udf(step1)
+    step2 = normalise_keys(step1)
     step3 = F.regexp_replace(step2, _SINGLE_KEY, '"$1"$2')
     return F.regexp_replace(step3, _SINGLE_VALUE, '$1"$2"')
 

@@ -76,3 +76,19 @@ def test_parse_dates_missing_column_raises(spark):
 def test_all_string_schema():
     s = all_string_schema(["a", "b"])
     assert [f.dataType.simpleString() for f in s.fields] == ["string", "string"]
+
+
+def test_normalise_keys_matches_python_rewrite(spark):
+    from hypothesis import given, settings, strategies as st
+    from terrace.functions.casting import normalise_keys, normalise_keys_text
+    alphabet = st.sampled_from(list("aB_-@ '\u00e9:{},=1") + ['"'])
+    texts = st.lists(st.text(alphabet, max_size=30), min_size=1, max_size=40)
+
+    @settings(max_examples=25, deadline=None)
+    @given(texts)
+    def check(batch):
+        df = spark.createDataFrame([(t,) for t in batch] + [(None,)], "t string")
+        got = [r[0] for r in df.select(normalise_keys(F.col("t"))).collect()]
+        assert got == [normalise_keys_text(t) for t in batch] + [None]
+
+    check()

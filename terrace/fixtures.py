@@ -90,7 +90,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     incoming   (file_name, content): ``doc_<id>.txt`` holding the whole text
     processed  (path, file_name, content): two copies per document under
                ``insert_date=…/insert_time=…``; the later copy of every fourth document was
-               edited; every fifth document was never processed."""
+               edited; documents of source ``src0`` were never processed."""
     d = table(spark, sf_dir, "documents")
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt"))
     incoming = d.select(name.alias("file_name"), F.col("text").alias("content"))
@@ -100,7 +100,7 @@ def document_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         F.struct(F.lit("processed/insert_date=2024-01-02/insert_time=09:30:00/").alias("dir"),
                  F.when(F.col("doc_id") % 4 == 0, F.concat(F.col("text"), F.lit(" [edited]")))
                  .otherwise(F.col("text")).alias("content")))
-    processed = (d.where(F.col("doc_id") % 5 != 0)
+    processed = (d.where(F.col("source") != "src0")
                  .select(name.alias("file_name"), F.explode(copies).alias("c"))
                  .select(F.concat("c.dir", "file_name").alias("path"), "file_name", F.col("c.content").alias("content")))
     return incoming, processed

@@ -273,7 +273,21 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
     return ControlRun(results, status, verdict_df, flagged, errors)
 
 
-def save_results(spark: SparkSession, run: ControlRun, spec) -> int:
-    """Append the run's controls_results rows to the results table (conformed first)."""
+def invalid_identifiers(run: ControlRun, data_date=None) -> DataFrame | None:
+    """Every invalid identifier of every rule (complete, distributed): the whole list behind the
+    bounded detail text."""
+    if run.outcomes is None:
+        return None
+    return (run.outcomes.where(F.col("flag") == F.lit(False))
+            .select(*KEYS, "identifier", F.lit(data_date).cast("date").alias("data_date")))
+
+
+def save_results(spark: SparkSession, run: ControlRun, spec, identifiers_spec=None) -> int:
+    """Append the run's controls_results rows to the results table (conformed first); with
+    ``identifiers_spec`` also append the complete invalid identifiers."""
     from ..sinks.tables import append
-    return append(spark, run.results, spec).rows_written
+    written = append(spark, run.results, spec).rows_written
+    if identifiers_spec is not None and run.outcomes is not None:
+        day = run.results.select(F.max("data_date")).first()[0]
+        append(spark, invalid_identifiers(run, day), identifiers_spec)
+    return written

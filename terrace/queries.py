@@ -697,7 +697,7 @@ def file_controls(spark, sf_dir):
 
 @register("landing_dedupe", """
 WITH p AS (SELECT doc_id, md5(CASE WHEN doc_id % 4 = 0 THEN text || ' [edited]' ELSE text END) AS h
-           FROM documents WHERE doc_id % 5 <> 0)
+           FROM documents WHERE source <> 'src0')
 SELECT 'doc_' || CAST(d.doc_id AS VARCHAR) || '.txt' AS file_name, coalesce(md5(d.text) = p.h, false) AS is_duplicate
 FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id
 """)

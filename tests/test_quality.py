@@ -127,3 +127,18 @@ def test_detail_is_bounded(spark):
     r = run_controls(spark, None, rules, detail_limit=10).results.first()
     assert r.control_detail.endswith("(and 240 more)")
     assert r.control_detail.startswith("Invalid records: 0, 1, 10, 100, 101")
+
+
+def test_save_results_with_complete_identifiers(spark, tmp_dir):
+    from terrace.quality.engine import save_results
+    from terrace.sinks.tables import read_target
+    from terrace.specs import TableSpec
+    spark.range(250).selectExpr("CAST(id AS STRING) AS identifier", "id % 2 = 0 AS result").createOrReplaceTempView("half")
+    rules = rules_frame(spark, [rule(control_table_id="h", control_threshold_type="Binary",
+                                     control_description="SELECT identifier, result FROM half")])
+    run = run_controls(spark, None, rules, detail_limit=10, data_date="2024-01-01")
+    res_spec = TableSpec(f"{tmp_dir}/res", partition_field="data_date")
+    ids_spec = TableSpec(f"{tmp_dir}/ids", partition_field="data_date")
+    assert save_results(spark, run, res_spec, ids_spec) == 1
+    assert read_target(spark, ids_spec).count() == 125      # all invalid ids, not only the 10 listed
+    assert read_target(spark, res_spec).first().control_outcome == "{total: 250, value: 125}"

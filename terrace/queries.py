@@ -805,7 +805,7 @@ def _business_flow(spark, sf_dir):
 
 
 @register("flow_raw_to_business", """
-SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS total_spent, COUNT(*) AS orders,
+SELECT o_custkey, CAST(SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS DECIMAL(22,2)) AS total_spent, COUNT(*) AS orders,
        MAX(CAST(o_orderdate AS DATE)) AS last_order
 FROM orders GROUP BY o_custkey
 """)

@@ -13,6 +13,8 @@ def _load(spark: SparkSession, source: str | TableSpec | DataFrame) -> DataFrame
     if isinstance(source, DataFrame):
         return source
     if isinstance(source, TableSpec):
+        if source.schema is not None:  # the declared types, partition column included
+            return spark.read.schema(source.schema).parquet(source.path)
         source = source.path
     if "/" in source or source.startswith("file:"):
         return spark.read.parquet(source)

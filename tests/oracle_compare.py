@@ -48,6 +48,20 @@ def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
     return len(rows), sorted(columns), h, lines
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT"}
+
+
+def type_differences(df, con, sql: str) -> dict:
+    """Columns whose Spark type and DuckDB oracle type differ (after naming each engine's types
+    the same way)."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+          for f in df.schema.fields}
+    rel = con.sql(sql)
+    dt = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def duck(sf_dir: str):
     import duckdb
     con = duckdb.connect()
@@ -70,11 +84,12 @@ def compare(spark, con, name: str, sf_dir: str, verbose: bool = False) -> dict:
     if sql is None:
         out["status"] = "rows-only"
         return out
+    out["type_diff"] = type_differences(df, con, sql)
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
     o = digest(cols, res.fetchall())
     out["oracle_rows"] = o[0]
-    ok = s[0] == o[0] and s[1] == o[1] and s[2] == o[2]
+    ok = s[0] == o[0] and s[1] == o[1] and s[2] == o[2] and not out["type_diff"]
     out["status"] = "match" if ok else "MISMATCH"
     if not ok:
         out["spark_cols"], out["oracle_cols"] = s[1], o[1]

@@ -19,11 +19,15 @@ from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
 from ..quality.files import (columns_result, csv_profile, flag_unchanged, format_result, member_lines,
                              member_profile)
-from ..sinks.tables import WriteResult, write_raw
+from ..sinks.tables import WriteResult, broadcast_limit, write_raw
 from ..sources.files import expand_archives, list_files, nested_json_items
 from ..specs import LandingSpec, TableSpec
 
 
+# Upper bound of one (path, file_date) row held in a broadcast hash table.
+FILE_ROW_BYTES = 512
+
+
 @dataclass
 class LandingResult:
     status: DataFrame
@@ -121,6 +125,19 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
     """Land every file of ``folder`` into the raw table; returns per-file statuses and counts."""
     status = _file_status(spark, folder, spec, columns, processed, date_from, checks).checkpoint(eager=True)
     ok = status.where(F.col("status") == "PROCESSED").select("path", "file_date")
+    # The file table joins back to every parsed row by path.  It has one row per file, so it is
+    # counted and broadcast when it fits the session's broadcast limit (then a file holding a large
+    # share of the rows cannot skew a shuffle); otherwise AQE splits skewed path partitions.
+    n_ok = ok.count()
+    limit = broadcast_limit(spark)
+    if n_ok == 0:
+        ok = None
+    elif limit >= 0 and n_ok * FILE_ROW_BYTES <= limit:
+        ok = F.broadcast(ok)
+    if raw.schema is None and columns:
+        raw.schema = all_string_schema(list(columns) + [spec.partition_field])
+    if ok is None:
+        return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=0))
     if spec.file_format == "json":
         lines = (spark.read.option("recursiveFileLookup", "true").text(folder)
                  .select("value", F.col("_metadata.file_path").alias("path")).join(ok, "path"))
@@ -134,7 +151,5 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
             stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
         rows = rows.withColumn(spec.partition_field, stamp).drop("path", "file_date")
         rows = rows.select(*[c for c in rows.columns if c != "member"])
-    if raw.schema is None and columns:
-        raw.schema = all_string_schema(list(columns) + [spec.partition_field])
-    written = write_raw(spark, rows, raw) if not ok.isEmpty() else WriteResult(rows_written=0)
+    written = write_raw(spark, rows, raw)
     return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), written)

@@ -11,20 +11,27 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType
 
 from . import fixtures as fx
-from .functions.casting import cast_to, repair_json
+from .functions.casting import all_string_schema, cast_to, repair_json
 from .functions.dates import apply_steps
 from .functions.text import normalise_header
 from .operators.columns import (clean_names, coalesce_pairs, conform, distinct_tokens, pick_column,
                                 stack_columns)
 from .operators.joins import equi_join
+from .plans.flows import raw_to_staging, refine, run_summary
+from .plans.landing import land
+from .plans.reports import run_reports
+from .quality.engine import python_rule, run_controls
+from .quality.files import check_filenames, columns_result, csv_profile, flag_unchanged, format_result
+from .quality.rules import rules_frame
 from .session import scratch_path
 from .sinks.tables import append, delete_where, merge_into, overwrite_partitions, read_target, write_raw
 from .sources.files import expand_archives, list_files, read_csv, read_nested_json, read_xml
-from .sources.tables import read_partition, read_table
-from .specs import CsvSpec, DateRepair, JsonSpec, TableSpec, XmlSpec
+from .sources.tables import read_partition, read_table, table_schema
+from .specs import CsvSpec, DateRepair, JsonSpec, LandingSpec, ReportSpec, TableSpec, XmlSpec
+from .streaming.landing_stream import start_landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -505,8 +512,6 @@ def delete_where_q(spark, sf_dir):
 
 # ------------------------------------------------------------------ data quality
 
-from .quality.engine import python_rule, run_controls  # noqa: E402
-from .quality.rules import rules_frame  # noqa: E402
 
 DQ_DATE = "2024-01-15"
 DQ_LIMIT = 100
@@ -660,12 +665,6 @@ def dq_overall(spark, sf_dir):
 
 # ------------------------------------------------------------------ files, landing, reports, flows
 
-from .functions.casting import all_string_schema  # noqa: E402
-from .plans.flows import raw_to_staging, refine, run_summary  # noqa: E402
-from .plans.landing import land  # noqa: E402
-from .plans.reports import run_reports  # noqa: E402
-from .quality.files import check_filenames, columns_result, csv_profile, flag_unchanged, format_result  # noqa: E402
-from .specs import LandingSpec, ReportSpec  # noqa: E402
 
 CUST_HEADER = "c_custkey,c_name,c_acctbal"
 
@@ -773,8 +772,6 @@ def report_json(spark, sf_dir):
     return spark.read.schema("order_key bigint, status string, total double").json(path)
 
 
-from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField  # noqa: E402
-
 STAGING_SCHEMA = StructType([
     StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
     StructField("o_orderstatus", StringType()), StructField("o_totalprice", DecimalType(12, 2)),
@@ -824,9 +821,6 @@ def flow_run_summary(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming and schema
 
-from .sources.tables import table_schema  # noqa: E402
-from .streaming.landing_stream import start_landing  # noqa: E402
-
 
 @register("streaming_landing", """
 SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events

@@ -187,3 +187,16 @@ def test_landing_skips_unchanged_copy(spark, tmp_dir):
     res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["id", "name"], processed=processed)
     assert [r.status for r in res.status.collect()] == ["SKIP_DUPLICATE"]
     assert res.written.rows_written == 0
+
+
+def test_single_file_report_lands_at_exact_name(spark, tmp_dir):
+    spark.range(5).selectExpr("id", "CAST(id * 2 AS STRING) AS v").createOrReplaceTempView("rep_one")
+    spec = ReportSpec(name="One File", source="rep_one", columns=["id", "v"], filename_pattern="one_{file_date}.csv",
+                      csv=CsvSpec(delimiter="|"), single_file=True)
+    st = run_reports(spark, [spec], {"file_date": "2024-01-01"}, tmp_dir).first()
+    assert st.success and os.path.isfile(st.path)
+    with open(st.path) as fh:
+        lines = fh.read().splitlines()
+    assert lines[0] == "id|v" and len(lines) == 6
+    bad = ReportSpec(name="Idx", source="rep_one", columns=["id"], csv=CsvSpec(index=True))
+    assert "index" in run_reports(spark, [bad], {"file_date": "x"}, tmp_dir).first().error

@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..quality.files import (columns_result, csv_profile, flag_unchanged, format_result, member_lines,
-                             member_profile)
+from ..quality.files import columns_result, csv_profile, flag_unchanged, format_result, member_profile
 from ..sinks.tables import WriteResult, broadcast_limit, write_raw
-from ..sources.files import expand_archives, list_files, nested_json_items
+from ..sources.files import archive_lines, archive_member_names, list_files, nested_json_items
 from ..specs import LandingSpec, TableSpec
 
 
@@ -43,18 +42,17 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     errors = [] if spec.date_column else [F.when(F.col("file_date").isNull(), F.lit("no date in file name"))]
     if spec.zipped:
         archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-        members = expand_archives(archives, spec.zipped)
         per_archive = []
         if spec.member_pattern and "member_names" in checks:
             ok = F.col("member").rlike(anchored(spec.member_pattern))
-            per_archive.append(members.groupBy(F.col("archive").alias("path")).agg(
+            per_archive.append(archive_member_names(archives, spec.zipped).groupBy(F.col("archive").alias("path")).agg(
                 F.bool_and(ok).alias("members_ok"),
                 F.array_sort(F.collect_list(F.when(~ok, F.col("member")))).alias("bad_members")))
             errors.append(F.when(~F.coalesce(F.col("members_ok"), F.lit(True)), F.concat(
                 F.lit("invalid member names: "), F.array_join("bad_members", ", "))))
         if spec.file_format == "csv" and ({"csv_format", "csv_columns"} & set(checks)):
             # D18/D19 on every member, one aggregation over the members' lines
-            prof = member_profile(member_lines(members.select("archive", "member", "content"), spec.csv), spec.csv)
+            prof = member_profile(archive_lines(archives, spec.zipped, spec.csv.encoding), spec.csv)
             if "csv_format" in checks:
                 fmt = format_result(prof, spec.csv)
                 per_archive.append(fmt.groupBy("path").agg(F.bool_and("result").alias("format_ok")))
@@ -97,8 +95,7 @@ def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[st
     meta = F.col("_metadata.file_path").alias("path")
     if spec.zipped:
         archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-        members = expand_archives(archives, spec.zipped)
-        lines = member_lines(members, spec.csv).withColumnRenamed("archive", "path")
+        lines = archive_lines(archives, spec.zipped, spec.csv.encoding).withColumnRenamed("archive", "path")
         body = lines.where((F.col("n") > spec.csv.header_position) & (F.trim("line") != ""))
         ddl = ", ".join(f"`{c}` string" for c in columns)
         parsed = body.select("path", F.from_csv("line", ddl, {"sep": spec.csv.delimiter}).alias("r"))

@@ -84,8 +84,8 @@ def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glo
 
 
 def member_lines(members: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
-    """Numbered lines of archive members ``(archive, member, n, line)``; one member's lines are
-    split in memory (bounded by the member's size)."""
+    """Numbered lines ``(archive, member, n, line)`` of already expanded members (small members;
+    :func:`terrace.sources.files.archive_lines` streams them from the archives instead)."""
     spec = spec or CsvSpec()
     return members.select("archive", "member", F.posexplode(
         F.split(F.decode("content", spec.encoding), "\r?\n")).alias("n", "line"))

@@ -28,7 +28,7 @@ from .quality.files import check_filenames, columns_result, csv_profile, flag_un
 from .quality.rules import rules_frame
 from .session import scratch_path
 from .sinks.tables import append, delete_where, merge_into, overwrite_partitions, read_target, write_raw
-from .sources.files import expand_archives, list_files, read_csv, read_nested_json, read_xml
+from .sources.files import archive_lines, list_files, read_csv, read_nested_json, read_xml
 from .sources.tables import read_partition, read_table, table_schema
 from .specs import CsvSpec, DateRepair, JsonSpec, LandingSpec, ReportSpec, TableSpec, XmlSpec
 from .streaming.landing_stream import start_landing
@@ -183,9 +183,8 @@ def archive_members(spark, sf_dir):
     path = scratch_path(spark, "customer_parts")
     c.repartition(4).write.option("header", "true").csv(path)
     files = list_files(spark, path, "*.csv", with_content=True)
-    members = expand_archives(fx.zip_files(files), "zip")
-    lines = members.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line"))
-    rows = lines.where((F.col("line") != "") & (F.col("line") != "c_custkey,c_name,c_acctbal"))
+    lines = archive_lines(fx.zip_files(files), "zip")          # streamed, numbered member lines
+    rows = lines.where((F.col("n") > 0) & (F.col("line") != ""))
     return rows.select(F.from_csv("line", "c_custkey bigint, c_name string, c_acctbal double").alias("r")).select("r.*")
 
 

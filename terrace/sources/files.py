@@ -160,6 +160,51 @@ def _expand(kind: str, include_archive: bool):
     return run
 
 
+def _members(kind: str, content: bytes):
+    """(name, opener) for the file members of one archive."""
+    buf = io.BytesIO(content)
+    if kind == "zip":
+        z = zipfile.ZipFile(buf)
+        return [(i.filename, (lambda i=i: z.open(i))) for i in z.infolist() if not i.is_dir()]
+    if kind == "tar":
+        t = tarfile.open(fileobj=buf, mode="r:*")
+        return [(m.name, (lambda m=m: t.extractfile(m))) for m in t.getmembers() if m.isfile()]
+    raise ValueError(f"unknown archive kind {kind!r}")
+
+
+def archive_member_names(files: DataFrame, kind: str = "zip") -> DataFrame:
+    """``(archive, member)`` of every file member (D17 needs names only)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(path, name) for path, content in zip(pdf["path"], pdf["content"])
+                    for name, _ in _members(kind, bytes(content))]
+            yield pd.DataFrame(rows, columns=["archive", "member"])
+    return files.select("path", "content").mapInPandas(run, "archive string, member string")
+
+
+LINE_CHUNK = 10_000
+
+
+def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8", chunk: int = LINE_CHUNK) -> DataFrame:
+    """``(archive, member, n, line)``: the numbered text lines of every member, read through the
+    archive stream and emitted in batches of at most ``chunk`` lines, so a task holds one
+    archive's bytes plus one batch, never a whole decoded member."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                for name, opener in _members(kind, bytes(content)):
+                    rows = []
+                    with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
+                        for n, line in enumerate(fh):
+                            rows.append((path, name, n, line.rstrip("\n")))
+                            if len(rows) >= chunk:
+                                yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
+                                rows = []
+                    if rows:
+                        yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
+    return files.select("path", "content").mapInPandas(run, "archive string, member string, n long, line string")
+
+
 def expand_archives(files: DataFrame, kind: str = "zip", include_archive: bool = False) -> DataFrame:
     """One row per archive member ``(archive, member, content, validate)``.  Input rows are
     ``(path, content)`` (``binaryFile``); each task holds one archive at a time."""

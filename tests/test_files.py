@@ -200,3 +200,12 @@ def test_single_file_report_lands_at_exact_name(spark, tmp_dir):
     assert lines[0] == "id|v" and len(lines) == 6
     bad = ReportSpec(name="Idx", source="rep_one", columns=["id"], csv=CsvSpec(index=True))
     assert "index" in run_reports(spark, [bad], {"file_date": "x"}, tmp_dir).first().error
+
+
+def test_archive_lines_stream_in_chunks(spark, tmp_dir):
+    from terrace.sources.files import archive_lines, archive_member_names
+    _zip(f"{tmp_dir}/a/x.zip", {"m.csv": "h\n" + "\n".join(str(i) for i in range(25)) + "\n", "d/": ""})
+    files = list_files(spark, f"{tmp_dir}/a", "*.zip", with_content=True)
+    lines = archive_lines(files, "zip", chunk=7).collect()
+    assert [r.n for r in lines] == list(range(26)) and lines[0].line == "h" and lines[-1].line == "24"
+    assert [r.member for r in archive_member_names(files, "zip").collect()] == ["m.csv"]

@@ -24,8 +24,8 @@ def within(value: Column, lo: Column | float | None, hi: Column | float | None)
 
 def threshold_flag(result_num: Column, result_bool: Column, kind: Column | str,
                    lo: Column | float | None, hi: Column | float | None) -> Column:
-    """Per-row validity.  Standard: numeric result within limits; Absolute: |result| within
-    limits; Binary: the boolean result itself.  NULL results give a NULL flag."""
+    """Per-row validity.  D5 Standard: numeric result within limits; D6 Absolute: |result|
+    within limits; D7 Binary: the boolean result itself.  NULL results give a NULL flag."""
     k = F.lit(kind) if isinstance(kind, str) else kind
     return (F.when(k == "Binary", result_bool)
             .when(k == "Absolute", F.when(result_num.isNotNull(), within(F.abs(result_num), lo, hi)))

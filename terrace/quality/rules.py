@@ -43,7 +43,8 @@ def _check(cond: Column, message: Column | str) -> Column:
 
 
 def violation_list() -> Column:
-    """D2-D4 as one array expression over a rules row: the messages of every broken property."""
+    """D2-D4 as one array expression over a rules row: the messages of every broken property
+    (D2 threshold type, limits and pass ratios; D3 algorithm type and description; D4 level)."""
     t = F.col("control_threshold_type")
     lo, hi = F.col("control_threshold_min"), F.col("control_threshold_max")
     rlo, rhi = F.col("control_threshold_rag_min"), F.col("control_threshold_rag_max")

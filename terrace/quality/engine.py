@@ -63,6 +63,7 @@ def _as_outcomes(df: DataFrame, rule: dict) -> DataFrame:
     if df is None or "identifier" not in df.columns or "result" not in df.columns:
         raise RuleError('the result frame must have the columns "identifier" and "result"')
     rtype = df.schema["result"].dataType.simpleString()
+    _check_result_type(rule, rtype == "boolean")
     if rtype == "boolean":
         num, flag = F.col("result").cast("int").cast("double"), F.col("result")
     else:
@@ -74,8 +75,19 @@ def _as_outcomes(df: DataFrame, rule: dict) -> DataFrame:
                      F.lit(rule.get("control_algorithm_type")).alias("_kind"))
 
 
+def _check_result_type(rule: dict, is_boolean: bool) -> None:
+    """A Binary threshold needs boolean results; an Absolute one numeric results (``abs`` of a
+    boolean is an analysis error).  Standard compares booleans as 1/0."""
+    kind = rule.get("control_threshold_type")
+    if kind == "Binary" and not is_boolean:
+        raise RuleError("a Binary threshold needs a boolean result")
+    if kind == "Absolute" and is_boolean:
+        raise RuleError("an Absolute threshold needs a numeric result")
+
+
 def regex_outcomes(df: DataFrame, rule: dict) -> DataFrame:
     """One outcome per (row, checked column); identifier = column name; NULL matched as ''."""
+    _check_result_type(rule, True)
     cols = [c.strip() for c in (rule.get("control_field") or "").split(",") if c.strip()]
     missing = [c for c in cols if c not in df.columns]
     if not cols or missing:

@@ -142,3 +142,17 @@ def test_save_results_with_complete_identifiers(spark, tmp_dir):
     assert save_results(spark, run, res_spec, ids_spec) == 1
     assert read_target(spark, ids_spec).count() == 125      # all invalid ids, not only the 10 listed
     assert read_target(spark, res_spec).first().control_outcome == "{total: 250, value: 125}"
+
+
+def test_result_type_must_fit_threshold(spark):
+    spark.createDataFrame([("1", 0.5, True)], "id string, v double, b boolean").createOrReplaceTempView("qtypes")
+    rules = rules_frame(spark, [
+        rule(control_table_id="bin_num", control_threshold_type="Binary", control_description="SELECT id AS identifier, v AS result FROM qtypes"),
+        rule(control_table_id="abs_bool", control_threshold_type="Absolute", control_threshold_max=1.0,
+             control_description="SELECT id AS identifier, b AS result FROM qtypes"),
+        rule(control_table_id="std_bool", control_threshold_type="Standard", control_threshold_min=1.0,
+             control_description="SELECT id AS identifier, b AS result FROM qtypes")])
+    run = run_controls(spark, None, rules)
+    st = {r.control_table_id: r.status for r in run.status.collect()}
+    assert st == {"bin_num": "error", "abs_bool": "error", "std_bool": "ok"}
+    assert run.results.first().control_outcome == "{total: 1, value: 0}"     # True counts as 1

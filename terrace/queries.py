@@ -139,7 +139,7 @@ EVENT_JSON_TYPES = {"event_id": "bigint", "user_id": "bigint", "value": "double"
 def _event_docs_scan(spark, sf_dir, form):
     docs = fx.event_documents(spark, sf_dir, form)
     path = scratch_path(spark, f"event_docs_{form}")
-    docs.write.partitionBy("day").text(path)
+    docs.hint("rebalance", "day").write.partitionBy("day").text(path)
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
     day = F.regexp_extract("file_path", r"day=(\d{4}-\d{2}-\d{2})", 1)
     spec = JsonSpec("response_content", "array" if form == "array" else "dictionary")
@@ -718,7 +718,7 @@ def landing_to_raw(spark, sf_dir):
         "event_id", F.date_format("ts", fx.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props",
         F.date_format("ts", "yyyy_MM_dd").alias("day"))
     folder = scratch_path(spark, "landing")
-    e.write.partitionBy("day").option("header", "true").csv(folder)
+    e.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(folder)
     spec = LandingSpec(filename_pattern=r"part-\d{5}-.*\.csv", file_format="csv",
                        date_regex=r"day=(\d{4})_(\d{2})_(\d{2})")
     raw = TableSpec(scratch_path(spark, "raw_events"), partition_field="data_date")
@@ -831,7 +831,7 @@ def streaming_landing(spark, sf_dir):
         "event_id", F.date_format("ts", fx.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props",
         F.date_format("ts", "yyyy_MM_dd").alias("day"))
     folder = scratch_path(spark, "landing_stream_in")
-    e.write.partitionBy("day").option("header", "true").csv(folder)
+    e.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(folder)
     spec = LandingSpec(filename_pattern=r"part-\d{5}-.*\.csv", date_regex=r"day=(\d{4})_(\d{2})_(\d{2})")
     raw = TableSpec(scratch_path(spark, "raw_events_stream"), partition_field="data_date")
     q = start_landing(spark, folder, spec, raw, EVENT_RAW_COLS, date_from="path")

@@ -60,8 +60,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder (not created)."""
-    checkpoint_root(spark)  # make sure DataFrame.checkpoint() has a folder too
-    base = spark.conf.get("spark.checkpoint.dir")
+    base = checkpoint_root(spark)  # also makes sure DataFrame.checkpoint() has a folder
     return f"{base.rstrip('/')}/terrace-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 

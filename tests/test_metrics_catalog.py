@@ -47,3 +47,10 @@ def test_register_partition_on_catalog_table(spark, tmp_dir):
     with pytest.raises(ValueError):
         register_partition(spark, "terrace_parts", "k", "1")
     spark.sql("DROP TABLE IF EXISTS terrace_parts")
+
+
+def test_scratch_under_the_session_checkpoint_folder(spark):
+    from terrace.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert p1.startswith(root) and p1 != p2

@@ -36,32 +36,39 @@ def build_session(master: str = "local[*]", app: str = "terrace", shuffle_partit
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # PySparkNotImplementedError / AttributeError under Spark Connect
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a local one only when none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            root = None
-    if root:
-        return root.rstrip("/")
-    master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    """The shared checkpoint folder: the live ``SparkContext`` checkpoint folder, else the
+    session's ``spark.checkpoint.dir`` (then also installed for ``DataFrame.checkpoint()``).
+    Only for a local master with neither set (tests) is a folder created under the machine's
+    temporary folder; anywhere else a missing setting is an error."""
+    sc = _context(spark)
+    live = sc.getCheckpointDir() if sc is not None else None
+    if live:
+        return live.rstrip("/")
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if conf:
+        if sc is not None:
+            sc.setCheckpointDir(conf)
+        return conf.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", None)
+    if sc is None or not master or not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged tables and checkpoints live there")
     root = tempfile.mkdtemp(prefix="terrace-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # Spark Connect: the conf entry is what the server reads
-        pass
+    sc.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder (not created)."""
-    base = checkpoint_root(spark)  # also makes sure DataFrame.checkpoint() has a folder
-    return f"{base.rstrip('/')}/terrace-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{checkpoint_root(spark)}/terrace-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_path(path: str) -> str:

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..session import scratch_path
 from ..specs import LandingSpec, TableSpec
 
 
@@ -41,9 +40,13 @@ def landing_stream(spark: SparkSession, folder: str, spec: LandingSpec, columns:
 def start_landing(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, columns: list[str],
                   checkpoint: str | None = None, date_from: str = "name", available_now: bool = True,
                   processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream into ``raw.path``; ``available_now`` processes what is there and stops."""
+    """Start the stream into ``raw.path``; ``available_now`` processes what is there and stops.
+
+    The default checkpoint is ``<raw.path>/_landing_checkpoint``: stable across restarts (a
+    restarted stream resumes from its source log instead of re-reading every file), on the table's
+    shared storage, and ignored by readers of the table (``_`` prefix)."""
     stream = landing_stream(spark, folder, spec, columns, date_from)
     w = (stream.writeStream.format("parquet").outputMode("append").partitionBy(spec.partition_field)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "landing_stream_ckpt")))
+         .option("checkpointLocation", checkpoint or f"{raw.path.rstrip('/')}/_landing_checkpoint"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start(raw.path)

@@ -18,10 +18,8 @@ def spark():
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     # tests set their own checkpoint folder only because none is configured
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        root = tempfile.mkdtemp(prefix="terrace-test-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-test-ckpt-"))
     yield spark
 
 

@@ -51,6 +51,24 @@ def test_register_partition_on_catalog_table(spark, tmp_dir):
 
 def test_scratch_under_the_session_checkpoint_folder(spark):
     from terrace.session import checkpoint_root, scratch_path
-    root = checkpoint_root(spark)
+    live = spark.sparkContext.getCheckpointDir().rstrip("/")
+    assert checkpoint_root(spark) == live
     p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert p1.startswith(root) and p1 != p2
+    assert p1.startswith(live + "/terrace-scratch/x-") and p1 != p2
+
+
+def test_streaming_landing_resumes_after_restart(spark, tmp_dir):
+    import os
+    from terrace.specs import LandingSpec
+    from terrace.streaming.landing_stream import start_landing
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/d_2024_01_01.csv", "w") as f:
+        f.write("id\n1\n2\n")
+    spec = LandingSpec(filename_pattern=r"d_.*\.csv", date_regex=r"(\d{4})_(\d{2})_(\d{2})")
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    start_landing(spark, f"{tmp_dir}/in", spec, raw, ["id"]).awaitTermination()
+    with open(f"{tmp_dir}/in/d_2024_01_02.csv", "w") as f:
+        f.write("id\n3\n")
+    start_landing(spark, f"{tmp_dir}/in", spec, raw, ["id"]).awaitTermination()   # a restart
+    rows = sorted((r.id, str(r.data_date)) for r in spark.read.parquet(raw.path).collect())
+    assert rows == [("1", "2024-01-01"), ("2", "2024-01-01"), ("3", "2024-01-02")]

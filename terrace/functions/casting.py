@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
+from .text import clean_name
+
 # The words read as booleans, compared case-insensitively.
 TRUE_WORDS = ["true", "t", "yes", "y", "si", "s", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "0"]
@@ -127,5 +129,5 @@ def repair_json_columns(df: DataFrame, target: StructType) -> DataFrame:
         expr = F.col(f"`{name}`")
         if "struct<" in types.get(name.lower(), "string"):
             expr = repair_json(expr)
-        out.append(expr.alias(re.sub(r"\W", "", name)))
+        out.append(expr.alias(clean_name(name)))
     return df.select(*out)

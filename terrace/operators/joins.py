@@ -8,6 +8,7 @@ key partitions.  Keys are compared with ``=``: NULL keys never match.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .columns import rename_clashes
 
@@ -28,6 +29,7 @@ def equi_join(left: DataFrame, right: DataFrame, how: str, left_on: list[str],
         clash = [c for c in left_on if c in right.columns and c not in right_on]
         if clash:
             right = right.withColumnsRenamed({c: c + right_suffix for c in clash})
-        right = right.withColumnsRenamed(dict(zip(right_on, left_on)))
+        mapping = dict(zip(right_on, left_on))
+        right = right.select(*[F.col(f"`{c}`").alias(mapping.get(c, c)) for c in right.columns])
     left, right = rename_clashes(left, right, left_on, left_on, left_suffix, right_suffix)
     return left.join(right, on=left_on, how=how)

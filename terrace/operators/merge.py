@@ -112,7 +112,8 @@ class MergePlan:
     observations: dict
 
     def counts(self) -> MergeCounts:
-        g = {k: int(o.get.get("n", 0)) for k, o in self.observations.items()}
+        from ..session import observed
+        g = {k: observed(o, "n") for k, o in self.observations.items()}
         t, k = g.get("target", 0), g.get("kept", 0)
         if self.strategy == "delete_matched":
             return MergeCounts(0, 0, t - k, k)
@@ -195,9 +196,6 @@ def plan_merge(target: DataFrame, source: DataFrame, keys: list[str], strategy:
     return MergePlan(frame.select(*[F.col(f"`{c}`") for c in cols]), strategy, obs)
 
 
-KEPT_ACTIONS = ("kept", "updated", "inserted")
-
-
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], strategy: str = "upsert",
                  update_columns: list[str] | None = None, null_safe: bool = False,
                  broadcast_source: bool = False) -> DataFrame:
@@ -209,13 +207,3 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str], strategy
     delete_matched  matched target rows removed
     """
     return plan_merge(target, source, keys, strategy, update_columns, null_safe, broadcast_source).frame
-
-
-def merge_classified(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
-    """Per-key classification (``action`` in kept / updated / inserted) of an upsert, for
-    metrics queries: same single join as :func:`merge_frames`."""
-    t = target.select(*keys).withColumn("_t", F.lit(True)).alias("t")
-    s = source.select(*keys).withColumn("_s", F.lit(True)).alias("s")
-    j = t.join(s, _key_match(t, s, keys, null_safe), "full_outer")
-    in_t, in_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
-    return j.select(F.when(in_t & in_s, "updated").when(in_s, "inserted").otherwise("kept").alias("action"))

@@ -7,7 +7,6 @@ counted in an extra pass, and the write is a keyed merge (K1) into the target ta
 from __future__ import annotations
 
 import datetime as dt
-import time
 from dataclasses import dataclass, field
 from typing import Callable
 
@@ -18,7 +17,8 @@ from pyspark.sql.types import StructType
 from ..functions.casting import all_string_schema, cast_to, repair_json_columns
 from ..functions.dates import apply_steps
 from ..sinks.tables import WriteResult, merge_into
-from ..sources.files import read_nested_json, read_raw
+from ..session import observed
+from ..sources.files import partition_path, read_nested_json, read_raw
 from ..sources.tables import read_partition
 from ..specs import CsvSpec, JsonSpec, TableSpec
 from .metrics import with_read_metrics
@@ -37,7 +37,7 @@ def datacast(spark: SparkSession, raw_base: str, target: StructType, fmt: str =
     """
     names = raw_columns or [f.name for f in target.fields]
     if fmt == "json":
-        path = raw_base if mode == "full" else f"{raw_base.rstrip('/')}/{partition_field}={file_date}"
+        path = raw_base if mode == "full" else partition_path(raw_base, partition_field, file_date)
         df = read_nested_json(spark, path, json or JsonSpec(), columns=[c for c in names if c != partition_field],
                               partition_field=partition_field, file_date=file_date, dynamic=strategy == "dynamic")
     else:
@@ -75,7 +75,7 @@ def raw_to_staging(spark: SparkSession, raw_base: str, staging: TableSpec, trans
     if transform is not None:
         df = transform(df)
     written = merge_into(spark, staging, df)
-    return FlowResult(int(obs.get.get("rows", 0)), written, started, dt.datetime.now())
+    return FlowResult(observed(obs, "rows"), written, started, dt.datetime.now())
 
 
 def refine(spark: SparkSession, source: TableSpec, target: TableSpec, transform: Callable[[DataFrame], DataFrame],
@@ -85,7 +85,7 @@ def refine(spark: SparkSession, source: TableSpec, target: TableSpec, transform:
     obs = Observation("read")
     df = with_read_metrics(read_partition(spark, source, mode, value), obs)
     written = merge_into(spark, target, transform(df))
-    return FlowResult(int(obs.get.get("rows", 0)), written, started, dt.datetime.now())
+    return FlowResult(observed(obs, "rows"), written, started, dt.datetime.now())
 
 
 def run_summary(spark: SparkSession, process: str, results: list[FlowResult], file_name: str | None = None,
@@ -100,9 +100,3 @@ def run_summary(spark: SparkSession, process: str, results: list[FlowResult], fi
     return spark.createDataFrame([row], "process string, success boolean, next_stage boolean, file_name string, "
                                         "file_date string, started timestamp, finished timestamp, duration_sec double, "
                                         "rows_read long, rows_written long, failed_outputs long")
-
-
-def timed(fn: Callable, *args, **kwargs):
-    t = time.time()
-    out = fn(*args, **kwargs)
-    return out, time.time() - t

@@ -10,16 +10,18 @@ SKIP_DUPLICATE, ERROR) with the reason, instead of the reference's per-file loop
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..quality.files import columns_result, csv_profile, flag_unchanged, format_result, member_profile
+from ..quality.files import (columns_result, csv_headers, csv_lines, csv_profile, flag_unchanged, format_result,
+                             member_profile)
 from ..sinks.tables import WriteResult, broadcast_limit, write_raw
-from ..sources.files import archive_lines, archive_member_names, list_files, nested_json_items
+from ..session import checkpoint_root
+from ..sources.files import archive_lines, archive_member_names, list_files, nested_json_items, source_path
 from ..specs import LandingSpec, TableSpec
 
 
@@ -31,6 +33,7 @@ FILE_ROW_BYTES = 512
 class LandingResult:
     status: DataFrame
     written: WriteResult | None
+    table: TableSpec | None = None          # the raw table as written (declared schema included)
 
 
 def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None,
@@ -41,15 +44,18 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     files = files.withColumn("name_ok", name_ok).withColumn("file_date", file_date(source, spec.date_regex))
     errors = [] if spec.date_column else [F.when(F.col("file_date").isNull(), F.lit("no date in file name"))]
     if spec.zipped:
-        archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        archives = _archives(spark, folder, spec)
         per_archive = []
-        if spec.member_pattern and "member_names" in checks:
-            ok = F.col("member").rlike(anchored(spec.member_pattern))
-            per_archive.append(archive_member_names(archives, spec.zipped).groupBy(F.col("archive").alias("path")).agg(
-                F.bool_and(ok).alias("members_ok"),
-                F.array_sort(F.collect_list(F.when(~ok, F.col("member")))).alias("bad_members")))
-            errors.append(F.when(~F.coalesce(F.col("members_ok"), F.lit(True)), F.concat(
-                F.lit("invalid member names: "), F.array_join("bad_members", ", "))))
+        names = archive_member_names(archives, spec.zipped)
+        ok = F.col("member").rlike(anchored(spec.member_pattern)) if spec.member_pattern else F.lit(True)
+        check_names = bool(spec.member_pattern) and "member_names" in checks
+        per_archive.append(names.groupBy(F.col("archive").alias("path")).agg(
+            F.max("error").alias("archive_error"),
+            F.bool_and(F.col("member").isNull() | ok | F.lit(not check_names)).alias("members_ok"),
+            F.array_sort(F.collect_list(F.when(F.col("member").isNotNull() & ~ok, F.col("member")))).alias("bad_members")))
+        errors.append(F.when(F.col("archive_error").isNotNull(), F.concat(F.lit("unreadable archive: "), F.col("archive_error"))))
+        errors.append(F.when(~F.coalesce(F.col("members_ok"), F.lit(True)), F.concat(
+            F.lit("invalid member names: "), F.array_join("bad_members", ", "))))
         if spec.file_format == "csv" and ({"csv_format", "csv_columns"} & set(checks)):
             # D18/D19 on every member, one aggregation over the members' lines
             prof = member_profile(archive_lines(archives, spec.zipped, spec.csv.encoding), spec.csv)
@@ -90,16 +96,40 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     return files.withColumn("status", status)
 
 
+def _archives(spark: SparkSession, folder: str, spec: LandingSpec) -> DataFrame:
+    """Archive files whose name passes the file pattern (others are never opened)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.where(F.element_at(F.split("path", "/"), -1).rlike(anchored(spec.filename_pattern)))
+
+
+def _line_options(spec: LandingSpec) -> dict:
+    """CSV options for parsing single lines with ``from_csv``."""
+    return {k: v for k, v in spec.csv.read_options().items() if k not in ("header", "multiLine", "encoding")}
+
+
+def _parse_lines(lines: DataFrame, spec: LandingSpec, columns: list[str]) -> DataFrame:
+    ddl = ", ".join(f"`{c}` string" for c in columns)
+    parsed = lines.select("path", F.from_csv("line", ddl, _line_options(spec)).alias("r"))
+    return parsed.select("r.*", "path")
+
+
 def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None) -> DataFrame:
     """Rows of every file in the folder, with the file's path; all values strings."""
-    meta = F.col("_metadata.file_path").alias("path")
+    meta = source_path().alias("path")
+    hp = spec.csv.header_position
     if spec.zipped:
-        archives = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-        lines = archive_lines(archives, spec.zipped, spec.csv.encoding).withColumnRenamed("archive", "path")
-        body = lines.where((F.col("n") > spec.csv.header_position) & (F.trim("line") != ""))
-        ddl = ", ".join(f"`{c}` string" for c in columns)
-        parsed = body.select("path", F.from_csv("line", ddl, {"sep": spec.csv.delimiter}).alias("r"))
-        return parsed.select("r.*", "path")
+        lines = archive_lines(_archives(spark, folder, spec), spec.zipped, spec.csv.encoding).withColumnRenamed("archive", "path")
+        skip = (F.col("n") <= hp) if spec.csv.header else (F.col("n") < hp)
+        return _parse_lines(lines.where(~skip & (F.trim("line") != "")), spec, columns)
+    if spec.file_format == "csv" and hp > 0:
+        # lines before and at the header position are dropped per file; the reader's own header
+        # option only skips the first line
+        lines = csv_lines(spark, folder, None, spec.csv)
+        heads = F.broadcast(csv_headers(lines, spec.csv).select("path", "header_pos"))
+        limit = F.col("header_pos") if spec.csv.header else F.col("header_pos") - 1
+        body = lines.join(heads, "path", "left").where(
+            ~((F.col("block") == 0) & (F.col("pos") <= limit)) & (F.trim("line") != ""))
+        return _parse_lines(body, spec, columns)
     if spec.file_format == "csv":
         r = spark.read.options(**spec.csv.read_options()).option("recursiveFileLookup", "true")
         if columns:
@@ -120,6 +150,7 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
          processed: DataFrame | None = None, date_from: str = "name",
          checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names")) -> LandingResult:
     """Land every file of ``folder`` into the raw table; returns per-file statuses and counts."""
+    checkpoint_root(spark)   # DataFrame.checkpoint() needs the shared folder installed
     status = _file_status(spark, folder, spec, columns, processed, date_from, checks).checkpoint(eager=True)
     ok = status.where(F.col("status") == "PROCESSED").select("path", "file_date")
     # The file table joins back to every parsed row by path.  It has one row per file, so it is
@@ -131,13 +162,13 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         ok = None
     elif limit >= 0 and n_ok * FILE_ROW_BYTES <= limit:
         ok = F.broadcast(ok)
-    if raw.schema is None and columns:
-        raw.schema = all_string_schema(list(columns) + [spec.partition_field])
+    if raw.schema is None and columns:   # a copy: the caller's spec is not changed
+        raw = replace(raw, schema=all_string_schema(list(columns) + [spec.partition_field]))
     if ok is None:
-        return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=0))
+        return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=0), raw)
     if spec.file_format == "json":
         lines = (spark.read.option("recursiveFileLookup", "true").text(folder)
-                 .select("value", F.col("_metadata.file_path").alias("path")).join(ok, "path"))
+                 .select("value", source_path().alias("path")).join(ok, "path"))
         items = nested_json_items(lines, spec.json, spec.partition_field, file_date=F.col("file_date"))
         m = F.from_json("item", "map<string,string>")
         rows = items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field)
@@ -149,4 +180,4 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         rows = rows.withColumn(spec.partition_field, stamp).drop("path", "file_date")
         rows = rows.select(*[c for c in rows.columns if c != "member"])
     written = write_raw(spark, rows, raw)
-    return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), written)
+    return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), written, raw)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import anchored, content_md5, normalise_header
 from ..operators.sets import latest_copies
+from ..sources.files import source_path
 from ..specs import CsvSpec
 
 
@@ -41,7 +42,7 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec:
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias("line"), source_path().alias("path"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
 
 

@@ -726,7 +726,7 @@ def landing_to_raw(spark, sf_dir):
     bad = res.status.where(F.col("status") != "PROCESSED").count()
     if bad:
         raise RuntimeError(f"{bad} landing files were not processed")
-    typed = cast_to(read_target(spark, raw), {"event_id": "bigint", "user_id": "bigint", "value": "double"})
+    typed = cast_to(read_target(spark, res.table), {"event_id": "bigint", "user_id": "bigint", "value": "double"})
     return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
 
 

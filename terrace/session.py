@@ -7,7 +7,6 @@ set one ourselves, under the machine's temporary folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,15 +54,15 @@ def checkpoint_root(spark: SparkSession) -> str:
         return live.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
-        if sc is not None:
-            sc.setCheckpointDir(conf)
-        return conf.rstrip("/")
+        if sc is None:
+            return conf.rstrip("/")
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir().rstrip("/")
     master = sc.master if sc is not None else spark.conf.get("spark.master", None)
     if sc is None or not master or not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged tables and checkpoints live there")
-    root = tempfile.mkdtemp(prefix="terrace-ckpt-")
-    sc.setCheckpointDir(root)
-    return root
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -71,11 +70,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/terrace-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file APIs (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def hadoop_fs(spark: SparkSession, path: str):
     """(FileSystem, Path) for ``path`` through the session's Hadoop configuration."""
     jvm = spark._jvm
@@ -94,5 +88,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(jpath, True)
 
 
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
+
+def observed(observation, key: str, default: int = 0) -> int:
+    """An observed metric, or ``default`` when the observed node never ran (AQE removes it from
+    plans it proves empty)."""
+    try:
+        value = observation.get.get(key)
+    except Exception:
+        return default
+    return default if value is None else int(value)

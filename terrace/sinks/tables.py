@@ -6,6 +6,9 @@ the new content of those partitions is written as a staged table in the shared c
 (this cuts the lineage: Spark cannot overwrite files its plan still reads, and a lost executor
 re-reads staged files rather than half-rewritten partitions), then copied over the table with
 dynamic partition overwrite, which swaps partitions at job commit.
+
+Every write conforms the rows to the table (declared column order and types, whole-row
+DISTINCT), so files of one table never disagree on a column's type.
 """
 
 from __future__ import annotations
@@ -13,12 +16,12 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import conform
 from ..operators.merge import MergeCounts, check_duplicate_source_keys, plan_merge
-from ..session import delete_path, hadoop_fs, path_exists, scratch_path
+from ..session import delete_path, hadoop_fs, observed, path_exists, scratch_path
 from ..specs import TableSpec
 
 
@@ -54,30 +57,52 @@ def _target_columns(spark: SparkSession, spec: TableSpec, df: DataFrame) -> list
     return df.columns
 
 
+def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> DataFrame:
+    """P2 for a table: its columns in order, cast to the declared types, whole-row DISTINCT."""
+    if spec.schema is not None:
+        typed = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+        return typed.distinct()
+    return conform(df, _target_columns(spark, spec, df))
+
+
 def append(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
     """Conformed rows appended."""
-    obs = Observation("append")
-    data = conform(df, _target_columns(spark, spec, df)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
+    data = conform_to_table(spark, df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(data, spec, "append").parquet(spec.path)
-    return WriteResult(rows_written=int(obs.get["rows"]))
+    return WriteResult(rows_written=observed(obs, "rows"))
 
 
 def overwrite_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
     """K4: only the partitions present in ``df`` are replaced (whole table if unpartitioned)."""
-    obs = Observation("overwrite")
-    data = conform(df, _target_columns(spark, spec, df)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
+    data = conform_to_table(spark, df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
     _writer(data, spec, "overwrite").parquet(spec.path)
-    return WriteResult(rows_written=int(obs.get["rows"]))
+    return WriteResult(rows_written=observed(obs, "rows"))
+
+
+def _partition_values(df: DataFrame, field: str) -> list[tuple]:
+    """Distinct partition values with Spark's string form of each (as used in directory names):
+    bounded by the table's partition count, not its rows."""
+    rows = df.select(F.col(field).alias("v"), F.col(field).cast("string").alias("s")).distinct().collect()
+    return [(r.v, r.s) for r in rows]
 
 
-def _partition_values(df: DataFrame, field: str) -> list:
-    """Distinct partition values: bounded by the table's partition count, not its rows."""
-    return [r[0] for r in df.select(field).distinct().collect()]
+def _in_partitions(field: str, values: list[tuple]) -> Column:
+    """Rows of the given partitions; the NULL partition is matched explicitly."""
+    present = [v for v, _ in values if v is not None]
+    cond = F.col(field).isin(*present) if present else F.lit(False)
+    if any(v is None for v, _ in values):
+        cond = cond | F.col(field).isNull()
+    return cond
 
 
-def _drop_partitions(spark: SparkSession, spec: TableSpec, values: list) -> None:
-    for v in values:
-        fs, p = hadoop_fs(spark, f"{spec.path.rstrip('/')}/{spec.partition_field}={v}")
+def _drop_partitions(spark: SparkSession, spec: TableSpec, values: list[tuple]) -> None:
+    """Remove partition directories, named exactly as Spark names them (escaping, NULL)."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for _, text in values:
+        name = utils.getPartitionPathString(spec.partition_field, text)
+        fs, p = hadoop_fs(spark, f"{spec.path.rstrip('/')}/{name}")
         if fs.exists(p):
             fs.delete(p, True)
 
@@ -90,20 +115,22 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str
     df.write.parquet(path)
     fs, jpath = hadoop_fs(spark, path)
     size = int(fs.getContentSummary(jpath).getLength())
-    return spark.read.parquet(path), path, size
+    return spark.read.schema(df.schema).parquet(path), path, size
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes of in-memory table a join may broadcast: the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` (-1 disables broadcasting)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    ``spark.sql.autoBroadcastJoinThreshold`` as Spark itself parses it (-1 disables)."""
     try:
-        return int(raw)
-    except ValueError:  # e.g. "10MB"
-        units = {"b": 1, "kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30}
-        num = "".join(ch for ch in raw if ch.isdigit() or ch == "-")
-        unit = raw[len(num):].strip().lower() or "b"
-        return int(num) * units.get(unit, 1)
+        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # no JVM session object (Spark Connect): parse the setting
+        raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+        num = raw.rstrip("bkmgt")
+        return int(num) * _UNITS.get(raw[len(num):], 1)
 
 
 # Parquet is compressed and encoded; a row set held in memory for a broadcast is several
@@ -116,22 +143,21 @@ def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched:
     """Write the new content of the touched partitions (the whole table when ``touched`` is None)
     through a staged table in the shared checkpoint folder (Spark cannot overwrite files its
     plan still reads), then remove touched partitions that ended up empty.  Observations in
-    ``new_rows`` fire with the staging write."""
+    ``new_rows`` fire with the staging write; the one shuffle (REBALANCE) is on the copy."""
     rows = new_rows.where(keep) if keep is not None else new_rows
     rows = rows.select(*[c for c in rows.columns if not c.startswith("_action")])
-    if spec.partition_columns:
-        rows = rows.hint("rebalance", *spec.partition_columns)
     staged, path, _ = stage(spark, rows, "rewrite")
     try:
         if touched is None:
-            w = staged.write.mode("overwrite")
             if spec.partition_columns:
-                w = w.partitionBy(*spec.partition_columns)
-            w.parquet(spec.path)
+                (staged.hint("rebalance", *spec.partition_columns).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "static").partitionBy(*spec.partition_columns).parquet(spec.path))
+            else:
+                staged.write.mode("overwrite").parquet(spec.path)
         elif touched:
             _writer(staged, spec, "overwrite").parquet(spec.path)
-            remaining = set(_partition_values(staged, spec.partition_field))
-            _drop_partitions(spark, spec, [v for v in touched if v not in remaining])
+            remaining = {s for _, s in _partition_values(staged, spec.partition_field)}
+            _drop_partitions(spark, spec, [(v, s) for v, s in touched if s not in remaining])
     finally:
         delete_path(spark, path)
 
@@ -146,13 +172,13 @@ def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy
     keys.  When the partition column is a key, only the partitions the source names are read and
     rewritten (partition pruning on the scan); otherwise the whole table is rewritten.
     """
-    cols = _target_columns(spark, spec, source)
     if not path_exists(spark, spec.path):
         if strategy in ("update_only", "delete_matched"):
             return WriteResult(rows_written=0, merge=MergeCounts(0, 0, 0, 0))
         res = append(spark, source, spec)
         return WriteResult(rows_written=res.rows_written, merge=MergeCounts(res.rows_written, 0, 0, 0))
-    src, src_path, src_bytes = stage(spark, conform(source, cols), "merge_source")
+    cols = _target_columns(spark, spec, source)
+    src, src_path, src_bytes = stage(spark, conform_to_table(spark, source, spec), "merge_source")
     try:
         limit = broadcast_limit(spark)
         small = limit >= 0 and src_bytes * PARQUET_EXPANSION <= limit
@@ -163,18 +189,16 @@ def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy
             touched = _partition_values(src, pf)
             if not touched:
                 return WriteResult(rows_written=0, partitions=[], merge=MergeCounts(0, 0, 0, 0))
-            target = target.where(F.col(pf).isin(touched))
+            target = target.where(_in_partitions(pf, touched))
         if check_duplicates:
             check_duplicate_source_keys(target, src, spec.primary_keys, broadcast_source=small)
         plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, broadcast_source=small)
-        if pf and touched is None:
-            _rewrite(spark, spec, plan.frame, _partition_values(read_target(spark, spec), pf))
-        else:
-            _rewrite(spark, spec, plan.frame, touched)
+        _rewrite(spark, spec, plan.frame, touched)
     finally:
         delete_path(spark, src_path)
     counts = plan.counts()
-    return WriteResult(rows_written=counts.total, partitions=touched, merge=counts)
+    return WriteResult(rows_written=counts.total, partitions=None if touched is None else [v for v, _ in touched],
+                       merge=counts)
 
 
 def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteResult:
@@ -188,14 +212,14 @@ def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteR
     touched = _partition_values(table.where(pred), pf) if pf else None
     if pf and not touched:
         return WriteResult(rows_written=0, partitions=[])
-    base = table.where(F.col(pf).isin(touched)) if pf else table
+    base = table.where(_in_partitions(pf, touched)) if pf else table
     obs = Observation(f"delete_{uuid.uuid4().hex[:8]}")
     marked = base.withColumn("_action", F.when(pred, "deleted").otherwise("kept")).observe(
         obs, F.count_if(F.col("_action") == "deleted").alias("deleted"), F.count_if(F.col("_action") == "kept").alias("kept"))
     _rewrite(spark, spec, marked, touched, keep=F.col("_action") == "kept")
-    got = obs.get
-    return WriteResult(rows_written=int(got.get("kept", 0)), partitions=touched,
-                       merge=MergeCounts(0, 0, int(got.get("deleted", 0)), int(got.get("kept", 0))))
+    deleted, kept = observed(obs, "deleted"), observed(obs, "kept")
+    return WriteResult(rows_written=kept, partitions=None if touched is None else [v for v, _ in touched],
+                       merge=MergeCounts(0, 0, deleted, kept))
 
 
 def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:

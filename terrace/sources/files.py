@@ -18,6 +18,12 @@ from ..functions.casting import all_string_schema
 from ..specs import CsvSpec, JsonSpec, XmlSpec
 
 
+def source_path() -> Column:
+    """The path of the file a row was read from, in the same form as ``binaryFile``'s ``path``
+    (``_metadata.file_path`` is URI-encoded: spaces become %20, while '+' stays literal)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def partition_path(base: str, field: str, value) -> str:
     return f"{base.rstrip('/')}/{field}={value}"
 
@@ -173,13 +179,18 @@ def _members(kind: str, content: bytes):
 
 
 def archive_member_names(files: DataFrame, kind: str = "zip") -> DataFrame:
-    """``(archive, member)`` of every file member (D17 needs names only)."""
+    """``(archive, member, error)`` of every file member (D17 needs names only); an archive that
+    cannot be opened gives one row with ``member`` NULL and the error."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(path, name) for path, content in zip(pdf["path"], pdf["content"])
-                    for name, _ in _members(kind, bytes(content))]
-            yield pd.DataFrame(rows, columns=["archive", "member"])
-    return files.select("path", "content").mapInPandas(run, "archive string, member string")
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    rows += [(path, name, None) for name, _ in _members(kind, bytes(content))]
+                except Exception as e:  # not an archive, truncated upload...
+                    rows.append((path, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pd.DataFrame(rows, columns=["archive", "member", "error"])
+    return files.select("path", "content").mapInPandas(run, "archive string, member string, error string")
 
 
 LINE_CHUNK = 10_000
@@ -192,7 +203,11 @@ def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8",
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                for name, opener in _members(kind, bytes(content)):
+                try:
+                    members = _members(kind, bytes(content))
+                except Exception:  # unreadable archives are reported by archive_member_names
+                    continue
+                for name, opener in members:
                     rows = []
                     with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
                         for n, line in enumerate(fh):

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
+from ..sources.files import source_path
 from ..specs import LandingSpec, TableSpec
 
 
@@ -29,7 +30,7 @@ def landing_stream(spark: SparkSession, folder: str, spec: LandingSpec, columns:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if spec.file_format != "csv":
         raise ValueError("streaming landing reads CSV deliveries; other formats land in batch")
-    rows = r.csv(folder).withColumn("_path", F.col("_metadata.file_path"))
+    rows = r.csv(folder).withColumn("_path", source_path())
     name = F.element_at(F.split("_path", "/"), -1)
     source = F.col("_path") if date_from == "path" else name
     stamped = rows.withColumn(spec.partition_field, file_date(source, spec.date_regex))
@@ -42,11 +43,12 @@ def start_landing(spark: SparkSession, folder: str, spec: LandingSpec, raw: Tabl
                   processing_time: str | None = None) -> StreamingQuery:
     """Start the stream into ``raw.path``; ``available_now`` processes what is there and stops.
 
-    The default checkpoint is ``<raw.path>/_landing_checkpoint``: stable across restarts (a
-    restarted stream resumes from its source log instead of re-reading every file), on the table's
-    shared storage, and ignored by readers of the table (``_`` prefix)."""
+    The default checkpoint is ``<raw.path>_landing_checkpoint``, beside the table: stable across
+    restarts (a restarted stream resumes from its source log instead of re-reading every file) and
+    on the table's shared storage.  The table is a file-sink table (``_spark_metadata`` log):
+    the stream owns it, and batch rewrites (merge, delete) belong to the next layer's tables."""
     stream = landing_stream(spark, folder, spec, columns, date_from)
     w = (stream.writeStream.format("parquet").outputMode("append").partitionBy(spec.partition_field)
-         .option("checkpointLocation", checkpoint or f"{raw.path.rstrip('/')}/_landing_checkpoint"))
+         .option("checkpointLocation", checkpoint or f"{raw.path.rstrip('/')}_landing_checkpoint"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start(raw.path)

@@ -94,3 +94,12 @@ def test_join_different_key_names(spark):
         equi_join(left, right, "inner", ["lk"], ["rk", "v"])
     with pytest.raises(ValueError):
         equi_join(left, right, "cross", ["lk"])
+
+
+def test_join_keys_swapped_positions(spark):
+    left = spark.createDataFrame([(1, 2, "l")], "a int, b int, x string")
+    right = spark.createDataFrame([(2, 1, "r")], "b int, a int, y string")   # left.a = right.b fails
+    assert equi_join(left, right, "inner", ["a", "b"], ["b", "a"]).count() == 0
+    right2 = spark.createDataFrame([(1, 2, "r")], "b int, a int, y string")
+    got = equi_join(left, right2, "inner", ["a", "b"], ["b", "a"]).collect()
+    assert [tuple(r) for r in got] == [(1, 2, "l", "r")]

@@ -103,7 +103,7 @@ def test_landing_statuses(spark, tmp_dir):
     res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "name"])
     st = {r.file_name: r.status for r in res.status.collect()}
     assert st == {"data_2024_01_05.csv": "PROCESSED", "data_2024_01_06.csv": "ERROR", "other.txt": "SKIP_PATTERN"}
-    assert sorted(tuple(r) for r in read_target(spark, raw).collect()) == [("1", "a", "2024-01-05"), ("2", "b", "2024-01-05")]
+    assert sorted(tuple(r) for r in read_target(spark, res.table).collect()) == [("1", "a", "2024-01-05"), ("2", "b", "2024-01-05")]
 
 
 def test_reports_status_and_template(spark, tmp_dir):
@@ -115,7 +115,8 @@ def test_reports_status_and_template(spark, tmp_dir):
     assert st["My Report!"].success and st["My Report!"].path.endswith("my_report/inbound/r_2024-01-01.csv")
     assert not st["Empty"].success and "no data" in st["Empty"].error
     assert spark.read.option("header", "true").csv(st["My Report!"].path).count() == 2
-    assert fill_template("x = '{v}'", {"v": "o'k"}, quote=True) == "x = 'o''k'"
+    lit = fill_template("'{v}'", {"v": "o'k\\"}, quote=True)
+    assert spark.sql(f"SELECT {lit} AS v").first().v == "o'k\\"
 
 
 def test_csv_profile_header_position_one(spark, tmp_dir):
@@ -136,7 +137,7 @@ def test_landing_json_documents(spark, tmp_dir):
     raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
     res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["assetId", "price"])
     assert [r.status for r in res.status.collect()] == ["PROCESSED"]
-    got = sorted(tuple(r) for r in read_target(spark, raw).fillna("-").collect())
+    got = sorted(tuple(r) for r in read_target(spark, res.table).fillna("-").collect())
     assert got == [("A1", "10.5", "2024-03-01"), ("A2", "3", "2024-03-01"), ("A3", "-", "2024-03-02")]
 
 
@@ -158,6 +159,7 @@ def test_landing_zip_members(spark, tmp_dir):
                        date_regex=r"(\d{4})(\d{2})(\d{2})")
     raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
     res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"])
+    raw = res.table
     st = {r.file_name: (r.status, r.error) for r in res.status.collect()}
     assert st["RIPS_20240105_PROD.ZIP"] == ("PROCESSED", "")
     assert st["RIPS_20240106_PROD.ZIP"] == ("ERROR", "invalid member names: notes.md")
@@ -173,7 +175,7 @@ def test_landing_partition_from_column_and_xml(spark, tmp_dir):
     raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
     res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "d", "v"])
     assert [r.status for r in res.status.collect()] == ["PROCESSED"]
-    got = sorted(tuple(r) for r in read_target(spark, raw).fillna("-").collect())
+    got = sorted(tuple(r) for r in read_target(spark, res.table).fillna("-").collect())
     assert got == [("1", "2024-02-01", "x", "2024-02-01"), ("2", "bad", "", "-")]
 
 
@@ -209,3 +211,37 @@ def test_archive_lines_stream_in_chunks(spark, tmp_dir):
     lines = archive_lines(files, "zip", chunk=7).collect()
     assert [r.n for r in lines] == list(range(26)) and lines[0].line == "h" and lines[-1].line == "24"
     assert [r.member for r in archive_member_names(files, "zip").collect()] == ["m.csv"]
+
+
+def test_landing_names_with_spaces_and_plus(spark, tmp_dir):
+    write(f"{tmp_dir}/land/sales 2024-01-05.csv", "id,name\n1,a\n2,b\n")
+    write(f"{tmp_dir}/land/sales+x_2024-01-06.csv", "id,name\n3,c\n")
+    spec = LandingSpec(filename_pattern=r"sales.*\.csv")
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "name"])
+    assert sorted(r.status for r in res.status.collect()) == ["PROCESSED", "PROCESSED"]
+    assert res.written.rows_written == 3 and raw.schema is None
+
+
+def test_landing_unreadable_archive_and_preamble(spark, tmp_dir):
+    _zip(f"{tmp_dir}/land/A_20240105.ZIP", {"m.csv": "x,y\n1,2\n"})
+    write(f"{tmp_dir}/land/B_20240106.ZIP", "not a zip")
+    write(f"{tmp_dir}/land/README.txt", "ignored")
+    spec = LandingSpec(filename_pattern=r"[AB]_\d{8}\.ZIP", zipped="zip", date_regex=r"(\d{4})(\d{2})(\d{2})")
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["x", "y"])
+    st = {r.file_name: r.status for r in res.status.collect()}
+    assert st == {"A_20240105.ZIP": "PROCESSED", "B_20240106.ZIP": "ERROR", "README.txt": "SKIP_PATTERN"}
+    write(f"{tmp_dir}/land2/p_2024-02-01.csv", "exported by tool\nid,name\n1,a\n")
+    spec2 = LandingSpec(filename_pattern=r"p_.*\.csv", csv=CsvSpec(header_position=1))
+    raw2 = TableSpec(f"{tmp_dir}/raw2", partition_field="data_date")
+    res2 = land(spark, f"{tmp_dir}/land2", spec2, raw2, columns=["id", "name"])
+    assert [tuple(r) for r in read_target(spark, res2.table).collect()] == [("1", "a", "2024-02-01")]
+
+
+def test_landing_zip_without_header(spark, tmp_dir):
+    _zip(f"{tmp_dir}/land/Z_20240105.ZIP", {"m.csv": "1,a\n2,b\n"})
+    spec = LandingSpec(filename_pattern=r"Z_.*", zipped="zip", date_regex=r"(\d{4})(\d{2})(\d{2})",
+                       csv=CsvSpec(header=False))
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"], checks=())
+    assert sorted(tuple(r) for r in read_target(spark, res.table).collect()) == [("1", "a", "2024-01-05"), ("2", "b", "2024-01-05")]

@@ -108,3 +108,50 @@ def test_append_conforms_and_dedupes(spark, tmp_dir):
     spec = TableSpec(f"{tmp_dir}/t", schema=spark.createDataFrame([], SCHEMA).schema, partition_field="d")
     df = spark.createDataFrame([(1, "a", "p1", "junk"), (1, "a", "p1", "other")], SCHEMA + ", extra string")
     assert append(spark, df, spec).rows_written == 1
+
+
+def _spec(spark, tmp_dir, keys, part="d"):
+    return TableSpec(f"{tmp_dir}/t", schema=spark.createDataFrame([], SCHEMA).schema, primary_keys=keys, partition_field=part)
+
+
+def test_empty_inputs_write_nothing(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["k"])
+    empty = spark.createDataFrame([(1, "a", "p")], SCHEMA).where("k > 5")
+    assert append(spark, empty, spec).rows_written == 0
+    assert overwrite_partitions(spark, empty, spec).rows_written == 0
+
+
+def test_null_partition_merge_and_delete(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["d", "k"])
+    append(spark, spark.createDataFrame([(1, "a", None), (2, "b", "p1")], SCHEMA), spec)
+    merge_into(spark, spec, spark.createDataFrame([(3, "c", None)], SCHEMA))
+    assert rows(read_target(spark, spec)) == sorted([(1, "a", None), (2, "b", "p1"), (3, "c", None)],
+                                                    key=lambda r: tuple(str(x) for x in r))
+    res = delete_where(spark, spec, "k = 1")
+    assert res.merge.deleted == 1
+    assert rows(read_target(spark, spec)) == sorted([(2, "b", "p1"), (3, "c", None)], key=lambda r: tuple(str(x) for x in r))
+
+
+def test_whole_table_merge_after_everything_deleted(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["k"])
+    append(spark, spark.createDataFrame([(1, "a", "p1")], SCHEMA), spec)
+    delete_where(spark, spec, "k = 1")
+    assert read_target(spark, spec).count() == 0
+    res = merge_into(spark, spec, spark.createDataFrame([(2, "b", "p2")], SCHEMA))
+    assert res.merge.inserted == 1 and rows(read_target(spark, spec)) == [(2, "b", "p2")]
+
+
+def test_writes_cast_to_declared_types(spark, tmp_dir):
+    spec = TableSpec(f"{tmp_dir}/t", schema=spark.createDataFrame([], "k int, v double, d string").schema, partition_field="d")
+    append(spark, spark.createDataFrame([(1, 2, "p")], "k bigint, v bigint, d string"), spec)
+    assert [tuple(r) for r in read_target(spark, spec).collect()] == [(1, 2.0, "p")]
+
+
+def test_broadcast_limit_reads_spark_units(spark):
+    from terrace.sinks.tables import broadcast_limit
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
+        assert broadcast_limit(spark) == 64 << 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

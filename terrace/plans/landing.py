@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..quality.files import (columns_result, csv_headers, csv_lines, csv_profile, flag_unchanged, format_result,
-                             member_profile)
+from ..quality.files import (columns_result, csv_lines, csv_profile, flag_unchanged, format_result, member_profile,
+                             numbered_lines)
 from ..sinks.tables import WriteResult, broadcast_limit, write_raw
 from ..session import checkpoint_root
-from ..sources.files import archive_lines, archive_member_names, list_files, nested_json_items, source_path
+from ..sources.files import (archive_lines, archive_member_names, list_files, nested_json_items, source_path,
+                             source_path_of)
 from ..specs import LandingSpec, TableSpec
 
 
@@ -46,7 +47,7 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     if spec.zipped:
         archives = _archives(spark, folder, spec)
         per_archive = []
-        names = archive_member_names(archives, spec.zipped)
+        names = archive_member_names(archives, spec.zipped, spec.csv.encoding if spec.file_format == "csv" else None)
         ok = F.col("member").rlike(anchored(spec.member_pattern)) if spec.member_pattern else F.lit(True)
         check_names = bool(spec.member_pattern) and "member_names" in checks
         per_archive.append(names.groupBy(F.col("archive").alias("path")).agg(
@@ -60,10 +61,10 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
             # D18/D19 on every member, one aggregation over the members' lines
             prof = member_profile(archive_lines(archives, spec.zipped, spec.csv.encoding), spec.csv)
             if "csv_format" in checks:
-                fmt = format_result(prof, spec.csv)
+                fmt = format_result(prof, spec.csv, len(columns) if columns else None)
                 per_archive.append(fmt.groupBy("path").agg(F.bool_and("result").alias("format_ok")))
                 errors.append(F.when(~F.coalesce(F.col("format_ok"), F.lit(False)), F.lit("invalid CSV format in a member")))
-            if "csv_columns" in checks and columns:
+            if "csv_columns" in checks and columns and spec.csv.header:
                 cols = columns_result(prof, columns, spec.csv)
                 per_archive.append(cols.groupBy("path").agg(F.bool_and("result").alias("columns_ok")))
                 errors.append(F.when(~F.coalesce(F.col("columns_ok"), F.lit(False)), F.lit("invalid member columns")))
@@ -73,10 +74,11 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
         # one pass over the lines serves both CSV checks
         profile = csv_profile(spark, folder, spec.csv, glob=None)
         if "csv_format" in checks:
-            fmt = format_result(profile, spec.csv).select("path", F.col("result").alias("format_ok"))
+            fmt = format_result(profile, spec.csv, len(columns) if columns else None).select(
+                "path", F.col("result").alias("format_ok"))
             files = files.join(fmt, "path", "left")
             errors.append(F.when(~F.coalesce(F.col("format_ok"), F.lit(False)), F.lit("invalid CSV format")))
-        if "csv_columns" in checks and columns:
+        if "csv_columns" in checks and columns and spec.csv.header:
             cols = columns_result(profile, columns, spec.csv).select(
                 "path", F.col("result").alias("columns_ok"), "extra_columns", "missing_columns")
             files = files.join(cols, "path", "left")
@@ -97,9 +99,13 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
 
 
 def _archives(spark: SparkSession, folder: str, spec: LandingSpec) -> DataFrame:
-    """Archive files whose name passes the file pattern (others are never opened)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.where(F.element_at(F.split("path", "/"), -1).rlike(anchored(spec.filename_pattern)))
+    """Archive files whose name passes the file pattern.  The names come from the listing
+    (metadata only, one row per file); only the matching files are then read."""
+    listing = list_files(spark, folder).where(F.col("file_name").rlike(anchored(spec.filename_pattern)))
+    paths = [r.path for r in listing.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "path string, content binary")
+    return spark.read.format("binaryFile").load(paths).select("path", "content")
 
 
 def _line_options(spec: LandingSpec) -> dict:
@@ -117,19 +123,17 @@ def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[st
     """Rows of every file in the folder, with the file's path; all values strings."""
     meta = source_path().alias("path")
     hp = spec.csv.header_position
+    comment = F.startswith(F.col("line"), F.lit(spec.csv.comment)) if spec.csv.comment else F.lit(False)
     if spec.zipped:
         lines = archive_lines(_archives(spark, folder, spec), spec.zipped, spec.csv.encoding).withColumnRenamed("archive", "path")
-        skip = (F.col("n") <= hp) if spec.csv.header else (F.col("n") < hp)
-        return _parse_lines(lines.where(~skip & (F.trim("line") != "")), spec, columns)
-    if spec.file_format == "csv" and hp > 0:
-        # lines before and at the header position are dropped per file; the reader's own header
-        # option only skips the first line
-        lines = csv_lines(spark, folder, None, spec.csv)
-        heads = F.broadcast(csv_headers(lines, spec.csv).select("path", "header_pos"))
-        limit = F.col("header_pos") if spec.csv.header else F.col("header_pos") - 1
-        body = lines.join(heads, "path", "left").where(
-            ~((F.col("block") == 0) & (F.col("pos") <= limit)) & (F.trim("line") != ""))
-        return _parse_lines(body, spec, columns)
+        skip = (F.col("n") <= hp) if spec.csv.header else F.lit(False)
+        return _parse_lines(lines.where(~skip & ~comment & (F.trim("line") != "")), spec, columns)
+    if spec.file_format == "csv" and spec.csv.header and hp > 0:
+        # the lines up to the header are dropped per file (the reader's own header option only
+        # skips the first line); line numbers come from one scan
+        numbered = numbered_lines(csv_lines(spark, folder, None, spec.csv).where(~comment))
+        body = numbered.where(((F.col("block") > 0) | (F.col("n") > hp + 1)) & (F.trim("line") != ""))
+        return _parse_lines(body.withColumn("path", source_path_of(F.col("path"))), spec, columns)
     if spec.file_format == "csv":
         r = spark.read.options(**spec.csv.read_options()).option("recursiveFileLookup", "true")
         if columns:
@@ -150,6 +154,9 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
          processed: DataFrame | None = None, date_from: str = "name",
          checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names")) -> LandingResult:
     """Land every file of ``folder`` into the raw table; returns per-file statuses and counts."""
+    line_based = spec.zipped or (spec.file_format == "csv" and spec.csv.header and spec.csv.header_position > 0)
+    if line_based and not columns:
+        raise ValueError("columns are needed to parse archive members or CSV files with a header below line 1")
     checkpoint_root(spark)   # DataFrame.checkpoint() needs the shared folder installed
     status = _file_status(spark, folder, spec, columns, processed, date_from, checks).checkpoint(eager=True)
     ok = status.where(F.col("status") == "PROCESSED").select("path", "file_date")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import anchored, content_md5, normalise_header
 from ..operators.sets import latest_copies
-from ..sources.files import source_path
+from ..sources.files import source_path_of
 from ..specs import CsvSpec
 
 
@@ -36,52 +36,85 @@ def _split_header(line: Column, delimiter: str) -> Column:
     return F.transform(parts, lambda x: F.regexp_replace(x, r'^\s*"|"\s*$', ""))
 
 
+_UTF8 = {"utf-8", "utf8"}
+
+
+def _decode_path(col: Column) -> Column:
+    """``_metadata.file_path`` (URI-encoded) in ``binaryFile``'s form; applied once per file."""
+    return source_path_of(col)
+
+
 def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec: CsvSpec | None = None) -> DataFrame:
-    """Lines of every CSV file with their file and read position."""
-    r = spark.read.option("recursiveFileLookup", "true").option("encoding", (spec or CsvSpec()).encoding)
+    """Lines of every CSV file with their file (``path``, URI-encoded as Spark reports it), split
+    start (``block``) and read position (``pos``).  UTF-8 files are read by the text source;
+    other encodings by the CSV reader as one unquoted column, which decodes them."""
+    spec = spec or CsvSpec()
+    r = spark.read.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.text(path).select(
-        F.col("value").alias("line"), source_path().alias("path"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    if spec.encoding.lower() in _UTF8:
+        df = r.text(path).withColumnRenamed("value", "line")
+    else:
+        df = (r.option("encoding", spec.encoding).option("sep", "\u0001").option("quote", "\u0000")
+              .option("escape", "\u0000").option("header", "false").schema("line string").csv(path))
+    return df.select("line", F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their number ``n`` (from 1) within the file, for files whose first lines must be
+    told apart (a header below line 1).  One scan: a window per (file, split), so the numbers
+    never depend on how two scans pack splits; only block-0 numbers are file line numbers."""
+    w = Window.partitionBy("path", "block").orderBy("pos")
+    return lines.withColumn("n", F.row_number().over(w))
+
+
+def _is_comment(spec: CsvSpec) -> Column:
+    return F.lit(False) if not spec.comment else F.startswith(F.col("line"), F.lit(spec.comment))
 
 
 def csv_headers(lines: DataFrame, spec: CsvSpec) -> DataFrame:
-    """(path, header line, header position id) per file: line number ``header_position`` of the
-    file's first block.  Lines of one file arrive in order within its first split."""
-    w = Window.partitionBy("path").orderBy("pos")
-    first = lines.where(F.col("block") == 0).withColumn("rn", F.row_number().over(w))
-    return (first.where(F.col("rn") == spec.header_position + 1)
-            .select("path", F.col("line").alias("header"), F.col("pos").alias("header_pos")))
+    """(path, header) per file: line number ``header_position`` (0-based) of the file."""
+    numbered = numbered_lines(lines.where(F.col("block") == 0))
+    return numbered.where(F.col("n") == spec.header_position + 1).select("path", F.col("line").alias("header"))
 
 
 def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
     """One row per CSV file: ``(path, header, max_width, rows)``, where ``max_width`` is the widest
-    data row and ``rows`` the non-blank data rows.
+    data row and ``rows`` the non-blank data rows; comment lines are ignored.
 
     With the header on the first line (the usual case) this is ONE partial aggregation over the
     lines: the header is the line read first in the file's first block (``min_by`` on the read
     position), and the header's own width can be included in the maximum because a data row is
-    only invalid when wider than the header."""
+    only invalid when wider than the header.  Without a header every line is data.  A header
+    further down needs line numbers (:func:`numbered_lines`).  Paths are decoded once per file,
+    after the aggregation."""
     spec = spec or CsvSpec()
-    lines = csv_lines(spark, path, glob, spec)
+    lines = csv_lines(spark, path, glob, spec).where(~_is_comment(spec))
     width = _field_count(F.col("line"), spec.delimiter)
     blank = F.trim(F.col("line")) == ""
-    if spec.header_position == 0:
+    if not spec.header:
+        prof = lines.groupBy("path").agg(F.lit(None).cast("string").alias("header"),
+                                         F.max(F.when(~blank, width)).alias("max_width"),
+                                         F.count_if(~blank).alias("rows"))
+    elif spec.header_position == 0:
         first = F.col("block") == 0
         prof = lines.groupBy("path").agg(
             F.min_by(F.when(first, F.col("line")), F.when(first, F.col("pos"))).alias("header"),
             F.max(F.when(~blank, width)).alias("max_width"),
             F.count_if(~blank).alias("_nonblank"))
-        return prof.select("path", "header", "max_width",
+        prof = prof.select("path", "header", "max_width",
                            F.greatest(F.col("_nonblank") - F.when(F.col("header").isNotNull() & (F.trim("header") != ""), 1)
                                       .otherwise(0), F.lit(0)).alias("rows"))
-    headers = csv_headers(lines, spec)
-    body = (lines.join(headers.select("path", "header_pos"), "path")
-            .where((F.col("pos") > F.col("header_pos")) & ~blank))
-    widths = body.groupBy("path").agg(F.max(width).alias("max_width"), F.count(F.lit(1)).alias("rows"))
-    return headers.join(widths, "path", "left").select(
-        "path", "header", "max_width", F.coalesce(F.col("rows"), F.lit(0)).alias("rows"))
+    else:
+        k = spec.header_position + 1
+        numbered = numbered_lines(lines)
+        head = (F.col("block") == 0) & (F.col("n") == k)
+        body = ((F.col("block") > 0) | (F.col("n") > k)) & ~blank
+        prof = numbered.groupBy("path").agg(F.max(F.when(head, F.col("line"))).alias("header"),
+                                            F.max(F.when(body, width)).alias("max_width"),
+                                            F.count_if(body).alias("rows"))
+    return prof.withColumn("path", _decode_path(F.col("path")))
 
 
 def member_lines(members: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
@@ -96,7 +129,8 @@ def member_profile(lines: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
     """The CSV profile of each archive member, ``(path=archive, member, header, max_width, rows)``:
     one partial aggregation, the header being line number ``header_position``."""
     spec = spec or CsvSpec()
-    n, hp = F.col("n"), spec.header_position
+    n, hp = F.col("n"), spec.header_position if spec.header else -1
+    lines = lines.where(~_is_comment(spec))
     body = (n > hp) & (F.trim(F.col("line")) != "")
     return lines.groupBy("archive", "member").agg(
         F.max(F.when(n == hp, F.col("line"))).alias("header"),
@@ -109,11 +143,14 @@ def _named(profile: DataFrame) -> list:
     return ["path", name.alias("file_name"), name.alias("identifier")]
 
 
-def format_result(profile: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
+def format_result(profile: DataFrame, spec: CsvSpec | None = None, n_columns: int | None = None) -> DataFrame:
     """D18 from a profile: valid when no data row is wider than the header (shorter rows are
-    allowed: a CSV reader fills them with NULL)."""
+    allowed: a CSV reader fills them with NULL).  Header-less files are held to ``n_columns``."""
     spec = spec or CsvSpec()
-    expected = _field_count(F.col("header"), spec.delimiter)
+    if spec.header:
+        expected = _field_count(F.col("header"), spec.delimiter)
+    else:
+        expected = F.lit(n_columns if n_columns is not None else 2 ** 31 - 1)
     return profile.select(*_named(profile),
                           (F.coalesce(F.col("max_width"), F.lit(0)) <= expected).alias("result"),
                           expected.alias("expected_columns"), "rows")

@@ -94,6 +94,9 @@ def observed(observation, key: str, default: int = 0) -> int:
     plans it proves empty)."""
     try:
         value = observation.get.get(key)
-    except Exception:
-        return default
+    except Exception as e:  # only the "no metrics reported" assertion means an empty input
+        java = getattr(e, "java_exception", None)
+        if java is not None and java.getClass().getName() == "java.lang.AssertionError":
+            return default
+        raise
     return default if value is None else int(value)

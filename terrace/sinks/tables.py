@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.columns import conform
 from ..operators.merge import MergeCounts, check_duplicate_source_keys, plan_merge
@@ -43,10 +44,16 @@ def _writer(df: DataFrame, spec: TableSpec, mode: str):
 
 
 def read_target(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    r = spark.read
+    """The table with its declared schema; without one, the file schema with the partition
+    column read as the directory text (no type inference: '007' stays '007')."""
     if spec.schema is not None:
-        r = r.schema(spec.schema)
-    return r.parquet(spec.path)
+        return spark.read.schema(spec.schema).parquet(spec.path)
+    df = spark.read.parquet(spec.path)
+    if spec.partition_field and spec.partition_field in df.columns:
+        schema = StructType([StructField(f.name, StringType(), True) if f.name == spec.partition_field else f
+                             for f in df.schema.fields])
+        df = spark.read.schema(schema).parquet(spec.path)
+    return df
 
 
 def _target_columns(spark: SparkSession, spec: TableSpec, df: DataFrame) -> list[str]:
@@ -88,12 +95,17 @@ def _partition_values(df: DataFrame, field: str) -> list[tuple]:
     return [(r.v, r.s) for r in rows]
 
 
+def _is_default(text) -> bool:
+    """NULL and '' both live in Spark's default partition directory."""
+    return text is None or text == ""
+
+
 def _in_partitions(field: str, values: list[tuple]) -> Column:
-    """Rows of the given partitions; the NULL partition is matched explicitly."""
-    present = [v for v, _ in values if v is not None]
+    """Rows of the given partitions; the default partition (NULL or '') is matched explicitly."""
+    present = [v for v, s in values if not _is_default(s)]
     cond = F.col(field).isin(*present) if present else F.lit(False)
-    if any(v is None for v, _ in values):
-        cond = cond | F.col(field).isNull()
+    if any(_is_default(s) for _, s in values):
+        cond = cond | F.col(field).isNull() | (F.col(field).cast("string") == F.lit(""))
     return cond
 
 
@@ -140,26 +152,27 @@ PARQUET_EXPANSION = 5
 
 def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched: list | None,
              keep=None) -> None:
-    """Write the new content of the touched partitions (the whole table when ``touched`` is None)
-    through a staged table in the shared checkpoint folder (Spark cannot overwrite files its
-    plan still reads), then remove touched partitions that ended up empty.  Observations in
-    ``new_rows`` fire with the staging write; the one shuffle (REBALANCE) is on the copy."""
+    """Write the new content of the ``touched`` partitions through a staged table in the shared
+    checkpoint folder (Spark cannot overwrite files its plan still reads), then remove touched
+    partitions that ended up empty.  Partitioned tables are always written with dynamic
+    overwrite, which swaps partitions at job commit, so readers never see an emptied table;
+    unpartitioned tables are overwritten whole (``touched`` is ignored).  If the copy fails, the
+    staged rows are kept and their folder is named in the error.  Observations in ``new_rows``
+    fire with the staging write; the one shuffle (REBALANCE) is on the copy."""
     rows = new_rows.where(keep) if keep is not None else new_rows
     rows = rows.select(*[c for c in rows.columns if not c.startswith("_action")])
     staged, path, _ = stage(spark, rows, "rewrite")
     try:
-        if touched is None:
-            if spec.partition_columns:
-                (staged.hint("rebalance", *spec.partition_columns).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "static").partitionBy(*spec.partition_columns).parquet(spec.path))
-            else:
-                staged.write.mode("overwrite").parquet(spec.path)
-        elif touched:
+        if spec.partition_columns:
             _writer(staged, spec, "overwrite").parquet(spec.path)
-            remaining = {s for _, s in _partition_values(staged, spec.partition_field)}
-            _drop_partitions(spark, spec, [(v, s) for v, s in touched if s not in remaining])
-    finally:
-        delete_path(spark, path)
+            remaining = {"" if _is_default(s) else s for _, s in _partition_values(staged, spec.partition_field)}
+            _drop_partitions(spark, spec, [(v, s) for v, s in (touched or [])
+                                           if ("" if _is_default(s) else s) not in remaining])
+        else:
+            staged.write.mode("overwrite").parquet(spec.path)
+    except Exception as e:
+        raise RuntimeError(f"rewrite of {spec.path} failed; the new rows are kept at {path}") from e
+    delete_path(spark, path)
 
 
 def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy: str = "upsert",
@@ -193,7 +206,9 @@ def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy
         if check_duplicates:
             check_duplicate_source_keys(target, src, spec.primary_keys, broadcast_source=small)
         plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, broadcast_source=small)
-        _rewrite(spark, spec, plan.frame, touched)
+        # partition column not a key: the whole table is rewritten, every existing partition touched
+        rewrite = touched if touched is not None or not pf else _partition_values(read_target(spark, spec), pf)
+        _rewrite(spark, spec, plan.frame, rewrite)
     finally:
         delete_path(spark, src_path)
     counts = plan.counts()

@@ -4,6 +4,7 @@ passes through the driver."""
 
 from __future__ import annotations
 
+import codecs
 import io
 import tarfile
 import zipfile
@@ -18,10 +19,15 @@ from ..functions.casting import all_string_schema
 from ..specs import CsvSpec, JsonSpec, XmlSpec
 
 
+def source_path_of(encoded: Column) -> Column:
+    """A URI-encoded file path (as ``_metadata.file_path`` reports it: spaces become %20, '+'
+    stays literal) in ``binaryFile``'s plain form."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+
+
 def source_path() -> Column:
-    """The path of the file a row was read from, in the same form as ``binaryFile``'s ``path``
-    (``_metadata.file_path`` is URI-encoded: spaces become %20, while '+' stays literal)."""
-    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    """The path of the file a row was read from, in the same form as ``binaryFile``'s ``path``."""
+    return source_path_of(F.col("_metadata.file_path"))
 
 
 def partition_path(base: str, field: str, value) -> str:
@@ -178,16 +184,32 @@ def _members(kind: str, content: bytes):
     raise ValueError(f"unknown archive kind {kind!r}")
 
 
-def archive_member_names(files: DataFrame, kind: str = "zip") -> DataFrame:
-    """``(archive, member, error)`` of every file member (D17 needs names only); an archive that
-    cannot be opened gives one row with ``member`` NULL and the error."""
+def _verify(kind: str, content: bytes, encoding: str | None) -> None:
+    """Read every member once, in 1 MB blocks: CRC / truncation errors (and, with ``encoding``,
+    undecodable text) surface here, so the archive is reported instead of failing a later job."""
+    for _, opener in _members(kind, content):
+        decoder = codecs.getincrementaldecoder(encoding)() if encoding else None
+        with opener() as fh:
+            for block in iter(lambda: fh.read(1 << 20), b""):
+                if decoder is not None:
+                    decoder.decode(block)
+        if decoder is not None:
+            decoder.decode(b"", final=True)
+
+
+def archive_member_names(files: DataFrame, kind: str = "zip", encoding: str | None = None) -> DataFrame:
+    """``(archive, member, error)`` of every file member (D17 needs names).  Members are read once
+    to verify them; an archive that cannot be opened or read gives one row with ``member`` NULL
+    and the error."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    rows += [(path, name, None) for name, _ in _members(kind, bytes(content))]
-                except Exception as e:  # not an archive, truncated upload...
+                    data = bytes(content)
+                    _verify(kind, data, encoding)
+                    rows += [(path, name, None) for name, _ in _members(kind, data)]
+                except Exception as e:  # not an archive, truncated upload, bad CRC, bad text
                     rows.append((path, None, f"{type(e).__name__}: {e}"[:500]))
             yield pd.DataFrame(rows, columns=["archive", "member", "error"])
     return files.select("path", "content").mapInPandas(run, "archive string, member string, error string")
@@ -209,12 +231,15 @@ def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8",
                     continue
                 for name, opener in members:
                     rows = []
-                    with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
-                        for n, line in enumerate(fh):
-                            rows.append((path, name, n, line.rstrip("\n")))
-                            if len(rows) >= chunk:
-                                yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
-                                rows = []
+                    try:
+                        with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
+                            for n, line in enumerate(fh):
+                                rows.append((path, name, n, line.rstrip("\n")))
+                                if len(rows) >= chunk:
+                                    yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
+                                    rows = []
+                    except Exception:  # corrupt member: the archive is reported by archive_member_names
+                        break
                     if rows:
                         yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
     return files.select("path", "content").mapInPandas(run, "archive string, member string, n long, line string")

@@ -245,3 +245,38 @@ def test_landing_zip_without_header(spark, tmp_dir):
     raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
     res = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"], checks=())
     assert sorted(tuple(r) for r in read_target(spark, res.table).collect()) == [("1", "a", "2024-01-05"), ("2", "b", "2024-01-05")]
+
+
+def test_landing_latin1_preamble_and_comments(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/land")
+    with open(f"{tmp_dir}/land/p_2024-03-01.csv", "wb") as fh:
+        fh.write("exported by tool\nid,name\n# a comment\n1,José\n".encode("latin-1"))
+    spec = LandingSpec(filename_pattern=r"p_.*\.csv", csv=CsvSpec(header_position=1, encoding="ISO-8859-1", comment="#"))
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw", partition_field="data_date"),
+               columns=["id", "name"])
+    assert [r.status for r in res.status.collect()] == ["PROCESSED"]
+    assert [tuple(r) for r in read_target(spark, res.table).collect()] == [("1", "José", "2024-03-01")]
+
+
+def test_landing_headerless_files_with_default_checks(spark, tmp_dir):
+    write(f"{tmp_dir}/land/h_2024-03-01.csv", "1,a\n2,b\n")
+    write(f"{tmp_dir}/land/h_2024-03-02.csv", "3,c,x\n")
+    spec = LandingSpec(filename_pattern=r"h_.*\.csv", csv=CsvSpec(header=False))
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw", partition_field="data_date"),
+               columns=["id", "v"])
+    st = {r.file_name: r.status for r in res.status.collect()}
+    assert st == {"h_2024-03-01.csv": "PROCESSED", "h_2024-03-02.csv": "ERROR"}
+    assert sorted(tuple(r) for r in read_target(spark, res.table).collect()) == [("1", "a", "2024-03-01"), ("2", "b", "2024-03-01")]
+
+
+def test_landing_corrupt_member_is_reported(spark, tmp_dir):
+    _zip(f"{tmp_dir}/land/C_20240105.ZIP", {"m.csv": "x,y\n" + "1,2\n" * 2000})
+    data = bytearray(open(f"{tmp_dir}/land/C_20240105.ZIP", "rb").read())
+    data[60] ^= 0xFF                                   # corrupt the member's stored bytes
+    open(f"{tmp_dir}/land/C_20240105.ZIP", "wb").write(bytes(data))
+    _zip(f"{tmp_dir}/land/C_20240106.ZIP", {"m.csv": "x,y\n3,4\n"})
+    spec = LandingSpec(filename_pattern=r"C_\d{8}\.ZIP", zipped="zip", date_regex=r"(\d{4})(\d{2})(\d{2})")
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["x", "y"])
+    st = {r.file_name: r.status for r in res.status.collect()}
+    assert st == {"C_20240105.ZIP": "ERROR", "C_20240106.ZIP": "PROCESSED"}
+    assert [tuple(r) for r in read_target(spark, res.table).collect()] == [("3", "4", "2024-01-06")]

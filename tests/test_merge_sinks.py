@@ -155,3 +155,27 @@ def test_broadcast_limit_reads_spark_units(spark):
         assert broadcast_limit(spark) == 64 << 20
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_empty_string_and_null_share_default_partition(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["d", "k"])
+    append(spark, spark.createDataFrame([(1, "a", None), (2, "b", "p1")], SCHEMA), spec)
+    merge_into(spark, spec, spark.createDataFrame([(3, "c", "")], SCHEMA))
+    assert sorted(r.k for r in read_target(spark, spec).collect()) == [1, 2, 3]
+
+
+def test_schema_less_partition_values_keep_their_text(spark, tmp_dir):
+    spec = TableSpec(f"{tmp_dir}/t", partition_field="code")
+    append(spark, spark.createDataFrame([(1, "007"), (2, "007")], "k int, code string"), spec)
+    res = delete_where(spark, spec, "k = 1")
+    assert res.merge.deleted == 1
+    assert [tuple(r) for r in read_target(spark, spec).collect()] == [(2, "007")]
+
+
+def test_whole_table_merge_keeps_partitioned_layout(spark, tmp_dir):
+    import os
+    spec = _spec(spark, tmp_dir, ["k"])
+    append(spark, spark.createDataFrame([(1, "a", "p1"), (2, "b", "p2")], SCHEMA), spec)
+    merge_into(spark, spec, spark.createDataFrame([(2, "B", "p3")], SCHEMA))   # key moves partition
+    assert rows(read_target(spark, spec)) == [(1, "a", "p1"), (2, "B", "p3")]
+    assert not os.path.exists(f"{tmp_dir}/t/d=p2")

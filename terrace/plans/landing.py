@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..quality.files import (columns_result, csv_lines, csv_profile, flag_unchanged, format_result, member_profile,
-                             numbered_lines)
+from ..quality.files import (columns_result, content_lines, csv_lines, csv_profile, flag_unchanged, format_result,
+                             member_profile, numbered_lines)
 from ..sinks.tables import WriteResult, broadcast_limit, write_raw
 from ..session import checkpoint_root
 from ..sources.files import (archive_lines, archive_member_names, list_files, nested_json_items, source_path,
@@ -47,7 +47,7 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     if spec.zipped:
         archives = _archives(spark, folder, spec)
         per_archive = []
-        names = archive_member_names(archives, spec.zipped, spec.csv.encoding if spec.file_format == "csv" else None)
+        names = archive_member_names(archives, spec.zipped, spec.csv.encoding)
         ok = F.col("member").rlike(anchored(spec.member_pattern)) if spec.member_pattern else F.lit(True)
         check_names = bool(spec.member_pattern) and "member_names" in checks
         per_archive.append(names.groupBy(F.col("archive").alias("path")).agg(
@@ -59,8 +59,9 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
             F.lit("invalid member names: "), F.array_join("bad_members", ", "))))
         if spec.file_format == "csv" and ({"csv_format", "csv_columns"} & set(checks)):
             # D18/D19 on every member, one aggregation over the members' lines
-            prof = member_profile(archive_lines(archives, spec.zipped, spec.csv.encoding), spec.csv)
-            if "csv_format" in checks:
+            lines = archive_lines(archives, spec.zipped, spec.csv.encoding, comment=spec.csv.comment, errors="skip")
+            prof = member_profile(lines, spec.csv)
+            if "csv_format" in checks and (spec.csv.header or columns):
                 fmt = format_result(prof, spec.csv, len(columns) if columns else None)
                 per_archive.append(fmt.groupBy("path").agg(F.bool_and("result").alias("format_ok")))
                 errors.append(F.when(~F.coalesce(F.col("format_ok"), F.lit(False)), F.lit("invalid CSV format in a member")))
@@ -73,7 +74,7 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     elif spec.file_format == "csv" and checks:
         # one pass over the lines serves both CSV checks
         profile = csv_profile(spark, folder, spec.csv, glob=None)
-        if "csv_format" in checks:
+        if "csv_format" in checks and (spec.csv.header or columns):
             fmt = format_result(profile, spec.csv, len(columns) if columns else None).select(
                 "path", F.col("result").alias("format_ok"))
             files = files.join(fmt, "path", "left")
@@ -98,16 +99,23 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     return files.withColumn("status", status)
 
 
-def _archives(spark: SparkSession, folder: str, spec: LandingSpec) -> DataFrame:
-    """Archive files whose name passes the file pattern.  The names come from the listing
-    (metadata only, one row per file); only the matching files are then read."""
-    listing = list_files(spark, folder).where(F.col("file_name").rlike(anchored(spec.filename_pattern)))
-    paths = [r.path for r in listing.select("path").collect()]
+def _archives(spark: SparkSession, folder: str, spec: LandingSpec, only: list[str] | None = None) -> DataFrame:
+    """Archive files whose name passes the file pattern (or exactly the ``only`` paths).  The
+    names come from the listing (metadata only, one row per file); only those files are read."""
+    if only is None:
+        listing = list_files(spark, folder).where(F.col("file_name").rlike(anchored(spec.filename_pattern)))
+        only = [r.path for r in listing.select("path").collect()]
+    paths = [_glob_escape(p) for p in only]
     if not paths:
         return spark.createDataFrame([], "path string, content binary")
     return spark.read.format("binaryFile").load(paths).select("path", "content")
 
 
+def _glob_escape(path: str) -> str:
+    """A listed path as a literal for Spark's path globbing ([, ], {, }, *, ? are escaped)."""
+    return "".join("\\" + ch if ch in "[]{}*?\\" else ch for ch in path)
+
+
 def _line_options(spec: LandingSpec) -> dict:
     """CSV options for parsing single lines with ``from_csv``."""
     return {k: v for k, v in spec.csv.read_options().items() if k not in ("header", "multiLine", "encoding")}
@@ -119,20 +127,23 @@ def _parse_lines(lines: DataFrame, spec: LandingSpec, columns: list[str]) -> Dat
     return parsed.select("r.*", "path")
 
 
-def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None) -> DataFrame:
-    """Rows of every file in the folder, with the file's path; all values strings."""
+def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None,
+           archive_paths: list[str] | None = None) -> DataFrame:
+    """Rows of every file in the folder (for archives: of the ``archive_paths``, already checked),
+    with the file's path; all values strings.  Header positions count content lines only (blank
+    and comment lines are skipped), as a CSV header position does."""
     meta = source_path().alias("path")
     hp = spec.csv.header_position
-    comment = F.startswith(F.col("line"), F.lit(spec.csv.comment)) if spec.csv.comment else F.lit(False)
     if spec.zipped:
-        lines = archive_lines(_archives(spark, folder, spec), spec.zipped, spec.csv.encoding).withColumnRenamed("archive", "path")
-        skip = (F.col("n") <= hp) if spec.csv.header else F.lit(False)
-        return _parse_lines(lines.where(~skip & ~comment & (F.trim("line") != "")), spec, columns)
+        lines = archive_lines(_archives(spark, folder, spec, archive_paths), spec.zipped, spec.csv.encoding,
+                              comment=spec.csv.comment).withColumnRenamed("archive", "path")
+        body = lines.where(F.col("n") > hp) if spec.csv.header else lines
+        return _parse_lines(body, spec, columns)
     if spec.file_format == "csv" and spec.csv.header and hp > 0:
         # the lines up to the header are dropped per file (the reader's own header option only
         # skips the first line); line numbers come from one scan
-        numbered = numbered_lines(csv_lines(spark, folder, None, spec.csv).where(~comment))
-        body = numbered.where(((F.col("block") > 0) | (F.col("n") > hp + 1)) & (F.trim("line") != ""))
+        numbered = numbered_lines(content_lines(csv_lines(spark, folder, None, spec.csv), spec.csv))
+        body = numbered.where((F.col("block") > 0) | (F.col("n") > hp + 1))
         return _parse_lines(body.withColumn("path", source_path_of(F.col("path"))), spec, columns)
     if spec.file_format == "csv":
         r = spark.read.options(**spec.csv.read_options()).option("recursiveFileLookup", "true")
@@ -180,7 +191,8 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         m = F.from_json("item", "map<string,string>")
         rows = items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field)
     else:
-        rows = _parse(spark, folder, spec, columns).join(ok, "path")
+        archive_paths = [r.path for r in ok.select("path").collect()] if spec.zipped else None
+        rows = _parse(spark, folder, spec, columns, archive_paths).join(ok, "path")
         stamp = F.col("file_date")
         if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
             stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)

@@ -39,11 +39,6 @@ def _split_header(line: Column, delimiter: str) -> Column:
 _UTF8 = {"utf-8", "utf8"}
 
 
-def _decode_path(col: Column) -> Column:
-    """``_metadata.file_path`` (URI-encoded) in ``binaryFile``'s form; applied once per file."""
-    return source_path_of(col)
-
-
 def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec: CsvSpec | None = None) -> DataFrame:
     """Lines of every CSV file with their file (``path``, URI-encoded as Spark reports it), split
     start (``block``) and read position (``pos``).  UTF-8 files are read by the text source;
@@ -61,77 +56,65 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec:
                      F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
 
 
+def content_lines(lines: DataFrame, spec: CsvSpec) -> DataFrame:
+    """Lines that carry content: blank lines and comment lines are left out.  Header positions
+    count these lines only, as a CSV reader's header position does."""
+    keep = F.trim(F.col("line")) != ""
+    if spec.comment:
+        keep = keep & ~F.startswith(F.col("line"), F.lit(spec.comment))
+    return lines.where(keep)
+
+
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """Lines with their number ``n`` (from 1) within the file, for files whose first lines must be
     told apart (a header below line 1).  One scan: a window per (file, split), so the numbers
-    never depend on how two scans pack splits; only block-0 numbers are file line numbers."""
+    never depend on how two scans pack splits; only block-0 numbers are file line numbers.
+    The window shuffles and sorts the lines: the price of a header below line 1."""
     w = Window.partitionBy("path", "block").orderBy("pos")
     return lines.withColumn("n", F.row_number().over(w))
 
 
-def _is_comment(spec: CsvSpec) -> Column:
-    return F.lit(False) if not spec.comment else F.startswith(F.col("line"), F.lit(spec.comment))
-
-
-def csv_headers(lines: DataFrame, spec: CsvSpec) -> DataFrame:
-    """(path, header) per file: line number ``header_position`` (0-based) of the file."""
-    numbered = numbered_lines(lines.where(F.col("block") == 0))
-    return numbered.where(F.col("n") == spec.header_position + 1).select("path", F.col("line").alias("header"))
-
-
 def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
     """One row per CSV file: ``(path, header, max_width, rows)``, where ``max_width`` is the widest
-    data row and ``rows`` the non-blank data rows; comment lines are ignored.
-
-    With the header on the first line (the usual case) this is ONE partial aggregation over the
-    lines: the header is the line read first in the file's first block (``min_by`` on the read
-    position), and the header's own width can be included in the maximum because a data row is
-    only invalid when wider than the header.  Without a header every line is data.  A header
-    further down needs line numbers (:func:`numbered_lines`).  Paths are decoded once per file,
-    after the aggregation."""
+    data row and ``rows`` the data rows; blank and comment lines are ignored.
+
+    With the header on the first content line (the usual case) this is ONE partial aggregation
+    over the lines: the header is the line read first in the file's first block (``min_by`` on
+    the read position), and the header's own width can be included in the maximum because a
+    data row is only invalid when wider than the header.  Without a header every line is data.
+    A header further down needs line numbers (:func:`numbered_lines`).  Paths are decoded once
+    per file, after the aggregation."""
     spec = spec or CsvSpec()
-    lines = csv_lines(spark, path, glob, spec).where(~_is_comment(spec))
+    lines = content_lines(csv_lines(spark, path, glob, spec), spec)
     width = _field_count(F.col("line"), spec.delimiter)
-    blank = F.trim(F.col("line")) == ""
     if not spec.header:
         prof = lines.groupBy("path").agg(F.lit(None).cast("string").alias("header"),
-                                         F.max(F.when(~blank, width)).alias("max_width"),
-                                         F.count_if(~blank).alias("rows"))
+                                         F.max(width).alias("max_width"), F.count(F.lit(1)).alias("rows"))
     elif spec.header_position == 0:
         first = F.col("block") == 0
         prof = lines.groupBy("path").agg(
             F.min_by(F.when(first, F.col("line")), F.when(first, F.col("pos"))).alias("header"),
-            F.max(F.when(~blank, width)).alias("max_width"),
-            F.count_if(~blank).alias("_nonblank"))
+            F.max(width).alias("max_width"), F.count(F.lit(1)).alias("_lines"))
         prof = prof.select("path", "header", "max_width",
-                           F.greatest(F.col("_nonblank") - F.when(F.col("header").isNotNull() & (F.trim("header") != ""), 1)
-                                      .otherwise(0), F.lit(0)).alias("rows"))
+                           (F.col("_lines") - F.when(F.col("header").isNotNull(), 1).otherwise(0)).alias("rows"))
     else:
         k = spec.header_position + 1
         numbered = numbered_lines(lines)
         head = (F.col("block") == 0) & (F.col("n") == k)
-        body = ((F.col("block") > 0) | (F.col("n") > k)) & ~blank
+        body = (F.col("block") > 0) | (F.col("n") > k)
         prof = numbered.groupBy("path").agg(F.max(F.when(head, F.col("line"))).alias("header"),
                                             F.max(F.when(body, width)).alias("max_width"),
                                             F.count_if(body).alias("rows"))
-    return prof.withColumn("path", _decode_path(F.col("path")))
-
-
-def member_lines(members: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
-    """Numbered lines ``(archive, member, n, line)`` of already expanded members (small members;
-    :func:`terrace.sources.files.archive_lines` streams them from the archives instead)."""
-    spec = spec or CsvSpec()
-    return members.select("archive", "member", F.posexplode(
-        F.split(F.decode("content", spec.encoding), "\r?\n")).alias("n", "line"))
+    return prof.withColumn("path", source_path_of(F.col("path")))
 
 
 def member_profile(lines: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
-    """The CSV profile of each archive member, ``(path=archive, member, header, max_width, rows)``:
-    one partial aggregation, the header being line number ``header_position``."""
+    """The CSV profile of each archive member, ``(path=archive, member, header, max_width, rows)``,
+    from content lines numbered per member (:func:`terrace.sources.files.archive_lines`): one
+    partial aggregation, the header being content line ``header_position``."""
     spec = spec or CsvSpec()
     n, hp = F.col("n"), spec.header_position if spec.header else -1
-    lines = lines.where(~_is_comment(spec))
-    body = (n > hp) & (F.trim(F.col("line")) != "")
+    body = n > hp
     return lines.groupBy("archive", "member").agg(
         F.max(F.when(n == hp, F.col("line"))).alias("header"),
         F.max(F.when(body, _field_count(F.col("line"), spec.delimiter))).alias("max_width"),
@@ -149,8 +132,10 @@ def format_result(profile: DataFrame, spec: CsvSpec | None = None, n_columns: in
     spec = spec or CsvSpec()
     if spec.header:
         expected = _field_count(F.col("header"), spec.delimiter)
+    elif n_columns is None:
+        raise ValueError("a header-less CSV format check needs the number of columns")
     else:
-        expected = F.lit(n_columns if n_columns is not None else 2 ** 31 - 1)
+        expected = F.lit(n_columns)
     return profile.select(*_named(profile),
                           (F.coalesce(F.col("max_width"), F.lit(0)) <= expected).alias("result"),
                           expected.alias("expected_columns"), "rows")
@@ -166,9 +151,10 @@ def columns_result(profile: DataFrame, expected: list[str], spec: CsvSpec | None
                           F.array_except(exp, cols).alias("missing_columns"))
 
 
-def check_csv_format(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
-    """D18 over a folder."""
-    return format_result(csv_profile(spark, path, spec, glob), spec)
+def check_csv_format(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv",
+                     n_columns: int | None = None) -> DataFrame:
+    """D18 over a folder (header-less files need ``n_columns``)."""
+    return format_result(csv_profile(spark, path, spec, glob), spec, n_columns)
 
 
 def check_csv_columns(spark: SparkSession, path: str, expected: list[str], spec: CsvSpec | None = None,

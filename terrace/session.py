@@ -94,9 +94,11 @@ def observed(observation, key: str, default: int = 0) -> int:
     plans it proves empty)."""
     try:
         value = observation.get.get(key)
-    except Exception as e:  # only the "no metrics reported" assertion means an empty input
+    except Exception as e:  # only "no metrics reported" means the input was empty
         java = getattr(e, "java_exception", None)
         if java is not None and java.getClass().getName() == "java.lang.AssertionError":
             return default
+        if java is None and "NO_OBSERVE_BEFORE_GET" in str(getattr(e, "getErrorClass", lambda: "")() or e):
+            return default
         raise
     return default if value is None else int(value)

@@ -67,9 +67,14 @@ def _target_columns(spark: SparkSession, spec: TableSpec, df: DataFrame) -> list
 def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> DataFrame:
     """P2 for a table: its columns in order, cast to the declared types, whole-row DISTINCT."""
     if spec.schema is not None:
-        typed = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
-        return typed.distinct()
-    return conform(df, _target_columns(spark, spec, df))
+        out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
+    else:
+        out = conform(df, _target_columns(spark, spec, df))
+    pf = spec.partition_field
+    if pf and pf in out.columns and out.schema[pf].dataType == StringType():
+        # '' and NULL share the default partition directory; keys must agree with what is read back
+        out = out.withColumn(pf, F.when(F.col(pf) == "", F.lit(None).cast("string")).otherwise(F.col(pf)))
+    return out.distinct()
 
 
 def append(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
@@ -95,6 +100,20 @@ def _partition_values(df: DataFrame, field: str) -> list[tuple]:
     return [(r.v, r.s) for r in rows]
 
 
+def _existing_partitions(spark: SparkSession, spec: TableSpec) -> list[tuple]:
+    """The table's partition directories, from the file system listing (metadata only)."""
+    fs, root = hadoop_fs(spark, spec.path)
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    prefix = f"{spec.partition_field}="
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            text = utils.unescapePathName(name[len(prefix):])
+            out.append((None, None) if text == "__HIVE_DEFAULT_PARTITION__" else (text, text))
+    return out
+
+
 def _is_default(text) -> bool:
     """NULL and '' both live in Spark's default partition directory."""
     return text is None or text == ""
@@ -165,13 +184,14 @@ def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched:
     try:
         if spec.partition_columns:
             _writer(staged, spec, "overwrite").parquet(spec.path)
-            remaining = {"" if _is_default(s) else s for _, s in _partition_values(staged, spec.partition_field)}
-            _drop_partitions(spark, spec, [(v, s) for v, s in (touched or [])
-                                           if ("" if _is_default(s) else s) not in remaining])
         else:
             staged.write.mode("overwrite").parquet(spec.path)
     except Exception as e:
         raise RuntimeError(f"rewrite of {spec.path} failed; the new rows are kept at {path}") from e
+    if spec.partition_columns:
+        remaining = {"" if _is_default(s) else s for _, s in _partition_values(staged, spec.partition_field)}
+        _drop_partitions(spark, spec, [(v, s) for v, s in (touched or [])
+                                       if ("" if _is_default(s) else s) not in remaining])
     delete_path(spark, path)
 
 
@@ -207,7 +227,7 @@ def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy
             check_duplicate_source_keys(target, src, spec.primary_keys, broadcast_source=small)
         plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, broadcast_source=small)
         # partition column not a key: the whole table is rewritten, every existing partition touched
-        rewrite = touched if touched is not None or not pf else _partition_values(read_target(spark, spec), pf)
+        rewrite = touched if touched is not None or not pf else _existing_partitions(spark, spec)
         _rewrite(spark, spec, plan.frame, rewrite)
     finally:
         delete_path(spark, src_path)

@@ -218,30 +218,42 @@ def archive_member_names(files: DataFrame, kind: str = "zip", encoding: str | No
 LINE_CHUNK = 10_000
 
 
-def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8", chunk: int = LINE_CHUNK) -> DataFrame:
-    """``(archive, member, n, line)``: the numbered text lines of every member, read through the
-    archive stream and emitted in batches of at most ``chunk`` lines, so a task holds one
-    archive's bytes plus one batch, never a whole decoded member."""
+def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8", chunk: int = LINE_CHUNK,
+                  comment: str | None = None, errors: str = "raise") -> DataFrame:
+    """``(archive, member, n, line)``: the content lines of every member (blank lines and lines
+    starting with ``comment`` are left out; ``n`` counts the content lines from 0, as a CSV
+    header position does), read through the archive stream and emitted in batches of at most
+    ``chunk`` lines, so a task holds one archive's bytes plus one batch, never a whole decoded
+    member.  A damaged archive raises (check archives first with :func:`archive_member_names`);
+    with ``errors="skip"`` its reading just stops (for checks of archives that are reported as
+    damaged anyway)."""
+    def lines_of(path, content):
+        out, rows = [], []
+        for name, opener in _members(kind, content):
+            n = 0
+            with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
+                for line in fh:
+                    line = line.rstrip("\n")
+                    if not line.strip() or (comment and line.startswith(comment)):
+                        continue
+                    rows.append((path, name, n, line))
+                    n += 1
+                    if len(rows) >= chunk:
+                        yield rows
+                        rows = []
+        if rows:
+            yield rows
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["archive", "member", "n", "line"]
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    members = _members(kind, bytes(content))
-                except Exception:  # unreadable archives are reported by archive_member_names
-                    continue
-                for name, opener in members:
-                    rows = []
-                    try:
-                        with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
-                            for n, line in enumerate(fh):
-                                rows.append((path, name, n, line.rstrip("\n")))
-                                if len(rows) >= chunk:
-                                    yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
-                                    rows = []
-                    except Exception:  # corrupt member: the archive is reported by archive_member_names
-                        break
-                    if rows:
-                        yield pd.DataFrame(rows, columns=["archive", "member", "n", "line"])
+                    for rows in lines_of(path, bytes(content)):
+                        yield pd.DataFrame(rows, columns=cols)
+                except Exception:
+                    if errors != "skip":
+                        raise
     return files.select("path", "content").mapInPandas(run, "archive string, member string, n long, line string")
 
 

@@ -11,7 +11,6 @@ header check, duplicate copies) stay in the batch job :func:`terrace.plans.landi
 
 from __future__ import annotations
 
-import hashlib
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +39,8 @@ def landing_stream(spark: SparkSession, folder: str, spec: LandingSpec, columns:
     return stamped.where(valid).drop("_path")
 
 
-def default_checkpoint(spark: SparkSession, folder: str, raw: TableSpec) -> str:
-    """A checkpoint folder that is the same on every run of the same landing stream."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        key = hashlib.sha1(f"{folder}|{raw.path}".encode()).hexdigest()[:16]
-        return f"{base.rstrip('/')}/terrace-streams/{key}"
+def default_checkpoint(raw: TableSpec) -> str:
+    """``<raw.path>_landing_checkpoint``: beside the table, on its storage, the same on every run."""
     return f"{raw.path.rstrip('/')}_landing_checkpoint"
 
 
@@ -54,14 +49,13 @@ def start_landing(spark: SparkSession, folder: str, spec: LandingSpec, raw: Tabl
                   processing_time: str | None = None) -> StreamingQuery:
     """Start the stream into ``raw.path``; ``available_now`` processes what is there and stops.
 
-    The default checkpoint is stable across restarts, so a restarted stream resumes from its
-    source log instead of re-reading every file: ``<spark.checkpoint.dir>/terrace-streams/<id>``,
-    ``<id>`` derived from the landing folder and the table, or ``<raw.path>_landing_checkpoint``
-    beside the table when no checkpoint folder is configured.  The table is a file-sink table
+    The default checkpoint (:func:`default_checkpoint`) is beside the table and the same on every
+    run, so a restarted stream resumes from its source log instead of re-reading every file.
+    The table is a file-sink table
     (``_spark_metadata`` log): the stream owns it, and batch rewrites (merge, delete) belong to the
     next layer's tables."""
     stream = landing_stream(spark, folder, spec, columns, date_from)
     w = (stream.writeStream.format("parquet").outputMode("append").partitionBy(spec.partition_field)
-         .option("checkpointLocation", checkpoint or default_checkpoint(spark, folder, raw)))
+         .option("checkpointLocation", checkpoint or default_checkpoint(raw)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start(raw.path)

@@ -1,4 +1,6 @@
 import io
+
+import pytest
 import os
 import tarfile
 import zipfile
@@ -280,3 +282,35 @@ def test_landing_corrupt_member_is_reported(spark, tmp_dir):
     st = {r.file_name: r.status for r in res.status.collect()}
     assert st == {"C_20240105.ZIP": "ERROR", "C_20240106.ZIP": "PROCESSED"}
     assert [tuple(r) for r in read_target(spark, res.table).collect()] == [("3", "4", "2024-01-06")]
+
+
+def test_archive_names_with_glob_characters(spark, tmp_dir):
+    _zip(f"{tmp_dir}/land/C_20240105[1].zip", {"m.csv": "x,y\n1,2\n"})
+    spec = LandingSpec(filename_pattern=r"C_\d{8}.*\.zip", zipped="zip", date_regex=r"(\d{4})(\d{2})(\d{2})")
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["x", "y"])
+    assert [r.status for r in res.status.collect()] == ["PROCESSED"]
+    assert [tuple(r) for r in read_target(spark, res.table).collect()] == [("1", "2", "2024-01-05")]
+
+
+@pytest.mark.parametrize("zipped,encoding", [(None, "UTF-8"), ("zip", "UTF-8"), (None, "ISO-8859-1")])
+def test_header_position_counts_content_lines(spark, tmp_dir, zipped, encoding):
+    text = "# generated\n\ntool v1\nid,name\n1,a\n"
+    csv = CsvSpec(header_position=1, comment="#", encoding=encoding)
+    if zipped:
+        _zip(f"{tmp_dir}/land/p_20240301.zip", {"m.csv": text})
+        spec = LandingSpec(filename_pattern=r"p_.*", zipped="zip", csv=csv, date_regex=r"(\d{4})(\d{2})(\d{2})")
+    else:
+        os.makedirs(f"{tmp_dir}/land")
+        with open(f"{tmp_dir}/land/p_20240301.csv", "wb") as fh:
+            fh.write(text.encode(encoding))
+        spec = LandingSpec(filename_pattern=r"p_.*", csv=csv, date_regex=r"(\d{4})(\d{2})(\d{2})")
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["id", "name"])
+    assert [(r.status, r.error) for r in res.status.collect()] == [("PROCESSED", "")]
+    assert [tuple(r) for r in read_target(spark, res.table).collect()] == [("1", "a", "2024-03-01")]
+
+
+def test_headerless_format_check_needs_column_count(spark, tmp_dir):
+    write(f"{tmp_dir}/in/a.csv", "1,2\n1,2,3\n")
+    with pytest.raises(ValueError):
+        check_csv_format(spark, f"{tmp_dir}/in", CsvSpec(header=False)).collect()
+    assert [r.result for r in check_csv_format(spark, f"{tmp_dir}/in", CsvSpec(header=False), n_columns=2).collect()] == [False]

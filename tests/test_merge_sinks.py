@@ -179,3 +179,13 @@ def test_whole_table_merge_keeps_partitioned_layout(spark, tmp_dir):
     merge_into(spark, spec, spark.createDataFrame([(2, "B", "p3")], SCHEMA))   # key moves partition
     assert rows(read_target(spark, spec)) == [(1, "a", "p1"), (2, "B", "p3")]
     assert not os.path.exists(f"{tmp_dir}/t/d=p2")
+
+
+def test_empty_string_key_updates_null_partition_row(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["d", "k"])
+    append(spark, spark.createDataFrame([(1, "a", None)], SCHEMA), spec)
+    res = merge_into(spark, spec, spark.createDataFrame([(1, "A", "")], SCHEMA), null_safe=True)
+    assert (res.merge.inserted, res.merge.updated) == (0, 1)      # '' is the NULL partition key
+    assert rows(read_target(spark, spec)) == [(1, "A", None)]
+    res = merge_into(spark, spec, spark.createDataFrame([(1, "B", "")], SCHEMA))
+    assert res.merge.inserted == 1                                # Q3: NULL keys never match by default

@@ -72,3 +72,8 @@ def test_streaming_landing_resumes_after_restart(spark, tmp_dir):
     start_landing(spark, f"{tmp_dir}/in", spec, raw, ["id"]).awaitTermination()   # a restart
     rows = sorted((r.id, str(r.data_date)) for r in spark.read.parquet(raw.path).collect())
     assert rows == [("1", "2024-01-01"), ("2", "2024-01-01"), ("3", "2024-01-02")]
+
+
+def test_stream_checkpoint_default_is_beside_the_table():
+    from terrace.streaming.landing_stream import default_checkpoint
+    assert default_checkpoint(TableSpec("/data/raw/t/")) == default_checkpoint(TableSpec("/data/raw/t")) == "/data/raw/t_landing_checkpoint"

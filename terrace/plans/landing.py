@@ -21,8 +21,8 @@ from ..quality.files import (columns_result, content_lines, csv_lines, csv_profi
                              member_profile, numbered_lines)
 from ..sinks.tables import WriteResult, broadcast_limit, write_raw
 from ..session import checkpoint_root
-from ..sources.files import (archive_lines, archive_member_names, list_files, nested_json_items, source_path,
-                             source_path_of)
+from ..sources.files import (archive_lines, archive_member_names, list_files, literal_path, nested_json_items,
+                             source_path, source_path_of)
 from ..specs import LandingSpec, TableSpec
 
 
@@ -89,7 +89,8 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
     files = files.withColumn("error", F.concat_ws("; ", *errors))
     dup = F.lit(False)
     if processed is not None and spec.compare_with_previous_file:
-        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "content")
+        content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal_path(folder))
+                   .select("path", "content"))
         incoming = content.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
         flags = flag_unchanged(incoming, processed).select("path", "is_duplicate")
         files = files.join(flags, "path", "left")
@@ -105,17 +106,12 @@ def _archives(spark: SparkSession, folder: str, spec: LandingSpec, only: list[st
     if only is None:
         listing = list_files(spark, folder).where(F.col("file_name").rlike(anchored(spec.filename_pattern)))
         only = [r.path for r in listing.select("path").collect()]
-    paths = [_glob_escape(p) for p in only]
+    paths = [literal_path(p) for p in only]
     if not paths:
         return spark.createDataFrame([], "path string, content binary")
     return spark.read.format("binaryFile").load(paths).select("path", "content")
 
 
-def _glob_escape(path: str) -> str:
-    """A listed path as a literal for Spark's path globbing ([, ], {, }, *, ? are escaped)."""
-    return "".join("\\" + ch if ch in "[]{}*?\\" else ch for ch in path)
-
-
 def _line_options(spec: LandingSpec) -> dict:
     """CSV options for parsing single lines with ``from_csv``."""
     return {k: v for k, v in spec.csv.read_options().items() if k not in ("header", "multiLine", "encoding")}
@@ -149,15 +145,15 @@ def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[st
         r = spark.read.options(**spec.csv.read_options()).option("recursiveFileLookup", "true")
         if columns:
             r = r.schema(all_string_schema(columns))
-        df = r.csv(folder)
+        df = r.csv(literal_path(folder))
         return df.select("*", meta)
     if spec.file_format == "xml":
         r = (spark.read.format("xml").option("rowTag", spec.xml.row_tag).option("attributePrefix", "")
              .option("recursiveFileLookup", "true"))
         r = r.schema(all_string_schema(columns)) if columns else r.option("inferSchema", "false")
-        return r.load(folder).na.fill("").select("*", meta)
+        return r.load(literal_path(folder)).na.fill("").select("*", meta)
     if spec.file_format == "parquet":
-        return spark.read.option("recursiveFileLookup", "true").parquet(folder).select("*", meta)
+        return spark.read.option("recursiveFileLookup", "true").parquet(literal_path(folder)).select("*", meta)
     raise ValueError(f"unknown landing format {spec.file_format!r}")
 
 
@@ -165,6 +161,8 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
          processed: DataFrame | None = None, date_from: str = "name",
          checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names")) -> LandingResult:
     """Land every file of ``folder`` into the raw table; returns per-file statuses and counts."""
+    if spec.zipped and spec.file_format != "csv":
+        raise ValueError("archive members are landed as CSV; unpack other formats before landing")
     line_based = spec.zipped or (spec.file_format == "csv" and spec.csv.header and spec.csv.header_position > 0)
     if line_based and not columns:
         raise ValueError("columns are needed to parse archive members or CSV files with a header below line 1")
@@ -185,7 +183,7 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
     if ok is None:
         return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=0), raw)
     if spec.file_format == "json":
-        lines = (spark.read.option("recursiveFileLookup", "true").text(folder)
+        lines = (spark.read.option("recursiveFileLookup", "true").text(literal_path(folder))
                  .select("value", source_path().alias("path")).join(ok, "path"))
         items = nested_json_items(lines, spec.json, spec.partition_field, file_date=F.col("file_date"))
         m = F.from_json("item", "map<string,string>")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import anchored, content_md5, normalise_header
 from ..operators.sets import latest_copies
-from ..sources.files import source_path_of
+from ..sources.files import literal_path, source_path_of
 from ..specs import CsvSpec
 
 
@@ -48,10 +48,10 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec:
     if glob:
         r = r.option("pathGlobFilter", glob)
     if spec.encoding.lower() in _UTF8:
-        df = r.text(path).withColumnRenamed("value", "line")
+        df = r.text(literal_path(path)).withColumnRenamed("value", "line")
     else:
         df = (r.option("encoding", spec.encoding).option("sep", "\u0001").option("quote", "\u0000")
-              .option("escape", "\u0000").option("header", "false").schema("line string").csv(path))
+              .option("escape", "\u0000").option("header", "false").schema("line string").csv(literal_path(path)))
     return df.select("line", F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
 
@@ -59,7 +59,7 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec:
 def content_lines(lines: DataFrame, spec: CsvSpec) -> DataFrame:
     """Lines that carry content: blank lines and comment lines are left out.  Header positions
     count these lines only, as a CSV reader's header position does."""
-    keep = F.trim(F.col("line")) != ""
+    keep = ~F.col("line").rlike(r"^[\x00-\x20]*$")     # blank: only characters <= U+0020
     if spec.comment:
         keep = keep & ~F.startswith(F.col("line"), F.lit(spec.comment))
     return lines.where(keep)

@@ -98,7 +98,5 @@ def observed(observation, key: str, default: int = 0) -> int:
         java = getattr(e, "java_exception", None)
         if java is not None and java.getClass().getName() == "java.lang.AssertionError":
             return default
-        if java is None and "NO_OBSERVE_BEFORE_GET" in str(getattr(e, "getErrorClass", lambda: "")() or e):
-            return default
         raise
     return default if value is None else int(value)

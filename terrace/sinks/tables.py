@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.columns import conform
 from ..operators.merge import MergeCounts, check_duplicate_source_keys, plan_merge
 from ..session import delete_path, hadoop_fs, observed, path_exists, scratch_path
 from ..specs import TableSpec
@@ -69,7 +68,7 @@ def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> Dat
     if spec.schema is not None:
         out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
     else:
-        out = conform(df, _target_columns(spark, spec, df))
+        out = df.select(*[F.col(f"`{c}`") for c in _target_columns(spark, spec, df)])
     pf = spec.partition_field
     if pf and pf in out.columns and out.schema[pf].dataType == StringType():
         # '' and NULL share the default partition directory; keys must agree with what is read back
@@ -188,11 +187,13 @@ def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched:
             staged.write.mode("overwrite").parquet(spec.path)
     except Exception as e:
         raise RuntimeError(f"rewrite of {spec.path} failed; the new rows are kept at {path}") from e
-    if spec.partition_columns:
-        remaining = {"" if _is_default(s) else s for _, s in _partition_values(staged, spec.partition_field)}
-        _drop_partitions(spark, spec, [(v, s) for v, s in (touched or [])
-                                       if ("" if _is_default(s) else s) not in remaining])
-    delete_path(spark, path)
+    try:
+        if spec.partition_columns:
+            remaining = {"" if _is_default(s) else s for _, s in _partition_values(staged, spec.partition_field)}
+            _drop_partitions(spark, spec, [(v, s) for v, s in (touched or [])
+                                           if ("" if _is_default(s) else s) not in remaining])
+    finally:
+        delete_path(spark, path)   # the table already holds the new rows
 
 
 def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy: str = "upsert",

@@ -8,6 +8,7 @@ import codecs
 import io
 import tarfile
 import zipfile
+import zlib
 from typing import Iterator
 
 import pandas as pd
@@ -19,6 +20,12 @@ from ..functions.casting import all_string_schema
 from ..specs import CsvSpec, JsonSpec, XmlSpec
 
 
+def literal_path(path: str) -> str:
+    """A path as a literal for Spark's readers, which glob-expand paths: [, ], {, }, * and ? are
+    escaped, so a folder or file named with them reads as itself."""
+    return "".join("\\" + ch if ch in "[]{}*?\\" else ch for ch in path)
+
+
 def source_path_of(encoded: Column) -> Column:
     """A URI-encoded file path (as ``_metadata.file_path`` reports it: spaces become %20, '+'
     stays literal) in ``binaryFile``'s plain form."""
@@ -216,6 +223,10 @@ def archive_member_names(files: DataFrame, kind: str = "zip", encoding: str | No
 
 
 LINE_CHUNK = 10_000
+# Characters a CSV reader treats as blank around a line (Java trim: every char <= U+0020).
+_BLANK = "".join(chr(i) for i in range(33))
+# Errors that mean a damaged archive or member (bad zip/tar structure, CRC, truncation, bad text).
+ARCHIVE_DAMAGE = (zipfile.BadZipFile, tarfile.TarError, zlib.error, EOFError, UnicodeDecodeError, OSError)
 
 
 def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8", chunk: int = LINE_CHUNK,
@@ -228,13 +239,13 @@ def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8",
     with ``errors="skip"`` its reading just stops (for checks of archives that are reported as
     damaged anyway)."""
     def lines_of(path, content):
-        out, rows = [], []
+        rows = []
         for name, opener in _members(kind, content):
             n = 0
             with io.TextIOWrapper(opener(), encoding=encoding, newline=None) as fh:
                 for line in fh:
                     line = line.rstrip("\n")
-                    if not line.strip() or (comment and line.startswith(comment)):
+                    if not line.strip(_BLANK) or (comment and line.startswith(comment)):
                         continue
                     rows.append((path, name, n, line))
                     n += 1
@@ -251,7 +262,7 @@ def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8",
                 try:
                     for rows in lines_of(path, bytes(content)):
                         yield pd.DataFrame(rows, columns=cols)
-                except Exception:
+                except ARCHIVE_DAMAGE:
                     if errors != "skip":
                         raise
     return files.select("path", "content").mapInPandas(run, "archive string, member string, n long, line string")
@@ -269,7 +280,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, with_con
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(path)
+    df = r.load(literal_path(path))
     cols = ["path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "modificationTime", "length"]
     if with_content:
         cols.append("content")

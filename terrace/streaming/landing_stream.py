@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
-from ..sources.files import source_path
+from ..sources.files import literal_path, source_path
 from ..specs import LandingSpec, TableSpec
 
 
@@ -31,7 +31,7 @@ def landing_stream(spark: SparkSession, folder: str, spec: LandingSpec, columns:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if spec.file_format != "csv":
         raise ValueError("streaming landing reads CSV deliveries; other formats land in batch")
-    rows = r.csv(folder).withColumn("_path", source_path())
+    rows = r.csv(literal_path(folder)).withColumn("_path", source_path())
     name = F.element_at(F.split("_path", "/"), -1)
     source = F.col("_path") if date_from == "path" else name
     stamped = rows.withColumn(spec.partition_field, file_date(source, spec.date_regex))
@@ -40,8 +40,10 @@ def landing_stream(spark: SparkSession, folder: str, spec: LandingSpec, columns:
 
 
 def default_checkpoint(raw: TableSpec) -> str:
-    """``<raw.path>_landing_checkpoint``: beside the table, on its storage, the same on every run."""
-    return f"{raw.path.rstrip('/')}_landing_checkpoint"
+    """``<raw.path>/_landing_checkpoint``: on the table's storage (also at a bucket root), the same
+    on every run, and invisible to readers of the table (``_`` prefix).  The stream owns the table:
+    one landing stream per raw table, as the file sink's own log requires."""
+    return f"{raw.path.rstrip('/')}/_landing_checkpoint"
 
 
 def start_landing(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, columns: list[str],

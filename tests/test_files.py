@@ -314,3 +314,18 @@ def test_headerless_format_check_needs_column_count(spark, tmp_dir):
     with pytest.raises(ValueError):
         check_csv_format(spark, f"{tmp_dir}/in", CsvSpec(header=False)).collect()
     assert [r.result for r in check_csv_format(spark, f"{tmp_dir}/in", CsvSpec(header=False), n_columns=2).collect()] == [False]
+
+
+def test_landing_folder_named_with_glob_characters(spark, tmp_dir):
+    write(f"{tmp_dir}/land[1]/d_2024-01-05.csv", "id,name\n1,a\n\t\n")
+    write(f"{tmp_dir}/land[1]/d_2024-01-06.csv", "tool\n\t\nid,name\n2,b\n")
+    spec = LandingSpec(filename_pattern=r"d_.*\.csv")
+    res = land(spark, f"{tmp_dir}/land[1]", spec, TableSpec(f"{tmp_dir}/raw", partition_field="data_date"),
+               columns=["id", "name"])
+    st = {r.file_name: r.status for r in res.status.collect()}
+    assert st["d_2024-01-05.csv"] == "PROCESSED"     # a tab-only line is blank
+    assert [tuple(r) for r in read_target(spark, res.table).where("data_date = '2024-01-05'").collect()] == [("1", "a", "2024-01-05")]
+    spec1 = LandingSpec(filename_pattern=r"d_2024-01-06\.csv", csv=CsvSpec(header_position=1))
+    res1 = land(spark, f"{tmp_dir}/land[1]", spec1, TableSpec(f"{tmp_dir}/raw1", partition_field="data_date"),
+                columns=["id", "name"])
+    assert [tuple(r) for r in read_target(spark, res1.table).collect()] == [("2", "b", "2024-01-06")]

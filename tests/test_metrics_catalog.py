@@ -76,4 +76,5 @@ def test_streaming_landing_resumes_after_restart(spark, tmp_dir):
 
 def test_stream_checkpoint_default_is_beside_the_table():
     from terrace.streaming.landing_stream import default_checkpoint
-    assert default_checkpoint(TableSpec("/data/raw/t/")) == default_checkpoint(TableSpec("/data/raw/t")) == "/data/raw/t_landing_checkpoint"
+    assert default_checkpoint(TableSpec("/data/raw/t/")) == default_checkpoint(TableSpec("/data/raw/t")) == "/data/raw/t/_landing_checkpoint"
+    assert default_checkpoint(TableSpec("s3a://lake/")) == "s3a://lake/_landing_checkpoint"

@@ -4,9 +4,10 @@ import pytest
 
 from oracle_compare import compare, duck
 from conftest import SF_SMALL
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from terrace.queries import ORACLES, QUERIES
 
-NAMES = list(queries())
+NAMES = list(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_but_rows_only_has_oracle():
-    rows_only = set(queries()) - set(oracle_sql())
+    rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"flow_run_summary", "schema_lookup"}
 
 

@@ -1,10 +1,10 @@
-"""Queries of the trained models: toxicity (2), quality (9)."""
+"""Queries of the trained models: toxicity (2), language model (5), quality (9)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import lm, quality, toxicity
 from .common import fold, table
 from .queries import register
 
@@ -32,3 +32,11 @@ def op9_quality(spark, sf_dir):
     docs = docs.select("doc_id", "text")
     model = quality.fit(docs, graded(labels.where(fold("doc_id", 5) != 0)))
     return quality.grade(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "expected_grade", F.col("tail_prob").alias("score"), "tail_prob", "keep")
+
+
+@register("op5_lm")
+def op5_lm(spark, sf_dir):
+    """Every document scored by the language model of the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.train(docs.where(fold("doc_id", 7) != 2))
+    return lm.score(docs, model).select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")

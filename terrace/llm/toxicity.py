@@ -33,7 +33,7 @@ from .common import fold, release, staged, words_of
 #: Most examples in the index (half of them toxic, as far as there are) and most terms.
 EXAMPLES, TERMS = 4000, 5000
 #: Least chi-square (1 degree of freedom) and least number of examples of a term.
-CHI_SQUARE, LEAST_EXAMPLES = 30.0, 3
+CHI_SQUARE, LEAST_EXAMPLES = 20.0, 3
 BLOCK = 64
 NEIGHBOURS = 15
 

@@ -1,11 +1,12 @@
-"""Queries of the operators that read whole texts: BPE (3), decontamination (1), SimHash (8)."""
+"""Queries of the operators that read whole texts: BPE (3), decontamination (1), SimHash (8),
+suffix-array dedup (10)."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, suffix_dedup
 from .common import table
 from .decontaminate import find_hits, span_words
 from .queries import register
@@ -62,3 +63,10 @@ def op8_simhash(spark, sf_dir):
     """Every document's fingerprint and the component it is linked into."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register("op10_suffix_dedup")
+def op10_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes of 50-byte strings that a document with a smaller id has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup(docs, digest=True).withColumnRenamed("kept", "kept_sha256")

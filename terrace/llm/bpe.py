@@ -186,43 +186,44 @@ def _batches(texts: list, most: int = 2_000_000):
         yield texts[at:]
 
 
-def _mapper(path: str, column: str, as_ids: bool):
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+#: Result columns: Arrow type, Spark type, and how each comes from the ids joined by blanks and the decoded text.
+RESULTS = {
+    "ids": (pa.list_(pa.int32()), ArrayType(IntegerType()), lambda ids, decoded: [int(i) for i in ids.split()]),
+    "decoded": (pa.string(), StringType(), lambda ids, decoded: decoded),
+    "ids_sha256": (pa.string(), StringType(), lambda ids, decoded: _sha256(ids)),
+    "decoded_sha256": (pa.string(), StringType(), lambda ids, decoded: _sha256(decoded)),
+}
+
+
+def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None, results: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """``keep`` columns (default doc_id) of every row with ``n_tokens`` and the asked-for ``results``: ids (array of
+    int), decoded text, and their SHA-256 (ids_sha256, decoded_sha256).  What is not asked for never leaves the worker."""
+    keep = keep or ["doc_id"]
+    src = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
+    schema = StructType([f for f in src.schema.fields if f.name != "_text"]
+                        + [StructField("n_tokens", LongType())] + [StructField(r, RESULTS[r][1]) for r in results])
+
     def run(batches):
-        own = codec(path)
+        own = codec(tokenizer_path)
         for batch in batches:
-            at = batch.schema.get_field_index(column)
-            n, first, second = [], [], []
+            at = batch.schema.get_field_index("_text")
+            n: list[int] = []
+            columns: list[list] = [[] for _ in results]
             for part in _batches(batch.column(at).to_pylist()):
                 for count, ids, decoded in own.encode_batch(part):
                     n.append(count)
-                    if as_ids:
-                        first.append([int(i) for i in ids.split()])
-                        second.append(decoded)
-                    else:
-                        first.append(hashlib.sha256(ids.encode()).hexdigest())
-                        second.append(hashlib.sha256(decoded.encode()).hexdigest())
-            rest = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            added = [pa.array(n, pa.int64()), pa.array(first, pa.list_(pa.int32()) if as_ids else pa.string()), pa.array(second, pa.string())]
-            names = [c for i, c in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays(rest + added, names=names + ["n_tokens", "a", "b"])
-    return run
-
-
-def _encoded(docs: DataFrame, path: str, column: str, keep: list[str], as_ids: bool) -> DataFrame:
-    src = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(column).alias("_text"))
-    kinds = [ArrayType(IntegerType()), StringType()] if as_ids else [StringType(), StringType()]
-    schema = StructType([f for f in src.schema.fields if f.name != "_text"]
-                        + [StructField("n_tokens", LongType()), StructField("a", kinds[0]), StructField("b", kinds[1])])
-    names = ["ids", "decoded"] if as_ids else ["ids_sha256", "decoded_sha256"]
-    return src.mapInArrow(_mapper(path, "_text", as_ids), schema).toDF(*keep, "n_tokens", *names)
-
-
-def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id) with n_tokens, ids (array of int) and decoded text."""
-    return _encoded(docs, tokenizer_path, text, keep or ["doc_id"], True)
+                    for column, result in zip(columns, results):
+                        column.append(RESULTS[result][2](ids, decoded))
+            rest = [i for i in range(batch.num_columns) if i != at]
+            arrays = [pa.array(n, pa.int64())] + [pa.array(c, RESULTS[r][0]) for c, r in zip(columns, results)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + arrays, names=[batch.schema.names[i] for i in rest] + ["n_tokens", *results])
+    return src.mapInArrow(run, schema).toDF(*keep, "n_tokens", *results)
 
 
 def encode_digest(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (default doc_id) with n_tokens and the SHA-256 of the ids and of the decoded
-    text; the ids and the decoded text themselves never leave the worker."""
-    return _encoded(docs, tokenizer_path, text, keep or ["doc_id"], False)
+    """Number of tokens and SHA-256 of ids and decoded text."""
+    return encode(docs, tokenizer_path, text, keep, ("ids_sha256", "decoded_sha256"))

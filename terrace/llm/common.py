@@ -57,3 +57,10 @@ def units(total: int, each: int, least: int = 1) -> int:
 def fold(doc_id: str, folds: int):
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % F.lit(folds)
+
+
+def plainly(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, str, str, list[str]]:
+    """``docs`` with columns c0, c1, ... so that no column's name can clash with an operator's own;
+    the new names of the text and the id, and the old names, for ``toDF`` at the end."""
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), f"c{names.index(text)}", f"c{names.index(doc_id)}", names

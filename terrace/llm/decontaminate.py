@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import staged, words_of
+from .common import plainly, staged, words_of
 
 #: Words of test items in one automaton: about 2 states and 600 bytes each in memory.
 BLOCK_WORDS = 100_000
@@ -244,14 +244,13 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([b.column(i) for i in rest] + [pa.array(out, pa.string())], names=[b.schema.names[i] for i in rest] + ["_clean"])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, coverage: float = 0.5, text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, coverage: float = 0.5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without test passages: rows of which more than ``coverage`` of the words are hit go;
     in the others the hit spans are cut out of ``text``.  Columns stay as they are."""
-    names = docs.columns
-    hits = find_hits(docs, benchmark, window, text, keep=[c for c in names if c != text], with_text=True)
+    plain, text, _, names = plainly(docs, text, doc_id)
+    others = [c for c in plain.columns if c != text]
+    hits = find_hits(plain, benchmark, window, text, keep=others, with_text=True)
     kept = hits.where(span_words() <= F.lit(coverage) * F.col("n_words")).drop("n_words", "items")
-    others = [c for c in names if c != text]
-    plain = kept.toDF(*[f"k{i}" for i in range(len(others))], "spans", "_text")
-    schema = StructType([f for f in plain.schema.fields if f.name.startswith("k")] + [StructField("_clean", StringType())])
-    done = plain.mapInArrow(_cut, schema).toDF(*others, text)
-    return done.select(*names)
+    schema = StructType([f for f in kept.schema.fields if f.name in others] + [StructField("_clean", StringType())])
+    done = kept.mapInArrow(_cut, schema).withColumnRenamed("_clean", text)
+    return done.select(*plain.columns).toDF(*names)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import release, staged
+from .common import plainly, release, staged
 from .components import components
 
 BITS = 64
@@ -255,3 +255,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     of, _ = staged(placed.join(least, "root").select("fp", "component_id"), "simhash-components")
     release(docs.sparkSession, path)
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id (one, if several rows have it).
+    Where a component has no id at all, one row of each fingerprint stays.  Columns stay as they are."""
+    plain, text, doc_id, names = plainly(docs, text, doc_id)
+    near, _ = staged(near_duplicates(plain, text, doc_id, shingle, distance), "simhash-near")
+    first = near.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = plain.join(first, doc_id, "left_semi").dropDuplicates([doc_id])
+    bare = plain.where(F.col(doc_id).isNull())
+    bare = fingerprints(bare.withColumn("_words", F.col(text)), "_words", plain.columns, shingle)
+    bare = bare.join(near.where("component_id IS NULL").select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
+    return named.select(*plain.columns).unionAll(bare.select(*plain.columns)).toDF(*names)

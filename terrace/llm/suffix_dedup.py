@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import release, staged, text_bytes, units
+from .common import plainly, release, staged, text_bytes, units
 
 LENGTH, GRAM = 50, 20
 #: Bytes of documents in a chunk, of a piece that is hashed at once, and of text for a shard of triggers and of phrases.
@@ -402,3 +402,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str
     schema = StructType([f for f in src.schema.fields if f.name.startswith("k")] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", StringType())])
     both = chunks.join(told, "chunk", "left").join(heard, "chunk", "left").select("chunk", "body", "told", "heard")
     return both.mapInArrow(_taken_out(length, digest), schema).toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def drop_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` with repeated strings taken out of ``text``; rows of which nothing is left go.  Columns stay as they are."""
+    plain, text, doc_id, names = plainly(docs, text, doc_id)
+    others = [c for c in plain.columns if c != text]
+    left = dedup(plain, length, text, doc_id, keep=others).where("n_removed < n_bytes OR n_removed = 0")
+    return left.withColumnRenamed("kept", text).select(*plain.columns).toDF(*names)

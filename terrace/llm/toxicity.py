@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import fold, release, staged, words_of
+from .common import fold, plainly, release, staged, words_of
 
 #: Most examples in the index (half of them toxic, as far as there are) and most terms.
 EXAMPLES, TERMS = 4000, 5000
@@ -236,9 +236,9 @@ def training_labels(labels: DataFrame, folds: int = 5) -> DataFrame:
     return labels.where(fold("doc_id", folds) != 0).select("doc_id", F.col("toxic").alias("label"))
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, text: str = "text") -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the rows that score ``limit`` or more; columns stay as they are."""
-    index = fit(docs, training_labels(labels), text=text)
-    names = docs.columns
-    out = score(docs, index, text, [c for c in names if c != text], with_text=True).where(F.col("score") < limit)
-    return out.withColumn(text, F.col("_text").cast("string")).select(*names)
+    plain, text, doc_id, names = plainly(docs, text, doc_id)
+    index = fit(plain, training_labels(labels), text=text, doc_id=doc_id)
+    clean = score(plain, index, text, [c for c in plain.columns if c != text], with_text=True).where(F.col("score") < limit)
+    return clean.withColumn(text, F.col("_text").cast("string")).select(*plain.columns).toDF(*names)

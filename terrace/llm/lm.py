@@ -234,6 +234,8 @@ class Model:
         for s in np.unique(shard):
             at = order[shard == s]
             keys = _mapped(f"{self.folder}/words", f"hash-{s}")
+            if keys is None:
+                continue
             place = np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)
             hit = keys[place] == h[at]
             out[at[hit]] = _mapped(f"{self.folder}/words", f"values-{s}")[place[hit]]

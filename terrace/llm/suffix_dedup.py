@@ -256,7 +256,9 @@ def _triggers(length: int, shards: int):
                 _, ids, _, p = _opened(body.as_py(), length)
                 order = np.lexsort((ids[p.doc], p.trigger))
                 t, d = p.trigger[order], ids[p.doc[order]]
-                first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
+                if not len(t):
+                    continue
+                first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
                 last = np.append(first[1:], len(t)) - 1
                 t, several = t[first], d[first] != d[last]
                 t = (t & ~U64(0x1FFFF)) | (several.astype(U64) << U64(16))

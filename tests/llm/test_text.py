@@ -286,6 +286,6 @@ def test_drop_repeats_keeps_columns_and_rows_without_id(spark):
     out = suffix_dedup.drop_repeats(docs)
     assert out.columns == docs.columns
     got = {(r["doc_id"], r["text"]) for r in out.collect()}
-    assert got == {(1, texts[0]), (3, "tail "), (None, texts[3]), (4, None), (5, "")}
+    assert got == {(1, texts[0]), (3, "tail"), (None, texts[3]), (4, None), (5, "")}
     assert suffix_dedup.drop_repeats(docs.limit(0)).count() == 0
     assert out.select(F.max("k0")).first()[0] == "k"

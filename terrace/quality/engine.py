@@ -1,34 +1,34 @@
 """Evaluate data-quality rules and score them.
 
-Each rule becomes a lazy frame of outcomes ``(rule keys, identifier, result_num, result_bool)``:
-Regex rules unpivot the checked columns and ``rlike`` a literal pattern (compiled once, inside
-codegen); SQL rules run their templated query; Python rules call a registered function.  All
-outcome frames are unioned, flagged against the rule thresholds (a broadcast of the already
-collected configuration rows) and scored by ONE aggregation grouped by rule and flag (plus the
-column for Regex rules): partial aggregation runs map-side, and its output is bounded by the
-configuration (rules x columns x 3 rows), so it is collected and the results rows are built from
-it.  Only failing SQL/Python rules need a second, filtered pass for their detail text: at most
-``detail_limit`` invalid identifiers (window group-limit: partial top-k before the shuffle) plus
-how many more there are; the complete identifier lists stay available as a DataFrame
-(:func:`rule_identifiers`).
+Every rule has its place in the rules frame (``_rule``), its own outcome frame and its own
+thresholds as literals, so neither repeated nor missing rule ids can mix outcomes.  SQL and Python
+rules give ``(identifier, result)`` rows; their outcomes are counted by observations while the
+invalid identifiers of all of them are written, complete, to one staged table: one job over the
+union, no join and no second pass.  Regex rules over one checked frame share one scan: one
+aggregation of match counts per (rule, column).
+
+If a shared job fails, its rules run one by one, so only the failing rule gets an error.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from ..functions.text import to_java_regex
-from ..functions.thresholds import pass_ratio, threshold_flag
+from ..functions.thresholds import threshold_flag
 from ..operators.sets import union_all
-from .rules import violation_list
+from ..session import observed, scratch_path
+from .rules import effective_rules, violation_list
 
 KEYS = ["control_master_id", "control_table_id"]
-OUTCOME_COLS = KEYS + ["identifier", "result_num", "result_bool", "_kind"]
+IDENTIFIERS_DDL = "control_master_id string, control_table_id string, identifier string, data_date date"
 
 # name -> fn(df, rule, **params) for Data level, fn(rule, **params) for File level;
 # returns a DataFrame with columns identifier, result.
@@ -49,30 +49,40 @@ class RuleError(Exception):
 @dataclass
 class ControlRun:
     results: DataFrame           # controls_results rows of the rules that computed
-    status: DataFrame            # (rule keys, status ok|error, error)
+    status: DataFrame            # (rule keys, status ok|error, error, total, invalid) of every rule
     overall: DataFrame           # one row: overall boolean, failed_rules, errored_rules
-    outcomes: DataFrame | None = None
-    errors: dict = field(default_factory=dict)
+    identifiers: DataFrame       # every invalid identifier of every rule: IDENTIFIERS_DDL
+    errors: dict = field(default_factory=dict)      # by place in the rules frame
 
     def verdict(self) -> bool:
         return bool(self.overall.first()["overall"])
 
 
+@dataclass
+class Counts:
+    """What one rule's outcomes add up to."""
+    total: int = 0
+    invalid: int = 0
+    nulls: int = 0
+    valid_columns: list = field(default_factory=list)
+    invalid_columns: list = field(default_factory=list)
+
+
 def _as_outcomes(df: DataFrame, rule: dict) -> DataFrame:
-    """A rule's result frame must have ``identifier`` and ``result``."""
+    """A rule's result frame must have ``identifier`` and a numeric or boolean ``result``.
+    Adds the row's validity under the rule's own limits."""
     if df is None or "identifier" not in df.columns or "result" not in df.columns:
         raise RuleError('the result frame must have the columns "identifier" and "result"')
-    rtype = df.schema["result"].dataType.simpleString()
-    _check_result_type(rule, rtype == "boolean")
-    if rtype == "boolean":
-        num, flag = F.col("result").cast("int").cast("double"), F.col("result")
-    else:
-        num, flag = F.col("result").cast("double"), F.lit(None).cast("boolean")
-    return df.select(F.lit(rule["control_master_id"]).alias("control_master_id"),
-                     F.lit(rule["control_table_id"]).alias("control_table_id"),
-                     F.col("identifier").cast("string").alias("identifier"),
-                     num.alias("result_num"), flag.alias("result_bool"),
-                     F.lit(rule.get("control_algorithm_type")).alias("_kind"))
+    kind = df.schema["result"].dataType
+    if not isinstance(kind, (BooleanType, NumericType)):
+        raise RuleError(f"a result must be numeric or boolean, not {kind.simpleString()}")
+    boolean = isinstance(kind, BooleanType)
+    _check_result_type(rule, boolean)
+    num = F.col("result").cast("int").cast("double") if boolean else F.col("result").cast("double")
+    flag = threshold_flag(num, F.col("result") if boolean else F.lit(None).cast("boolean"), rule["control_threshold_type"],
+                          rule["control_threshold_min"], rule["control_threshold_max"])
+    return df.select(F.lit(rule["_rule"]).alias("_rule"), F.col("identifier").cast("string").alias("identifier"),
+                     flag.alias("flag"), F.col("result").isNull().alias("_null"))
 
 
 def _check_result_type(rule: dict, is_boolean: bool) -> None:
@@ -85,20 +95,38 @@ def _check_result_type(rule: dict, is_boolean: bool) -> None:
         raise RuleError("an Absolute threshold needs a numeric result")
 
 
-def regex_outcomes(df: DataFrame, rule: dict) -> DataFrame:
-    """One outcome per (row, checked column); identifier = column name; NULL matched as ''."""
+def regex_columns(df: DataFrame | None, rule: dict) -> list[str]:
+    if df is None:
+        raise RuleError("a regex rule needs the data frame")
     _check_result_type(rule, True)
     cols = [c.strip() for c in (rule.get("control_field") or "").split(",") if c.strip()]
     missing = [c for c in cols if c not in df.columns]
     if not cols or missing:
         raise RuleError(f"regex rule columns not found: {missing or cols}")
-    pattern = to_java_regex(rule["control_description"])
-    stacked = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols]).unpivot([], cols, "identifier", "value")
-    matched = F.coalesce(F.col("value"), F.lit("")).rlike(pattern)
-    return stacked.select(F.lit(rule["control_master_id"]).alias("control_master_id"),
-                          F.lit(rule["control_table_id"]).alias("control_table_id"), "identifier",
-                          matched.cast("int").cast("double").alias("result_num"), matched.alias("result_bool"),
-                          F.lit("Regex").alias("_kind"))
+    return cols
+
+
+def _regex_valid(rule: dict, column: str) -> Column:
+    """The value (NULL as '') matches, judged by the rule's own limits."""
+    matched = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).rlike(to_java_regex(rule["control_description"]))
+    return threshold_flag(matched.cast("int").cast("double"), matched, rule["control_threshold_type"],
+                          rule["control_threshold_min"], rule["control_threshold_max"])
+
+
+def regex_counts(df: DataFrame, rules: list[tuple[dict, list[str]]]) -> dict[int, Counts]:
+    """ONE scan of the checked frame for all its regex rules: match counts per (rule, column)."""
+    checks = [(rule["_rule"], c, _regex_valid(rule, c)) for rule, cols in rules for c in cols]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(valid).alias(f"c{i}") for i, (_, _, valid) in enumerate(checks)]).first()
+    out: dict[int, Counts] = {rule["_rule"]: Counts() for rule, _ in rules}
+    for i, (place, column, _) in enumerate(checks):
+        counts, valid = out[place], row[f"c{i}"]
+        counts.total += row["n"]
+        counts.invalid += row["n"] - valid
+        if valid and column not in counts.valid_columns:
+            counts.valid_columns.append(column)
+        if valid < row["n"] and column not in counts.invalid_columns:
+            counts.invalid_columns.append(column)
+    return out
 
 
 def sql_outcomes(spark: SparkSession, rule: dict, df: DataFrame | None, params: dict) -> DataFrame:
@@ -122,10 +150,6 @@ def python_outcomes(df: DataFrame | None, rule: dict, params: dict, registry: di
 
 def rule_outcomes(spark: SparkSession, df: DataFrame | None, rule: dict, params: dict, registry: dict) -> DataFrame:
     kind = rule.get("control_algorithm_type")
-    if kind == "Regex":
-        if df is None:
-            raise RuleError("a regex rule needs the data frame")
-        return regex_outcomes(df, rule)
     if kind == "SQL":
         return sql_outcomes(spark, rule, df, params)
     if kind == "Python":
@@ -133,113 +157,83 @@ def rule_outcomes(spark: SparkSession, df: DataFrame | None, rule: dict, params:
     raise RuleError(f"unknown algorithm type {kind!r}")
 
 
-def _with_flags(outcomes: DataFrame, thresholds: DataFrame) -> DataFrame:
-    """Per-row validity from the rule's threshold (rules are few: broadcast)."""
-    j = outcomes.join(F.broadcast(thresholds), KEYS, "inner")
-    flag = threshold_flag(F.col("result_num"), F.col("result_bool"), F.col("control_threshold_type"),
-                          F.col("control_threshold_min"), F.col("control_threshold_max"))
-    return j.withColumn("flag", flag)
-
-
-def rule_identifiers(flagged: DataFrame) -> DataFrame:
-    """The complete distinct identifiers per rule and validity: (rule keys, identifier, flag)."""
-    return flagged.where(F.col("flag").isNotNull()).select(*KEYS, "identifier", "flag").distinct()
+def _message(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
 
 
-def _summaries(flagged: DataFrame) -> list:
-    """ONE aggregation over all rule outcomes, grouped by rule and flag (and, for Regex rules, the
-    checked column).  Partial aggregation runs map-side; the result has at most
-    rules x columns x 3 rows, so it is collected."""
-    ident = F.when(F.col("_kind") == "Regex", F.col("identifier"))
-    return (flagged.groupBy(*KEYS, ident.alias("ident"), "flag")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.count_if(F.col("result_num").isNull() & F.col("result_bool").isNull()).alias("nulls"))
-            .collect())
+def _write_outcomes(frames: dict[int, DataFrame], path: str) -> dict[int, Counts]:
+    """A5: counts of each rule, observed while the invalid identifiers are written to ``path``."""
+    obs = Observation(f"rules_{uuid.uuid4().hex[:8]}")
+    own = {place: F.col("_rule") == place for place in frames}
+    metrics = [m for place, mine in own.items() for m in (
+        F.count_if(mine).alias(f"total_{place}"), F.count_if(mine & ~F.col("flag")).alias(f"invalid_{place}"),
+        F.count_if(mine & F.col("_null")).alias(f"null_{place}"))]
+    seen = union_all(list(frames.values())).observe(obs, *metrics)
+    seen.where(~F.col("flag")).select("_rule", "identifier").write.parquet(path)
+    return {place: Counts(*[observed(obs, f"{m}_{place}") for m in ("total", "invalid", "null")]) for place in frames}
 
 
-def _invalid_records(flagged: DataFrame, failing: list[tuple], limit: int) -> dict:
-    """The ``limit`` smallest invalid identifiers of each failing SQL/Python rule.
-    ``row_number() <= limit`` plans as a window group-limit (partial top-k before the shuffle)."""
-    if not failing:
-        return {}
-    keyset = F.struct(*[F.col(k) for k in KEYS]).isin(*[F.struct(F.lit(m), F.lit(t)) for m, t in failing])
-    w = Window.partitionBy(*KEYS).orderBy("identifier")
-    top = (flagged.where((F.col("_kind") != "Regex") & (F.col("flag") == F.lit(False)) & keyset)
-           .select(*KEYS, "identifier").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= limit)
-           .groupBy(*KEYS).agg(F.array_sort(F.collect_list("identifier")).alias("ids")))
-    return {(r[0], r[1]): r["ids"] for r in top.collect()}
-
-
-def _listing(label: str, ids: list, n: int, limit: int) -> str | None:
-    if n <= 0:
-        return None
-    more = f" (and {n - limit} more)" if n > limit else ""
-    return label + ", ".join(ids[:limit]) + more
+def _each(rules: list, shared: Callable, alone: Callable) -> tuple[dict[int, Counts], dict[int, str]]:
+    """The shared job; if it fails, every rule by itself, so one failure stays its own."""
+    if not rules:
+        return {}, {}
+    try:
+        return shared(), {}
+    except Exception:  # some rule fails at run time; which one shows when each runs alone
+        counts, errors = {}, {}
+        for place, rule in rules:
+            try:
+                counts.update(alone(place, rule))
+            except Exception as e:
+                errors[place] = _message(e)
+        return counts, errors
 
 
 def _has_limits(rule: dict) -> bool:
     return rule.get("control_threshold_min") is not None or rule.get("control_threshold_max") is not None
 
 
-def score(spark: SparkSession, flagged: DataFrame, rules: list[dict], initial_date, end_date, data_date,
-          detail_limit: int = 100) -> tuple[list, dict]:
-    """controls_results rows (local, one per rule) and per-rule errors."""
-    acc: dict[tuple, dict] = {}
-    for r in _summaries(flagged):
-        a = acc.setdefault((r[0], r[1]), {"total": 0, "invalid": 0, "nulls": 0, "valid_cols": set(), "invalid_cols": set()})
-        a["total"] += r["n"]
-        a["nulls"] += r["nulls"]
-        if r["flag"] is False:
-            a["invalid"] += r["n"]
-        if r["ident"] is not None and r["flag"] is not None:
-            a["valid_cols" if r["flag"] else "invalid_cols"].add(r["ident"])
-    empty = {"total": 0, "invalid": 0, "nulls": 0, "valid_cols": set(), "invalid_cols": set()}
-    failing = [k for k, a in acc.items()
-               if a["invalid"] > 0 and next(r for r in rules if (r["control_master_id"], r["control_table_id"]) == k)
-               ["control_algorithm_type"] != "Regex"]
-    records = _invalid_records(flagged, failing, detail_limit)
-    rows, errors = [], {}
-    for rule in rules:
-        key = (rule["control_master_id"], rule["control_table_id"])
-        a = acc.get(key, empty)
-        if rule["control_threshold_type"] in ("Standard", "Absolute") and _has_limits(rule) and a["nulls"] > 0:
-            errors[key] = "NULL result with threshold limits"
-            continue
-        if rule["control_algorithm_type"] == "Regex":
-            parts = [_listing("Valid columns: ", sorted(a["valid_cols"]), len(a["valid_cols"]), detail_limit),
-                     _listing("Invalid columns: ", sorted(a["invalid_cols"]), len(a["invalid_cols"]), detail_limit)]
-        else:
-            parts = [_listing("Invalid records: ", records.get(key, []), a["invalid"], detail_limit)]
-        total, invalid = a["total"], a["invalid"]
-        rows.append((key[0], key[1], f"{{total: {total}, value: {invalid}}}",
-                     1.0 if total == 0 else 1.0 - invalid / total,
-                     ". ".join(p for p in parts if p), initial_date, end_date, data_date))
-    return rows, errors
+def _detail(rule: dict, counts: Counts) -> str:
+    """A regex rule lists its valid and invalid columns; other rules say how many records are
+    invalid (the identifiers themselves are in the identifiers table)."""
+    if rule["control_algorithm_type"] == "Regex":
+        parts = [(label, ", ".join(sorted(cols))) for label, cols in (("Valid columns", counts.valid_columns), ("Invalid columns", counts.invalid_columns)) if cols]
+        return ". ".join(f"{label}: {cols}" for label, cols in parts)
+    return f"Invalid records: {counts.invalid}" if counts.invalid else ""
 
 
 RESULT_DDL = ("control_master_id string, control_table_id string, control_outcome string, control_metric_value double, "
               "control_detail string, initial_date timestamp, end_date timestamp, data_date date")
 
 
-def overall(results: list, rules: list[dict], errors: dict) -> tuple[bool, int, int]:
+def _metric(counts: Counts) -> float:
+    """A6."""
+    return 1.0 if counts.total == 0 else 1.0 - counts.invalid / counts.total
+
+
+def overall(rules: list[dict], counts: dict[int, Counts], errors: dict[int, str]) -> tuple[bool, int, int]:
     """The run passes when no blocking rule's metric is below coalesce(rag_max, 1.0)
     and no rule failed to compute."""
-    by_key = {(r["control_master_id"], r["control_table_id"]): r for r in rules}
     failed = 0
-    for row in results:
-        rule = by_key[(row[0], row[1])]
-        rag = rule.get("control_threshold_rag_max")
-        if rule.get("blocking_control_indicator") and row[3] < (1.0 if rag is None else rag):
-            failed += 1
+    for rule in rules:
+        if rule["_rule"] in counts and rule.get("blocking_control_indicator"):
+            rag = rule.get("control_threshold_rag_max")
+            failed += _metric(counts[rule["_rule"]]) < (1.0 if rag is None else rag)
     return failed == 0 and not errors, failed, len(errors)
 
 
+def _id_errors(rules: list[dict]) -> dict[int, str]:
+    """Rules whose results could not be told apart: ids missing or shared."""
+    ids = [(r["control_master_id"], r["control_table_id"]) for r in rules]
+    return {r["_rule"]: "rule ids are missing" if None in key else "rule ids are shared by several rules"
+            for r, key in zip(rules, ids) if None in key or ids.count(key) > 1}
+
+
 def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, params: dict | None = None,
-                 registry: dict | None = None, detail_limit: int = 100, strict: bool = False,
+                 registry: dict | None = None, strict: bool = False,
                  initial_date: dt.datetime | None = None, data_date: dt.date | str | None = None) -> ControlRun:
-    """Validate and evaluate every rule (each isolated), score them all with one
-    aggregation, and compute the overall verdict.  ``strict`` raises after the run when any rule
-    failed."""
+    """Validate and evaluate every rule (each isolated), score them, and compute the
+    overall verdict.  ``strict`` raises after the run when any rule failed."""
     params = dict(params or {})
     registry = {**PYTHON_RULES, **(registry or {})}
     initial_date = initial_date or dt.datetime.now()
@@ -248,58 +242,96 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
     if isinstance(data_date, str):
         data_date = dt.date.fromisoformat(data_date)
     # rules are configuration rows: few, so they are collected with their violations
-    rule_rows = [r.asDict() for r in rules.select("*", F.array_join(violation_list(), "; ").alias("v")).collect()]
-    errors: dict[tuple, str] = {}
-    frames = []
+    rule_rows = [{**r.asDict(), "_rule": i} for i, r in enumerate(rules.select("*", F.array_join(violation_list(), "; ").alias("v")).collect())]
+    by_place = {r["_rule"]: r for r in rule_rows}
+    errors = _id_errors(rule_rows)
+    frames: dict[int, DataFrame] = {}
+    regex: list[tuple[dict, list[str]]] = []
     for rule in rule_rows:
-        key = (rule["control_master_id"], rule["control_table_id"])
-        if rule.get("v"):
-            errors[key] = rule["v"]
+        place = rule["_rule"]
+        if place in errors:
+            continue
+        if rule["v"]:
+            errors[place] = rule["v"]
             continue
         try:
-            frames.append(rule_outcomes(spark, df, rule, params, registry))
+            if rule["control_algorithm_type"] == "Regex":
+                regex.append((rule, regex_columns(df, rule)))
+                df.select(*[_regex_valid(rule, c) for c in regex[-1][1]])  # analysed here, so a bad pattern is its own
+            else:
+                frames[place] = rule_outcomes(spark, df, rule, params, registry)
         except Exception as e:  # isolate the rule: record and go on
-            errors[key] = f"{type(e).__name__}: {e}"[:1000]
-    ok_rules = [r for r in rule_rows if (r["control_master_id"], r["control_table_id"]) not in errors]
-    if frames:
-        thresholds = spark.createDataFrame(
-            [(r["control_master_id"], r["control_table_id"], r["control_threshold_type"],
-              r["control_threshold_min"], r["control_threshold_max"]) for r in ok_rules],
-            "control_master_id string, control_table_id string, control_threshold_type string, "
-            "control_threshold_min double, control_threshold_max double")
-        flagged = _with_flags(union_all(frames), thresholds)
-        rows, score_errors = score(spark, flagged, ok_rules, initial_date, dt.datetime.now(), data_date, detail_limit)
-    else:
-        flagged, rows, score_errors = None, [], {}
-    errors.update(score_errors)
-    rows = [r for r in rows if (r[0], r[1]) not in errors]
-    verdict, failed, errored = overall(rows, rule_rows, errors)
-    results = spark.createDataFrame(rows, RESULT_DDL)
-    status_rows = [(r["control_master_id"], r["control_table_id"],
-                    "error" if (r["control_master_id"], r["control_table_id"]) in errors else "ok",
-                    errors.get((r["control_master_id"], r["control_table_id"]))) for r in rule_rows]
-    status = spark.createDataFrame(status_rows, "control_master_id string, control_table_id string, status string, error string")
-    verdict_df = spark.createDataFrame([(verdict, failed, errored)], "overall boolean, failed_rules long, errored_rules long")
+            errors[place] = _message(e)
+    regex = [(r, cols) for r, cols in regex if r["_rule"] not in errors]
+    base = scratch_path(spark, "invalid_identifiers")
+    counts, late = _each(list(frames.items()), lambda: _write_outcomes(frames, f"{base}/all"),
+                         lambda place, frame: _write_outcomes({place: frame}, f"{base}/rule_{place}"))
+    regex_found, regex_late = _each([(r["_rule"], (r, cols)) for r, cols in regex], lambda: regex_counts(df, regex),
+                                    lambda _, own: regex_counts(df, [own]))
+    counts.update(regex_found)
+    errors.update(late | regex_late)
+    for place, c in list(counts.items()):
+        rule = by_place[place]
+        if rule["control_threshold_type"] in ("Standard", "Absolute") and _has_limits(rule) and c.nulls > 0:
+            errors[place] = "NULL result with threshold limits"
+            del counts[place]
+    end_date = dt.datetime.now()
+    rows = [(by_place[p]["control_master_id"], by_place[p]["control_table_id"], f"{{total: {c.total}, value: {c.invalid}}}",
+             _metric(c), _detail(by_place[p], c), initial_date, end_date, data_date) for p, c in sorted(counts.items())]
+    status = [(r["control_master_id"], r["control_table_id"], "error" if r["_rule"] in errors else "ok", errors.get(r["_rule"]),
+               counts[r["_rule"]].total if r["_rule"] in counts else None, counts[r["_rule"]].invalid if r["_rule"] in counts else None)
+              for r in rule_rows]
+    run = ControlRun(
+        spark.createDataFrame(rows, RESULT_DDL),
+        spark.createDataFrame(status, "control_master_id string, control_table_id string, status string, error string, total long, invalid long"),
+        spark.createDataFrame([overall(rule_rows, counts, errors)], "overall boolean, failed_rules long, errored_rules long"),
+        _identifiers(spark, base, by_place, counts, late, data_date), errors)
     if strict and errors:
-        raise RuleError(f"{len(errors)} rules failed: " + "; ".join(f"{k[0]}/{k[1]}: {v}" for k, v in errors.items()))
-    return ControlRun(results, status, verdict_df, flagged, errors)
+        raise RuleError(f"{len(errors)} rules failed: " + "; ".join(
+            f"{by_place[p]['control_master_id']}/{by_place[p]['control_table_id']}: {e}" for p, e in sorted(errors.items())))
+    return run
+
+
+def _identifiers(spark: SparkSession, base: str, rules: dict[int, dict], counts: dict[int, Counts], late: dict, data_date) -> DataFrame:
+    """Every invalid identifier of the rules that computed, from the staged table (distributed);
+    the invalid columns of regex rules are few and come from the counts."""
+    computed = [p for p in counts if rules[p]["control_algorithm_type"] != "Regex"]
+    columns = [(p, c) for p, n in counts.items() for c in n.invalid_columns]
+    found = spark.createDataFrame(columns, "_rule int, identifier string")
+    paths = [f"{base}/rule_{p}" for p in computed] if late else [f"{base}/all"] if computed else []
+    if paths:
+        found = spark.read.schema("_rule int, identifier string").parquet(*paths).where(F.col("_rule").isin(computed)).unionByName(found)
+    ids = F.create_map(*[x for p, r in rules.items() if p in counts for x in (F.lit(p), F.struct(F.lit(r["control_master_id"]).alias("m"), F.lit(r["control_table_id"]).alias("t")))]) if counts else None
+    if ids is None:
+        return spark.createDataFrame([], IDENTIFIERS_DDL)
+    own = ids[F.col("_rule")]
+    return found.select(own["m"].alias("control_master_id"), own["t"].alias("control_table_id"), "identifier", F.lit(data_date).cast("date").alias("data_date"))
 
 
-def invalid_identifiers(run: ControlRun, data_date=None) -> DataFrame | None:
-    """Every invalid identifier of every rule (complete, distributed): the whole list behind the
-    bounded detail text."""
-    if run.outcomes is None:
-        return None
-    return (run.outcomes.where(F.col("flag") == F.lit(False))
-            .select(*KEYS, "identifier", F.lit(data_date).cast("date").alias("data_date")))
+def invalid_identifiers(run: ControlRun) -> DataFrame:
+    """Every invalid identifier of every rule, with its rule and the run's date."""
+    return run.identifiers
 
 
 def save_results(spark: SparkSession, run: ControlRun, spec, identifiers_spec=None) -> int:
-    """Append the run's controls_results rows to the results table (conformed first); with
-    ``identifiers_spec`` also append the complete invalid identifiers."""
+    """Append the run's controls_results rows to the results table, and the complete invalid
+    identifiers to theirs (by default the folder ``<results>_identifiers``)."""
+    from dataclasses import replace
+
     from ..sinks.tables import append
     written = append(spark, run.results, spec).rows_written
-    if identifiers_spec is not None and run.outcomes is not None:
-        day = run.results.select(F.max("data_date")).first()[0]
-        append(spark, invalid_identifiers(run, day), identifiers_spec)
+    if identifiers_spec is None:
+        identifiers_spec = replace(spec, path=f"{spec.path.rstrip('/')}_identifiers", schema=run.identifiers.schema, primary_keys=[])
+    append(spark, run.identifiers, identifiers_spec)
     return written
+
+
+def validate(spark: SparkSession, layer: str, table: str, df: DataFrame | None, dataset: DataFrame, master: DataFrame, results,
+             database: str | None = None, params: dict | None = None, registry: dict | None = None, identifiers=None,
+             data_date: dt.date | str | None = None) -> ControlRun:
+    """D1-D15 in one: the active rules of ``table`` in ``layer`` (completed by the master's defaults) are loaded
+    and run, results and invalid identifiers are stored, and the run with its verdict is returned."""
+    rules = effective_rules(dataset, master, layer=layer, database=database, table=table)
+    run = run_controls(spark, df, rules, params, registry, data_date=data_date)
+    save_results(spark, run, results, identifiers)
+    return run

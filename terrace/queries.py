@@ -23,9 +23,9 @@ from .operators.joins import equi_join
 from .plans.flows import raw_to_staging, refine, run_summary
 from .plans.landing import land
 from .plans.reports import run_reports
-from .quality.engine import python_rule, run_controls
+from .quality.engine import python_rule, run_controls, save_results, validate
 from .quality.files import check_filenames, columns_result, csv_profile, flag_unchanged, format_result
-from .quality.rules import rules_frame
+from .quality.rules import master_frame, rules_frame
 from .session import scratch_path
 from .sinks.tables import append, delete_where, merge_into, overwrite_partitions, read_target, write_raw
 from .sources.files import archive_lines, list_files, read_csv, read_nested_json, read_xml
@@ -191,20 +191,22 @@ def archive_members(spark, sf_dir):
 # ------------------------------------------------------------------ joins and columns
 
 def _join_sides(spark, sf_dir):
-    c = T(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0).select(
-        F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"),
+    shifted = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    c = T(spark, sf_dir, "customer").select(
+        shifted.alias("custkey"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("status"), F.col("c_acctbal").alias("total"))
-    o = T(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F").select(
-        F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"),
+    apart = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).otherwise(F.col("o_custkey") + 1_000_000_000)
+    o = T(spark, sf_dir, "orders").select(
+        apart.alias("custkey"), F.col("o_orderkey").alias("orderkey"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"))
     return c, o
 
 
 JOIN_SIDES_SQL = """
-WITH l AS (SELECT c_custkey AS custkey, c_name AS name, c_mktsegment AS status, c_acctbal AS total
-           FROM customer WHERE c_acctbal > 0),
-     r AS (SELECT o_custkey AS custkey, o_orderkey AS orderkey, o_orderstatus AS status, o_totalprice AS total
-           FROM orders WHERE o_orderstatus = 'F')
+WITH l AS (SELECT CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END AS custkey, c_name AS name, c_mktsegment AS status, c_acctbal AS total
+           FROM customer),
+     r AS (SELECT CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE o_custkey + 1000000000 END AS custkey, o_orderkey AS orderkey,
+                  o_orderstatus AS status, o_totalprice AS total FROM orders)
 SELECT {key} AS custkey, l.name, l.status AS status_df_1, l.total AS total_df_1,
        r.orderkey, r.status AS status_df_2, r.total AS total_df_2
 FROM l {kind} JOIN r ON l.custkey = r.custkey
@@ -513,7 +515,6 @@ def delete_where_q(spark, sf_dir):
 
 
 DQ_DATE = "2024-01-15"
-DQ_LIMIT = 100
 
 
 @python_rule("positive_quantity")
@@ -544,10 +545,10 @@ DQ_RULES = {
     "binary": dict(
         rule=dict(control_master_id="M_BIN", control_table_id="T_ORDERS", control_algorithm_type="SQL",
                   control_level="Data", control_threshold_type="Binary", blocking_control_indicator=False,
-                  control_description="SELECT CAST(o_orderkey AS STRING) AS identifier, o_orderstatus <> 'P' AS result "
-                                      "FROM orders WHERE o_orderdate >= DATE '{file_date}' - INTERVAL 10000 DAYS"),
-        outcomes="SELECT CAST(o_orderkey AS VARCHAR) AS identifier, o_orderstatus <> 'P' AS result FROM orders "
-                 "WHERE o_orderdate >= DATE '2024-01-15' - INTERVAL 10000 DAYS",
+                  control_description="SELECT CAST(o_orderkey AS STRING) AS identifier, "
+                                      "o_orderstatus <> 'P' AND o_orderdate >= DATE '{file_date}' - INTERVAL 10000 DAYS AS result FROM orders"),
+        outcomes="SELECT CAST(o_orderkey AS VARCHAR) AS identifier, "
+                 "o_orderstatus <> 'P' AND o_orderdate >= DATE '2024-01-15' - INTERVAL 10000 DAYS AS result FROM orders",
         flag="result"),
     "regex": dict(
         rule=dict(control_master_id="M_REGEX", control_table_id="T_CUSTOMER", control_algorithm_type="Regex",
@@ -567,34 +568,40 @@ DQ_RULES = {
 DQ_DATA = {"standard": None, "absolute": None, "binary": None, "regex": "customer", "python": "lineitem"}
 
 
-def _listing_sql(label: str, ids: str, n: str) -> str:
-    return (f"CASE WHEN {n} > 0 THEN '{label}' || {ids} || CASE WHEN {n} > {DQ_LIMIT} "
-            f"THEN ' (and ' || CAST({n} - {DQ_LIMIT} AS VARCHAR) || ' more)' ELSE '' END END")
+def _dq_detail(spec: dict) -> str:
+    if not spec.get("regex"):
+        return "CASE WHEN a.invalid > 0 THEN 'Invalid records: ' || CAST(a.invalid AS VARCHAR) ELSE '' END"
+    return ("concat_ws('. ', CASE WHEN l.vids <> '' THEN 'Valid columns: ' || l.vids END, "
+            "CASE WHEN l.iids <> '' THEN 'Invalid columns: ' || l.iids END)")
 
 
 def _dq_oracle(kind: str) -> str:
     spec = DQ_RULES[kind]
     r = spec["rule"]
-    regex = spec.get("regex", False)
-    valid_part = _listing_sql("Valid columns: ", "vids", "nv") if regex else "NULL"
-    inv_label = "Invalid columns: " if regex else "Invalid records: "
+    listing = ""
+    if spec.get("regex"):
+        listing = f""",
+     (SELECT coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE flag), '') AS vids,
+             coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE NOT flag), '') AS iids
+      FROM (SELECT DISTINCT identifier, {spec['flag']} AS flag FROM ({spec['outcomes']}) o) d) l"""
     return f"""
 SELECT '{r['control_master_id']}' AS control_master_id, '{r['control_table_id']}' AS control_table_id,
        '{{total: ' || CAST(a.total AS VARCHAR) || ', value: ' || CAST(a.invalid AS VARCHAR) || '}}' AS control_outcome,
        CASE WHEN a.total = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - a.invalid::DOUBLE / a.total::DOUBLE END AS control_metric_value,
-       concat_ws('. ', {valid_part}, {_listing_sql(inv_label, "iids", "ni")}) AS control_detail,
+       {_dq_detail(spec)} AS control_detail,
        DATE '{DQ_DATE}' AS data_date
 FROM (SELECT count(*) AS total, count(*) FILTER (WHERE flag = false) AS invalid
-      FROM (SELECT {spec['flag']} AS flag FROM ({spec['outcomes']}) o) f) a,
-     (SELECT count(*) FILTER (WHERE flag) AS nv, count(*) FILTER (WHERE NOT flag) AS ni,
-             coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE flag AND rn <= {DQ_LIMIT}), '') AS vids,
-             coalesce(string_agg(identifier, ', ' ORDER BY identifier) FILTER (WHERE NOT flag AND rn <= {DQ_LIMIT}), '') AS iids
-      FROM (SELECT identifier, flag, row_number() OVER (PARTITION BY flag ORDER BY identifier) AS rn
-            FROM (SELECT {'DISTINCT' if regex else ''} identifier, {spec['flag']} AS flag FROM ({spec['outcomes']}) o) d
-            WHERE flag IS NOT NULL {'' if regex else 'AND NOT flag'}) x) l
+      FROM (SELECT {spec['flag']} AS flag FROM ({spec['outcomes']}) o) f) a{listing}
 """
 
 
+def _dq_identifiers_oracle(kind: str) -> str:
+    spec = DQ_RULES[kind]
+    r = spec["rule"]
+    return (f"SELECT DISTINCT '{r['control_master_id']}' AS control_master_id, '{r['control_table_id']}' AS control_table_id, identifier, "
+            f"DATE '{DQ_DATE}' AS data_date FROM (SELECT identifier, {spec['flag']} AS flag FROM ({spec['outcomes']}) o) f WHERE NOT flag")
+
+
 DQ_VIEWS = ["lineitem", "customer", "orders"]
 DQ_OUT = ["control_master_id", "control_table_id", "control_outcome", "control_metric_value", "control_detail", "data_date"]
 
@@ -608,7 +615,7 @@ def _dq_run(spark, sf_dir, kinds):
         raise ValueError("one checked frame per run")
     df = T(spark, sf_dir, data_tables.pop()) if data_tables else None
     return run_controls(spark, df, rules, params={"file_date": DQ_DATE, "file_name": "orders.parquet"},
-                        detail_limit=DQ_LIMIT, data_date=DQ_DATE)
+                        data_date=DQ_DATE)
 
 
 for _kind in DQ_RULES:
@@ -624,8 +631,6 @@ for _kind in DQ_RULES:
 def dq_results(spark, sf_dir):
     """Several SQL and Python rules in one run, scored by one job, appended to the
     controls_results table and read back."""
-    from .quality.engine import save_results
-    from .sinks.tables import read_target
     run = _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"])
     spec = TableSpec(scratch_path(spark, "controls_results"), schema=StructType.fromJson(_RESULTS_JSON),
                      partition_field="data_date")
@@ -633,6 +638,78 @@ def dq_results(spark, sf_dir):
     return read_target(spark, spec).select(*DQ_OUT)
 
 
+@register("dq_invalid_identifiers", "\nUNION ALL\n".join(_dq_identifiers_oracle(k) for k in ("standard", "absolute", "binary", "python")))
+def dq_invalid_identifiers(spark, sf_dir):
+    """Every invalid identifier of every rule, stored next to the results and read back."""
+    run = _dq_run(spark, sf_dir, ["standard", "absolute", "binary", "python"])
+    spec = TableSpec(scratch_path(spark, "controls_results"), schema=StructType.fromJson(_RESULTS_JSON), partition_field="data_date")
+    ids = TableSpec(scratch_path(spark, "controls_identifiers"), schema=run.identifiers.schema, partition_field="data_date")
+    save_results(spark, run, spec, ids)
+    return read_target(spark, ids)
+
+
+def _isolated_rules() -> list[dict]:
+    def rule(master, table, text, **kw):
+        return dict(control_master_id=master, control_table_id=table, control_algorithm_type="SQL", control_level="Data",
+                    control_threshold_type="Binary", control_description=text, blocking_control_indicator=True) | kw
+    return [rule("M_QTY", "T_LINEITEM", "SELECT CAST(l_orderkey AS STRING) AS identifier, l_quantity <= 25 AS result FROM lineitem"),
+            rule("M_CAST", "T_ORDERS", "SELECT CAST(o_orderkey AS STRING) AS identifier, CAST(o_orderpriority AS INT) > 0 AS result FROM orders"),
+            rule("M_TEXT", "T_ORDERS", "SELECT CAST(o_orderkey AS STRING) AS identifier, 'n/a' AS result FROM orders"),
+            rule("M_NULL", None, "SELECT CAST(o_orderkey AS STRING) AS identifier, false AS result FROM orders"),
+            rule("M_SAME", "T_SAME", "SELECT CAST(o_orderkey AS STRING) AS identifier, true AS result FROM orders"),
+            rule("M_SAME", "T_SAME", "SELECT CAST(l_orderkey AS STRING) AS identifier, true AS result FROM lineitem"),
+            rule("M_PRICE", "T_ORDERS", "SELECT CAST(o_orderkey AS STRING) AS identifier, o_totalprice AS result FROM orders",
+                 control_threshold_type="Standard", control_threshold_max=100000.0)]
+
+
+@register("dq_isolated_rules", """
+WITH r AS (
+  SELECT 'M_QTY' AS control_master_id, 'T_LINEITEM' AS control_table_id, 'ok' AS status, count(*) AS total,
+         count(*) FILTER (WHERE NOT l_quantity <= 25) AS invalid FROM lineitem
+  UNION ALL SELECT 'M_PRICE', 'T_ORDERS', 'ok', count(*), count(*) FILTER (WHERE NOT o_totalprice <= 100000.0) FROM orders
+  UNION ALL SELECT 'M_CAST', 'T_ORDERS', 'error', NULL, NULL UNION ALL SELECT 'M_TEXT', 'T_ORDERS', 'error', NULL, NULL
+  UNION ALL SELECT 'M_NULL', NULL, 'error', NULL, NULL
+  UNION ALL SELECT 'M_SAME', 'T_SAME', 'error', NULL, NULL UNION ALL SELECT 'M_SAME', 'T_SAME', 'error', NULL, NULL)
+SELECT *, false AS verdict FROM r
+""")
+def dq_isolated_rules(spark, sf_dir):
+    """A rule that fails at run time, one with text results, one without a table id and two that
+    share ids become errors of their own; the other rules are scored."""
+    for v in DQ_VIEWS:
+        T(spark, sf_dir, v).createOrReplaceTempView(v)
+    run = run_controls(spark, None, rules_frame(spark, _isolated_rules()), data_date=DQ_DATE)
+    return run.status.select("control_master_id", "control_table_id", "status", "total", "invalid", F.lit(run.verdict()).alias("verdict"))
+
+
+@register("dq_validate", """
+SELECT 'M_SEG' AS control_master_id, 'T1' AS control_table_id, 'ok' AS status, 2 * count(*) AS total,
+       count(*) FILTER (WHERE NOT regexp_matches(c_mktsegment, '^[A-Z]+$')) + count(*) FILTER (WHERE NOT regexp_matches(c_name, '^[A-Z]+$')) AS invalid, false AS verdict FROM customer
+UNION ALL SELECT 'M_BAL', 'T2', 'ok', count(*), count(*) FILTER (WHERE abs(c_acctbal) > 9000.0), false FROM customer
+UNION ALL SELECT 'M_KEY', 'T5', 'ok', count(*), count(*) FILTER (WHERE NOT regexp_matches(c_name, '^Customer#')), false FROM customer
+UNION ALL SELECT 'M_BAD', 'T6', 'error', NULL, NULL, false
+""")
+def dq_validate(spark, sf_dir):
+    """The active rules of one layer and table, completed by the master's defaults, run over
+    the whole customer table with results stored; a rule with impossible limits is an error."""
+    customer = T(spark, sf_dir, "customer")
+    customer.createOrReplaceTempView("customer")
+    base = dict(control_layer="staging", control_table="customer", control_level="Data", active_control_indicator=True, blocking_control_indicator=True)
+    sql = dict(control_algorithm_type="SQL", control_description="SELECT CAST(c_custkey AS STRING) AS identifier, c_acctbal AS result FROM customer")
+    dataset = rules_frame(spark, [
+        base | dict(control_master_id="M_SEG", control_table_id="T1", control_algorithm_type="Regex", control_threshold_type="Binary",
+                    control_field="c_mktsegment,c_name", control_description="^[A-Z]+$"),
+        base | sql | dict(control_master_id="M_BAL", control_table_id="T2", control_threshold_rag_max=0.1),  # type and limit from the master
+        base | sql | dict(control_master_id="M_BAL", control_table_id="T3", active_control_indicator=False),
+        base | sql | dict(control_master_id="M_BAL", control_table_id="T4", control_layer="raw"),
+        base | dict(control_master_id="M_KEY", control_table_id="T5", control_algorithm_type="Regex", control_threshold_type="Binary",
+                    control_field="c_name", control_description="^Customer#"),
+        base | sql | dict(control_master_id="M_BAD", control_table_id="T6", control_threshold_type="Standard", control_threshold_min=2.0, control_threshold_max=1.0)])
+    master = master_frame(spark, [dict(control_master_id="M_BAL", control_level="Data", control_threshold_type="Absolute", control_threshold_max=9000.0)])
+    results = TableSpec(scratch_path(spark, "validate_results"), schema=StructType.fromJson(_RESULTS_JSON), partition_field="data_date")
+    run = validate(spark, "staging", "customer", customer, dataset, master, results, data_date=DQ_DATE)
+    return run.status.select("control_master_id", "control_table_id", "status", "total", "invalid", F.lit(run.verdict()).alias("verdict"))
+
+
 _RESULTS_JSON = {"type": "struct", "fields": [
     {"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in [
         ("control_master_id", "string"), ("control_table_id", "string"), ("control_outcome", "string"),

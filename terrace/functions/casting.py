@@ -6,8 +6,6 @@ Everything here returns Column expressions, so the cast stays inside whole-stage
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
@@ -87,37 +85,46 @@ _QUOTED_KEY = r"[\"']([^\"']+)[\"'](?=\s*:)"
 _SINGLE_KEY = r"'([^']+)'(\s*:\s*)"
 _SINGLE_VALUE = r"(:\s*)'([^']+)'"
 
-_quoted_key_re = re.compile(_QUOTED_KEY)
-_non_word_re = re.compile(r"\W")
+# String tokens of JSON text, with the colon that makes one a key.
+_TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?'
+
+
+def _rewritten(col: Column, pattern: str, group: int, rewrite) -> Column:
+    """``col`` with each match of ``pattern`` replaced by ``rewrite(group)``: the text is split around the
+    matches, which are rewritten and zipped back in."""
+    parts = F.split(col, pattern, -1)
+    found = F.transform(F.regexp_extract_all(col, F.lit(pattern), group), rewrite)
+    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
+    joined = F.array_join(F.zip_with(found, rest, lambda f, p: F.concat(f, F.coalesce(p, F.lit("")))), "")
+    return F.when(F.size(found) == 0, col).otherwise(F.concat(F.element_at(parts, 1), joined))
 
 
-def normalise_keys_text(text: str | None) -> str | None:
-    """Rewrite 2 on one string, in Python: the reference for :func:`normalise_keys` in tests."""
-    if text is None:
-        return None
-    return _quoted_key_re.sub(lambda m: '"' + _non_word_re.sub("", m.group(1)).lower() + '"', text)
+def _plain_key(key: Column) -> Column:
+    """Lower case without non-word characters (``(?U)``: Unicode-aware, as in Python)."""
+    return F.lower(F.regexp_replace(key, r"(?U)\W", ""))
 
 
 def normalise_keys(col: Column) -> Column:
-    """Rewrite 2 as JVM expressions: the text is split around the quoted keys, every key is
-    lower-cased with its non-word characters removed (``(?U)`` makes ``\\W`` Unicode-aware,
-    as in Python), and the pieces are zipped back together."""
-    parts = F.split(col, _QUOTED_KEY, -1)
-    keys = F.regexp_extract_all(col, F.lit(_QUOTED_KEY), 1)
-    fixed = F.transform(keys, lambda k: F.concat(F.lit('"'), F.lower(F.regexp_replace(k, r"(?U)\W", "")), F.lit('"')))
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-    joined = F.array_join(F.zip_with(fixed, rest, lambda k, p: F.concat(k, F.coalesce(p, F.lit("")))), "")
-    return F.when(F.size(keys) == 0, col).otherwise(F.concat(F.element_at(parts, 1), joined))
+    """Rewrite 2 as JVM expressions."""
+    return _rewritten(col, _QUOTED_KEY, 1, lambda k: F.concat(F.lit('"'), _plain_key(k), F.lit('"')))
+
+
+def normalise_json_keys(col: Column) -> Column:
+    """Rewrite 2 for text that is JSON already: a string is a key exactly if a colon follows it, so
+    nothing inside string values is touched."""
+    return _rewritten(col, _TOKEN, 0, lambda t: F.when(t.endswith(":"), F.concat(F.lit('"'), _plain_key(t), F.lit('":'))).otherwise(t))
 
 
 def repair_json(col: Column | str) -> Column:
-    """Make dirty map text parseable JSON with the four rewrites, all JVM-side
-    (no Python UDF on the row path)."""
+    """Make dirty map text parseable JSON with the four rewrites, all JVM-side (no Python UDF
+    on the row path).  Text that is JSON already only has its keys normalised (Q21); ``key=value``
+    (rewrite 1) is looked for only where no quoted key is, so equal signs in quoted values stay."""
     c = F.col(col) if isinstance(col, str) else col
-    step1 = F.regexp_replace(c, _KV, '"$1": "$2"')
+    step1 = F.when(c.rlike(_QUOTED_KEY), c).otherwise(F.regexp_replace(c, _KV, '"$1": "$2"'))
     step2 = normalise_keys(step1)
     step3 = F.regexp_replace(step2, _SINGLE_KEY, '"$1"$2')
-    return F.regexp_replace(step3, _SINGLE_VALUE, '$1"$2"')
+    dirty = F.regexp_replace(step3, _SINGLE_VALUE, '$1"$2"')
+    return F.when(F.try_parse_json(c).isNotNull(), normalise_json_keys(c)).otherwise(dirty)
 
 
 def repair_json_columns(df: DataFrame, target: StructType) -> DataFrame:

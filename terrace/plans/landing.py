@@ -1,11 +1,13 @@
-"""L1/L2 landing -> raw as one distributed job over every file of a landing folder.
+"""L1/L2 landing -> raw as distributed jobs over the files of a landing folder.
 
-list files (S13) -> name pattern (F6) -> file date (C11) -> file controls (D16, D18, D19) ->
-unchanged-copy check (D20) -> parse (S5 / S8 / S11 / S6, or archive members S12) -> stamp the
-partition (P10) -> dynamic partition overwrite of the raw table (K6/K7/K12).
+list files (S13) -> name pattern (F6) -> file date (C11) -> file controls (D16, D18, D19, rules) ->
+unchanged-copy check (D20) -> parse the files that passed (S5 / S8 / S11 / S6, or archive members
+S12) -> stamp date and file (P10) -> dynamic partition overwrite of the raw table (K6/K7/K12).
 
 Per-file failures do not stop the job: every file gets a status row (PROCESSED, SKIP_PATTERN,
-SKIP_DUPLICATE, ERROR) with the reason, instead of the reference's per-file loop.
+SKIP_DUPLICATE, ERROR) with the reason.  Only files that passed are read, in batches of a bounded
+number of paths; a batch that cannot be read is halved until the unreadable files are alone, and
+those become ERROR.  Each batch commits whole, so a failed one leaves nothing.
 """
 
 from __future__ import annotations
@@ -14,20 +16,21 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
 from ..quality.files import (columns_result, content_lines, csv_lines, csv_profile, flag_unchanged, format_result,
                              member_profile, numbered_lines)
-from ..sinks.tables import WriteResult, broadcast_limit, write_raw
+from ..quality.engine import ControlRun, run_controls, save_results
+from ..sinks.tables import WriteResult, write_raw
 from ..session import checkpoint_root
 from ..sources.files import (archive_lines, archive_member_names, list_files, literal_path, nested_json_items,
                              source_path, source_path_of)
 from ..specs import LandingSpec, TableSpec
 
-
-# Upper bound of one (path, file_date) row held in a broadcast hash table.
-FILE_ROW_BYTES = 512
+#: Files of one read: what the driver holds of the paths at a time.
+FILES_PER_BATCH = 5000
 
 
 @dataclass
@@ -35,6 +38,7 @@ class LandingResult:
     status: DataFrame
     written: WriteResult | None
     table: TableSpec | None = None          # the raw table as written (declared schema included)
+    controls: ControlRun | None = None      # results of the landing rules, if there were any
 
 
 def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None,
@@ -87,29 +91,31 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
                 "invalid columns (extra: %s, missing: %s)", F.array_join("extra_columns", ", "),
                 F.array_join("missing_columns", ", "))))
     files = files.withColumn("error", F.concat_ws("; ", *errors))
-    dup = F.lit(False)
     if processed is not None and spec.compare_with_previous_file:
         content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal_path(folder))
                    .select("path", "content"))
         incoming = content.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
         flags = flag_unchanged(incoming, processed).select("path", "is_duplicate")
         files = files.join(flags, "path", "left")
-        dup = F.coalesce(F.col("is_duplicate"), F.lit(False))
-    status = (F.when(~F.col("name_ok"), "SKIP_PATTERN").when(F.col("error") != "", "ERROR")
-              .when(dup, "SKIP_DUPLICATE").otherwise("PROCESSED"))
-    return files.withColumn("status", status)
+    else:
+        files = files.withColumn("is_duplicate", F.lit(False))
+    return _with_status(files)
+
 
+def _with_status(files: DataFrame) -> DataFrame:
+    dup = F.coalesce(F.col("is_duplicate"), F.lit(False))
+    return files.withColumn("status", F.when(~F.col("name_ok"), "SKIP_PATTERN").when(F.col("error") != "", "ERROR")
+                            .when(dup, "SKIP_DUPLICATE").otherwise("PROCESSED"))
 
-def _archives(spark: SparkSession, folder: str, spec: LandingSpec, only: list[str] | None = None) -> DataFrame:
-    """Archive files whose name passes the file pattern (or exactly the ``only`` paths).  The
-    names come from the listing (metadata only, one row per file); only those files are read."""
-    if only is None:
-        listing = list_files(spark, folder).where(F.col("file_name").rlike(anchored(spec.filename_pattern)))
-        only = [r.path for r in listing.select("path").collect()]
-    paths = [literal_path(p) for p in only]
-    if not paths:
-        return spark.createDataFrame([], "path string, content binary")
-    return spark.read.format("binaryFile").load(paths).select("path", "content")
+
+def _archives(spark: SparkSession, folder: str | list[str], spec: LandingSpec) -> DataFrame:
+    """Archive files of a folder whose name passes the file pattern (the filter on the file's
+    metadata prunes the listing, so other files are not opened), or of the given paths."""
+    r = spark.read.format("binaryFile")
+    if isinstance(folder, list):
+        return r.load([literal_path(p) for p in folder]).select("path", "content")
+    named = F.col("_metadata.file_name").rlike(anchored(spec.filename_pattern))
+    return r.option("recursiveFileLookup", "true").load(literal_path(folder)).where(named).select("path", "content")
 
 
 def _line_options(spec: LandingSpec) -> dict:
@@ -123,78 +129,154 @@ def _parse_lines(lines: DataFrame, spec: LandingSpec, columns: list[str]) -> Dat
     return parsed.select("r.*", "path")
 
 
-def _parse(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None,
-           archive_paths: list[str] | None = None) -> DataFrame:
-    """Rows of every file in the folder (for archives: of the ``archive_paths``, already checked),
-    with the file's path; all values strings.  Header positions count content lines only (blank
-    and comment lines are skipped), as a CSV header position does."""
+def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: list[str] | None) -> DataFrame:
+    """Rows of the given files with the file's path; all values strings (Parquet: its types).  Header
+    positions count content lines only (blank and comment lines are skipped), as a CSV header
+    position does."""
     meta = source_path().alias("path")
+    files = [literal_path(p) for p in paths]
     hp = spec.csv.header_position
     if spec.zipped:
-        lines = archive_lines(_archives(spark, folder, spec, archive_paths), spec.zipped, spec.csv.encoding,
+        lines = archive_lines(_archives(spark, paths, spec), spec.zipped, spec.csv.encoding,
                               comment=spec.csv.comment).withColumnRenamed("archive", "path")
         body = lines.where(F.col("n") > hp) if spec.csv.header else lines
         return _parse_lines(body, spec, columns)
     if spec.file_format == "csv" and spec.csv.header and hp > 0:
         # the lines up to the header are dropped per file (the reader's own header option only
         # skips the first line); line numbers come from one scan
-        numbered = numbered_lines(content_lines(csv_lines(spark, folder, None, spec.csv), spec.csv))
+        numbered = numbered_lines(content_lines(csv_lines(spark, paths, None, spec.csv), spec.csv))
         body = numbered.where((F.col("block") > 0) | (F.col("n") > hp + 1))
         return _parse_lines(body.withColumn("path", source_path_of(F.col("path"))), spec, columns)
     if spec.file_format == "csv":
-        r = spark.read.options(**spec.csv.read_options()).option("recursiveFileLookup", "true")
+        r = spark.read.options(**spec.csv.read_options())
         if columns:
             r = r.schema(all_string_schema(columns))
-        df = r.csv(literal_path(folder))
-        return df.select("*", meta)
+        return r.csv(files).select("*", meta)
     if spec.file_format == "xml":
         r = (spark.read.format("xml").option("rowTag", spec.xml.row_tag).option("attributePrefix", "")
-             .option("recursiveFileLookup", "true"))
+             .option("encoding", spec.xml.encoding))
         r = r.schema(all_string_schema(columns)) if columns else r.option("inferSchema", "false")
-        return r.load(literal_path(folder)).na.fill("").select("*", meta)
+        return r.load(files).na.fill("").select("*", meta)
     if spec.file_format == "parquet":
-        return spark.read.option("recursiveFileLookup", "true").parquet(literal_path(folder)).select("*", meta)
+        return spark.read.parquet(*files).select("*", meta)
     raise ValueError(f"unknown landing format {spec.file_format!r}")
 
 
+def _json_documents(spark: SparkSession, paths: list[str], spec: LandingSpec) -> DataFrame:
+    """``(value, path)``: a file is one document of any layout (pretty-printed, a top-level list);
+    where its first line is a whole document, every line is one."""
+    files = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
+    text = files.select(F.decode("content", spec.json.encoding).alias("_text"), "path")
+    whole_line = F.get_json_object(F.regexp_extract("_text", r"^\s*([^\r\n]*)", 1), "$").isNotNull()
+    lines = F.filter(F.split("_text", r"[\r\n]+"), lambda x: F.trim(x) != "")
+    return text.select(F.explode(F.when(whole_line, lines).otherwise(F.array("_text"))).alias("value"), "path")
+
+
+def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: TableSpec, columns: list[str] | None, date_from: str) -> DataFrame:
+    """Rows of some files, stamped with their date and file: both follow from the path."""
+    name = F.element_at(F.split("path", "/"), -1)
+    stamp = file_date(F.col("path") if date_from == "path" else name, spec.date_regex)
+    if spec.file_format == "json":
+        docs = _json_documents(spark, paths, spec).withColumn("_date", stamp).withColumn("_file", name)
+        items = nested_json_items(docs, spec.json, spec.partition_field, file_date=F.col("_date"), keep=["_file"])
+        m = F.from_json("item", "map<string,string>")
+        return items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field, F.col("_file").alias(raw.source_field))
+    rows = _parse(spark, paths, spec, columns)
+    if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
+        stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
+    rows = rows.withColumn(spec.partition_field, stamp).withColumn(raw.source_field, name)
+    return rows.drop("path", "member")
+
+
+def _write_files(write, paths: list[str]) -> tuple[int, list[tuple[str, str]]]:
+    """Rows written, and (path, error) of files that cannot be read: a failing batch is halved."""
+    try:
+        return write(paths), []
+    except Exception as e:
+        if len(paths) == 1:
+            return 0, [(paths[0], f"{type(e).__name__}: {e}")]
+        half = len(paths) // 2
+        (n, bad), (m, more) = _write_files(write, paths[:half]), _write_files(write, paths[half:])
+        return n + m, bad + more
+
+
+def _batches(paths, each: int):
+    batch: list[str] = []
+    for row in paths.toLocalIterator():
+        batch.append(row["path"])
+        if len(batch) == each:
+            yield batch
+            batch = []
+    if batch:
+        yield batch
+
+
+def _gate(spark: SparkSession, status: DataFrame, rules: DataFrame, params: dict | None, registry: dict | None, results) -> tuple[DataFrame, ControlRun]:
+    """The landing rules run over the files' status frame (view ``data``: one row per file, the
+    outcome of every check as a column; identifiers are paths); results are stored, and only a
+    *blocking* rule that fails stops files, namely those it calls invalid (all, if it cannot be computed)."""
+    run = run_controls(spark, status, rules, params, registry)
+    if results is not None:
+        save_results(spark, run, results)
+    blocking = [r.asDict() for r in rules.where(F.coalesce("blocking_control_indicator", F.lit(False))).collect()]
+    scored = {(r["control_master_id"], r["control_table_id"]): r["control_metric_value"] for r in run.results.collect()}
+    failed, broken = [], False
+    for r in blocking:
+        metric = scored.get((r["control_master_id"], r["control_table_id"]))
+        broken |= metric is None
+        if metric is not None and metric < (1.0 if r["control_threshold_rag_max"] is None else r["control_threshold_rag_max"]):
+            failed.append((r["control_master_id"], r["control_table_id"]))
+    if broken:
+        return status.withColumn("error", F.concat_ws("; ", F.nullif("error", F.lit("")), F.lit("a blocking rule could not be computed"))), run
+    keys = F.struct("control_master_id", "control_table_id")
+    hit = run.identifiers.where(keys.isin([F.struct(F.lit(m), F.lit(t)) for m, t in failed])) if failed else run.identifiers.limit(0)
+    stopped = hit.groupBy(F.col("identifier").alias("path")).agg(F.array_join(F.array_sort(F.collect_set("control_master_id")), ", ").alias("_rules"))
+    said = F.when(F.col("_rules").isNotNull(), F.concat(F.lit("blocked by rules: "), F.col("_rules")))
+    return status.join(stopped, "path", "left").withColumn("error", F.concat_ws("; ", F.nullif("error", F.lit("")), said)).drop("_rules"), run
+
+
 def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, columns: list[str] | None = None,
          processed: DataFrame | None = None, date_from: str = "name",
-         checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names")) -> LandingResult:
-    """Land every file of ``folder`` into the raw table; returns per-file statuses and counts."""
+         checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names"), rules: DataFrame | None = None,
+         params: dict | None = None, registry: dict | None = None, results: TableSpec | None = None) -> LandingResult:
+    """Land the files of ``folder`` in the raw table; returns per-file statuses and counts.
+
+    Rows are filed by date and delivered file, as delivered: repeated rows stay, several files of a
+    date live side by side, and a file that is delivered again replaces only itself.  The failed
+    ``checks`` make a file an ERROR.  With ``rules`` (effective rules of the landing layer), the checks
+    are columns of the view ``data`` instead (name_ok, format_ok, columns_ok, error, ...): the rules judge
+    them, results go to the ``results`` table, and only blocking rules stop files."""
     if spec.zipped and spec.file_format != "csv":
         raise ValueError("archive members are landed as CSV; unpack other formats before landing")
     line_based = spec.zipped or (spec.file_format == "csv" and spec.csv.header and spec.csv.header_position > 0)
     if line_based and not columns:
         raise ValueError("columns are needed to parse archive members or CSV files with a header below line 1")
     checkpoint_root(spark)   # DataFrame.checkpoint() needs the shared folder installed
+    raw = replace(raw, source_field=raw.source_field or "source_file")   # a copy: the caller's spec is not changed
+    if raw.schema is None and columns:
+        raw = replace(raw, schema=all_string_schema([*columns, *raw.partition_columns]))
+    elif raw.schema is not None and raw.source_field not in raw.schema.fieldNames():
+        raw = replace(raw, schema=StructType([*raw.schema.fields, StructField(raw.source_field, StringType())]))
     status = _file_status(spark, folder, spec, columns, processed, date_from, checks).checkpoint(eager=True)
-    ok = status.where(F.col("status") == "PROCESSED").select("path", "file_date")
-    # The file table joins back to every parsed row by path.  It has one row per file, so it is
-    # counted and broadcast when it fits the session's broadcast limit (then a file holding a large
-    # share of the rows cannot skew a shuffle); otherwise AQE splits skewed path partitions.
-    n_ok = ok.count()
-    limit = broadcast_limit(spark)
-    if n_ok == 0:
-        ok = None
-    elif limit >= 0 and n_ok * FILE_ROW_BYTES <= limit:
-        ok = F.broadcast(ok)
-    if raw.schema is None and columns:   # a copy: the caller's spec is not changed
-        raw = replace(raw, schema=all_string_schema(list(columns) + [spec.partition_field]))
-    if ok is None:
-        return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=0), raw)
-    if spec.file_format == "json":
-        lines = (spark.read.option("recursiveFileLookup", "true").text(literal_path(folder))
-                 .select("value", source_path().alias("path")).join(ok, "path"))
-        items = nested_json_items(lines, spec.json, spec.partition_field, file_date=F.col("file_date"))
-        m = F.from_json("item", "map<string,string>")
-        rows = items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field)
-    else:
-        archive_paths = [r.path for r in ok.select("path").collect()] if spec.zipped else None
-        rows = _parse(spark, folder, spec, columns, archive_paths).join(ok, "path")
-        stamp = F.col("file_date")
-        if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
-            stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
-        rows = rows.withColumn(spec.partition_field, stamp).drop("path", "file_date")
-        rows = rows.select(*[c for c in rows.columns if c != "member"])
-    written = write_raw(spark, rows, raw)
-    return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), written, raw)
+    control = None
+    if rules is not None:
+        undated = F.when(F.col("file_date").isNull() & F.lit(spec.date_column is None), F.lit("no date in file name"))
+        judged, control = _gate(spark, status.where("name_ok").withColumn("check_error", F.col("error")), rules, params, registry, results)
+        # what the checks alone would have stopped is up to the rules; a file without a date has no partition
+        own = F.concat_ws("; ", undated, F.when(F.col("error") != F.col("check_error"), F.col("error")))
+        judged = judged.select("path", own.alias("_judged"))
+        status = status.join(judged, "path", "left").withColumn("error", F.coalesce("_judged", F.lit(""))).drop("_judged")
+        status = _with_status(status).checkpoint(eager=True)
+
+    def write(paths: list[str]) -> int:
+        return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from), raw).rows_written or 0
+    written, unreadable = 0, []
+    for batch in _batches(status.where(F.col("status") == "PROCESSED").select("path"), FILES_PER_BATCH):
+        n, bad = _write_files(write, batch)
+        written, unreadable = written + n, unreadable + bad
+    if unreadable:
+        found = spark.createDataFrame(unreadable, "path string, _unread string")
+        status = status.join(found, "path", "left")
+        status = status.withColumn("error", F.concat_ws("; ", F.nullif("error", F.lit("")), "_unread")).withColumn(
+            "status", F.when(F.col("_unread").isNotNull(), "ERROR").otherwise(F.col("status")))
+    return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=written), raw, control)

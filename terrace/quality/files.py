@@ -8,8 +8,11 @@ group-limit per file, so only those lines are ranked), and row widths are counte
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,22 +27,59 @@ def check_filenames(files: DataFrame, pattern: str, name_col: str = "file_name")
     return files.withColumn("identifier", F.col(name_col)).withColumn("result", F.col(name_col).rlike(anchored(pattern)))
 
 
-def _field_count(line: Column, delimiter: str) -> Column:
+def _quote(spec: CsvSpec) -> str:
+    return re.escape(spec.quote or '"')
+
+
+def _field_count(line: Column, spec: CsvSpec) -> Column:
     """Fields in a CSV line: quoted spans removed, then the delimiters counted (Q22: quoted
     delimiters do not split)."""
-    bare = F.regexp_replace(line, r'"[^"]*"', "")
-    return F.size(F.split(bare, re.escape(delimiter)))
+    q = _quote(spec)
+    bare = F.regexp_replace(line, f"{q}[^{q}]*{q}", "")
+    return F.size(F.split(bare, re.escape(spec.delimiter)))
+
 
+def _split_header(line: Column, spec: CsvSpec) -> Column:
+    q = _quote(spec)
+    parts = F.split(line, re.escape(spec.delimiter) + f"(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)")
+    return F.transform(parts, lambda x: F.regexp_replace(x, f"^\\s*{q}|{q}\\s*$", ""))
 
-def _split_header(line: Column, delimiter: str) -> Column:
-    parts = F.split(line, re.escape(delimiter) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    return F.transform(parts, lambda x: F.regexp_replace(x, r'^\s*"|"\s*$', ""))
+
+def _record_profile(spark: SparkSession, path: str | list[str], spec: CsvSpec, glob: str | None) -> DataFrame:
+    """The profile of files whose records may span lines: such files are read whole, one per row, and
+    streamed record by record with the same delimiter, quote and escape as the reader's."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    quote, at = spec.quote or '"', spec.header_position if spec.header else -1
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for name, content in zip(pdf["path"], pdf["content"]):
+                text = io.TextIOWrapper(io.BytesIO(bytes(content)), encoding=spec.encoding, errors="replace", newline="")
+                header, widest, n, seen = None, 0, 0, -1
+                for record in csv.reader(text, delimiter=spec.delimiter, quotechar=quote, escapechar=spec.escape if spec.escape != quote else None):
+                    if not record or not any(record) and len(record) == 1 or spec.comment and record[0].startswith(spec.comment):
+                        continue
+                    seen += 1
+                    if seen == at:
+                        header = spec.delimiter.join(quote + " ".join(x.replace(quote, "").split()) + quote for x in record)
+                    elif seen > at:
+                        widest, n = max(widest, len(record)), n + 1
+                rows.append((name, header, widest, n))
+            yield pd.DataFrame(rows, columns=["path", "header", "max_width", "rows"])
+    return r.load(_literal(path)).select("path", "content").mapInPandas(run, "path string, header string, max_width int, rows long")
+
+
+def _literal(path: str | list[str]) -> str | list[str]:
+    return [literal_path(p) for p in path] if isinstance(path, list) else literal_path(path)
 
 
 _UTF8 = {"utf-8", "utf8"}
 
 
-def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec: CsvSpec | None = None) -> DataFrame:
+def csv_lines(spark: SparkSession, path: str | list[str], glob: str | None = "*.csv", spec: CsvSpec | None = None) -> DataFrame:
     """Lines of every CSV file with their file (``path``, URI-encoded as Spark reports it), split
     start (``block``) and read position (``pos``).  UTF-8 files are read by the text source;
     other encodings by the CSV reader as one unquoted column, which decodes them."""
@@ -48,10 +88,10 @@ def csv_lines(spark: SparkSession, path: str, glob: str | None = "*.csv", spec:
     if glob:
         r = r.option("pathGlobFilter", glob)
     if spec.encoding.lower() in _UTF8:
-        df = r.text(literal_path(path)).withColumnRenamed("value", "line")
+        df = r.text(_literal(path)).withColumnRenamed("value", "line")
     else:
         df = (r.option("encoding", spec.encoding).option("sep", "\u0001").option("quote", "\u0000")
-              .option("escape", "\u0000").option("header", "false").schema("line string").csv(literal_path(path)))
+              .option("escape", "\u0000").option("header", "false").schema("line string").csv(_literal(path)))
     return df.select("line", F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
 
@@ -74,7 +114,7 @@ def numbered_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("n", F.row_number().over(w))
 
 
-def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
+def csv_profile(spark: SparkSession, path: str | list[str], spec: CsvSpec | None = None, glob: str | None = "*.csv") -> DataFrame:
     """One row per CSV file: ``(path, header, max_width, rows)``, where ``max_width`` is the widest
     data row and ``rows`` the data rows; blank and comment lines are ignored.
 
@@ -85,8 +125,10 @@ def csv_profile(spark: SparkSession, path: str, spec: CsvSpec | None = None, glo
     A header further down needs line numbers (:func:`numbered_lines`).  Paths are decoded once
     per file, after the aggregation."""
     spec = spec or CsvSpec()
+    if spec.multiline:
+        return _record_profile(spark, path, spec, glob)
     lines = content_lines(csv_lines(spark, path, glob, spec), spec)
-    width = _field_count(F.col("line"), spec.delimiter)
+    width = _field_count(F.col("line"), spec)
     if not spec.header:
         prof = lines.groupBy("path").agg(F.lit(None).cast("string").alias("header"),
                                          F.max(width).alias("max_width"), F.count(F.lit(1)).alias("rows"))
@@ -117,7 +159,7 @@ def member_profile(lines: DataFrame, spec: CsvSpec | None = None) -> DataFrame:
     body = n > hp
     return lines.groupBy("archive", "member").agg(
         F.max(F.when(n == hp, F.col("line"))).alias("header"),
-        F.max(F.when(body, _field_count(F.col("line"), spec.delimiter))).alias("max_width"),
+        F.max(F.when(body, _field_count(F.col("line"), spec))).alias("max_width"),
         F.count_if(body).alias("rows")).withColumnRenamed("archive", "path")
 
 
@@ -131,7 +173,7 @@ def format_result(profile: DataFrame, spec: CsvSpec | None = None, n_columns: in
     allowed: a CSV reader fills them with NULL).  Header-less files are held to ``n_columns``."""
     spec = spec or CsvSpec()
     if spec.header:
-        expected = _field_count(F.col("header"), spec.delimiter)
+        expected = _field_count(F.col("header"), spec)
     elif n_columns is None:
         raise ValueError("a header-less CSV format check needs the number of columns")
     else:
@@ -144,7 +186,7 @@ def format_result(profile: DataFrame, spec: CsvSpec | None = None, n_columns: in
 def columns_result(profile: DataFrame, expected: list[str], spec: CsvSpec | None = None) -> DataFrame:
     """D19 from a profile: the normalised header equals the expected columns, in order."""
     spec = spec or CsvSpec()
-    cols = F.transform(_split_header(F.col("header"), spec.delimiter), lambda x: normalise_header(x))
+    cols = F.transform(_split_header(F.col("header"), spec), lambda x: normalise_header(x))
     exp = F.array(*[F.lit(c) for c in expected])
     return profile.select(*_named(profile), (cols == exp).alias("result"), cols.alias("columns"),
                           F.array_except(cols, exp).alias("extra_columns"),

@@ -174,6 +174,9 @@ def xml_scan(spark, sf_dir):
     return cast_to(rows, {"id": "bigint", "c_nationkey": "int", "c_acctbal": "double"})
 
 
+ROWS_PER_ARCHIVE = 50_000
+
+
 @register("archive_members", """
 SELECT c_custkey, c_name, c_acctbal FROM customer
 """)
@@ -181,7 +184,8 @@ def archive_members(spark, sf_dir):
     """Customer CSV part files, each zipped, expanded back into members and parsed."""
     c = T(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     path = scratch_path(spark, "customer_parts")
-    c.repartition(4).write.option("header", "true").csv(path)
+    # the number of archives grows with the table: one for a bounded number of rows
+    c.repartition(max(4, c.count() // ROWS_PER_ARCHIVE)).write.option("header", "true").csv(path)
     files = list_files(spark, path, "*.csv", with_content=True)
     lines = archive_lines(fx.zip_files(files), "zip")          # streamed, numbered member lines
     rows = lines.where((F.col("n") > 0) & (F.col("line") != ""))
@@ -364,18 +368,27 @@ def cast_json_struct(spark, sf_dir):
     return cast_to(e, {"props": "struct<k:int>"}).select("event_id", F.col("props.k").alias("k"))
 
 
-@register("repair_json", """
-SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+REPAIR_NOTE = ("CASE event_id % 5 WHEN 0 THEN 'http://h/p?x=1&y=' || event_id WHEN 1 THEN 'it' || chr(39) || 's ' || event_type "
+               "WHEN 2 THEN 'a: b=c' WHEN 3 THEN event_type ELSE 'tab ' || event_id END")
+
+
+@register("repair_json", f"""
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       CASE WHEN event_id % 4 = 3 THEN replace({REPAIR_NOTE}, chr(39), '') ELSE {REPAIR_NOTE} END AS note
+FROM events
 """)
 def repair_json_q(spark, sf_dir):
-    """Python-style map text ({'@K': v}, {K=v}) repaired, then parsed."""
-    e = T(spark, sf_dir, "events")
+    """Map text in four forms, each with URLs, equal signs and apostrophes in its values: real JSON
+    (only its keys are normalised), Java-style map text, Python-style text with double-quoted values, and
+    with single quotes throughout; repaired, then parsed."""
+    e = T(spark, sf_dir, "events").withColumn("note", F.expr(REPAIR_NOTE))
     k = F.get_json_object("props", "$.k")
-    dirty = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("{'@K': "), k, F.lit("}")))
-             .when(F.col("event_id") % 3 == 1, F.concat(F.lit("{K="), k, F.lit("}")))
-             .otherwise(F.col("props")))
-    parsed = F.from_json(repair_json(dirty), "struct<k:string>")
-    return e.select("event_id", parsed.getField("k").try_cast("int").alias("k"))
+    dirty = (F.when(F.col("event_id") % 4 == 0, F.to_json(F.struct(k.alias("K!"), F.col("note").alias("Note"))))
+             .when(F.col("event_id") % 4 == 1, F.concat(F.lit("{K="), k, F.lit(", note="), "note", F.lit("}")))
+             .when(F.col("event_id") % 4 == 2, F.concat(F.lit("{'@K': "), k, F.lit(", 'Note': \""), "note", F.lit("\"}")))
+             .otherwise(F.concat(F.lit("{'@K': '"), k, F.lit("', 'Note': '"), F.replace("note", F.lit("'"), F.lit("")), F.lit("'}"))))
+    parsed = F.from_json(repair_json(dirty), "struct<k:string,note:string>")
+    return e.select("event_id", parsed.getField("k").try_cast("int").alias("k"), parsed.getField("note").alias("note"))
 
 
 @register("parse_dates_multi", """
@@ -786,27 +799,73 @@ EVENT_RAW_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 @register("landing_to_raw", """
-SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events, range(2)
 """)
 def landing_to_raw(spark, sf_dir):
-    """A landing folder of daily CSV deliveries checked and filed into
-    the raw table by the date found in each file's path."""
+    """Daily CSV deliveries, every line twice, checked and filed by the date in each
+    file's path.  Two runs deliver different files of the same dates (odd and even users); the second is
+    delivered once more with the same names.  Raw keeps the repeated lines and both files of a date."""
     e = T(spark, sf_dir, "events").select(
         "event_id", F.date_format("ts", fx.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props",
         F.date_format("ts", "yyyy_MM_dd").alias("day"))
-    folder = scratch_path(spark, "landing")
-    e.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(folder)
+    twice = e.withColumn("_n", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_n")
     spec = LandingSpec(filename_pattern=r"part-\d{5}-.*\.csv", file_format="csv",
                        date_regex=r"day=(\d{4})_(\d{2})_(\d{2})")
     raw = TableSpec(scratch_path(spark, "raw_events"), partition_field="data_date")
-    res = land(spark, folder, spec, raw, columns=EVENT_RAW_COLS, date_from="path")
-    bad = res.status.where(F.col("status") != "PROCESSED").count()
-    if bad:
-        raise RuntimeError(f"{bad} landing files were not processed")
+    folders = []
+    for half in (0, 1):
+        folders.append(scratch_path(spark, "landing"))
+        mine = twice.where(F.coalesce(F.pmod("user_id", F.lit(2)), F.lit(0)) == half)
+        mine.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(folders[-1])
+    for folder in [*folders, folders[1]]:
+        res = land(spark, folder, spec, raw, columns=EVENT_RAW_COLS, date_from="path")
+        bad = res.status.where(F.col("status") != "PROCESSED").count()
+        if bad:
+            raise RuntimeError(f"{bad} landing files were not processed")
     typed = cast_to(read_target(spark, res.table), {"event_id": "bigint", "user_id": "bigint", "value": "double"})
     return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
 
 
+def _mixed_landing(spark, sf_dir):
+    """A JSON landing folder: pretty-printed documents of the customers of each nation, one document without
+    the expected level, one with an object where the list should be, and a file of another name."""
+    c = T(spark, sf_dir, "customer")
+    record = F.to_json(F.struct(F.col("c_custkey"), F.col("c_name"), F.col("c_acctbal")))
+    docs = c.groupBy("c_nationkey").agg(F.concat(F.lit('{\n  "rows": [\n    '), F.array_join(F.collect_list(record), ",\n    "), F.lit("\n  ]\n}\n")).alias("doc"))
+    bad = (F.when(F.col("c_nationkey") == 3, F.lit('{"other": []}')).when(F.col("c_nationkey") == 5, F.lit('{"rows": {"c_custkey": 1}}'))
+           .otherwise(F.col("doc")))
+    folder = scratch_path(spark, "landing_json")
+    out = docs.select(bad.alias("value"), F.format_string("%s_2024_01_%02d", F.when(F.col("c_nationkey") == 7, "note").otherwise("cust"),
+                                                          F.col("c_nationkey") + 1).alias("name"))
+    out.write.partitionBy("name").option("lineSep", "\n").text(folder)
+    spec = LandingSpec(filename_pattern=r".*", file_format="json", json=JsonSpec("rows"), date_regex=r"name=cust_(\d{4})_(\d{2})_(\d{2})")
+    raw = TableSpec(scratch_path(spark, "raw_customers"), partition_field="data_date")
+    return land(spark, folder, spec, raw, columns=["c_custkey", "c_name", "c_acctbal"], date_from="path")
+
+
+MIXED_SQL = """
+WITH n AS (SELECT c_nationkey AS nation, count(*) AS customers,
+                  CASE WHEN c_nationkey IN (3, 5, 7) THEN 'ERROR' ELSE 'PROCESSED' END AS status FROM customer GROUP BY c_nationkey)
+"""
+
+
+@register("landing_mixed_status", MIXED_SQL + "SELECT nation, status FROM n")
+def landing_mixed_status(spark, sf_dir):
+    """The status of every file where some documents cannot be read and one has no date."""
+    status = _mixed_landing(spark, sf_dir).status
+    return status.select((F.regexp_extract("path", r"_(\d{2})/part", 1).cast("int") - 1).alias("nation"), "status")
+
+
+@register("landing_mixed_rows", """
+SELECT c_custkey, c_name, c_acctbal, '2024-01-' || lpad(CAST(c_nationkey + 1 AS VARCHAR), 2, '0') AS data_date
+FROM customer WHERE c_nationkey NOT IN (3, 5, 7)
+""")
+def landing_mixed_rows(spark, sf_dir):
+    """The rows of the readable files land although others cannot be read."""
+    res = _mixed_landing(spark, sf_dir)
+    return cast_to(read_target(spark, res.table), {"c_custkey": "bigint", "c_acctbal": "double"}).select("c_custkey", "c_name", "c_acctbal", "data_date")
+
+
 REPORT_PARAMS = {"file_date": "2024-01-15", "file_name": "orders.parquet", "status": "F", "excluded": "F"}
 
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from ..operators.merge import MergeCounts, check_duplicate_source_keys, plan_merge
 from ..session import delete_path, hadoop_fs, observed, path_exists, scratch_path
@@ -42,14 +42,20 @@ def _writer(df: DataFrame, spec: TableSpec, mode: str):
     return df.write.mode(mode)
 
 
-def read_target(spark: SparkSession, spec: TableSpec) -> DataFrame:
+def read_target(spark: SparkSession, spec: TableSpec, with_source: bool = False) -> DataFrame:
     """The table with its declared schema; without one, the file schema with the partition
-    column read as the directory text (no type inference: '007' stays '007')."""
+    columns read as the directory text (no type inference: '007' stays '007').  The column that tells
+    the delivered file of raw rows is left out unless asked for ``with_source``."""
+    df = _read_table(spark, spec)
+    return df.drop(spec.source_field) if spec.source_field and not with_source else df
+
+
+def _read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     if spec.schema is not None:
         return spark.read.schema(spec.schema).parquet(spec.path)
     df = spark.read.parquet(spec.path)
-    if spec.partition_field and spec.partition_field in df.columns:
-        schema = StructType([StructField(f.name, StringType(), True) if f.name == spec.partition_field else f
+    if set(spec.partition_columns) & set(df.columns):
+        schema = StructType([StructField(f.name, StringType(), True) if f.name in spec.partition_columns else f
                              for f in df.schema.fields])
         df = spark.read.schema(schema).parquet(spec.path)
     return df
@@ -59,12 +65,12 @@ def _target_columns(spark: SparkSession, spec: TableSpec, df: DataFrame) -> list
     if spec.schema is not None:
         return spec.column_names()
     if path_exists(spark, spec.path):
-        return read_target(spark, spec).columns
+        return _read_table(spark, spec).columns
     return df.columns
 
 
-def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> DataFrame:
-    """P2 for a table: its columns in order, cast to the declared types, whole-row DISTINCT."""
+def table_rows(spark: SparkSession, df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table's columns in order, cast to the declared types; every row stays."""
     if spec.schema is not None:
         out = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spec.schema.fields])
     else:
@@ -73,7 +79,19 @@ def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> Dat
     if pf and pf in out.columns and out.schema[pf].dataType == StringType():
         # '' and NULL share the default partition directory; keys must agree with what is read back
         out = out.withColumn(pf, F.when(F.col(pf) == "", F.lit(None).cast("string")).otherwise(F.col(pf)))
-    return out.distinct()
+    return out
+
+
+def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> DataFrame:
+    """P2 for a table: :func:`table_rows` and whole-row DISTINCT.  Where a column's type has no order
+    (MAP), rows are compared by its entries in the order of their keys."""
+    out = table_rows(spark, df, spec)
+    maps = [f.name for f in out.schema.fields if isinstance(f.dataType, MapType)]
+    if not maps:
+        return out.distinct()
+    entries = out.withColumns({f"_entries_{i}": F.array_sort(F.map_entries(F.col(f"`{c}`"))) for i, c in enumerate(maps)})
+    keys = [c for c in out.columns if c not in maps] + [f"_entries_{i}" for i in range(len(maps))]
+    return entries.dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in out.columns])
 
 
 def append(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
@@ -259,11 +277,17 @@ def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteR
 
 
 def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
-    """K6/K7: records filed under ``<table>/<partition_field>=<value>/``; partitions are created
-    by the write; a re-delivered date replaces its partition."""
-    if not spec.partition_field or spec.partition_field not in df.columns:
-        raise ValueError(f"{spec.partition_field!r} is not a partition column of the rows")
-    return overwrite_partitions(spark, df, spec)
+    """K6/K7: records filed as delivered (repeated records stay) under
+    ``<table>/<partition_field>=<value>/``, and below it by delivered file if the table has a
+    ``source_field``; partitions are created by the write.  A re-delivered file replaces only its own
+    partition; without a source field a re-delivered date replaces its."""
+    missing = [c for c in spec.partition_columns if c not in df.columns]
+    if missing or not spec.partition_columns:
+        raise ValueError(f"{missing or spec.partition_field!r}: not a partition column of the rows")
+    obs = Observation(f"raw_{uuid.uuid4().hex[:8]}")
+    data = table_rows(spark, df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
+    _writer(data, spec, "overwrite").parquet(spec.path)
+    return WriteResult(rows_written=observed(obs, "rows"))
 
 
 def register_partition(spark: SparkSession, table: str, field: str, value: str) -> None:

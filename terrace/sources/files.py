@@ -84,10 +84,11 @@ def _json_path(levels: list[str]) -> str:
 
 def nested_json_items(lines: DataFrame, spec: JsonSpec, partition_field: str = "data_date",
                       file_date: Column | str | None = None, drop_missing: bool = False,
-                      text_col: str = "value") -> DataFrame:
-    """One JSON document per line -> one row per record ``(item, <partition_field>)``,
+                      text_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """One JSON document per row -> one row per record ``(item, <partition_field>)``,
     ``item`` the record's JSON text.  The partition value comes from the document, else
-    ``file_date``.  A document without the source level raises (``drop_missing`` drops it)."""
+    ``file_date``.  A document without the source level, or with another kind of value there (an
+    object for an array), raises; ``drop_missing`` drops it."""
     doc = F.col(text_col)
     sub = F.get_json_object(doc, _json_path(spec.levels)) if spec.levels else doc
     if spec.source_level_format == "dictionary":
@@ -97,13 +98,14 @@ def nested_json_items(lines: DataFrame, spec: JsonSpec, partition_field: str = "
     else:
         raise ValueError(f"unknown source level format {spec.source_level_format!r}")
     if not drop_missing:
-        items = F.when(sub.isNull(), F.raise_error(
-            F.lit(f"path {spec.source_level!r} not found in a JSON document"))).otherwise(items)
+        items = F.coalesce(items, F.raise_error(F.lit(
+            f"path {spec.source_level or '$'!r} not found in a JSON document as {spec.source_level_format}")).cast(
+                "array<string>"))
     fallback = F.lit(file_date) if isinstance(file_date, str) or file_date is None else file_date
     stamp = F.coalesce(F.get_json_object(doc, f"$['{partition_field}']"), fallback)
-    return (lines.select(items.alias("_items"), stamp.alias(partition_field))
+    return (lines.select(items.alias("_items"), stamp.alias(partition_field), *(keep or []))
             .where(F.col("_items").isNotNull())
-            .select(F.explode("_items").alias("item"), partition_field))
+            .select(F.explode("_items").alias("item"), partition_field, *(keep or [])))
 
 
 def json_record_keys(items: DataFrame, item_col: str = "item") -> list[str]:
@@ -157,25 +159,14 @@ ARCHIVE_SCHEMA = "archive string, member string, content binary, validate boolea
 
 def _expand(kind: str, include_archive: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["archive", "member", "content", "validate"]
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                rows = []
                 if include_archive:
-                    rows.append((path, path.rsplit("/", 1)[-1], bytes(content), False))
-                buf = io.BytesIO(bytes(content))
-                if kind == "zip":
-                    with zipfile.ZipFile(buf) as z:
-                        for info in z.infolist():
-                            if not info.is_dir():
-                                rows.append((path, info.filename, z.read(info), True))
-                elif kind == "tar":
-                    with tarfile.open(fileobj=buf, mode="r:*") as t:
-                        for member in t.getmembers():
-                            if member.isfile():  # directories have no content (Q23)
-                                rows.append((path, member.name, t.extractfile(member).read(), True))
-                else:
-                    raise ValueError(f"unknown archive kind {kind!r}")
-                yield pd.DataFrame(rows, columns=["archive", "member", "content", "validate"])
+                    yield pd.DataFrame([(path, path.rsplit("/", 1)[-1], bytes(content), False)], columns=columns)
+                for name, opener in _members(kind, bytes(content)):  # one member at a time
+                    with opener() as fh:
+                        yield pd.DataFrame([(path, name, fh.read(), True)], columns=columns)
     return run
 
 
@@ -217,7 +208,7 @@ def archive_member_names(files: DataFrame, kind: str = "zip", encoding: str | No
                     _verify(kind, data, encoding)
                     rows += [(path, name, None) for name, _ in _members(kind, data)]
                 except Exception as e:  # not an archive, truncated upload, bad CRC, bad text
-                    rows.append((path, None, f"{type(e).__name__}: {e}"[:500]))
+                    rows.append((path, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["archive", "member", "error"])
     return files.select("path", "content").mapInPandas(run, "archive string, member string, error string")
 

@@ -25,6 +25,8 @@ from ..specs import LandingSpec, TableSpec
 def landing_stream(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str], date_from: str = "name",
                    max_files_per_trigger: int | None = None):
     """The streaming DataFrame of landed rows (all strings) with the partition column."""
+    if spec.csv.header and spec.csv.header_position:
+        raise ValueError("streaming landing reads headers on the first line; files with lines before it land in batch")
     r = (spark.readStream.options(**spec.csv.read_options()).schema(all_string_schema(columns))
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:

@@ -329,3 +329,97 @@ def test_landing_folder_named_with_glob_characters(spark, tmp_dir):
     res1 = land(spark, f"{tmp_dir}/land[1]", spec1, TableSpec(f"{tmp_dir}/raw1", partition_field="data_date"),
                 columns=["id", "name"])
     assert [tuple(r) for r in read_target(spark, res1.table).collect()] == [("2", "b", "2024-01-06")]
+
+
+def test_raw_keeps_repeated_rows_and_files_of_one_date(spark, tmp_dir):
+    spec = LandingSpec(filename_pattern=r"(ESP|FRA)_.*\.csv")
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    write(f"{tmp_dir}/one/ESP_2024-01-05.csv", "id,v\n1,a\n1,a\n2,b\n")
+    land(spark, f"{tmp_dir}/one", spec, raw, columns=["id", "v"])
+    write(f"{tmp_dir}/two/FRA_2024-01-05.csv", "id,v\n3,c\n")
+    res = land(spark, f"{tmp_dir}/two", spec, raw, columns=["id", "v"])
+    rows = lambda: sorted(tuple(r) for r in read_target(spark, res.table, with_source=True).select("id", "source_file").collect())
+    assert rows() == [("1", "ESP_2024-01-05.csv"), ("1", "ESP_2024-01-05.csv"), ("2", "ESP_2024-01-05.csv"), ("3", "FRA_2024-01-05.csv")]
+    write(f"{tmp_dir}/three/ESP_2024-01-05.csv", "id,v\n9,z\n")
+    assert land(spark, f"{tmp_dir}/three", spec, raw, columns=["id", "v"]).written.rows_written == 1
+    assert rows() == [("3", "FRA_2024-01-05.csv"), ("9", "ESP_2024-01-05.csv")]
+
+
+def test_unreadable_files_are_errors_and_the_others_land(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/land")
+    for day in ("01", "02", "03"):
+        spark.createDataFrame([(day, 1)], "id string, n int").coalesce(1).write.parquet(f"{tmp_dir}/p{day}")
+        part = next(n for n in os.listdir(f"{tmp_dir}/p{day}") if n.startswith("part-"))
+        os.rename(f"{tmp_dir}/p{day}/{part}", f"{tmp_dir}/land/d_2024-01-{day}.parquet")
+    write(f"{tmp_dir}/land/d_2024-01-04.parquet", "not parquet at all")
+    write(f"{tmp_dir}/land/notes.txt", "hello")
+    res = land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"d_.*\.parquet", file_format="parquet"), TableSpec(f"{tmp_dir}/raw"))
+    st = {r.file_name: (r.status, r.error) for r in res.status.collect()}
+    assert {n: s for n, (s, _) in st.items()} == {"d_2024-01-01.parquet": "PROCESSED", "d_2024-01-02.parquet": "PROCESSED",
+                                                  "d_2024-01-03.parquet": "PROCESSED", "d_2024-01-04.parquet": "ERROR", "notes.txt": "SKIP_PATTERN"}
+    assert "d_2024-01-04" in st["d_2024-01-04.parquet"][1]
+    assert sorted(r.id for r in read_target(spark, res.table).collect()) == ["01", "02", "03"] and res.written.rows_written == 3
+
+
+def test_whole_json_documents_and_a_wrong_level(spark, tmp_dir):
+    write(f"{tmp_dir}/land/j_2024-01-01.json", '{\n  "rows": [\n    {"a": 1},\n    {"a": 2}\n  ]\n}\n')
+    write(f"{tmp_dir}/land/j_2024-01-02.json", '{"rows": {"a": 3}}')
+    write(f"{tmp_dir}/land/j_2024-01-03.json", '{"other": []}')
+    write(f"{tmp_dir}/land/j_2024-01-04.json", '{"rows": [{"a": 4}]}')
+    res = land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"j_.*", file_format="json", json=JsonSpec("rows")), TableSpec(f"{tmp_dir}/raw"), columns=["a"])
+    assert {r.file_name[10:12]: r.status for r in res.status.collect()} == {"01": "PROCESSED", "02": "ERROR", "03": "ERROR", "04": "PROCESSED"}
+    assert sorted(r.a for r in read_target(spark, res.table).collect()) == ["1", "2", "4"]
+    os.makedirs(f"{tmp_dir}/top")
+    with open(f"{tmp_dir}/top/t_2024-01-01.json", "wb") as fh:
+        fh.write('[\n {"a": "é"},\n {"a": "b"}\n]'.encode("latin-1"))
+    res = land(spark, f"{tmp_dir}/top", LandingSpec(filename_pattern=r"t_.*", file_format="json", json=JsonSpec(encoding="ISO-8859-1")), TableSpec(f"{tmp_dir}/raw2"), columns=["a"])
+    assert sorted(r.a for r in read_target(spark, res.table).collect()) == ["b", "é"]
+
+
+def test_csv_checks_follow_the_readers_quotes_and_line_breaks(spark, tmp_dir):
+    write(f"{tmp_dir}/q/d_2024-01-01.csv", "id,name\n1,'a,b'\n")
+    res = land(spark, f"{tmp_dir}/q", LandingSpec(filename_pattern=r"d_.*", csv=CsvSpec(quote="'")), TableSpec(f"{tmp_dir}/raw"), columns=["id", "name"])
+    assert [r.status for r in res.status.collect()] == ["PROCESSED"] and read_target(spark, res.table).first().name == "a,b"
+    write(f"{tmp_dir}/m/d_2024-01-01.csv", 'id,"na""me"\n1,"a,\nb,c,d"\n2,x\n')
+    write(f"{tmp_dir}/m/d_2024-01-02.csv", 'id,name\n1,"a\nb",extra\n')
+    res = land(spark, f"{tmp_dir}/m", LandingSpec(filename_pattern=r"d_.*", csv=CsvSpec(multiline=True)), TableSpec(f"{tmp_dir}/raw2"), columns=["id", "name"])
+    assert {r.file_name: r.status for r in res.status.collect()} == {"d_2024-01-01.csv": "PROCESSED", "d_2024-01-02.csv": "ERROR"}
+    assert sorted(r.name for r in read_target(spark, res.table).collect()) == ["a,\nb,c,d", "x"]
+
+
+def test_landing_rules_decide_what_stops(spark, tmp_dir):
+    from terrace.quality.rules import rules_frame
+    write(f"{tmp_dir}/land/d_2024-01-01.csv", "id,name\n1,a\n")
+    write(f"{tmp_dir}/land/d_2024-01-02.csv", "id,name\n1,a,long\n")
+    write(f"{tmp_dir}/land/d_2024-01-03.csv", "id,other\n1,a\n")
+    base = dict(control_master_id="M", control_level="File", control_algorithm_type="SQL", control_threshold_type="Binary")
+    rules = rules_frame(spark, [
+        base | dict(control_table_id="format", blocking_control_indicator=True, control_description="SELECT path AS identifier, format_ok AS result FROM data"),
+        base | dict(control_table_id="columns", blocking_control_indicator=False, control_description="SELECT path AS identifier, columns_ok AS result FROM data")])
+    results = TableSpec(f"{tmp_dir}/results", partition_field="data_date")
+    res = land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"d_.*"), TableSpec(f"{tmp_dir}/raw"), columns=["id", "name"], rules=rules, results=results)
+    assert {r.file_name: r.status for r in res.status.collect()} == {"d_2024-01-01.csv": "PROCESSED", "d_2024-01-02.csv": "ERROR", "d_2024-01-03.csv": "PROCESSED"}
+    assert {r.control_table_id: r.control_outcome for r in read_target(spark, results).collect()} == {
+        "format": "{total: 3, value: 1}", "columns": "{total: 3, value: 1}"}
+    assert res.controls.verdict() is False
+
+
+def test_streams_refuse_headers_below_the_first_line(spark, tmp_dir):
+    from terrace.streaming.landing_stream import landing_stream
+    with pytest.raises(ValueError):
+        landing_stream(spark, tmp_dir, LandingSpec(filename_pattern=".*", csv=CsvSpec(header_position=1)), ["a"])
+
+
+def test_expand_archives_yields_members_one_by_one(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/z")
+    _zip(f"{tmp_dir}/z/a.zip", {"x.csv": "1", "y.csv": "2"})
+    files = list_files(spark, f"{tmp_dir}/z", "*.zip", with_content=True)
+    got = [(r.member, bytes(r.content), r.validate) for r in expand_archives(files, "zip", include_archive=True).collect()]
+    assert [g[0] for g in got] == ["a.zip", "x.csv", "y.csv"] and got[1][1] == b"1" and got[0][2] is False
+
+
+def test_failing_reports_are_named_and_the_others_written(spark, tmp_dir):
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{tmp_dir}/src")
+    spec = lambda name, **kw: ReportSpec(name=name, source=f"{tmp_dir}/src", columns=["id"], csv=CsvSpec(), filename_pattern="{name}.csv", **kw)
+    st = {r.name: r for r in run_reports(spark, [spec("good"), spec("none", where="id > 5"), spec("bad", where="nope = 1")], {}, f"{tmp_dir}/out").collect()}
+    assert st["good"].success and not st["none"].success and "no data" in st["none"].error and not st["bad"].success and "nope" in st["bad"].error

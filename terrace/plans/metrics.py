@@ -16,14 +16,14 @@ def with_read_metrics(df: DataFrame, observation: Observation) -> DataFrame:
 
 
 def table_metrics(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
-    """M2 totals: data files, bytes and rows of a Parquet table folder.  Sizes come from the
-    file listing (no content read); rows from Parquet footers via a count."""
+    """M2 totals: data files, bytes and rows of a Parquet table folder, in one aggregation: each row
+    knows its file and the file's size (no column is read), files without rows are not counted."""
     if not path_exists(spark, path):
         return spark.createDataFrame([(name or path, 0, 0, 0)], "table string, files long, bytes long, rows long")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-             .load(path).agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")))
-    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-    return files.crossJoin(rows).select(F.lit(name or path).alias("table"), "files", "bytes", "rows")
+    per_file = (spark.read.parquet(path).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b"))
+                .groupBy("f").agg(F.max("b").alias("b"), F.count(F.lit(1)).alias("n")))
+    return per_file.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
+                        ).select(F.lit(name or path).alias("table"), "files", "bytes", "rows")
 
 
 def merge_metrics_frame(spark: SparkSession, name: str, counts) -> DataFrame:

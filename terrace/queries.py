@@ -20,6 +20,7 @@ from .functions.text import normalise_header
 from .operators.columns import (clean_names, coalesce_pairs, conform, distinct_tokens, pick_column,
                                 stack_columns)
 from .operators.joins import equi_join
+from .operators.merge import Clause
 from .plans.flows import raw_to_staging, refine, run_summary
 from .plans.landing import land
 from .plans.reports import run_reports
@@ -456,23 +457,54 @@ for _strategy, _sql in MERGE_SQL.items():
 
 @register("merge_metrics", """
 SELECT count(*) FILTER (WHERE o_orderstatus = 'P') AS inserted,
-       count(*) FILTER (WHERE o_orderstatus = 'O') AS updated,
+       count(*) FILTER (WHERE o_orderstatus = 'O' AND o_orderkey % 3 = 0) AS updated,
        CAST(0 AS BIGINT) AS deleted,
-       count(*) FILTER (WHERE o_orderstatus = 'F') AS kept,
-       count(*) AS total
+       count(*) FILTER (WHERE o_orderstatus = 'O' AND o_orderkey % 3 <> 0) AS kept,
+       count(*) AS total, true AS bytes_counted
 FROM orders
 """)
 def merge_metrics(spark, sf_dir):
-    """M1/M2: inserted / updated / deleted / kept counts of an upsert, observed during the write."""
+    """M1/M2: inserted / updated / deleted / kept rows of an upsert, observed during the write (kept: unchanged
+    rows of the rewritten partitions; untouched partitions are never read), and bytes added and removed."""
     spec = _orders_table(spark, sf_dir)
-    res = merge_into(spark, spec, _order_changes(spark, sf_dir), "upsert")
+    changes = _order_changes(spark, sf_dir).where((F.col("o_orderstatus") == "P") | (F.col("o_orderkey") % 3 == 0))
+    res = merge_into(spark, spec, changes, "upsert")
     m = res.merge
-    # ``m.kept`` counts unchanged rows of the rewritten partitions only; untouched partitions
-    # are never read, so the table-wide unchanged count comes from the new total.
     total = read_target(spark, spec).agg(F.count(F.lit(1)).alias("total"))
     return total.select(F.lit(m.inserted).cast("bigint").alias("inserted"), F.lit(m.updated).cast("bigint").alias("updated"),
-                        F.lit(m.deleted).cast("bigint").alias("deleted"),
-                        (F.col("total") - m.inserted - m.updated).alias("kept"), "total")
+                        F.lit(m.deleted).cast("bigint").alias("deleted"), F.lit(m.kept).cast("bigint").alias("kept"), "total",
+                        F.lit(res.bytes_added > 0 and res.bytes_removed > 0).alias("bytes_counted"))
+
+
+@register("merge_conditional", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' AND o_orderkey % 5 <> 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 'CLOSED' WHEN o_orderstatus = 'P' THEN 'NEW' ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderkey % 5 = 0 AND o_custkey % 2 = 0) AND NOT (o_orderstatus = 'P' AND o_orderkey % 2 = 0)
+""")
+def merge_conditional(spark, sf_dir):
+    """MERGE clauses with conditions and per-column values: matched rows updated or deleted, some of
+    the new ones inserted, and rows that the source lacks updated."""
+    spec = _orders_table(spark, sf_dir)
+    merge_into(spark, spec, _order_changes(spark, sf_dir), clauses=[
+        Clause("matched", "delete", "t.o_orderkey % 5 = 0 AND s.o_custkey % 2 = 0"),
+        Clause("matched", "update", "t.o_orderkey % 5 <> 0", {"o_totalprice": "t.o_totalprice + 1"}),
+        Clause("not_matched", "insert", "s.o_orderkey % 2 = 1",
+               {**{c: f"s.{c}" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")}, "o_totalprice": "round(s.o_totalprice - 1, 2)", "o_orderpriority": "'NEW'"}),
+        Clause("not_matched_by_source", "update", None, {"o_orderpriority": "'CLOSED'"})])
+    return read_target(spark, spec)
+
+
+@register("merge_update_columns", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderstatus IN ('F', 'O')
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1, o_orderdate, 'CHANGED' FROM orders WHERE o_orderstatus = 'P'
+""")
+def merge_update_columns(spark, sf_dir):
+    """K2: an upsert that updates one column of matched rows and inserts the others whole."""
+    spec = _orders_table(spark, sf_dir)
+    changes = _order_changes(spark, sf_dir).withColumn("o_orderpriority", F.lit("CHANGED"))
+    merge_into(spark, spec, changes, "upsert", update_columns=["o_totalprice"])
+    return read_target(spark, spec)
 
 
 EVENT_TABLE_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "data_date"]

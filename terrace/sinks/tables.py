@@ -1,11 +1,9 @@
 """Table writes on Parquet folders: K3 append, K4 partition overwrite, K1/K2 merge, K5 delete,
 K6/K7 raw partitions.
 
-Parquet has no row-level MERGE or DELETE, so both rewrite only the partitions they touch:
-the new content of those partitions is written as a staged table in the shared checkpoint folder
-(this cuts the lineage: Spark cannot overwrite files its plan still reads, and a lost executor
-re-reads staged files rather than half-rewritten partitions), then copied over the table with
-dynamic partition overwrite, which swaps partitions at job commit.
+Parquet has no row-level MERGE or DELETE, so both rewrite only the partitions they touch, in one
+write: dynamic partition overwrite moves finished partitions in at job commit, so the plan may read
+what it replaces.  Unpartitioned tables are written beside the old one and swapped in.
 
 Every write conforms the rows to the table (declared column order and types, whole-row
 DISTINCT), so files of one table never disagree on a column's type.
@@ -20,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from ..operators.merge import MergeCounts, check_duplicate_source_keys, plan_merge
+from ..operators.merge import Clause, MergeCounts, check_duplicate_source_keys, merge_frames, plan_merge
 from ..session import delete_path, hadoop_fs, observed, path_exists, scratch_path
 from ..specs import TableSpec
 
@@ -30,6 +28,8 @@ class WriteResult:
     rows_written: int | None = None
     partitions: list | None = None
     merge: MergeCounts | None = None
+    bytes_added: int | None = None
+    bytes_removed: int | None = None
 
 
 def _writer(df: DataFrame, spec: TableSpec, mode: str):
@@ -145,119 +145,111 @@ def _in_partitions(field: str, values: list[tuple]) -> Column:
     return cond
 
 
-def _drop_partitions(spark: SparkSession, spec: TableSpec, values: list[tuple]) -> None:
-    """Remove partition directories, named exactly as Spark names them (escaping, NULL)."""
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for _, text in values:
-        name = utils.getPartitionPathString(spec.partition_field, text)
-        fs, p = hadoop_fs(spark, f"{spec.path.rstrip('/')}/{name}")
-        if fs.exists(p):
-            fs.delete(p, True)
-
-
-def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str, int]:
+def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back: the
-    lineage is cut (a lost executor re-reads the staged files, not the sources) and its size on
-    disk is known exactly.  Returns (frame, path, bytes)."""
+    lineage is cut (a lost executor re-reads the staged files, not the sources)."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    fs, jpath = hadoop_fs(spark, path)
-    size = int(fs.getContentSummary(jpath).getLength())
-    return spark.read.schema(df.schema).parquet(path), path, size
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+def _files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Name and size of the data files of a folder (not below it); a listing, no content."""
+    fs, folder = hadoop_fs(spark, path)
+    return {st.getPath().getName(): int(st.getLen()) for st in fs.listStatus(folder) if st.isFile()} if fs.exists(folder) else {}
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    """Bytes of in-memory table a join may broadcast: the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` as Spark itself parses it (-1 disables)."""
-    try:
-        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    except Exception:  # no JVM session object (Spark Connect): parse the setting
-        raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
-        num = raw.rstrip("bkmgt")
-        return int(num) * _UNITS.get(raw[len(num):], 1)
-
-
-# Parquet is compressed and encoded; a row set held in memory for a broadcast is several
-# times larger than its files.
-PARQUET_EXPANSION = 5
-
-
-def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched: list | None,
-             keep=None) -> None:
-    """Write the new content of the ``touched`` partitions through a staged table in the shared
-    checkpoint folder (Spark cannot overwrite files its plan still reads), then remove touched
-    partitions that ended up empty.  Partitioned tables are always written with dynamic
-    overwrite, which swaps partitions at job commit, so readers never see an emptied table;
-    unpartitioned tables are overwritten whole (``touched`` is ignored).  If the copy fails, the
-    staged rows are kept and their folder is named in the error.  Observations in ``new_rows``
-    fire with the staging write; the one shuffle (REBALANCE) is on the copy."""
-    rows = new_rows.where(keep) if keep is not None else new_rows
-    rows = rows.select(*[c for c in rows.columns if not c.startswith("_action")])
-    staged, path, _ = stage(spark, rows, "rewrite")
-    try:
-        if spec.partition_columns:
-            _writer(staged, spec, "overwrite").parquet(spec.path)
-        else:
-            staged.write.mode("overwrite").parquet(spec.path)
-    except Exception as e:
-        raise RuntimeError(f"rewrite of {spec.path} failed; the new rows are kept at {path}") from e
+def _partition_folders(spark: SparkSession, spec: TableSpec, values: list[tuple]) -> list[str]:
+    """Partition folders, named exactly as Spark names them (escaping, NULL)."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return [f"{spec.path.rstrip('/')}/{utils.getPartitionPathString(spec.partition_field, text)}" for _, text in values]
+
+
+def _replace_table(spark: SparkSession, rows: DataFrame, path: str) -> tuple[int, int]:
+    """An unpartitioned table anew: written beside the old one and swapped in by renames, so a failed
+    write leaves the table as it was.  Returns bytes added and removed."""
+    tag = uuid.uuid4().hex[:8]
+    new, old = f"{path.rstrip('/')}__new_{tag}", f"{path.rstrip('/')}__old_{tag}"
     try:
-        if spec.partition_columns:
-            remaining = {"" if _is_default(s) else s for _, s in _partition_values(staged, spec.partition_field)}
-            _drop_partitions(spark, spec, [(v, s) for v, s in (touched or [])
-                                           if ("" if _is_default(s) else s) not in remaining])
-    finally:
-        delete_path(spark, path)   # the table already holds the new rows
+        rows.write.parquet(new)
+    except Exception:
+        delete_path(spark, new)
+        raise
+    added, removed = sum(_files(spark, new).values()), sum(_files(spark, path).values())
+    fs, now = hadoop_fs(spark, path)
+    if not fs.rename(now, hadoop_fs(spark, old)[1]) or not fs.rename(hadoop_fs(spark, new)[1], now):
+        raise RuntimeError(f"could not swap {new} in for {path}; the table as it was is at {old}")
+    delete_path(spark, old)
+    return added, removed
+
+
+def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched: list | None) -> tuple[int, int]:
+    """Write the new content of the ``touched`` partitions in one pass: dynamic overwrite commits by
+    moving finished partitions in, so the plan may read the partitions that it replaces, and a failed
+    job leaves them as they were.  A touched partition whose files are still the old ones got no
+    rows; it is removed.  Returns bytes added and removed (from listings)."""
+    if not spec.partition_columns:
+        return _replace_table(spark, new_rows, spec.path)
+    folders = _partition_folders(spark, spec, touched or [])
+    before = {f: _files(spark, f) for f in folders}
+    _writer(new_rows, spec, "overwrite").parquet(spec.path)
+    added = removed = 0
+    for folder in folders:
+        now = _files(spark, folder)
+        if before[folder] and now == before[folder]:
+            delete_path(spark, folder)
+            now = {}
+        added, removed = added + sum(now.values()), removed + sum(before[folder].values())
+    return added, removed
 
 
 def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy: str = "upsert",
                update_columns: list[str] | None = None, null_safe: bool = False,
-               check_duplicates: bool = True) -> WriteResult:
-    """Merge ``source`` into the table on ``spec.primary_keys``.
-
-    The conformed source is staged once; its measured size decides whether the joins broadcast
-    it (then the target partitions stream through map-only anti/semi joins) or shuffle on the
-    keys.  When the partition column is a key, only the partitions the source names are read and
-    rewritten (partition pruning on the scan); otherwise the whole table is rewritten.
+               check_duplicates: bool = True, clauses: list[Clause] | None = None) -> WriteResult:
+    """Merge ``source`` into the table on ``spec.primary_keys``, by a named strategy or by
+    conditional ``clauses``.
+
+    The conformed source is staged once (it is read several times); the new content is written once.
+    When the partition column is a key, only the partitions the source names are read and
+    rewritten (partition pruning on the scan); otherwise, and with clauses for rows that the source
+    lacks, the whole table is.
     """
     if not path_exists(spark, spec.path):
-        if strategy in ("update_only", "delete_matched"):
+        if clauses is not None:
+            if not any(c.action == "insert" for c in clauses):
+                return WriteResult(rows_written=0, merge=MergeCounts(0, 0, 0, 0))
+            empty = conform_to_table(spark, source, spec).limit(0)
+            source = merge_frames(empty, conform_to_table(spark, source, spec), spec.primary_keys, clauses=clauses)
+        elif strategy in ("update_only", "delete_matched"):
             return WriteResult(rows_written=0, merge=MergeCounts(0, 0, 0, 0))
         res = append(spark, source, spec)
         return WriteResult(rows_written=res.rows_written, merge=MergeCounts(res.rows_written, 0, 0, 0))
     cols = _target_columns(spark, spec, source)
-    src, src_path, src_bytes = stage(spark, conform_to_table(spark, source, spec), "merge_source")
+    src, src_path = stage(spark, conform_to_table(spark, source, spec), "merge_source")
     try:
-        limit = broadcast_limit(spark)
-        small = limit >= 0 and src_bytes * PARQUET_EXPANSION <= limit
         target = read_target(spark, spec).select(*cols)
         pf = spec.partition_field
         touched = None
-        if pf and pf in spec.primary_keys:
+        if pf and pf in spec.primary_keys and not any(c.when == "not_matched_by_source" or pf in c.values for c in clauses or []):
             touched = _partition_values(src, pf)
             if not touched:
                 return WriteResult(rows_written=0, partitions=[], merge=MergeCounts(0, 0, 0, 0))
             target = target.where(_in_partitions(pf, touched))
         if check_duplicates:
-            check_duplicate_source_keys(target, src, spec.primary_keys, broadcast_source=small)
-        plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, broadcast_source=small)
+            check_duplicate_source_keys(target, src, spec.primary_keys)
+        plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, clauses)
         # partition column not a key: the whole table is rewritten, every existing partition touched
         rewrite = touched if touched is not None or not pf else _existing_partitions(spark, spec)
-        _rewrite(spark, spec, plan.frame, rewrite)
+        added, removed = _rewrite(spark, spec, plan.frame, rewrite)
     finally:
         delete_path(spark, src_path)
     counts = plan.counts()
-    return WriteResult(rows_written=counts.total, partitions=None if touched is None else [v for v, _ in touched],
-                       merge=counts)
+    return WriteResult(counts.total, None if touched is None else [v for v, _ in touched], counts, added, removed)
 
 
 def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteResult:
     """K5: rows where ``predicate`` is true are removed (NULL keeps the row, as SQL DELETE).
-    Only partitions holding a matching row are rewritten (map-only: filter and write)."""
+    Only partitions holding a matching row are rewritten (filter and write)."""
     if not path_exists(spark, spec.path):
         return WriteResult(rows_written=0)
     table = read_target(spark, spec)
@@ -268,12 +260,11 @@ def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteR
         return WriteResult(rows_written=0, partitions=[])
     base = table.where(_in_partitions(pf, touched)) if pf else table
     obs = Observation(f"delete_{uuid.uuid4().hex[:8]}")
-    marked = base.withColumn("_action", F.when(pred, "deleted").otherwise("kept")).observe(
-        obs, F.count_if(F.col("_action") == "deleted").alias("deleted"), F.count_if(F.col("_action") == "kept").alias("kept"))
-    _rewrite(spark, spec, marked, touched, keep=F.col("_action") == "kept")
+    marked = base.withColumn("_gone", pred).observe(
+        obs, F.count_if(F.col("_gone")).alias("deleted"), F.count_if(~F.col("_gone")).alias("kept"))
+    added, removed = _rewrite(spark, spec, marked.where(~F.col("_gone")).drop("_gone"), touched)
     deleted, kept = observed(obs, "deleted"), observed(obs, "kept")
-    return WriteResult(rows_written=kept, partitions=None if touched is None else [v for v, _ in touched],
-                       merge=MergeCounts(0, 0, deleted, kept))
+    return WriteResult(kept, None if touched is None else [v for v, _ in touched], MergeCounts(0, 0, deleted, kept), added, removed)
 
 
 def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from terrace.operators.merge import DuplicateSourceKeyError, merge_frames, plan_merge
+from terrace.operators.merge import Clause, DuplicateSourceKeyError, merge_frames, plan_merge
 from terrace.sinks.tables import append, delete_where, merge_into, overwrite_partitions, read_target
 from terrace.specs import TableSpec
 
@@ -24,16 +24,15 @@ def test_upsert_keeps_null_keys_and_counts(spark):
     assert (c.inserted, c.updated, c.kept) == (2, 1, 2)
 
 
-@pytest.mark.parametrize("broadcast", [False, True])
 @pytest.mark.parametrize("strategy", ["upsert", "insert_only", "update_only", "delete_matched"])
-def test_plan_matches_full_outer_audit(spark, strategy, broadcast):
+def test_plan_matches_full_outer_audit(spark, strategy):
     from terrace.operators.merge import merge_actions
     t = spark.createDataFrame([(i, f"t{i}", "x") for i in range(0, 40, 2)] + [(None, "tn", "x")], SCHEMA)
     s = spark.createDataFrame([(i, f"s{i}", "y") for i in range(0, 60, 3)] + [(None, "sn", "y")], SCHEMA)
     for upd in (None, ["d"]):
         if upd and strategy not in ("upsert", "update_only"):
             continue
-        plan = plan_merge(t, s, ["k"], strategy, update_columns=upd, broadcast_source=broadcast)
+        plan = plan_merge(t, s, ["k"], strategy, update_columns=upd)
         audit = merge_actions(t, s, ["k"], strategy, update_columns=upd)
         want = audit.where(F.col("_action").isin("kept", "updated", "inserted")).drop("_action")
         assert rows(plan.frame) == rows(want)
@@ -147,16 +146,6 @@ def test_writes_cast_to_declared_types(spark, tmp_dir):
     assert [tuple(r) for r in read_target(spark, spec).collect()] == [(1, 2.0, "p")]
 
 
-def test_broadcast_limit_reads_spark_units(spark):
-    from terrace.sinks.tables import broadcast_limit
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
-        assert broadcast_limit(spark) == 64 << 20
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
 def test_empty_string_and_null_share_default_partition(spark, tmp_dir):
     spec = _spec(spark, tmp_dir, ["d", "k"])
     append(spark, spark.createDataFrame([(1, "a", None), (2, "b", "p1")], SCHEMA), spec)
@@ -189,3 +178,50 @@ def test_empty_string_key_updates_null_partition_row(spark, tmp_dir):
     assert rows(read_target(spark, spec)) == [(1, "A", None)]
     res = merge_into(spark, spec, spark.createDataFrame([(1, "B", "")], SCHEMA))
     assert res.merge.inserted == 1                                # Q3: NULL keys never match by default
+
+
+def test_conditional_clauses(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["k"])
+    append(spark, spark.createDataFrame([(1, "a", "p1"), (2, "b", "p1"), (3, "c", "p2"), (4, "d", "p3"), (None, "n", "p1")], SCHEMA), spec)
+    src = spark.createDataFrame([(1, "A", "p1"), (2, "drop", "p1"), (3, "C", "p2"), (8, "new", "p4"), (9, "skip", "p4")], SCHEMA)
+    res = merge_into(spark, spec, src, clauses=[
+        Clause("matched", "delete", "s.v = 'drop'"),
+        Clause("matched", "update", "t.k < 3", {"v": "concat(t.v, s.v)"}),
+        Clause("not_matched", "insert", "s.v <> 'skip'", {"k": "s.k * 10", "d": "s.d"}),
+        Clause("not_matched_by_source", "update", "t.k IS NULL", {"v": "'gone'"}),
+        Clause("not_matched_by_source", "delete")])
+    assert rows(read_target(spark, spec)) == rows(spark.createDataFrame([(1, "aA", "p1"), (3, "c", "p2"), (80, None, "p4"), (None, "gone", "p1")], SCHEMA))
+    assert (res.merge.inserted, res.merge.updated, res.merge.deleted, res.merge.kept) == (1, 2, 2, 1)
+    assert res.bytes_added > 0 and res.bytes_removed > 0
+    with pytest.raises(ValueError):
+        Clause("not_matched", "delete")
+
+
+def test_unpartitioned_rewrite_failure_leaves_the_table(spark, tmp_dir):
+    import os
+    spec = TableSpec(f"{tmp_dir}/t", primary_keys=["k"], partition_field=None)
+    append(spark, spark.createDataFrame([(1, "a", "x"), (2, "b", "x")], SCHEMA), spec)
+    merge_into(spark, spec, spark.createDataFrame([(2, "B", "x")], SCHEMA))
+    assert rows(read_target(spark, spec)) == [(1, "a", "x"), (2, "B", "x")]
+    with pytest.raises(Exception):
+        merge_into(spark, spec, spark.createDataFrame([(1, "A", "x")], SCHEMA), clauses=[Clause("matched", "update", values={"v": "raise_error('no')"})])
+    assert rows(read_target(spark, spec)) == [(1, "a", "x"), (2, "B", "x")]
+    assert sorted(os.listdir(tmp_dir)) == ["t"]
+
+
+def test_keyless_rows_pass_by_the_joins(spark):
+    t = spark.createDataFrame([(None, f"t{i}", "x") for i in range(5)] + [(1, "a", "x")], SCHEMA)
+    s = spark.createDataFrame([(None, "s", "x"), (1, "A", "x")], SCHEMA)
+    for strategy, n in (("upsert", 7), ("insert_only", 7), ("update_only", 6), ("delete_matched", 5)):
+        plan = plan_merge(t, s, ["k"], strategy)
+        assert plan.frame.count() == n
+        text = plan.frame._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in text.splitlines() if "Join" in line]
+        assert joins and "isnotnull(k" in text
+
+
+def test_map_columns_are_written_without_repeats(spark, tmp_dir):
+    df = spark.sql("SELECT map('a', 1, 'b', 2) AS m, 'p' AS d UNION ALL SELECT map('b', 2, 'a', 1), 'p' UNION ALL SELECT map('a', 3), 'p'")
+    spec = TableSpec(f"{tmp_dir}/t", schema=df.schema, partition_field="d")
+    append(spark, df, spec)
+    assert sorted(len(r.m) for r in read_target(spark, spec).collect()) == [1, 2]

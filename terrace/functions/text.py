@@ -1,5 +1,5 @@
 """Text helpers as Column expressions: regex find (C9), file-name dates (C11), content hash
-(C12), ordered literal replaces (C13), detail concatenation (C16), header clean-up (P8, P9)."""
+(C12), ordered literal replaces (C13), header clean-up (P8, P9)."""
 
 from __future__ import annotations
 
@@ -62,12 +62,6 @@ def replace_pairs(col: Column | str, pairs: list[tuple[str, str]]) -> Column:
     return out
 
 
-def join_details(*parts: Column) -> Column:
-    """Non-empty detail parts joined with '. '."""
-    trimmed = [F.nullif(F.trim(p), F.lit("")) for p in parts]
-    return F.coalesce(F.concat_ws(". ", *trimmed), F.lit(""))
-
-
 def normalise_header(col: Column | str) -> Column:
     """Lower, trim, '/' to space, drop characters outside [A-Za-z0-9 whitespace _],
     whitespace runs to '_'."""
@@ -76,11 +70,6 @@ def normalise_header(col: Column | str) -> Column:
     return F.regexp_replace(c, r"\s+", "_")
 
 
-def normalise_header_name(name: str) -> str:
-    """Driver-side twin of :func:`normalise_header` for schema names."""
-    return re.sub(r"\s+", "_", re.sub(r"[^A-Za-z0-9\s_]", "", name.lower().strip().replace("/", " ")))
-
-
 def clean_name(name: str) -> str:
     """Drop non-word characters from a column name."""
     return re.sub(r"\W", "", name)

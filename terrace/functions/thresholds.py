@@ -1,4 +1,4 @@
-"""Threshold predicates (F7, D5-D7) and the pass ratio (A6) as Column expressions."""
+"""Threshold predicates (F7, D5-D7) as Column expressions."""
 
 from __future__ import annotations
 
@@ -31,9 +31,3 @@ def threshold_flag(result_num: Column, result_bool: Column, kind: Column | str,
             .when(k == "Absolute", F.when(result_num.isNotNull(), within(F.abs(result_num), lo, hi)))
             .when(k == "Standard", F.when(result_num.isNotNull(), within(result_num, lo, hi))))
 
-
-def pass_ratio(total: Column, invalid: Column) -> Column:
-    """1 - invalid/total; 1.0 when total is 0; NULL when either side is NULL."""
-    return (F.when(total.isNull() | invalid.isNull(), F.lit(None).cast("double"))
-            .when(total == 0, F.lit(1.0))
-            .otherwise(F.lit(1.0) - invalid.cast("double") / total.cast("double")))

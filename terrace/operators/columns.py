@@ -45,15 +45,12 @@ def coalesce_pairs(df: DataFrame, columns: list[str], custom_suffix: str, defaul
 def pick_column(df: DataFrame, new: str, reference: str, available: list[str], default: Any = None) -> DataFrame:
     """P5: the value of the column *named by* ``reference``, among ``available``; else ``default``.
     All candidate columns are cast to string when their types differ."""
-    if not available:
-        return df.withColumn(new, F.lit(default))
     types = {df.schema[c].dataType for c in available}
-    uniform = len(types) == 1
-    expr = None
-    for c in available:
-        val = F.col(f"`{c}`") if uniform else F.col(f"`{c}`").cast("string")
-        expr = F.when(F.col(reference) == F.lit(c), val) if expr is None else expr.when(F.col(reference) == F.lit(c), val)
-    return df.withColumn(new, expr.otherwise(F.lit(default)))
+    values = {c: F.col(f"`{c}`") if len(types) == 1 else F.col(f"`{c}`").cast("string") for c in available}
+    named = [F.when(F.col(reference) == c, F.struct(v.alias("value"))) for c, v in values.items()]
+    chosen = F.coalesce(*named) if named else F.lit(None)
+    picked = F.when(chosen.isNotNull(), chosen["value"]).otherwise(F.lit(default)) if named else F.lit(default)
+    return df.withColumn(new, picked)
 
 
 def stack_columns(df: DataFrame, sources: list[str], targets: list[str]) -> DataFrame:
@@ -107,5 +104,5 @@ def distinct_tokens(df: DataFrame, column: str, separator: str, name: str = "val
 
 
 def is_empty(df: DataFrame | None) -> bool:
-    """A3."""
+    """A3: no frame, or no row in it (reads at most one)."""
     return df is None or df.isEmpty()

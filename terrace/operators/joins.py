@@ -25,7 +25,10 @@ def equi_join(left: DataFrame, right: DataFrame, how: str, left_on: list[str],
     if len(left_on) != len(right_on):
         raise ValueError(f"left_on has {len(left_on)} columns, right_on {len(right_on)}")
     if right_on != left_on:
-        # Right keys take the left names; the right key columns vanish from the result.
+        # Right keys take the left names; the right key columns vanish from the result.  A left column
+        # that is named like a right key is suffixed, as any name that both sides have.
+        shared = [c for c in right_on if c in left.columns and c not in left_on]
+        left = left.withColumnsRenamed({c: c + left_suffix for c in shared})
         clash = [c for c in left_on if c in right.columns and c not in right_on]
         if clash:
             right = right.withColumnsRenamed({c: c + right_suffix for c in clash})

@@ -1,4 +1,4 @@
-"""T1 latest processed copy, T2 column-name set differences, T3 bag union."""
+"""T1 latest processed copy, T3 bag union."""
 
 from __future__ import annotations
 
@@ -27,17 +27,6 @@ def latest_copies(processed: DataFrame, name_col: str = "file_name", path_col: s
     return base.groupBy(name_col).agg(F.max("_ts").alias("insert_ts"), *aggs)
 
 
-def name_sets(actual: list[str], expected: list[str]) -> dict:
-    """T2 on driver-side schemas (column names only)."""
-    return {"extra": sorted(set(actual) - set(expected)), "missing": sorted(set(expected) - set(actual)),
-            "common": sorted(set(actual) & set(expected))}
-
-
-def extra_columns(actual: Column, expected: Column) -> Column:
-    """T2 on array columns."""
-    return F.array_except(actual, expected)
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """T3."""
     out = frames[0]

@@ -22,6 +22,7 @@ from ..sources.files import partition_path, read_nested_json, read_raw
 from ..sources.tables import read_partition
 from ..specs import CsvSpec, JsonSpec, TableSpec
 from .metrics import with_read_metrics
+from .reports import failed_outputs
 
 
 def datacast(spark: SparkSession, raw_base: str, target: StructType, fmt: str = "csv",
@@ -89,14 +90,20 @@ def refine(spark: SparkSession, source: TableSpec, target: TableSpec, transform:
 
 
 def run_summary(spark: SparkSession, process: str, results: list[FlowResult], file_name: str | None = None,
-                file_date: str | None = None, next_stage: bool = True, outputs: DataFrame | None = None) -> DataFrame:
-    """One summary row per run (success, next stage, file, timings, counts)."""
-    ok = all(r.written is not None for r in results)
-    failed = 0 if outputs is None else outputs.where(~F.col("success")).count()
-    row = (process, ok and failed == 0, next_stage and ok, file_name, file_date,
+                file_date: str | None = None, next_stage: bool = True, outputs: DataFrame | None = None,
+                controls: dict | None = None) -> DataFrame:
+    """One summary row per run: timings, counts, the checked tables with their verdicts (``controls``:
+    table -> ControlRun) and the outputs that failed with their errors.  A run succeeds if every flow
+    wrote, every verdict is true and no output failed; the next stage starts only then."""
+    failed = [] if outputs is None else [(r["name"], r["error"]) for r in failed_outputs(outputs).orderBy("name").collect()]
+    checked = [(table, run.verdict()) for table, run in sorted((controls or {}).items())]
+    ok = all(r.written is not None for r in results) and all(v for _, v in checked) and not failed
+    row = (process, ok, next_stage and ok, file_name, file_date,
            min(r.started for r in results) if results else None, max(r.finished for r in results) if results else None,
            float(sum(r.seconds for r in results)), int(sum(r.rows_read or 0 for r in results)),
-           int(sum((r.written.rows_written or 0) for r in results)), int(failed))
+           int(sum((r.written.rows_written or 0) for r in results)), len(failed), checked, failed)
     return spark.createDataFrame([row], "process string, success boolean, next_stage boolean, file_name string, "
                                         "file_date string, started timestamp, finished timestamp, duration_sec double, "
-                                        "rows_read long, rows_written long, failed_outputs long")
+                                        "rows_read long, rows_written long, failed_outputs long, "
+                                        "checked_tables array<struct<table: string, passed: boolean>>, "
+                                        "output_errors array<struct<name: string, error: string>>")

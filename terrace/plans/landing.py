@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
+from ..operators.columns import fill_empty, stamp_partition
 from ..quality.files import (columns_result, content_lines, csv_lines, csv_profile, flag_unchanged, format_result,
                              member_profile, numbered_lines)
 from ..quality.engine import ControlRun, run_controls, save_results
@@ -95,10 +96,10 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
         content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal_path(folder))
                    .select("path", "content"))
         incoming = content.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
-        flags = flag_unchanged(incoming, processed).select("path", "is_duplicate")
+        flags = flag_unchanged(incoming, processed).select("path", "is_duplicate", "content_md5")
         files = files.join(flags, "path", "left")
     else:
-        files = files.withColumn("is_duplicate", F.lit(False))
+        files = files.withColumn("is_duplicate", F.lit(False)).withColumn("content_md5", F.lit(None).cast("string"))
     return _with_status(files)
 
 
@@ -156,7 +157,7 @@ def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: li
         r = (spark.read.format("xml").option("rowTag", spec.xml.row_tag).option("attributePrefix", "")
              .option("encoding", spec.xml.encoding))
         r = r.schema(all_string_schema(columns)) if columns else r.option("inferSchema", "false")
-        return r.load(files).na.fill("").select("*", meta)
+        return fill_empty(r.load(files).select("*", meta))
     if spec.file_format == "parquet":
         return spark.read.parquet(*files).select("*", meta)
     raise ValueError(f"unknown landing format {spec.file_format!r}")
@@ -184,7 +185,7 @@ def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: Ta
     rows = _parse(spark, paths, spec, columns)
     if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
         stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
-    rows = rows.withColumn(spec.partition_field, stamp).withColumn(raw.source_field, name)
+    rows = stamp_partition(stamp_partition(rows, spec.partition_field, stamp), raw.source_field, name)
     return rows.drop("path", "member")
 
 
@@ -279,4 +280,4 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         status = status.join(found, "path", "left")
         status = status.withColumn("error", F.concat_ws("; ", F.nullif("error", F.lit("")), "_unread")).withColumn(
             "status", F.when(F.col("_unread").isNotNull(), "ERROR").otherwise(F.col("status")))
-    return LandingResult(status.select("path", "file_name", "file_date", "status", "error"), WriteResult(rows_written=written), raw, control)
+    return LandingResult(status.select("path", "file_name", "file_date", "status", "error", "content_md5"), WriteResult(rows_written=written), raw, control)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
-from ..functions.text import to_java_regex
+from ..functions.text import regex_find
 from ..functions.thresholds import threshold_flag
 from ..operators.sets import union_all
 from ..session import observed, scratch_path
@@ -108,7 +108,7 @@ def regex_columns(df: DataFrame | None, rule: dict) -> list[str]:
 
 def _regex_valid(rule: dict, column: str) -> Column:
     """The value (NULL as '') matches, judged by the rule's own limits."""
-    matched = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).rlike(to_java_regex(rule["control_description"]))
+    matched = regex_find(F.col(f"`{column}`"), rule["control_description"])
     return threshold_flag(matched.cast("int").cast("double"), matched, rule["control_threshold_type"],
                           rule["control_threshold_min"], rule["control_threshold_max"])
 

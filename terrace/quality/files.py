@@ -208,10 +208,12 @@ def check_csv_columns(spark: SparkSession, path: str, expected: list[str], spec:
 def flag_unchanged(incoming: DataFrame, processed: DataFrame, name_col: str = "file_name",
                    content_col: str = "content") -> DataFrame:
     """An incoming file whose MD5 equals the MD5 of its latest processed copy (same
-    base name, latest ``insert_date/insert_time`` in the path) is a duplicate.  Hashes are
-    computed where the content is; only (name, hash) pairs are shuffled."""
-    latest = latest_copies(processed.withColumn("_md5", content_md5(content_col)).drop(content_col),
+    base name, latest ``insert_date/insert_time`` in the path) is a duplicate.  A ``content_md5`` column
+    of ``processed`` (as landing statuses carry it) is taken as it is, so the archive is not read
+    again; else hashes are computed where the content is.  Only (name, hash) pairs are shuffled."""
+    stored = F.col("content_md5") if "content_md5" in processed.columns else content_md5(content_col)
+    latest = latest_copies(processed.withColumn("_md5", stored).drop(content_col),
                            name_col=name_col, path_col="path", extra=["_md5"])
     inc = incoming.withColumn("_in_md5", content_md5(content_col)).drop(content_col)
     j = inc.join(latest.select(name_col, F.col("path").alias("last_processed_path"), "_md5"), name_col, "left")
-    return j.withColumn("is_duplicate", F.coalesce(F.col("_in_md5") == F.col("_md5"), F.lit(False))).drop("_md5", "_in_md5")
+    return j.withColumn("is_duplicate", F.coalesce(F.col("_in_md5") == F.col("_md5"), F.lit(False))).drop("_md5").withColumnRenamed("_in_md5", "content_md5")

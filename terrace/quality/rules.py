@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.thresholds import ALGORITHM_TYPES, CONTROL_LEVELS, THRESHOLD_TYPES
 from ..operators.columns import coalesce_pairs
 from ..operators.joins import equi_join
+from ..sources.tables import create_frame
 
+# The columns of the three rule tables.
 MASTER_SCHEMA = ("control_master_id string, control_level string, control_threshold_min double, "
                  "control_threshold_max double, control_threshold_type string")
 
@@ -49,29 +51,24 @@ def violation_list() -> Column:
     lo, hi = F.col("control_threshold_min"), F.col("control_threshold_max")
     rlo, rhi = F.col("control_threshold_rag_min"), F.col("control_threshold_rag_max")
     algo, level = F.col("control_algorithm_type"), F.col("control_level")
-    types = ", ".join(THRESHOLD_TYPES)
+    def one_of(what: str, value: Column, allowed: list[str]) -> Column:
+        said = F.coalesce(F.nullif(F.trim(value), F.lit("")), F.lit("nothing"))
+        return _check(value.isNull() | ~value.isin(*allowed), F.concat(F.lit(f"{what} must be one of {allowed}, got "), said))
+
+    def in_order(what: str, low: Column, high: Column) -> Column:
+        return _check(low > high, F.format_string(f"{what}: lower bound %s exceeds upper bound %s", low, high))
+
+    def share(what: str, value: Column) -> Column:
+        return _check((value < 0) | (value > 1), F.format_string(f"{what} %s is no share between 0 and 1", value))
+
     checks = [
-        _check(t.isNull() | (t == ""), f"Undefined threshold type. Available threshold types: {types}"),
-        _check(t.isNotNull() & (t != "") & ~t.isin(*THRESHOLD_TYPES),
-               F.concat(F.lit("Invalid threshold type: "), t, F.lit(f". Available threshold types: {types}"))),
-        _check(lo.isNotNull() & hi.isNotNull() & (lo > hi),
-               F.format_string("Invalid threshold limits. Min threshold is greater than max threshold: %s > %s", lo, hi)),
-        _check(rlo.isNotNull() & rhi.isNotNull() & (rlo > rhi),
-               F.format_string("Invalid threshold percentages. Min threshold is greater than max threshold: %s > %s", rlo, rhi)),
-        _check(rlo.isNotNull() & ((rlo < 0) | (rlo > 1)),
-               F.format_string("Invalid min threshold percentage. Must be expressed between 0.0 and 1.0: %s", rlo)),
-        _check(rhi.isNotNull() & ((rhi < 0) | (rhi > 1)),
-               F.format_string("Invalid max threshold percentage. Must be expressed between 0.0 and 1.0: %s", rhi)),
-        _check(lo.isNotNull() & hi.isNotNull() & (t == "Binary"),
-               "Invalid threshold limits. Binary threshold does not need threshold limits"),
-        _check(algo.isNull() | ~algo.isin(*ALGORITHM_TYPES),
-               F.concat(F.lit("Invalid algorithm type: "), F.coalesce(algo, F.lit("None")),
-                        F.lit(f". Available algorithm types: {', '.join(ALGORITHM_TYPES)}"))),
-        _check(F.col("control_description").isNull() | (F.trim(F.col("control_description")) == ""),
-               "Undefined algorithm description"),
-        _check(level.isNull() | ~level.isin(*CONTROL_LEVELS),
-               F.concat(F.lit("Invalid control level: "), F.coalesce(level, F.lit("None")),
-                        F.lit(f". Available levels: {', '.join(CONTROL_LEVELS)}"))),
+        one_of("threshold type", t, THRESHOLD_TYPES),
+        in_order("limits", lo, hi), in_order("pass ratios", rlo, rhi),
+        share("lower pass ratio", rlo), share("upper pass ratio", rhi),
+        _check(lo.isNotNull() & hi.isNotNull() & (t == "Binary"), "a Binary threshold takes no limits"),
+        one_of("algorithm type", algo, ALGORITHM_TYPES),
+        _check(F.coalesce(F.trim(F.col("control_description")), F.lit("")) == "", "the rule describes no algorithm"),
+        one_of("control level", level, CONTROL_LEVELS),
     ]
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
@@ -85,9 +82,9 @@ def rule_violations(rules: DataFrame) -> DataFrame:
 def rules_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Rules from configuration rows (missing fields NULL)."""
     names = [part.strip().split(" ")[0] for part in DATASET_SCHEMA.split(",")]
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], DATASET_SCHEMA)
+    return create_frame(spark, [tuple(r.get(n) for n in names) for r in rows], DATASET_SCHEMA)
 
 
 def master_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     names = [part.strip().split(" ")[0] for part in MASTER_SCHEMA.split(",")]
-    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], MASTER_SCHEMA)
+    return create_frame(spark, [tuple(r.get(n) for n in names) for r in rows], MASTER_SCHEMA)

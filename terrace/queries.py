@@ -15,9 +15,9 @@ from pyspark.sql.types import DateType, DecimalType, LongType, StringType, Struc
 
 from . import fixtures as fx
 from .functions.casting import all_string_schema, cast_to, repair_json
-from .functions.dates import apply_steps
-from .functions.text import normalise_header
-from .operators.columns import (clean_names, coalesce_pairs, conform, distinct_tokens, pick_column,
+from .functions.dates import apply_steps, format_date, register_transformation
+from .functions.text import content_md5, normalise_header
+from .operators.columns import (clean_names, coalesce_pairs, conform, distinct_tokens, pick_column, select_columns,
                                 stack_columns)
 from .operators.joins import equi_join
 from .operators.merge import Clause
@@ -144,7 +144,7 @@ def _event_docs_scan(spark, sf_dir, form):
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file_path"))
     day = F.regexp_extract("file_path", r"day=(\d{4}-\d{2}-\d{2})", 1)
     spec = JsonSpec("response_content", "array" if form == "array" else "dictionary")
-    rows = read_nested_json(spark, lines, spec, file_date=day)
+    rows = read_nested_json(spark, lines, spec, columns=EVENT_RAW_COLS, file_date=day)
     return cast_to(rows, EVENT_JSON_TYPES)
 
 
@@ -403,7 +403,7 @@ def parse_dates_multi(spark, sf_dir):
     o = T(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     printed = (F.when(k % 3 == 0, F.date_format("o_orderdate", "dd-MMM-yyyy"))
-               .when(k % 3 == 1, F.date_format("o_orderdate", "yyyy/MM/dd"))
+               .when(k % 3 == 1, format_date("o_orderdate", "yyyy/MM/dd"))
                .otherwise(F.concat(F.lit("garbage-"), k.cast("string"))))
     raw = o.select("o_orderkey", printed.alias("order_day"))
     fixed = apply_steps(raw, [DateRepair(["order_day"], ["dd-MMM-yyyy", "yyyy/MM/dd"])])
@@ -791,28 +791,33 @@ CUST_HEADER = "c_custkey,c_name,c_acctbal"
 
 
 @register("file_controls", """
-SELECT c_mktsegment AS segment, true AS name_ok, bool_and(c_acctbal >= 0) AS format_ok, true AS columns_ok,
-       count(*) AS rows
+SELECT c_mktsegment AS segment, c_mktsegment <> 'MACHINERY' AS name_ok, bool_and(c_acctbal >= 0) AS format_ok,
+       c_mktsegment <> 'FURNITURE' AS columns_ok, CASE WHEN c_mktsegment = 'FURNITURE' THEN 'balance' ELSE '' END AS extra,
+       CASE WHEN c_mktsegment = 'FURNITURE' THEN 'c_acctbal' ELSE '' END AS missing, count(*) AS rows
 FROM customer GROUP BY c_mktsegment
 """)
 def file_controls(spark, sf_dir):
-    """Customer delivered as CSV files per segment; rows of customers with a
-    negative balance carry one field too many, which makes their file's format invalid."""
+    """Customer delivered as CSV files per segment.  Rows of customers with a negative
+    balance carry one field too many, which makes their file's format invalid; one segment comes under
+    another file name (compressed), one with another header."""
     c = T(spark, sf_dir, "customer")
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.col("c_acctbal").cast("string"),
                        F.when(F.col("c_acctbal") < 0, F.lit("extra")))
     path = scratch_path(spark, "customer_delivery")
-    (c.select(line.alias(CUST_HEADER), "c_mktsegment").write.partitionBy("c_mktsegment")
-     .option("header", "true").option("sep", "\t").csv(path))
-    names = check_filenames(list_files(spark, path, "*.csv"), r"part-\d{5}-.*\.c000\.csv").select("path", F.col("result").alias("name_ok"))
-    profile = csv_profile(spark, path)
+    seg = F.col("c_mktsegment")
+    for part, header, codec in ((~seg.isin("FURNITURE", "MACHINERY"), CUST_HEADER, "none"), (seg == "FURNITURE", "c_custkey,c_name,balance", "none"),
+                                (seg == "MACHINERY", CUST_HEADER, "gzip")):
+        (c.where(part).select(line.alias(header), "c_mktsegment").write.mode("append").partitionBy("c_mktsegment")
+         .options(header="true", sep="\t", compression=codec).csv(path))
+    names = check_filenames(list_files(spark, path, "*.csv*"), r"part-\d{5}-.*\.c000\.csv$").select("path", F.col("result").alias("name_ok"))
+    profile = csv_profile(spark, path, glob="*.csv*")
     fmt = format_result(profile).select("path", F.col("result").alias("format_ok"), "rows")
-    cols = columns_result(profile, ["c_custkey", "c_name", "c_acctbal"]).select("path", F.col("result").alias("columns_ok"))
+    cols = columns_result(profile, ["c_custkey", "c_name", "c_acctbal"]).select(
+        "path", F.col("result").alias("columns_ok"), F.array_join("extra_columns", ",").alias("extra"), F.array_join("missing_columns", ",").alias("missing"))
     per_file = names.join(fmt, "path").join(cols, "path")
-    seg = F.regexp_extract("path", r"c_mktsegment=([^/]+)/", 1)
-    return per_file.groupBy(seg.alias("segment")).agg(
-        F.bool_and("name_ok").alias("name_ok"), F.bool_and("format_ok").alias("format_ok"),
-        F.bool_and("columns_ok").alias("columns_ok"), F.sum("rows").alias("rows"))
+    return per_file.groupBy(F.regexp_extract("path", r"c_mktsegment=([^/]+)/", 1).alias("segment")).agg(
+        F.bool_and("name_ok").alias("name_ok"), F.bool_and("format_ok").alias("format_ok"), F.bool_and("columns_ok").alias("columns_ok"),
+        F.max("extra").alias("extra"), F.max("missing").alias("missing"), F.sum("rows").alias("rows"))
 
 
 @register("landing_dedupe", """
@@ -824,7 +829,8 @@ FROM documents d LEFT JOIN p ON p.doc_id = d.doc_id
 def landing_dedupe(spark, sf_dir):
     """Whole-document MD5 against the latest processed copy of the same file name."""
     incoming, processed = fx.document_files(spark, sf_dir)
-    return flag_unchanged(incoming, processed).select("file_name", "is_duplicate")
+    known = processed.select("path", "file_name", content_md5("content").alias("content_md5"))  # as a landing status table stores it
+    return flag_unchanged(incoming, known).select("file_name", "is_duplicate")
 
 
 EVENT_RAW_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -979,11 +985,32 @@ def flow_raw_to_business(spark, sf_dir):
     return read_target(spark, business)
 
 
-@register("flow_run_summary")
+@register("flow_run_summary", """
+SELECT 'raw_to_business' AS process, false AS success, false AS next_stage, 'orders.csv' AS file_name, '2024-01-15' AS file_date,
+       2 * count(*) AS rows_read, count(*) + count(DISTINCT o_custkey) AS rows_written, CAST(1 AS BIGINT) AS failed_outputs,
+       'staging_orders=' || CAST(count(*) FILTER (WHERE o_totalprice < 0) = 0 AS VARCHAR) || ',totals=false' AS checked, 'Nothing' AS failed
+FROM orders
+""")
 def flow_run_summary(spark, sf_dir):
-    """The run summary row of the raw -> staging -> business flow (timings vary: rows-only)."""
-    _, results = _business_flow(spark, sf_dir)
-    return run_summary(spark, "raw_to_business", results, file_name="orders.csv", file_date="2024-01-15")
+    """The summary of raw -> staging -> business with a control on each table (one fails) and two
+    reports (one without data), without the columns that hold times."""
+    business, results = _business_flow(spark, sf_dir)
+    totals = read_target(spark, business)
+    totals.createOrReplaceTempView("customer_totals")
+    T(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+
+    def control(table, text):
+        return run_controls(spark, None, rules_frame(spark, [dict(
+            control_master_id="M", control_table_id=table, control_algorithm_type="SQL", control_level="Data", control_threshold_type="Binary",
+            blocking_control_indicator=True, control_description=text)]), data_date=DQ_DATE)
+    controls = {"staging_orders": control("S", "SELECT CAST(o_orderkey AS STRING) AS identifier, o_totalprice >= 0 AS result FROM orders"),
+                "totals": control("T", "SELECT CAST(o_custkey AS STRING) AS identifier, total_spent < 0 AS result FROM customer_totals")}
+    outputs = run_reports(spark, [ReportSpec(name=n, source="customer_totals", columns=["o_custkey", "orders"], where=w, filename_pattern="{name}.csv", csv=CsvSpec())
+                                  for n, w in (("Totals", None), ("Nothing", "orders < 0"))], {}, scratch_path(spark, "outputs"))
+    out = run_summary(spark, "raw_to_business", results, file_name="orders.csv", file_date="2024-01-15", outputs=outputs, controls=controls)
+    checked = F.transform("checked_tables", lambda x: F.concat(x["table"], F.lit("="), x["passed"].cast("string")))
+    return out.select("process", "success", "next_stage", "file_name", "file_date", "rows_read", "rows_written", "failed_outputs",
+                      F.array_join(checked, ",").alias("checked"), F.array_join(F.transform("output_errors", lambda x: x["name"]), ",").alias("failed"))
 
 
 # ------------------------------------------------------------------ streaming and schema
@@ -1011,9 +1038,28 @@ def streaming_landing(spark, sf_dir):
     return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
 
 
-@register("schema_lookup")
+@register("schema_lookup", """
+WITH e AS (SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events)
+SELECT 'event_id' AS column_name, 1 AS position, false AS is_partition, count(event_id) AS filled FROM e
+UNION ALL SELECT 'ts', 2, false, count(ts) FROM e UNION ALL SELECT 'user_id', 3, false, count(user_id) FROM e
+UNION ALL SELECT 'event_type', 4, false, count(event_type) FROM e UNION ALL SELECT 'value', 5, false, count(value) FROM e
+UNION ALL SELECT 'props', 6, false, count(props) FROM e UNION ALL SELECT 'data_date', 7, true, count(data_date) FROM e
+""")
 def schema_lookup(spark, sf_dir):
-    """Columns of the raw events table with types, positions and partition flags
-    (data columns first, then the partition key).  Rows-only: type names differ between engines."""
+    """Columns of the filed events table with positions and partition flags (data columns first, then
+    the partition key), each with the number of rows that have a value (one aggregation, unpivoted)."""
     spec = _events_table(spark, sf_dir)
-    return table_schema(spark, spec)
+    rows = read_target(spark, spec)
+    counts = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+    filled = stack_columns(counts, counts.columns, ["column_name", "filled"])
+    return table_schema(spark, spec).join(filled, "column_name").select("column_name", "position", "is_partition", "filled")
+
+
+@register("custom_transformation", """
+SELECT DISTINCT p_partkey, upper(p_name) AS p_name, p_brand FROM part
+""")
+def custom_transformation(spark, sf_dir):
+    """A user's own step, registered by name and applied with the others, then projected."""
+    register_transformation("upper_case", lambda df, step: df.withColumns({c: F.upper(F.col(c)) for c in step.columns}))
+    step = DateRepair(["p_name"], [], type="upper_case")
+    return select_columns(apply_steps(T(spark, sf_dir, "part"), [step]), ["p_partkey", "p_name", "p_brand"]).distinct()

@@ -13,12 +13,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[*]", app: str = "terrace", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", app: str = "terrace", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     """A session with the settings this library assumes: AQE on, UI off, UTC session clock."""
     builder = (
         SparkSession.builder.master(master).appName(app)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -28,7 +27,10 @@ def build_session(master: str = "local[*]", app: str = "terrace", shuffle_partit
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
-    for key, value in (extra or {}).items():
+    settings = dict(extra or {})
+    if shuffle_partitions:   # else the cluster's own setting holds
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

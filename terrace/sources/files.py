@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.casting import all_string_schema
+from ..operators.columns import fill_empty
 from ..specs import CsvSpec, JsonSpec, XmlSpec
 
 
@@ -150,7 +151,7 @@ def read_xml(spark: SparkSession, path: str, spec: XmlSpec, columns: list[str] |
     r = (spark.read.format("xml").option("rowTag", spec.row_tag).option("attributePrefix", "")
          .option("encoding", spec.encoding))
     r = r.schema(all_string_schema(columns)) if columns else r.option("inferSchema", "false")
-    return r.load(path).na.fill("")
+    return fill_empty(r.load(path))
 
 
 # ---------------------------------------------------------------- S12 archives

@@ -71,7 +71,3 @@ def table_schema(spark: SparkSession, source, partition_columns: list[str] | Non
     rows.sort(key=lambda r: (r[3], r[2]))  # data columns first, then partition keys
     return spark.createDataFrame(rows, "column_name string, data_type string, position int, is_partition boolean")
 
-
-def column_type_mapping(schema: StructType) -> dict[str, str]:
-    """Lower-cased column name -> type name."""
-    return {f.name.lower(): f.dataType.simpleString() for f in schema.fields}

@@ -423,3 +423,20 @@ def test_failing_reports_are_named_and_the_others_written(spark, tmp_dir):
     spec = lambda name, **kw: ReportSpec(name=name, source=f"{tmp_dir}/src", columns=["id"], csv=CsvSpec(), filename_pattern="{name}.csv", **kw)
     st = {r.name: r for r in run_reports(spark, [spec("good"), spec("none", where="id > 5"), spec("bad", where="nope = 1")], {}, f"{tmp_dir}/out").collect()}
     assert st["good"].success and not st["none"].success and "no data" in st["none"].error and not st["bad"].success and "nope" in st["bad"].error
+
+
+def test_strict_reports_raise_after_all_ran(spark, tmp_dir):
+    from terrace.plans.reports import ReportError
+    spark.createDataFrame([(1, "a")], "id int, v string").write.parquet(f"{tmp_dir}/src")
+    specs = [ReportSpec(name=n, source=f"{tmp_dir}/src", columns=["id"], csv=CsvSpec(), filename_pattern="{name}.csv", where=w) for n, w in (("bad", "nope = 1"), ("good", None))]
+    with pytest.raises(ReportError, match="bad"):
+        run_reports(spark, specs, {}, f"{tmp_dir}/out", strict=True)
+    assert os.path.isdir(f"{tmp_dir}/out/good/inbound/good.csv")
+
+
+def test_stored_hashes_spare_the_archive(spark):
+    incoming = spark.createDataFrame([("in/a.csv", "a.csv", "1"), ("in/b.csv", "b.csv", "2")], "path string, file_name string, content string")
+    known = spark.createDataFrame([("p/insert_date=2024-01-02/insert_time=01:00:00/a.csv", "a.csv", "c4ca4238a0b923820dcc509a6f75849b"),
+                                   ("p/insert_date=2024-01-01/insert_time=01:00:00/b.csv", "b.csv", "c81e728d9d4c2f636f067f89cc14862c"),
+                                   ("p/insert_date=2024-01-02/insert_time=01:00:00/b.csv", "b.csv", "other")], "path string, file_name string, content_md5 string")
+    assert {r.file_name: r.is_duplicate for r in flag_unchanged(incoming, known).collect()} == {"a.csv": True, "b.csv": False}

@@ -29,7 +29,7 @@ def test_rule_violations(spark):
     v = rule_violations(rules_frame(spark, bad)).collect()
     ids = {r.control_table_id for r in v}
     assert ids == set("abcdefgh")
-    assert any("Binary threshold does not need threshold limits" in r.violation for r in v)
+    assert any("Binary threshold takes no limits" in r.violation for r in v)
 
 
 def test_effective_rules_master_defaults(spark):

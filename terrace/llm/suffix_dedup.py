@@ -45,8 +45,12 @@ LENGTH, GRAM = 50, 20
 #: Bytes of documents in a chunk, of a piece that is hashed at once, and of text for a shard of triggers and of phrases.
 CHUNK, PIECE, TRIGGER_BYTES, PHRASE_BYTES = 4_000_000, 1_000_000, 64_000_000, 16_000_000
 HOT_CHUNKS = 2000
+ZSTD = 7  # level: chunks are written once and shuffled twice
 MOST = 31  # strings in a phrase: bits of a mask
 U64 = np.uint64
+#: Triggers travel as their upper 39 bits and a flag: a shard holds a bounded number of them, so few meet by
+#: accident at any input size, and those that do are only looked at in vain.
+FLAG = U64(24)
 BASE = 0x5851F42D4C957F2D
 _TABLE = np.random.default_rng(50).integers(1, 2 ** 64, 256, dtype=np.uint64)
 
@@ -62,6 +66,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U64)
 
 
+def _marks(polynomial: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Hash of a phrase: of its bytes' polynomial and its number of strings."""
+    return _mixed(polynomial + count.astype(U64) * U64(0xD6E8FEB86659FD93))
+
+
 _POWERS: list[np.ndarray] = []
 
 
@@ -111,12 +120,12 @@ class Phrases:
         start = np.repeat(start, cut) + MOST * part
         count = np.minimum(np.repeat(count, cut) - MOST * part, MOST)
         end = start + count + length - 1
-        mark = _mixed((sums[end] - sums[start]) * inverse[start] + count.astype(U64) * U64(0xD6E8FEB86659FD93))
+        mark = _marks((sums[end] - sums[start]) * inverse[start], count)
         return [start + at, count, least[start], mark]
 
     def split(self, hot: np.ndarray) -> None:
         """Makes phrases of one string of those with a hot trigger."""
-        own = np.isin(self.trigger & ~U64(0x1FFFF), hot)
+        own = np.isin(_key(self.trigger), hot)
         if own.any():
             n = np.where(own, self.count, 1)
             part = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -124,11 +133,10 @@ class Phrases:
             self.start = np.repeat(self.start, n) + np.where(was, part, 0)
             self.count = np.where(was, 1, np.repeat(self.count, n))
             self.doc, self.mark, self.trigger = np.repeat(self.doc, n), np.repeat(self.mark, n), np.repeat(self.trigger, n)
-            at = self.start[was]
-            words, h = _words_at(self.body), np.zeros(len(at), U64)
-            for j in _depths(self.length):
-                h = _mixed(h * U64(BASE) + words(at + j))
-            self.mark[was] = self.trigger[was] = h
+            at, h, power = self.start[was], np.zeros(was.sum(), U64), _power_tables()[0]
+            for j in range(self.length):
+                h += _TABLE[self.body[at + j]] * power[j]
+            self.mark[was] = self.trigger[was] = _marks(h, np.ones(len(at), np.int64))
 
     def bytes_of(self, at: np.ndarray) -> np.ndarray:
         return _gather(self.body, self.start[at], self.count[at] + self.length - 1)
@@ -179,7 +187,7 @@ def suffix_order(text: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndar
 
 def _dump(*values) -> bytes:
     raw = pickle.dumps(values, protocol=5)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", ZSTD).compress(raw, asbytes=True)
 
 
 def _load(raw: bytes):
@@ -188,7 +196,7 @@ def _load(raw: bytes):
 
 def _chunks(batches):
     """Whole rows as compressed Arrow data, cut after about CHUNK bytes of text."""
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", ZSTD))
     for b in batches:
         sizes = [len(x.as_py() or b"") for x in b.column(b.schema.get_field_index("_text"))]
         at, size = 0, 0
@@ -217,14 +225,22 @@ def _opened(body: bytes, length: int) -> tuple[pa.RecordBatch, np.ndarray, np.nd
     return rows, ids.fill_null(0).to_numpy(), sizes, phrases
 
 
-def _six(h: np.ndarray) -> bytes:
-    return np.ascontiguousarray((h >> U64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _short(h: np.ndarray) -> bytes:
+    return np.ascontiguousarray((h >> FLAG).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _from_short(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel() << FLAG
+
+
+def _key(h: np.ndarray) -> np.ndarray:
+    return h & ~U64(0x1FFFFFF)
 
 
-def _from_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel() << U64(16)
+def _flag(h: np.ndarray) -> np.ndarray:
+    return (h >> FLAG) & U64(1)
 
 
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
@@ -261,26 +277,26 @@ def _triggers(length: int, shards: int):
                 first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
                 last = np.append(first[1:], len(t)) - 1
                 t, several = t[first], d[first] != d[last]
-                t = (t & ~U64(0x1FFFF)) | (several.astype(U64) << U64(16))
-                for s, own in _dealt(_shard(t & ~U64(0x1FFFF), shards), shards):
-                    yield _row(SENT, s, chunk, _six(np.sort(t[own])))
+                said = _key(t) | (several.astype(U64) << FLAG)
+                for s, own in _dealt(_shard(t, shards), shards):
+                    yield _row(SENT, s, chunk, _short(np.sort(said[own])))
     return run
 
 
 def _shared(hot: int):
     """Triggers of a shard that several documents have, told to their chunks; the lowest bit marks hot ones."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        parts = [_from_six(d) for d in rows["data"]]
+        parts = [_from_short(d) for d in rows["data"]]
         t, chunk = np.concatenate(parts), np.repeat(np.arange(len(parts)), list(map(len, parts)))
-        key = t & ~U64(0x1FFFF)
+        key = _key(t)
         order = np.argsort(key, kind="stable")
-        key, several = key[order], ((t[order] >> U64(16)) & U64(1)).astype(np.int64)
+        key, several = key[order], _flag(t[order]).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         n = np.diff(np.append(first, len(key)))
         stay = np.repeat((n > 1) | (np.add.reduceat(several, first) > 0), n)
-        said = (key | (np.repeat(n > hot, n).astype(U64) << U64(16)))[stay]
+        said = (key | (np.repeat(n > hot, n).astype(U64) << FLAG))[stay]
         to = chunk[order][stay]
-        out = [(rows["chunk"].iloc[c], _six(said[own])) for c, own in _dealt(to, len(parts))]
+        out = [(rows["chunk"].iloc[c], _short(said[own])) for c, own in _dealt(to, len(parts))]
         return pd.DataFrame(out, columns=HEARD.names)
     return run
 
@@ -290,17 +306,17 @@ def _phrases(length: int, shards: int):
     def run(batches):
         for b in batches:
             for chunk, body, heard in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-                said = np.concatenate([_from_six(x) for x in heard])
+                said = np.concatenate([_from_short(x) for x in heard])
                 _, ids, _, p = _opened(body.as_py(), length)
-                own = np.isin(p.trigger & ~U64(0x1FFFF), said & ~U64(0x1FFFF))
+                own = np.isin(_key(p.trigger), _key(said))
                 for name in ("start", "count", "trigger", "mark", "doc"):
                     setattr(p, name, getattr(p, name)[own])
-                p.split(said[(said >> U64(16)) & U64(1) == 1] & ~U64(0x1FFFF))
+                p.split(_key(said[_flag(said) == 1]))
                 order = np.lexsort((ids[p.doc], p.mark))
                 order = order[np.concatenate([[True], p.mark[order][1:] != p.mark[order][:-1]])] if len(order) else order
                 for s, at in _dealt(_shard(p.trigger[order], shards), shards):
                     at = order[at]
-                    yield _row(SENT, s, chunk, _dump(p.mark[at], p.count[at].astype(np.uint8), ids[p.doc[at]], p.bytes_of(at)))
+                    yield _row(SENT, s, chunk, _dump(p.count[at].astype(np.uint8), ids[p.doc[at]], p.bytes_of(at)))
     return run
 
 
@@ -308,11 +324,13 @@ def _smaller(length: int):
     """Pass 3: dictionary, parse and suffix array of a shard; masks of strings with a smaller document."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [_load(d) for d in rows["data"]]
-        mark, count, doc, text = (np.concatenate(c) for c in zip(*parts))
+        count, doc, text = (np.concatenate(c) for c in zip(*parts))
         count = count.astype(np.int64)
         chunk = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
         size = count + length - 1
         begin = np.cumsum(size) - size
+        place = np.arange(len(text)) - np.repeat(begin, size)
+        mark = _marks(np.add.reduceat(_TABLE[text] * _power_tables()[0][place], begin), count)
         # the parse: occurrences of each distinct phrase, by document
         parse = np.lexsort((doc, mark))
         first = np.concatenate([[True], mark[parse][1:] != mark[parse][:-1]])
@@ -369,8 +387,8 @@ def _taken_out(length: int, digest: bool):
         for b in batches:
             for body, heard, first in zip(b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 rows, ids, sizes, p = _opened(body.as_py(), length)
-                said = np.concatenate([_from_six(x) for x in first]) if first else np.zeros(0, U64)
-                gone = removed_bytes(ids, p, heard or [], said[(said >> U64(16)) & U64(1) == 1] & ~U64(0x1FFFF))
+                said = np.concatenate([_from_short(x) for x in first]) if first else np.zeros(0, U64)
+                gone = removed_bytes(ids, p, heard or [], _key(said[_flag(said) == 1]))
                 kept, removed, spans = [], [], []
                 ends = np.cumsum(sizes)
                 texts = rows.column(rows.schema.get_field_index("_text"))

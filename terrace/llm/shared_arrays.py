@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import io
-import os
 import re
-import tempfile
 import uuid
 
 import numpy as np
@@ -30,19 +29,18 @@ def write_array(folder: str, name: str, values: np.ndarray) -> None:
     system.move(own, f"{path}/{name}.npy")
 
 
-_COPIES: dict[str, str] = {}
+@functools.lru_cache(maxsize=64)
+def _fetched(folder: str, name: str) -> np.ndarray:
+    system, path = _place(folder)
+    with system.open_input_stream(f"{path}/{name}.npy") as raw:
+        return np.load(io.BytesIO(raw.read()))
 
 
 def map_array(folder: str, name: str) -> np.ndarray:
-    """The array, memory-mapped: from the shared folder itself where that is mounted, else from a copy
-    that each worker fetches once."""
+    """The array, memory-mapped from the shared folder where that is mounted.  From a store without
+    files it is fetched into memory instead; a worker keeps a bounded number of such arrays and never
+    writes copies to its own disk."""
     system, path = _place(folder)
-    path = f"{path}/{name}.npy"
-    if not isinstance(system, fs.LocalFileSystem):
-        key = f"{folder}/{name}"
-        if key not in _COPIES:
-            to = os.path.join(tempfile.mkdtemp(prefix="terrace-array-"), f"{name}.npy")
-            fs.copy_files(path, to, source_filesystem=system, destination_filesystem=fs.LocalFileSystem())
-            _COPIES[key] = to
-        path = _COPIES[key]
-    return np.load(path, mmap_mode="r")
+    if isinstance(system, fs.LocalFileSystem):
+        return np.load(f"{path}/{name}.npy", mmap_mode="r")
+    return _fetched(folder, name)

@@ -92,14 +92,15 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str, str
     ``bad_rate`` and its lower bound ``bad_low``.  ``outcomes``: url and bad (0, 1 or null) of judged pages."""
     keep = keep or ["page_id"]
     src = pages.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], host_of(url).alias("host"), path_of(url).alias("path"))
-    src = with_levels(src)
     known = with_levels(outcomes.where("bad IS NOT NULL").select(host_of("url").alias("host"), F.col("bad").cast("long").alias("bad")).where("host <> ''"))
-    tables = posteriors(known, z)
+    # every host finds its nearest level with outcomes once; the pages are joined to their hosts only
+    tables, names = posteriors(known, z), with_levels(src.select("host").distinct())
     for level in reversed(LEVELS):
         own = tables[level].select(F.col(level), F.col("mean").alias(f"{level}_mean"), F.col("low").alias(f"{level}_low"))
-        src = src.join(own, level, "left")
-    rate = F.coalesce(*[F.col(f"{lv}_mean") for lv in reversed(LEVELS)])
-    low = F.coalesce(*[F.col(f"{lv}_low") for lv in reversed(LEVELS)])
+        names = names.join(own, level, "left")
+    near = [F.coalesce(*[F.col(f"{lv}_{what}") for lv in reversed(LEVELS)]).alias(f"near_{what}") for what in ("mean", "low")]
+    src = src.join(names.select("host", *near), "host")
+    rate, low = F.col("near_mean"), F.col("near_low")
     rule, said = rule_of(rules)
     verdict = F.coalesce(said, F.when(low > limit, "block").otherwise("allow"))
     return src.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "host", "path", rule.alias("rule"), verdict.alias("verdict"),

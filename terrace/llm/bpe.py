@@ -18,6 +18,7 @@ import json
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -25,14 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Regex, normalizers, pre_tokenizers
 
+from .common import bounded_batches, lean
+
 # The piece pattern of the vocabulary file, and the same for ASCII text.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 YOUNG_PIECE = pre_tokenizers.Split(Regex(PIECE.pattern), "removed", invert=True)
 NFC = normalizers.NFC()
 YOUNG_LOWER = normalizers.Lowercase()
-#: Pieces whose tokens a worker remembers; beyond it the memory is emptied and filled anew.
-REMEMBERED = 200_000
+#: Pieces whose tokens a worker remembers in each of two generations: when the younger is full, it
+#: becomes the older, so pieces that come often stay.
+REMEMBERED = 80_000
 
 
 def byte_letters() -> list[str]:
@@ -67,6 +71,7 @@ class Codec:
         self.last = [self.vocab[c + self.end] for c in letters]
         #: piece -> (number of tokens, ids joined by blanks, tokens joined by blanks)
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text without added tokens: NFC, lower case by character, pattern matches.
@@ -134,11 +139,17 @@ class Codec:
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for piece in pieces:
+            if piece not in known:
+                if piece in older:
+                    known[piece] = older[piece]
+                else:
+                    new.append(piece)
         for piece, ids in zip(new, self.merge_all(new)):
-            self.known[piece] = (len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids]))
+            known[piece] = (len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids]))
 
     def encode_batch(self, texts: list[str | None]):
         """Yields (number of tokens, ids joined by blanks, decoded text) for each text."""
@@ -174,16 +185,17 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def _batches(texts: list, most: int = 2_000_000):
+def _batches(texts: pa.Array, most: int = 1_000_000):
     """Runs of texts of about ``most`` characters, so that memory stays bounded."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t or "")
+    part, size = [], 0
+    for t in texts:
+        part.append(t.as_py())
+        size += len(part[-1] or "")
         if size >= most:
-            yield texts[at:i + 1]
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield texts[at:]
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def _sha256(text: str) -> str:
@@ -192,7 +204,7 @@ def _sha256(text: str) -> str:
 
 #: Result columns: Arrow type, Spark type, and how each comes from the ids joined by blanks and the decoded text.
 RESULTS = {
-    "ids": (pa.list_(pa.int32()), ArrayType(IntegerType()), lambda ids, decoded: [int(i) for i in ids.split()]),
+    "ids": (pa.list_(pa.int32()), ArrayType(IntegerType()), lambda ids, decoded: np.array(ids.split(), np.int32)),
     "decoded": (pa.string(), StringType(), lambda ids, decoded: decoded),
     "ids_sha256": (pa.string(), StringType(), lambda ids, decoded: _sha256(ids)),
     "decoded_sha256": (pa.string(), StringType(), lambda ids, decoded: _sha256(decoded)),
@@ -202,6 +214,7 @@ RESULTS = {
 def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None, results: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
     """``keep`` columns (default doc_id) of every row with ``n_tokens`` and the asked-for ``results``: ids (array of
     int), decoded text, and their SHA-256 (ids_sha256, decoded_sha256).  What is not asked for never leaves the worker."""
+    bounded_batches(docs.sparkSession)
     keep = keep or ["doc_id"]
     src = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).alias("_text"))
     schema = StructType([f for f in src.schema.fields if f.name != "_text"]
@@ -211,17 +224,19 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[
         own = codec(tokenizer_path)
         for batch in batches:
             at = batch.schema.get_field_index("_text")
-            n: list[int] = []
-            columns: list[list] = [[] for _ in results]
-            for part in _batches(batch.column(at).to_pylist()):
+            rest, done = [i for i in range(batch.num_columns) if i != at], 0
+            for part in _batches(batch.column(at)):
+                n: list[int] = []
+                columns: list[list] = [[] for _ in results]
                 for count, ids, decoded in own.encode_batch(part):
                     n.append(count)
                     for column, result in zip(columns, results):
                         column.append(RESULTS[result][2](ids, decoded))
-            rest = [i for i in range(batch.num_columns) if i != at]
-            arrays = [pa.array(n, pa.int64())] + [pa.array(c, RESULTS[r][0]) for c, r in zip(columns, results)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in rest] + arrays, names=[batch.schema.names[i] for i in rest] + ["n_tokens", *results])
-    return src.mapInArrow(run, schema).toDF(*keep, "n_tokens", *results)
+                arrays = [pa.array(n, pa.int64())] + [pa.array(c, RESULTS[r][0]) for c, r in zip(columns, results)]
+                yield pa.RecordBatch.from_arrays([batch.column(i).slice(done, len(part)) for i in rest] + arrays,
+                                                 names=[batch.schema.names[i] for i in rest] + ["n_tokens", *results])
+                done += len(part)
+    return src.mapInArrow(lean(run), schema).toDF(*keep, "n_tokens", *results)
 
 
 def encode_digest(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

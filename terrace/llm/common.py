@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import math
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,40 @@ from ..session import delete_path, scratch_path
 WORD_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in bytes(range(256)).lower())
 
 
+#: Bytes of one Arrow batch between Spark and its Python workers: long texts come in smaller batches.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds what a worker holds of its input at a time, unless the session has a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).rstrip("b")   # Spark's default is a plain number of bytes
+    if now.isdigit() and int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns free memory of this worker to the machine: workers are reused by later stages, and what
+    one stage leaves in their allocators would count against the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(run):
+    """``run`` over Arrow batches, giving memory back when its task ends."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -62,5 +97,6 @@ def fold(doc_id: str, folds: int):
 def plainly(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, str, str, list[str]]:
     """``docs`` with columns c0, c1, ... so that no column's name can clash with an operator's own;
     the new names of the text and the id, and the old names, for ``toDF`` at the end."""
+    bounded_batches(docs.sparkSession)
     names = docs.columns
     return docs.toDF(*[f"c{i}" for i in range(len(names))]), f"c{names.index(text)}", f"c{names.index(doc_id)}", names

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import plainly, staged, words_of
+from .common import lean, plainly, staged, words_of
 
 #: Words of test items in one automaton: about 2 states and 600 bytes each in memory.
 BLOCK_WORDS = 100_000
@@ -212,7 +212,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str
     auto = next(automata, None) or Automaton(window).finish()
     schema = StructType([StructField(f.name, f.dataType) for f in state.schema.fields])
     while auto is not None:
-        state = state.mapInArrow(_scanner(spark.sparkContext.broadcast(auto)), schema)
+        state = state.mapInArrow(lean(_scanner(spark.sparkContext.broadcast(auto))), schema)
         auto = next(automata, None)
         if auto is not None:
             state, _ = staged(state, "decontamination")
@@ -252,5 +252,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, cover
     hits = find_hits(plain, benchmark, window, text, keep=others, with_text=True)
     kept = hits.where(span_words() <= F.lit(coverage) * F.col("n_words")).drop("n_words", "items")
     schema = StructType([f for f in kept.schema.fields if f.name in others] + [StructField("_clean", StringType())])
-    done = kept.mapInArrow(_cut, schema).withColumnRenamed("_clean", text)
+    done = kept.mapInArrow(lean(_cut), schema).withColumnRenamed("_clean", text)
     return done.select(*plain.columns).toDF(*names)

@@ -15,6 +15,7 @@ training text the model is that base.  Other columns are left alone.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..session import scratch_path
-from .common import release, staged, text_bytes, units
+from .common import lean, release, staged, text_bytes, units
 from .shared_arrays import map_array, write_array
 
 START, END = b" ", b"\n"  # no word holds white space
@@ -273,17 +274,23 @@ class Model:
         return np.where(total > 0, (c - d[np.minimum(c, 3)] + left * base[w]) / seen, base[w])
 
 
-_MAPS: dict[tuple[str, str], np.ndarray | None] = {}
+_MISSING: set[tuple[str, str]] = set()
+
+
+@functools.lru_cache(maxsize=4096)
+def _opened(folder: str, name: str) -> np.ndarray:
+    return map_array(folder, name)
 
 
 def _mapped(folder: str, name: str) -> np.ndarray | None:
-    key = folder, name
-    if key not in _MAPS:
-        try:
-            _MAPS[key] = map_array(folder, name)
-        except FileNotFoundError:  # no pair or word fell into this shard
-            _MAPS[key] = None
-    return _MAPS[key]
+    """The array, or None if no pair or word fell into its shard."""
+    if (folder, name) in _MISSING:
+        return None
+    try:
+        return _opened(folder, name)
+    except FileNotFoundError:
+        _MISSING.add((folder, name))
+        return None
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
@@ -293,7 +300,7 @@ def train(docs: DataFrame, text: str = "text") -> Model:
     groups, words = units(total, PAIR_BYTES), units(total, WORD_BYTES)
     folder = scratch_path(spark, "language-model")
     raw = docs.select(F.col(text).cast("binary").alias("text"))
-    counts = raw.mapInArrow(_counter(groups, words), BLOB)
+    counts = raw.mapInArrow(lean(_counter(groups, words)), BLOB)
     merged, path = staged(counts.groupBy("kind", "shard").applyInPandas(_merge(folder, words), BLOB), "lm-merged")
     release(spark)
     few = [np.frombuffer(r["data"], "<i8") for r in merged.where("kind = 's'").collect()]
@@ -353,5 +360,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                     yield pa.RecordBatch.from_arrays([b.column(c).slice(done, len(part)) for c in rest] + arrays,
                                                      names=[b.schema.names[c] for c in rest] + ["n_tokens", "n_known", "base_score", "score"])
                     part, size, done = [], 0, i + 1
-    out = src.mapInArrow(run, schema).toDF(*keep, "n_tokens", "n_known", "base_score", "score")
+    out = src.mapInArrow(lean(run), schema).toDF(*keep, "n_tokens", "n_known", "base_score", "score")
     return out.withColumn("train_tokens", F.lit(model.tokens).cast("long")).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

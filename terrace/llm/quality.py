@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import release, staged
+from .common import lean, release, staged
 
 #: Most rated documents that the fit reads, and hashed features.
 RATED, FEATURES = 8000, 1 << 16
@@ -163,4 +163,4 @@ def grade(docs: DataFrame, model: Grades, at_least: int | None = None, limit: fl
             rest = [i for i in range(b.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in rest] + [pa.array(expected, pa.float64()), pa.array(tail, pa.float64())],
                                              names=[b.schema.names[i] for i in rest] + ["expected_grade", "tail_prob"])
-    return src.mapInArrow(run, schema).toDF(*keep, "expected_grade", "tail_prob").withColumn("keep", F.col("tail_prob") >= limit)
+    return src.mapInArrow(lean(run), schema).toDF(*keep, "expected_grade", "tail_prob").withColumn("keep", F.col("tail_prob") >= limit)

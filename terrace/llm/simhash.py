@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import plainly, release, staged
+from .common import lean, plainly, release, staged
 from .components import components
 
 BITS = 64
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: list[str] | None = N
             rest = [i for i in range(b.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in rest] + [pa.array(fps, pa.int64())],
                                              names=[b.schema.names[i] for i in rest] + ["fp"])
-    return src.mapInArrow(run, schema).toDF(*keep, "fp")
+    return src.mapInArrow(lean(run), schema).toDF(*keep, "fp")
 
 
 # ------------------------------------------------------------------ plan of the search
@@ -229,7 +229,7 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
         sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         buckets, path = staged(keys.join(sizes, "key"), "simhash-buckets")
         small = buckets.where(F.col("n") <= BUCKET).groupBy("key").agg(F.array_distinct(F.collect_list("fp")).alias("own"))
-        found.append(small.where(F.size("own") > 1).select("own").mapInArrow(_verify(distance), schema))
+        found.append(small.where(F.size("own") > 1).select("own").mapInArrow(lean(_verify(distance)), schema))
         paths.append(path)
         large = buckets.where(F.col("n") > BUCKET)
         if large.isEmpty():

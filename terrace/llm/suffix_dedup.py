@@ -39,11 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import plainly, release, staged, text_bytes, units
+from .common import give_back, lean, plainly, release, staged, text_bytes, units
 
 LENGTH, GRAM = 50, 20
 #: Bytes of documents in a chunk, of a piece that is hashed at once, and of text for a shard of triggers and of phrases.
-CHUNK, PIECE, TRIGGER_BYTES, PHRASE_BYTES = 4_000_000, 1_000_000, 64_000_000, 16_000_000
+CHUNK, PIECE, TRIGGER_BYTES, PHRASE_BYTES = 2_000_000, 500_000, 32_000_000, 8_000_000
 HOT_CHUNKS = 2000
 ZSTD = 7  # level: chunks are written once and shuffled twice
 MOST = 31  # strings in a phrase: bits of a mask
@@ -323,6 +323,7 @@ def _phrases(length: int, shards: int):
 def _smaller(length: int):
     """Pass 3: dictionary, parse and suffix array of a shard; masks of strings with a smaller document."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         parts = [_load(d) for d in rows["data"]]
         count, doc, text = (np.concatenate(c) for c in zip(*parts))
         count = count.astype(np.int64)
@@ -374,11 +375,17 @@ def removed_bytes(ids: np.ndarray, p: Phrases, heard: list[bytes], hot: np.ndarr
         place = np.minimum(np.searchsorted(marks, mark), len(marks) - 1)
         mask |= np.where(marks[place] == mark, masks[place], np.uint32(0))
     start, count = p.start[order], p.count[order]
-    edge = np.zeros(len(p.body) + 1, np.int64)
+    gone = np.zeros(len(p.body), bool)
     for j in range(MOST):
-        at = start[(count > j) & ((mask >> np.uint32(j)) & np.uint32(1) == 1)] + j
-        edge += np.bincount(at, minlength=len(edge)) - np.bincount(at + p.length, minlength=len(edge)) if len(at) else 0
-    return np.cumsum(edge[:-1]) > 0
+        gone[start[(count > j) & ((mask >> np.uint32(j)) & np.uint32(1) == 1)] + j] = True
+    # a byte goes if one of the last ``length`` places starts such a string
+    have = 1
+    while 2 * have <= p.length:
+        gone[have:] |= gone[:-have].copy()
+        have *= 2
+    if have < p.length:
+        gone[p.length - have:] |= gone[:have - p.length].copy()
+    return gone
 
 
 def _taken_out(length: int, digest: bool):
@@ -410,18 +417,18 @@ def dedup(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str
     spark, keep = docs.sparkSession, keep or [doc_id]
     total = text_bytes(docs, text)
     src = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("binary").alias("_text"))
-    chunks, _ = staged(src.mapInArrow(_chunks, StructType([StructField("chunk", StringType()), StructField("body", BinaryType())])), "dedup-chunks")
-    triggers = chunks.mapInArrow(_triggers(length, units(total, TRIGGER_BYTES)), SENT)
+    chunks, _ = staged(src.mapInArrow(lean(_chunks), StructType([StructField("chunk", StringType()), StructField("body", BinaryType())])), "dedup-chunks")
+    triggers = chunks.mapInArrow(lean(_triggers(length, units(total, TRIGGER_BYTES))), SENT)
     shared, _ = staged(triggers.groupBy("shard").applyInPandas(_shared(hot_chunks), HEARD), "dedup-triggers")
     release(spark)
     heard = shared.groupBy("chunk").agg(F.collect_list("data").alias("heard"))  # of one chunk: bounded by its size
-    phrases = chunks.join(heard, "chunk").mapInArrow(_phrases(length, units(total, PHRASE_BYTES)), SENT)
+    phrases = chunks.join(heard, "chunk").mapInArrow(lean(_phrases(length, units(total, PHRASE_BYTES))), SENT)
     masks, _ = staged(phrases.groupBy("shard").applyInPandas(_smaller(length), HEARD), "dedup-masks")
     release(spark)
     told = masks.groupBy("chunk").agg(F.collect_list("data").alias("told"))
     schema = StructType([f for f in src.schema.fields if f.name.startswith("k")] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [StructField("kept", StringType())])
     both = chunks.join(told, "chunk", "left").join(heard, "chunk", "left").select("chunk", "body", "told", "heard")
-    return both.mapInArrow(_taken_out(length, digest), schema).toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
+    return both.mapInArrow(lean(_taken_out(length, digest)), schema).toDF(*keep, "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from .common import fold, plainly, release, staged, words_of
+from .common import fold, lean, plainly, release, staged, words_of
 
 #: Most examples in the index (half of them toxic, as far as there are) and most terms.
 EXAMPLES, TERMS = 4000, 5000
@@ -227,7 +227,7 @@ def score(docs: DataFrame, index: Index, text: str = "text", keep: list[str] | N
                 scores.append(p)
                 evidence.append([{"doc_id": int(own.ids[i]), "label": float(own.label[i]), "cosine": float(c)} for i, c in zip(near, cos)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(evidence, arrow)], names=[*b.schema.names, "score", "evidence"])
-    out = src.mapInArrow(run, schema)
+    out = src.mapInArrow(lean(run), schema)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *(["_text"] if with_text else []), "score", "evidence")
 
 

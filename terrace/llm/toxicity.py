@@ -1,16 +1,23 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by the nearest labelled examples: exact cosine of whole texts over a block-max inverted index.
 
-Examples are a bounded sample of labelled documents (``EXAMPLES``, documented below).  Their terms
-are the words whose presence differs between the classes beyond chance (chi-square over the sample).
-The index keeps, for each term, its postings by example and the largest weight in every block of
-examples.  A query adds up the block maxima of its terms: blocks are visited from the highest bound
-on, and those whose bound is below the k-th best score are never scored, so the neighbours are exact.
+Examples are a bounded sample of labelled documents (``EXAMPLES``, documented below).  Every word of
+every text counts: its weight is TF-IDF, with document frequencies over all documents, times its
+relevance, (1 + c) / (1 + c + ``EVEN``) where c is the chi-square of its presence in the classes of the
+examples.  Relevance is never 0, and words that no example has stand in the norm with that of c = 0;
+their document frequencies are in sorted hash arrays in the shared folder (64-bit hashes), which
+workers memory-map.
+
+The index keeps, for each word of the examples, its postings by example and the largest weight in
+every block of examples that has it.  Words of over 1 in ``COMMON`` examples are also columns of a matrix: their share
+of all cosines is one product for many texts.  To that of a block a query adds the block maxima of its
+other words: blocks are visited from the highest bound on, and those whose bound is below the k-th best
+score are never scored, so the neighbours are exact.
 
 Votes of the k nearest weigh by closeness; a logistic curve fitted to leave-one-out votes of the
 examples, weighted to the class sizes of all training labels, turns votes into probabilities.  A text
-without any term has no neighbours and takes the rate of such examples.
+that shares no word with any example has no neighbours and takes the rate of such examples.
 
-Defined results: null and empty texts have no terms; texts of any length are read whole; labels that
+Defined results: null and empty texts have no words; texts of any length are read whole; labels that
 are null, or whose document is missing, are ignored; several labels of an id count as toxic if one
 is; equal similarities go to the earlier example; without training labels every score is 0.
 Other columns are left alone.
@@ -20,22 +27,72 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
+
+from ..session import scratch_path
+from .common import fold, lean, plainly, release, staged, units, words_of
+from .lm import _mapped, pack, summed, unpack, word_shard
+from .shared_arrays import write_array
+
+#: Most examples in the index (half of them toxic, as far as there are).
+EXAMPLES = 4000
+#: Chi-square (1 degree of freedom) at which a word has about half of the full relevance.
+EVEN = 20.0
+#: Distinct words that a task counts before it writes, and bytes of text for a shard of words.
+FLUSH, WORD_BYTES = 500_000, 64_000_000
+BLOCK, COMMON = 64, 20
+#: Texts whose common words are multiplied at once.
+TOGETHER = 64
+NEIGHBOURS = 15
+U64 = np.uint64
 
-from .common import fold, lean, plainly, release, staged, words_of
 
-#: Most examples in the index (half of them toxic, as far as there are) and most terms.
-EXAMPLES, TERMS = 4000, 5000
-#: Least chi-square (1 degree of freedom) and least number of examples of a term.
-CHI_SQUARE, LEAST_EXAMPLES = 20.0, 3
-BLOCK = 64
-NEIGHBOURS = 15
+def _relevance(chi: np.ndarray) -> np.ndarray:
+    return (1 + chi) / (1 + chi + EVEN)
+
+
+def _idf(df: np.ndarray, documents: int) -> np.ndarray:
+    return np.log((1 + documents) / (1 + df)) + 1
+
+
+def _hashes(words) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], U64)
+
+
+@dataclass
+class Frequencies:
+    """In how many of ``documents`` rows each word stands: where the arrays are, and their number."""
+
+    folder: str
+    shards: int
+    documents: int
+
+    def of(self, words) -> np.ndarray:
+        h = _hashes(words)
+        out, shard = np.zeros(len(h), np.int64), word_shard(h, self.shards)
+        order = np.lexsort((h, shard))
+        ends = np.searchsorted(shard[order], np.arange(self.shards + 1))
+        for s in np.unique(shard):
+            at = order[ends[s]:ends[s + 1]]
+            keys = _mapped(self.folder, f"hash-{s}")
+            if keys is not None:
+                place = np.minimum(np.searchsorted(keys, h[at]), len(keys) - 1)
+                out[at] = np.where(keys[place] == h[at], _mapped(self.folder, f"documents-{s}")[place], 0)
+        return out
+
+
+def _spans(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places lo[0], lo[0] + 1, ... of all spans, one span after the other."""
+    return np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 @dataclass
@@ -43,97 +100,168 @@ class Index:
     """Block-max inverted index of unit vectors with labels, and the curve from votes to probabilities."""
 
     terms: dict[bytes, int]
-    idf: np.ndarray
-    start: np.ndarray  # [term, block] -> place in the postings; one more block than there are
+    value: np.ndarray  # IDF and relevance of each term
+    start: np.ndarray  # [term] -> first place in the postings, and the place after the last
     place: np.ndarray  # example of each posting, by term and example
     weight: np.ndarray
-    top: np.ndarray  # [term, block] largest weight
+    cell: np.ndarray  # [term] -> first of its cells, and the one after the last; a cell is a block with postings of a term
+    block: np.ndarray  # block of each cell
+    first: np.ndarray  # first posting of each cell; one more than there are
+    top: np.ndarray  # largest weight of each cell
+    column: np.ndarray  # [term] -> row of the matrix of common words, or -1
     label: np.ndarray
     ids: np.ndarray
     k: int = NEIGHBOURS
     curve: tuple[float, float] = (0.0, 0.0)
     without: float = 0.0
-    vectors: list = field(default_factory=list)
+    frequencies: Frequencies | None = None
+    matrix: np.ndarray | None = None  # made where it is used
+
+    def _known(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The term of each word, or -1, and 1 + log of its count."""
+        t = np.fromiter(map(self.terms.get, counts, [-1] * len(counts)), np.int64, len(counts))
+        return t, 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+
+    def _unit(self, t: np.ndarray, tf: np.ndarray, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(t)
+        order = order[np.searchsorted(t[order], 0):]
+        t = t[order]
+        v = tf[order] * self.value[t]
+        return t, v / max(1e-12, math.sqrt(float(v @ v) + rest))
 
     def vector(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-        own = sorted((self.terms[w], n) for w, n in counts.items() if w in self.terms)
-        t = np.array([i for i, _ in own], np.int64)
-        v = np.array([1 + math.log(n) for _, n in own]) * self.idf[t]
-        return t, v / max(1e-12, math.sqrt(float(v @ v)))
-
-    def _scores(self, t: np.ndarray, v: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of some blocks that share a term with the query, and their cosines."""
-        lo, hi = self.start[np.ix_(t, blocks)].ravel(), self.start[np.ix_(t, blocks + 1)].ravel()
-        size = hi - lo
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        part = self.weight[at] * np.repeat(np.repeat(v, len(blocks)), size)
-        found, back = np.unique(self.place[at], return_inverse=True)
-        return found, np.bincount(back, weights=part, minlength=len(found))
-
-    def nearest(self, t: np.ndarray, v: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest examples (without ``leave``) with a cosine above 0, and the cosines."""
-        bound = v @ self.top[t]
+        """Terms and weights of a text whose words are all terms; others are left out."""
+        return self._unit(*self._known(counts))
+
+    def _shares(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the common words add to the cosines of each text with all examples."""
+        if self.matrix is None:
+            common = np.flatnonzero(self.column >= 0)
+            lo = self.start[common, 0]
+            size = self.start[common, 1] - lo
+            at = _spans(lo, size)
+            self.matrix = np.zeros((len(common), -(-len(self.label) // BLOCK) * BLOCK))
+            self.matrix[np.repeat(np.arange(len(common)), size), self.place[at]] = self.weight[at]
+        query = np.zeros((len(vectors), len(self.matrix)))
+        for i, (t, v) in enumerate(vectors):
+            c = self.column[t]
+            query[i, c[c >= 0]] = v[c >= 0]
+        return query @ self.matrix
+
+    def nearest(self, t: np.ndarray, v: np.ndarray, leave: int = -1, share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest examples (without ``leave``) with a cosine above 0, and the cosines to 12 digits."""
+        share = (self._shares([(t, v)])[0] if share is None else share).reshape(-1, BLOCK)
+        rare = self.column[t] < 0
+        t, v = t[rare], v[rare]
+        size = self.cell[t, 1] - self.cell[t, 0]
+        cells, weight = _spans(self.cell[t, 0], size), np.repeat(v, size)
+        block = self.block[cells]
+        bound = share.max(axis=1) + np.bincount(block, self.top[cells] * weight, len(share))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        found, cos, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
+        cos, done, step, least = np.zeros(share.size), 0, 8, -1.0
         while done < len(order):
-            least = -1.0
-            if len(cos) >= self.k:
-                least = np.partition(cos, len(cos) - self.k)[len(cos) - self.k]
             go = order[done:done + step]
-            go = go[bound[go] >= least - 1e-12]
+            go = go[bound[go] >= least - 1e-11]
             if not len(go):
                 break
-            more, new = self._scores(t, v, np.sort(go))
-            keep = more != leave
-            found, cos = np.concatenate([found, more[keep]]), np.concatenate([cos, new[keep]])
+            own = np.zeros(len(bound), bool)
+            own[go] = True
+            cos.reshape(-1, BLOCK)[go] = share[go]
+            own = np.flatnonzero(own[block])
+            lo = self.first[cells[own]]
+            long = self.first[cells[own] + 1] - lo
+            at = _spans(lo, long)
+            cos += np.bincount(self.place[at], self.weight[at] * np.repeat(weight[own], long), len(cos))
+            if leave >= 0:
+                cos[leave] = 0
+            least = np.partition(cos, len(cos) - self.k)[len(cos) - self.k] if len(cos) >= self.k else -1.0
             done, step = done + step, step * 4
-        best = np.lexsort((found, -cos))[:self.k]
-        return found[best], cos[best]
+        found = np.flatnonzero(cos >= max(least - 1e-11, 1e-15))
+        near = np.round(cos[found], 12)
+        best = np.lexsort((found, -near))[:self.k]
+        return found[best], near[best]
 
     def vote(self, near: np.ndarray, cos: np.ndarray) -> float:
         weight = 1 / (1.05 - np.minimum(cos, 1.0))
         return float(weight @ self.label[near] / weight.sum())
 
-    def score(self, counts: dict[bytes, int]) -> tuple[float, np.ndarray, np.ndarray]:
-        t, v = self.vector(counts)
-        near, cos = self.nearest(t, v) if len(t) else (np.zeros(0, np.int64), np.zeros(0))
-        if not len(near):
-            return self.without, near, cos
-        a, b = self.curve
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, a * self.vote(near, cos) + b)))), near, cos
-
-
-def build_index(terms: list[bytes], examples: list[tuple[int, int, dict[bytes, int]]], positives: int, total: int, k: int = NEIGHBOURS) -> Index:
-    """An index over (id, label, counts of words); ``positives`` of ``total`` training labels are toxic."""
+    def scores(self, texts: list[dict[bytes, int]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, nearest examples and cosines of each text, given by the counts of its words."""
+        known = [self._known(counts) for counts in texts]
+        rests = self._rests(texts, known) if self.frequencies else [0.0] * len(texts)
+        out = []
+        for at in range(0, len(texts), TOGETHER):
+            vectors = [self._unit(*k, rest) for k, rest in zip(known[at:at + TOGETHER], rests[at:at + TOGETHER])]
+            for (t, v), share in zip(vectors, self._shares(vectors)):
+                near, cos = self.nearest(t, v, share=share) if len(t) else (np.zeros(0, np.int64), np.zeros(0))
+                a, b = self.curve
+                out.append((1 / (1 + math.exp(-max(-500.0, min(500.0, a * self.vote(near, cos) + b)))) if len(near) else self.without, near, cos))
+        return out
+
+    def _rests(self, texts: list[dict[bytes, int]], known: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
+        """The sum of the squared weights of the words of each text that are no terms."""
+        numbers: dict[bytes, int] = {}
+        doc, word, tf = [], [], [np.zeros(0)]
+        for i, (counts, (t, n)) in enumerate(zip(texts, known)):
+            own = [numbers.setdefault(w, len(numbers)) for w, k in zip(counts, t.tolist()) if k < 0]
+            doc += [i] * len(own)
+            word += own
+            tf.append(n[t < 0])
+        idf = _idf(self.frequencies.of(numbers), self.frequencies.documents) * _relevance(np.zeros(1))
+        return np.bincount(np.array(doc, np.int64), (np.concatenate(tf) * idf[np.array(word, np.int64)]) ** 2, len(texts)).tolist()
+
+
+def build_index(terms: list[bytes], examples: list[tuple[int, int, dict[bytes, int]]], positives: int, total: int, k: int = NEIGHBOURS,
+                frequencies: Frequencies | None = None) -> Index:
+    """An index over (id, label, counts of words); ``positives`` of ``total`` training labels are toxic.
+    Document frequencies are those of the examples unless ``frequencies`` has them."""
     n = len(examples)
     number = {w: i for i, w in enumerate(terms)}
-    own = [{number[w]: c for w, c in counts.items() if w in number} for _, _, counts in examples]
-    df = np.bincount([t for d in own for t in d], minlength=len(terms)) if any(own) else np.zeros(len(terms))
-    idf = np.log((1 + n) / (1 + df)) + 1
+    label = np.array([e[1] for e in examples], float)
+    sizes = np.array([len(e[2]) for e in examples], np.int64)
+    at = np.repeat(np.arange(n), sizes)
+    t = np.fromiter((number[w] for e in examples for w in e[2]), np.int64, sizes.sum())
+    tf = 1 + np.log(np.fromiter((c for e in examples for c in e[2].values()), float, sizes.sum()))
+    a, both = (np.bincount(t, x, len(terms)) for x in (label[at], np.ones(len(at))))
+    b, n1 = both - a, label.sum()
+    n0 = n - n1
+    chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / np.maximum(1.0, both * (n - both) * n1 * n0)
+    df, documents = (both, n) if frequencies is None else (frequencies.of(terms), frequencies.documents)
+    value = _idf(df, documents) * _relevance(chi)
     # like examples stand together, so that the block maxima are close bounds
-    order = sorted(range(n), key=lambda i: (max(((1 + math.log(c)) * idf[t], t) for t, c in own[i].items()) if own[i] else (0.0, -1), examples[i][0]))
+    heavy = np.full((n, 2), [0.0, -1])
+    by = np.lexsort((t, tf * value[t], at))
+    last = by[(np.cumsum(sizes) - 1)[sizes > 0]]
+    heavy[sizes > 0] = np.column_stack([(tf * value[t])[last], t[last]])
+    ids = np.array([e[0] for e in examples], np.int64)
+    order = np.lexsort((ids, heavy[:, 0], heavy[:, 1]))
+    label, ids = label[order], ids[order]
     examples = [examples[i] for i in order]
-    blocks = max(1, -(-n // BLOCK))
-    index = Index(number, idf, np.zeros((len(terms), blocks + 1), np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((len(terms), blocks)),
-                  np.array([e[1] for e in examples], float), np.array([e[0] for e in examples], np.int64), k)
+    index = Index(number, value, *[np.zeros(0)] * 8, label, ids, k, frequencies=frequencies)
     vectors = [index.vector(e[2]) for e in examples]
     t = np.concatenate([v[0] for v in vectors] or [np.zeros(0, np.int64)])
     at = np.repeat(np.arange(n), [len(v[0]) for v in vectors])
     w = np.concatenate([v[1] for v in vectors] or [np.zeros(0)])
     sort = np.lexsort((at, t))
-    index.place, index.weight = at[sort], w[sort]
-    np.maximum.at(index.top, (t, at // BLOCK), w)
-    cell = np.bincount(t * blocks + at // BLOCK, minlength=len(terms) * blocks)
-    ends = np.cumsum(cell).reshape(len(terms), blocks)
-    index.start[:, 1:] = ends
-    index.start[1:, 0] = ends[:-1, -1] if len(terms) else ends[:0, -1]
+    t, at, w = t[sort], at[sort], w[sort]
+    fresh = np.ones(len(t), bool)
+    fresh[1:] = (t[1:] != t[:-1]) | (at[1:] // BLOCK != at[:-1] // BLOCK)
+    first = np.flatnonzero(fresh)
+    index.place, index.weight, index.block = at.astype(np.int32), w, (at[first] // BLOCK).astype(np.int32)
+    index.top = np.maximum.reduceat(w, first) if len(first) else w
+    index.start, index.cell = (np.column_stack([np.searchsorted(x, np.arange(len(terms)), side) for side in ("left", "right")]) for x in (t, t[first]))
+    index.first = np.append(first, len(t))
+    common = both > n / COMMON
+    index.column = np.where(common, np.cumsum(common) - 1, -1)
     # the curve: votes of the examples without themselves, each class at its size among all labels
     n1 = index.label.sum()
     share = np.where(index.label == 1, positives / max(1, n1), (total - positives) / max(1, n - n1))
     votes, labels, weights, bare = [], [], [], [[0.0, 0.0]]
     for i, (ti, vi) in enumerate(vectors):
-        near, cos = index.nearest(ti, vi, leave=i) if len(ti) else ((), ())
+        if i % TOGETHER == 0:
+            shares = index._shares(vectors[i:i + TOGETHER])
+        near, cos = index.nearest(ti, vi, i, shares[i % TOGETHER]) if len(ti) else ((), ())
         if len(near):
             votes.append(index.vote(near, cos))
             labels.append(index.label[i])
@@ -143,6 +271,7 @@ def build_index(terms: list[bytes], examples: list[tuple[int, int, dict[bytes, i
     bare_sum = np.sum(bare, axis=0)
     index.without = float((bare_sum[0]) / (bare_sum[1] + 1))
     index.curve = _logistic(np.array(votes), np.array(labels), np.array(weights))
+    index.matrix = None
     return index
 
 
@@ -165,20 +294,56 @@ def _term_counts(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             own = Counter(words_of(batch.column(2)[i].as_py()))
-            words = [w.decode("latin-1") for w in own]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([words], pa.list_(pa.string())),
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([list(own)], pa.list_(pa.binary())),
                                               pa.array([list(own.values())], pa.list_(pa.int64()))], names=["doc_id", "label", "words", "counts"])
 
 
-def _restricted(terms: set[str]):
+def _word_documents(shards: int):
+    """Distinct words of a task's documents by shard, with the number of documents that have them."""
+    def rows(df: Counter):
+        h, n = _hashes(df), np.fromiter(df.values(), np.int64, len(df))
+        shard = word_shard(h, shards)
+        order = np.lexsort((h, shard))
+        ends = np.searchsorted(shard[order], np.arange(shards + 1))
+        for s in range(shards):
+            at = order[ends[s]:ends[s + 1]]
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([pack(h[at], n[at])], pa.binary())], names=["shard", "data"])
+
     def run(batches):
-        for batch in batches:
-            own = [[(w, n) for w, n in zip(r["words"], r["counts"]) if w in terms] for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[w for w, _ in x] for x in own], pa.list_(pa.string())),
-                                              pa.array([[n for _, n in x] for x in own], pa.list_(pa.int64()))], names=batch.schema.names)
+        df = Counter()
+        for b in batches:
+            for raw in b.column(0):
+                df.update(set(words_of(raw.as_py())))
+                if len(df) >= FLUSH:
+                    yield from rows(df)
+                    df = Counter()
+        yield from rows(df)
+    return run
+
+
+def _word_shard_of(folder: str):
+    """Writes a shard of words: sorted hashes with the number of documents."""
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        h, n = summed(*map(np.concatenate, zip(*map(unpack, group["data"]))))
+        write_array(folder, f"hash-{int(key[0])}", h)
+        write_array(folder, f"documents-{int(key[0])}", n)
+        return pd.DataFrame({"words": [len(h)]})
     return run
 
 
+def frequencies(docs: DataFrame, text: str = "text") -> Frequencies:
+    """Counts the documents of every word of all texts, into the shared folder."""
+    size = docs.agg(F.sum(F.octet_length(text)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    shards = units(int(size["b"] or 0), WORD_BYTES)
+    folder = scratch_path(docs.sparkSession, "toxicity-words")
+    parts = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(
+        lean(_word_documents(shards)), StructType([StructField("shard", IntegerType()), StructField("data", BinaryType())]))
+    parts.groupBy("shard").applyInPandas(_word_shard_of(folder), StructType([StructField("words", LongType())])).agg(F.sum("words")).first()
+    release(docs.sparkSession)
+    return Frequencies(folder, shards, size["n"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, text: str = "text", doc_id: str = "doc_id") -> Index:
     """An index over at most ``examples`` of the labelled documents (``labels``: doc_id, label 0/1), the
     first by a hash of their id in either class; class sizes come from all labels."""
@@ -190,20 +355,16 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, text: str
         return own.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples // 2)
     chosen = F.broadcast(some(1).unionAll(some(0)))  # at most ``examples`` ids
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")).join(chosen, "doc_id").select("doc_id", "label", "text")
-    schema = StructType([StructField("doc_id", LongType()), StructField("label", src.schema["label"].dataType), StructField("words", ArrayType(StringType())), StructField("counts", ArrayType(LongType()))])
-    found, more = staged(src.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(_term_counts, schema), "toxicity-examples")
-    n = {r["label"]: r["n"] for r in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
-    by_term = (found.select("label", F.explode("words").alias("word")).groupBy("word")
-               .agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b")))
-    a, b, c, d = F.col("a"), F.col("b"), F.lit(n1) - F.col("a"), F.lit(n0) - F.col("b")
-    chi = (n1 + n0) * (a * d - b * c) * (a * d - b * c) / F.greatest(F.lit(1.0), (a + b) * (c + d) * n1 * n0)
-    terms = [r["word"] for r in by_term.withColumn("chi", chi).where((F.col("chi") >= CHI_SQUARE) & (a + b >= LEAST_EXAMPLES))
-             .orderBy(F.desc("chi"), "word").limit(TERMS).collect()]
-    rows = found.mapInArrow(_restricted(set(terms)), schema).orderBy("doc_id", "label").collect()  # at most TERMS counts each
-    release(docs.sparkSession, path, more)
-    return build_index([w.encode("latin-1") for w in terms], [(r["doc_id"], r["label"], {w.encode("latin-1"): n for w, n in zip(r["words"], r["counts"])}) for r in rows],
-                       sizes.get(1, 0), sizes.get(1, 0) + sizes.get(0, 0))
+    schema = StructType([StructField("doc_id", LongType()), StructField("label", src.schema["label"].dataType), StructField("words", ArrayType(BinaryType())), StructField("counts", ArrayType(LongType()))])
+    found = src.select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(_term_counts, schema).orderBy("doc_id", "label").toArrow()  # of the examples only
+    words = found["words"].combine_chunks().flatten().dictionary_encode()
+    names, code = words.dictionary.to_pylist(), words.indices.to_numpy()
+    counts, at, rows = found["counts"].combine_chunks().flatten().to_numpy(), 0, []
+    for i, label, n in zip(found["doc_id"].to_pylist(), found["label"].to_pylist(), pc.list_value_length(found["counts"]).to_pylist()):
+        rows.append((i, label, dict(zip(map(names.__getitem__, code[at:at + n].tolist()), counts[at:at + n].tolist()))))
+        at += n
+    release(docs.sparkSession, path)
+    return build_index(names, rows, sizes.get(1, 0), sizes.get(1, 0) + sizes.get(0, 0), frequencies=frequencies(docs, text))
 
 
 def score(docs: DataFrame, index: Index, text: str = "text", keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
@@ -213,17 +374,15 @@ def score(docs: DataFrame, index: Index, text: str = "text", keep: list[str] | N
     src = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("binary").alias("_text"))
     kind = ArrayType(StructType([StructField("doc_id", LongType()), StructField("label", DoubleType()), StructField("cosine", DoubleType())]))
     schema = StructType([*src.schema.fields, StructField("score", DoubleType()), StructField("evidence", kind)])
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES and TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES
 
     def run(batches):
         own = shared.value
-        known = own.terms.keys()
         arrow = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.float64()), ("cosine", pa.float64())]))
         for b in batches:
             scores, evidence = [], []
-            for raw in b.column(b.schema.get_field_index("_text")):
-                words = words_of(raw.as_py())
-                p, near, cos = own.score(Counter([w for w in words if w in known]))
+            texts = [Counter(words_of(raw.as_py())) for raw in b.column(b.schema.get_field_index("_text"))]
+            for p, near, cos in own.scores(texts):
                 scores.append(p)
                 evidence.append([{"doc_id": int(own.ids[i]), "label": float(own.label[i]), "cosine": float(c)} for i, c in zip(near, cos)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(evidence, arrow)], names=[*b.schema.names, "score", "evidence"])

@@ -11,6 +11,7 @@ import pytest
 from conftest import SF_SMALL
 from terrace.llm import lm, quality, toxicity
 from terrace.llm.catalogue import QUERIES
+from terrace.llm.common import words_of
 
 DOCS = "doc_id long, text string, score string, label string, k0 string"
 
@@ -78,6 +79,40 @@ def test_scores_follow_the_labels_and_ignore_held_out_ones(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= {i for i in held if not truth[i]} | {900, 901}
 
 
+def test_neighbours_over_whole_texts_as_brute_force(spark):
+    rows, labels = toxic_rows()
+    rng = random.Random(4)
+    rows += [(i, " ".join(rng.choices([f"w{k}" for k in range(300)] + [f"x{k}" for k in range(60)], k=30))) for i in range(400, 440)]
+    rows += [(500, "calm only words here"), (501, "calm only words here"), (503, "nothing known")]  # 500 is labelled, 501 its copy
+    assert zlib.crc32(b"500") % 5
+    labels += [(500, 1, 1)]
+    docs = docs_of(spark, rows)
+    frame = toxicity.training_labels(spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, frame)).collect()}
+    counts = {i: Counter(words_of(t.encode())) for i, t in rows}
+    truth = {r["doc_id"]: r["label"] for r in frame.collect()}
+    df = Counter(w for c in counts.values() for w in c)
+    both, toxic = (Counter(w for i, t in truth.items() if t >= least for w in counts[i]) for least in (0, 1))
+    n, n1 = len(truth), sum(truth.values())
+
+    def vector(c):
+        out = {}
+        for w, k in c.items():
+            a, ab = toxic[w], both[w]
+            chi = n * (a * (n - n1 - ab + a) - (ab - a) * (n1 - a)) ** 2 / max(1, ab * (n - ab) * n1 * (n - n1))
+            out[w] = (1 + math.log(k)) * (math.log((1 + len(rows)) / (1 + df[w])) + 1) * (1 + chi) / (21 + chi)
+        norm = math.sqrt(sum(x * x for x in out.values()))
+        return {w: x / norm for w, x in out.items()}
+    vectors = {i: vector(c) for i, c in counts.items()}
+    for i, v in vectors.items():
+        full = {j: sum(x * vectors[j].get(w, 0) for w, x in v.items()) for j in truth}
+        near = got[i]["evidence"]
+        want = sorted((c for c in full.values() if c > 0), reverse=True)[:toxicity.NEIGHBOURS]
+        assert np.allclose([e["cosine"] for e in near], want) and all(math.isclose(full[e["doc_id"]], e["cosine"]) for e in near)
+    assert [e["doc_id"] for e in got[501]["evidence"]] == [500] and got[501]["score"] >= 0.5
+    assert not got[503]["evidence"]
+
+
 def test_toxicity_without_labels(spark):
     docs = docs_of(spark, [(1, "a"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -278,7 +278,7 @@ def _triggers(length: int, shards: int):
                 last = np.append(first[1:], len(t)) - 1
                 t, several = t[first], d[first] != d[last]
                 said = _key(t) | (several.astype(U64) << FLAG)
-                for s, own in _dealt(_shard(t, shards), shards):
+                for s, own in _dealt(_shard(_key(t), shards), shards):  # all triggers of a key get one flag
                     yield _row(SENT, s, chunk, _short(np.sort(said[own])))
     return run
 

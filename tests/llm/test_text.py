@@ -251,6 +251,47 @@ def test_repeats_as_brute_force(spark, monkeypatch, hot, chunk):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def passes_here(texts, ids, shards, hot):
+    """The four passes in this process, one chunk for each text: removed bytes by id."""
+    import pandas as pd
+    import pyarrow as pa
+    chunks = []
+    for i, t in zip(ids, texts):
+        rows = pa.RecordBatch.from_arrays([pa.array([i]), pa.array([i]), pa.array([t], pa.binary())], names=["k0", "_id", "_text"])
+        chunks += [tuple(c[0].as_py() for c in b.columns) for b in suffix_dedup._chunks([rows])]
+
+    def batches(*told, all_of=False):
+        kinds = [pa.string(), pa.binary(), *[pa.list_(pa.binary())] * len(told)]
+        for chunk, body in chunks:
+            if all_of or chunk in told[0]:
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip([chunk, body, *[t.get(chunk) for t in told]], kinds)], names=["chunk", "body", "a", "b"][:len(kinds)])
+
+    def grouped(sent, run):
+        out, sent = {}, pd.concat([b.to_pandas() for b in sent])
+        for _, group in sent.groupby("shard"):
+            for chunk, data in run(group.reset_index(drop=True)).itertuples(index=False):
+                out.setdefault(chunk, []).append(data)
+        return out
+    heard = grouped(suffix_dedup._triggers(50, shards)(batches(all_of=True)), suffix_dedup._shared(hot))
+    told = grouped(suffix_dedup._phrases(50, shards)(batches(heard)), suffix_dedup._smaller(50))
+    done = [b.to_pylist()[0] for b in suffix_dedup._taken_out(50, True)(batches(told, heard, all_of=True))]
+    return {r["k0"]: r["n_removed"] for r in done}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_triggers_with_equal_keys_as_brute_force(monkeypatch, seed):
+    import numpy as np
+    monkeypatch.setattr(suffix_dedup, "_key", lambda h: h & np.uint64(0x1F << 59))
+    rng = random.Random(seed)
+    line = lambda n: bytes(rng.choices(b"abcdefgh", k=n))
+    passages = [line(60) for _ in range(12)]
+    texts = [rng.choice(passages) + (rng.choice(passages) + line(20) if rng.random() < 0.4 else b"") for _ in range(60)]
+    ids = list(range(len(texts)))
+    want = {i: sum(gone) for i, gone in brute_removed(list(zip(ids, texts)))}
+    for hot in (2, 8, 20):
+        assert passes_here(texts, ids, 16, hot) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab", max_size=200), max_size=5))
 def test_phrases_hold_every_string_once(texts):

@@ -59,14 +59,15 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written once as Parquet in the cluster's shared folder and read back, with its path.
+def staged(df: DataFrame, name: str, codec: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` written once as Parquet in the cluster's shared folder and read back, with its path;
+    ``codec`` names another compression than the session's.
 
     A written table cuts the lineage: later jobs read it again after an executor is lost instead
     of computing it anew."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     return out, path
 
@@ -100,3 +101,15 @@ def plainly(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tupl
     bounded_batches(docs.sparkSession)
     names = docs.columns
     return docs.toDF(*[f"c{i}" for i in range(len(names))]), f"c{names.index(text)}", f"c{names.index(doc_id)}", names
+
+
+def result_names(keep: list[str], results: list[str]) -> list[str]:
+    """Names of result columns beside kept ones: a result that is named like a kept column (in any
+    case) gets as many underscores at its end as make it differ."""
+    taken, out = {c.lower() for c in keep}, []
+    for name in results:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

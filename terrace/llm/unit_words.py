@@ -91,8 +91,8 @@ def shard_count(total_bytes: int) -> int:
 
 
 def at_shards(dealt: DataFrame, work, extra: StructType | None = None):
-    """Runs ``work(shard, words)`` on the distinct words of each shard, in byte order.  It returns a
-    list with one array of numbers per word, or (list, Arrow table of ``extra`` rows to keep).
+    """Runs ``work(shard, words)`` on the distinct words of each shard, in byte order.  It returns one
+    array of numbers per word (a list, or rows of one array), or these and an Arrow table of ``extra`` rows.
     The result has the rows of BACK; rows with ``extra`` columns carry no ``data``."""
     schema = StructType([*BACK.fields, *(extra.fields if extra else [])])
 
@@ -103,7 +103,7 @@ def at_shards(dealt: DataFrame, work, extra: StructType | None = None):
         results, rows = results if extra else (results, None)
         place = {w: i for i, w in enumerate(words)}
         sizes = np.fromiter(map(len, results), np.uint32, len(results))
-        flat = np.concatenate(results) if results else np.zeros(0, np.int64)
+        flat = results.ravel() if isinstance(results, np.ndarray) else np.concatenate([np.zeros(0, np.int64), *results])
         starts = np.cumsum(sizes, dtype=np.int64) - sizes
         data = []
         for local, own in found:

@@ -2,14 +2,19 @@
 
 import base64
 import hashlib
+import itertools
+import math
 import random
+import re
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 
 from conftest import SF_SMALL
-from terrace.llm import byte_bpe, unit_words
+from terrace.llm import byte_bpe, filter_audit, hard_negatives, unit_words
 from terrace.llm.catalogue import QUERIES
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -92,3 +97,122 @@ def test_round_trip_of_odd_rows(spark, library, monkeypatch, small):
     back = byte_bpe.decode(got.select("text", "ids"), RANKS)
     assert all(r["decoded"].decode() == (r["text"] or "") for r in back.collect())
     assert byte_bpe.encode(docs.limit(0), RANKS).count() == 0
+
+
+# ------------------------------------------------------------------ filter audit
+
+
+def brute_audit(rows, labels):
+    """rows: (doc_id, part, text); labels: (doc_id, quality, toxic)."""
+    good, toxic = ({label[0] for label in labels if label[c] == 1 and label[0] is not None} for c in (1, 2))
+    docs = []
+    for i, part, text in rows:
+        text = text or ""
+        words = [w for w in re.split(r"[ \t-\r]+", text) if w]
+        fails = {"A": len(words) < 100, "B": 100 * len(set(words)) < 80 * len(words), "C": 100 * len(re.findall("[A-Z]", text)) > 10 * len(text),
+                 "D": re.search(r"[#$%&*|]", text) is not None, "E": any(i is not None and j is not None and j < i and (t or "") == text for j, _, t in rows)}
+        docs.append((part or "", {f for f in fails if fails[f]}, i in good, i in toxic))
+    out = []
+    for part in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == part]
+        figures = {}
+        for order in itertools.permutations("ABCDE"):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [d for d in left if f in d[1]]
+                left = [d for d in left if f not in d[1]]
+                figures["".join(order), step] = (len(left), len(gone), sum(f in d[1] for d in own) - len(gone), sum(d[1] == {f} for d in own),
+                                                 sum(d[2] for d in gone), sum(d[3] for d in gone))
+        for (order, step), found in figures.items():
+            f = order[step - 1]
+            out.append((part, order, step, *found, sum(v[1] for (o, s), v in figures.items() if o[s - 1] == f)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_audit_of_odd_rows(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(unit_words, "SHARD_BYTES", 2000)
+        monkeypatch.setattr(filter_audit, "UNIT_BYTES", 1500)
+    rng = random.Random(11)
+    long = " ".join(f"w{i}" for i in range(150))
+    texts = [None, "", " \t\n", long, long, long + " $", "A" * 9 + "b" * 81, "a" * 50_000, "same words " * 80, "é" * 9 + "É", "w x \x1f y", "x\x0by", long.upper()]
+    rows = [(rng.choice([None, 1, 2, 3, 4, 50]) if i % 2 else i, rng.choice(["en", "de", None, ""]), rng.choice(texts)) for i in range(120)]
+    labels = [(1, 1, 0), (1, 0, 1), (2, 0, 1), (None, 1, 1), (4, None, None), (50, 1, 1), (6, 1, 0), (777, 1, 1)]
+    docs = spark.createDataFrame([(i, p, t, 0, "z") for i, p, t in rows], "doc_id long, lang string, text string, n_words int, digest string").repartition(3)
+    marks = spark.createDataFrame([(*r, 0) for r in labels], "doc_id long, quality int, toxic int, part int")
+    got = filter_audit.audit(docs, marks)
+    assert got.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    assert sorted(tuple(r) for r in got.collect()) == brute_audit(rows, labels)
+    assert filter_audit.audit(docs.limit(0), marks).count() == 0
+    assert {r["good_lost"] for r in filter_audit.audit(docs, marks.limit(0)).collect()} == {0}
+
+
+def test_matrix_rows_are_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(unit_words, "SHARD_BYTES", 300)
+    monkeypatch.setattr(filter_audit, "UNIT_BYTES", 200)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "The", "ünï", "c", "x" * 40, "\U0001f600"]) for _ in range(rng.randrange(40))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    matrix = filter_audit.document_term_matrix(docs)
+    words = {r["word_id"]: r["word"] for r in matrix.dictionary.collect()}
+    assert len(words) == matrix.dictionary.count() == len(set(" ".join(texts).split()))
+    seen = {}
+    for shard in matrix.shards.collect():
+        indices, counts = unit_words.unpack(shard["data"])
+        for row, a, b in zip(shard["rows"], shard["indptr"], shard["indptr"][1:]):
+            assert list(indices[a:b]) == sorted(indices[a:b])
+            seen[row["k0"]] = {words[i]: c for i, c in zip(indices[a:b].tolist(), counts[a:b].tolist())}
+    assert seen == {i: dict(Counter(t.split())) for i, t in enumerate(texts)}
+
+
+# ------------------------------------------------------------------ hard negatives
+
+
+def brute_negatives(rows, anchors, low=30, high=90):
+    """rows: (id, label, whole numbers); anchors: places in rows."""
+    def dot(a, b):
+        return sum(x * y for x, y in zip(a, b))
+    out = []
+    for a_id, a_label, a_vec in {(rows[i][0], rows[i][1], tuple(rows[i][2])) for i in anchors}:
+        scored = sorted((-dot(a_vec, v), i, label == a_label) for i, label, v in rows if (i, label, tuple(v)) != (a_id, a_label, a_vec))
+        for s, p, same in [x for x in scored if x[2]][:5]:
+            fits = [(n, t) for t, n, other in scored if not other and low * -s <= 100 * -t <= high * -s][:10]
+            out += [(a_id, p, r, n, -s, -t) for r, (n, t) in enumerate(fits, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [None, 7])
+def test_negatives_are_exact(spark, monkeypatch, size):
+    if size:
+        monkeypatch.setattr(hard_negatives, "ANCHORS", 3)
+        monkeypatch.setattr(hard_negatives, "CHUNK_ROWS", size)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    rng = random.Random(3)
+    one = [rng.choice([0.25, 0.5]) for _ in range(6)]
+    data = [(i, rng.choice([0, 0, 0, 1, 2]), [rng.choice([-1.0, -0.3, 0.0, 0.2, 0.7]) for _ in range(6)]) for i in range(150)]
+    data += [(i, i % 3, one) for i in range(300, 360)]   # one vector many times
+    data += [(400, 1, None), (500, 1, [1.0, None]), (600, 1, [float("nan")]), (700, 1, [float("inf")]), (None, 1, [1.0]), (800, None, [1.0]), (900, 1, []), (1000, 1, [1.0, 2.0])]
+    data += [(100, 2, [0.9] * 6), (100, 2, [0.1] * 6), (300, 0, one), (1100, 7, [0.5] * 6), (50, 1, [0.7] * 6)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in data], "vec_id long, label int, embedding array<float>, anchor string, score int").repartition(3)
+    try:
+        vectors = hard_negatives.whole_numbers(df, "vec_id", "label", "embedding")
+        got = sorted(tuple(r) for r in hard_negatives.mine(vectors, vectors.where("id % 100 = 0")).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = [(i, label, [math.floor(256 * float(np.float32(x))) for x in v] + [0] * (6 - len(v))) for i, label, v in data
+            if i is not None and label is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    assert got == brute_negatives(rows, [i for i, r in enumerate(rows) if r[0] % 100 == 0])
+    assert any(r[4] == 0 for r in got)   # windows of score 0 were met
+
+
+def test_negatives_of_none(spark):
+    df = spark.createDataFrame([(0, 1, [1.0]), (1, 2, [0.5])], "vec_id long, label int, embedding array<float>")
+    v = hard_negatives.whole_numbers(df, "vec_id", "label", "embedding")
+    assert hard_negatives.mine(v, v.where("id = 0")).count() == 0      # no positive
+    assert hard_negatives.mine(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_products_beyond_floating_point():
+    a, b = np.array([[2 ** 30, 1]]), np.array([[2 ** 30, 1], [2 ** 30, 0]])
+    assert hard_negatives.products(a, b).tolist() == [[2 ** 60 + 1, 2 ** 60]]

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import delete_path, hadoop_fs
+
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -79,6 +81,29 @@ def _zip_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["path", "content"])
 
 
+def deliver(lines: DataFrame, folder: str, header: str | None = None, names: list[str] | None = None) -> str:
+    """Text files with given names: ``lines`` (name, value) become the lines of ``<folder>/<name>``, each below
+    ``header``; ``names`` without a line are delivered too.  A fixture has few names, whatever the rows."""
+    spark = lines.sparkSession
+    out = f"{folder}__parts"
+    first = [(n, header, 0) for n in names or []] if header is not None else []
+    rows = lines.select("name", "value", F.lit(1).alias("n"))
+    rows = rows.union(spark.createDataFrame(first, "name string, value string, n int")) if first else rows
+    rows = rows.withColumn("place", F.col("name")).repartition("place").sortWithinPartitions("place", "n").drop("n", "name")
+    rows.write.partitionBy("place").text(out)
+    fs, at = hadoop_fs(spark, out)
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for place in fs.listStatus(at):
+        if place.isDirectory():
+            name = utils.unescapePathName(place.getPath().getName().partition("=")[2])
+            part = [f for f in fs.listStatus(place.getPath()) if f.getPath().getName().startswith("part-")][0].getPath()
+            target = hadoop_fs(spark, f"{folder}/{name}")[1]
+            fs.mkdirs(target.getParent())
+            fs.rename(part, target)
+    delete_path(spark, out)
+    return folder
+
+
 def zip_files(files: DataFrame) -> DataFrame:
     """Each ``(path, content)`` file wrapped into its own zip archive (one file per task row)."""
     return files.select("path", "content").mapInPandas(_zip_each, "path string, content binary")

@@ -60,7 +60,7 @@ def _all_of(conditions: list[Column]) -> Column:
     return out
 
 
-def _key_match(t: str, s: str, keys: list[str], null_safe: bool) -> Column:
+def key_match(t: str, s: str, keys: list[str], null_safe: bool) -> Column:
     pairs = [(F.col(f"{t}.`{k}`"), F.col(f"{s}.`{k}`")) for k in keys]
     return _all_of([a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
@@ -69,11 +69,13 @@ def _has_keys(keys: list[str]) -> Column:
     return _all_of([F.col(f"`{k}`").isNotNull() for k in keys])
 
 
-def check_duplicate_source_keys(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
+def check_duplicate_source_keys(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> None:
     """Q2: two source rows with one key may not match the same target row (MERGE would fail).  The
-    source alone is aggregated first; the target is only read if it has repeated keys."""
-    dup = source.where(_has_keys(keys)).groupBy(*keys).count().where(F.col("count") > 1).drop("count")
-    if not dup.isEmpty() and not target.select(*keys).join(dup, on=keys, how="left_semi").isEmpty():
+    source alone is aggregated first; the target is only read if it has repeated keys.  With
+    ``null_safe`` keys, NULL is a key like any other."""
+    named = [F.col(f"`{k}`") for k in keys]
+    dup = (source if null_safe else source.where(_has_keys(keys))).groupBy(*named).count().where(F.col("count") > 1).drop("count")
+    if not dup.isEmpty() and not target.select(*named).alias("t").join(dup.alias("s"), key_match("t", "s", keys, null_safe), "left_semi").isEmpty():
         raise DuplicateSourceKeyError(f"several source rows share a key that matches a target row; keys={keys}")
 
 
@@ -98,7 +100,7 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: list[str], strateg
     t = target.select(*[F.col(f"`{c}`") for c in cols]).withColumn("_t", F.lit(True)).alias("t")
     s = source.select(*[F.col(f"`{c}`") for c in cols]).withColumn("_s", F.lit(True)).alias("s")
     full = any(c.action == "insert" for c in clauses)
-    j = t.join(s, _key_match("t", "s", keys, null_safe), "full_outer" if full else "left")
+    j = t.join(s, key_match("t", "s", keys, null_safe), "full_outer" if full else "left")
     in_t, in_s = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
     case = {"matched": in_t & in_s, "not_matched": in_s & ~in_t, "not_matched_by_source": in_t & ~in_s}
     hits = [case[c.when] & (F.coalesce(F.expr(c.condition), F.lit(False)) if c.condition else F.lit(True)) for c in clauses]
@@ -135,6 +137,15 @@ def _validate(target: DataFrame, source: DataFrame, keys: list[str], strategy: s
         raise ValueError(f"source lacks target columns {missing}")
 
 
+def new_rows(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """The source rows that match no target row; those without a whole key match nothing and pass by the join."""
+    src = source.select(*[F.col(f"`{c}`") for c in target.columns])
+    whole = F.lit(True) if null_safe else _has_keys(keys)
+    t_keys = target.where(whole).select(*[F.col(f"`{k}`") for k in keys]).alias("t")
+    fresh = src.where(whole).alias("s").join(t_keys, key_match("t", "s", keys, null_safe), "left_anti")
+    return fresh if null_safe else fresh.unionByName(src.where(~whole))
+
+
 @dataclass
 class MergePlan:
     """The merged rows plus the observations that yield :class:`MergeCounts` once the frame has
@@ -194,7 +205,7 @@ def plan_merge(target: DataFrame, source: DataFrame, keys: list[str], strategy:
     s = src.where(whole).alias("s")
     s_keys = src.where(whole).select(*keys).alias("s")
     t_keys = tgt.where(whole).select(*keys).alias("t")
-    match = _key_match("t", "s", keys, null_safe)
+    match = key_match("t", "s", keys, null_safe)
     inserts = strategy in ("upsert", "insert_only")
     if strategy == "insert_only":
         parts = [t, counted(s.join(t_keys, match, "left_anti"), "inserted")]

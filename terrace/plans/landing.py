@@ -2,19 +2,24 @@
 
 list files (S13) -> name pattern (F6) -> file date (C11) -> file controls (D16, D18, D19, rules) ->
 unchanged-copy check (D20) -> parse the files that passed (S5 / S8 / S11 / S6, or archive members
-S12) -> stamp date and file (P10) -> dynamic partition overwrite of the raw table (K6/K7/K12).
+S12) -> stamp date and file (P10) -> commit to the raw table (K6/K7/K12).
 
 Per-file failures do not stop the job: every file gets a status row (PROCESSED, SKIP_PATTERN,
 SKIP_DUPLICATE, ERROR) with the reason.  Only files that passed are read, in batches of a bounded
-number of paths; a batch that cannot be read is halved until the unreadable files are alone, and
-those become ERROR.  Each batch commits whole, so a failed one leaves nothing.
+number of paths.  If a batch fails, its files are read without writing, in halves, until the unreadable
+ones are alone; those become ERROR and the others are written.  A failure that no file explains (of
+the table, of the cluster) is raised: it is no fault of the deliveries.
+
+A delivery is known by its path below the landing folder, so files of one name in two folders live side
+by side, in one batch or in many.  Each batch is one commit, with a record of the partitions that every
+file filled: a file that comes again replaces exactly those.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,7 +30,7 @@ from ..quality.files import (columns_result, content_lines, csv_lines, csv_profi
                              member_profile, numbered_lines)
 from ..quality.engine import ControlRun, run_controls, save_results
 from ..sinks.tables import WriteResult, write_raw
-from ..session import checkpoint_root
+from ..session import checkpoint_root, hadoop_fs
 from ..sources.files import (archive_lines, archive_member_names, list_files, literal_path, nested_json_items,
                              source_path, source_path_of)
 from ..specs import LandingSpec, TableSpec
@@ -42,7 +47,17 @@ class LandingResult:
     controls: ControlRun | None = None      # results of the landing rules, if there were any
 
 
-def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: list[str] | None,
+def delivery_of(path: Column, root: str) -> Column:
+    """A file's path below the landing folder ``root``, which names the delivery."""
+    return F.substring_index(path, root.rstrip("/") + "/", -1)
+
+
+def _root(spark: SparkSession, folder: str) -> str:
+    fs, at = hadoop_fs(spark, folder)
+    return fs.makeQualified(at).toUri().getPath()
+
+
+def _file_status(spark: SparkSession, folder: str | list[str], spec: LandingSpec, columns: list[str] | None,
                  processed: DataFrame | None, date_from: str, checks: tuple[str, ...]) -> DataFrame:
     files = list_files(spark, folder)
     name_ok = F.col("file_name").rlike(anchored(spec.filename_pattern))
@@ -93,8 +108,8 @@ def _file_status(spark: SparkSession, folder: str, spec: LandingSpec, columns: l
                 F.array_join("missing_columns", ", "))))
     files = files.withColumn("error", F.concat_ws("; ", *errors))
     if processed is not None and spec.compare_with_previous_file:
-        content = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal_path(folder))
-                   .select("path", "content"))
+        at = [literal_path(p) for p in folder] if isinstance(folder, list) else literal_path(folder)
+        content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at).select("path", "content")
         incoming = content.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
         flags = flag_unchanged(incoming, processed).select("path", "is_duplicate", "content_md5")
         files = files.join(flags, "path", "left")
@@ -113,9 +128,9 @@ def _archives(spark: SparkSession, folder: str | list[str], spec: LandingSpec) -
     """Archive files of a folder whose name passes the file pattern (the filter on the file's
     metadata prunes the listing, so other files are not opened), or of the given paths."""
     r = spark.read.format("binaryFile")
-    if isinstance(folder, list):
-        return r.load([literal_path(p) for p in folder]).select("path", "content")
     named = F.col("_metadata.file_name").rlike(anchored(spec.filename_pattern))
+    if isinstance(folder, list):
+        return r.load([literal_path(p) for p in folder]).where(named).select("path", "content")
     return r.option("recursiveFileLookup", "true").load(literal_path(folder)).where(named).select("path", "content")
 
 
@@ -163,42 +178,65 @@ def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: li
     raise ValueError(f"unknown landing format {spec.file_format!r}")
 
 
+def json_text(content: Column, encoding: str) -> Column:
+    """Text of a JSON file; a byte-order mark decides the encoding and is no part of the document."""
+    def marked(mark: str) -> Column:
+        return F.substring(content, 1, len(mark) // 2) == F.unhex(F.lit(mark))
+    text = (F.when(marked("EFBBBF"), F.decode(content, "UTF-8")).when(marked("FFFE") | marked("FEFF"), F.decode(content, "UTF-16"))
+            .otherwise(F.decode(content, encoding)))
+    return F.regexp_replace(text, "^\ufeff", "")
+
+
 def _json_documents(spark: SparkSession, paths: list[str], spec: LandingSpec) -> DataFrame:
     """``(value, path)``: a file is one document of any layout (pretty-printed, a top-level list);
     where its first line is a whole document, every line is one."""
     files = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-    text = files.select(F.decode("content", spec.json.encoding).alias("_text"), "path")
+    text = files.select(json_text(F.col("content"), spec.json.encoding).alias("_text"), "path")
     whole_line = F.get_json_object(F.regexp_extract("_text", r"^\s*([^\r\n]*)", 1), "$").isNotNull()
     lines = F.filter(F.split("_text", r"[\r\n]+"), lambda x: F.trim(x) != "")
     return text.select(F.explode(F.when(whole_line, lines).otherwise(F.array("_text"))).alias("value"), "path")
 
 
-def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: TableSpec, columns: list[str] | None, date_from: str) -> DataFrame:
-    """Rows of some files, stamped with their date and file: both follow from the path."""
-    name = F.element_at(F.split("path", "/"), -1)
+def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: TableSpec, columns: list[str] | None, date_from: str, root: str) -> DataFrame:
+    """Rows of some files, stamped with their date and delivery: both follow from the path."""
+    name, delivery = F.element_at(F.split("path", "/"), -1), delivery_of(F.col("path"), root)
     stamp = file_date(F.col("path") if date_from == "path" else name, spec.date_regex)
     if spec.file_format == "json":
-        docs = _json_documents(spark, paths, spec).withColumn("_date", stamp).withColumn("_file", name)
+        docs = _json_documents(spark, paths, spec).withColumn("_date", stamp).withColumn("_file", delivery)
         items = nested_json_items(docs, spec.json, spec.partition_field, file_date=F.col("_date"), keep=["_file"])
         m = F.from_json("item", "map<string,string>")
         return items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field, F.col("_file").alias(raw.source_field))
     rows = _parse(spark, paths, spec, columns)
     if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
         stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
-    rows = stamp_partition(stamp_partition(rows, spec.partition_field, stamp), raw.source_field, name)
+    rows = stamp_partition(stamp_partition(rows, spec.partition_field, stamp), raw.source_field, delivery)
     return rows.drop("path", "member")
 
 
-def _write_files(write, paths: list[str]) -> tuple[int, list[tuple[str, str]]]:
-    """Rows written, and (path, error) of files that cannot be read: a failing batch is halved."""
+def _unreadable(read, paths: list[str]) -> list[tuple[str, str]]:
+    """(path, error) of the files that cannot be read: a failing lot is halved."""
     try:
-        return write(paths), []
+        read(paths)
+        return []
     except Exception as e:
         if len(paths) == 1:
-            return 0, [(paths[0], f"{type(e).__name__}: {e}")]
+            return [(paths[0], f"{type(e).__name__}: {e}")]
         half = len(paths) // 2
-        (n, bad), (m, more) = _write_files(write, paths[:half]), _write_files(write, paths[half:])
-        return n + m, bad + more
+        return _unreadable(read, paths[:half]) + _unreadable(read, paths[half:])
+
+
+def _write_files(write, read, paths: list[str]) -> tuple[WriteResult | None, list[tuple[str, str]]]:
+    """What was written, and (path, error) of files that cannot be read.  Only reading tells that a file is
+    at fault: if every file can be read, the error is the sink's and is raised."""
+    try:
+        return write(paths), []
+    except Exception:
+        bad = _unreadable(read, paths)
+        if not bad:
+            raise
+    names = {p for p, _ in bad}
+    good = [p for p in paths if p not in names]
+    return (write(good) if good else None), bad
 
 
 def _batches(paths, each: int):
@@ -239,14 +277,16 @@ def _gate(spark: SparkSession, status: DataFrame, rules: DataFrame, params: dict
 def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, columns: list[str] | None = None,
          processed: DataFrame | None = None, date_from: str = "name",
          checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names"), rules: DataFrame | None = None,
-         params: dict | None = None, registry: dict | None = None, results: TableSpec | None = None) -> LandingResult:
-    """Land the files of ``folder`` in the raw table; returns per-file statuses and counts.
+         params: dict | None = None, registry: dict | None = None, results: TableSpec | None = None,
+         files: list[str] | None = None, token: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> LandingResult:
+    """Land the files of ``folder`` (or only ``files`` of it) in the raw table; returns per-file statuses and counts.
 
-    Rows are filed by date and delivered file, as delivered: repeated rows stay, several files of a
-    date live side by side, and a file that is delivered again replaces only itself.  The failed
-    ``checks`` make a file an ERROR.  With ``rules`` (effective rules of the landing layer), the checks
+    Rows are filed by date and delivery, as delivered: repeated rows stay, several files of a date live side
+    by side, and a file that is delivered again replaces everything it brought before, and nothing else.  The
+    failed ``checks`` make a file an ERROR.  With ``rules`` (effective rules of the landing layer), the checks
     are columns of the view ``data`` instead (name_ok, format_ok, columns_ok, error, ...): the rules judge
-    them, results go to the ``results`` table, and only blocking rules stop files."""
+    them, results go to the ``results`` table, and only blocking rules stop files.  With a ``token`` every
+    batch is written once, however often the same landing is run."""
     if spec.zipped and spec.file_format != "csv":
         raise ValueError("archive members are landed as CSV; unpack other formats before landing")
     line_based = spec.zipped or (spec.file_format == "csv" and spec.csv.header and spec.csv.header_position > 0)
@@ -258,7 +298,8 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         raw = replace(raw, schema=all_string_schema([*columns, *raw.partition_columns]))
     elif raw.schema is not None and raw.source_field not in raw.schema.fieldNames():
         raw = replace(raw, schema=StructType([*raw.schema.fields, StructField(raw.source_field, StringType())]))
-    status = _file_status(spark, folder, spec, columns, processed, date_from, checks).checkpoint(eager=True)
+    root = _root(spark, folder)
+    status = _file_status(spark, folder if files is None else files, spec, columns, processed, date_from, checks).checkpoint(eager=True)
     control = None
     if rules is not None:
         undated = F.when(F.col("file_date").isNull() & F.lit(spec.date_column is None), F.lit("no date in file name"))
@@ -269,15 +310,20 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         status = status.join(judged, "path", "left").withColumn("error", F.coalesce("_judged", F.lit(""))).drop("_judged")
         status = _with_status(status).checkpoint(eager=True)
 
-    def write(paths: list[str]) -> int:
-        return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from), raw).rows_written or 0
-    written, unreadable = 0, []
-    for batch in _batches(status.where(F.col("status") == "PROCESSED").select("path"), FILES_PER_BATCH):
-        n, bad = _write_files(write, batch)
-        written, unreadable = written + n, unreadable + bad
+    def read(paths: list[str]) -> None:
+        _file_rows(spark, paths, spec, raw, columns, date_from, root).write.format("noop").mode("overwrite").save()
+
+    written, unreadable = WriteResult(0, [], None, 0, 0, 0, 0), []
+    for i, batch in enumerate(_batches(status.where(F.col("status") == "PROCESSED").select("path").orderBy("path"), files_per_batch)):
+        def write(paths: list[str]) -> WriteResult:
+            delivered = [p.rsplit(root.rstrip("/") + "/", 1)[-1] for p in paths]
+            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root), raw, delivered, token and f"{token}-{i}")
+        done, bad = _write_files(write, read, batch)
+        written, unreadable = written if done is None else written + done, unreadable + bad
     if unreadable:
         found = spark.createDataFrame(unreadable, "path string, _unread string")
         status = status.join(found, "path", "left")
         status = status.withColumn("error", F.concat_ws("; ", F.nullif("error", F.lit("")), "_unread")).withColumn(
             "status", F.when(F.col("_unread").isNotNull(), "ERROR").otherwise(F.col("status")))
-    return LandingResult(status.select("path", "file_name", "file_date", "status", "error", "content_md5"), WriteResult(rows_written=written), raw, control)
+    status = status.withColumn("delivery", delivery_of(F.col("path"), root))
+    return LandingResult(status.select("path", "file_name", "file_date", "status", "error", "content_md5", "delivery"), written, raw, control)

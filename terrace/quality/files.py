@@ -27,21 +27,24 @@ def check_filenames(files: DataFrame, pattern: str, name_col: str = "file_name")
     return files.withColumn("identifier", F.col(name_col)).withColumn("result", F.col(name_col).rlike(anchored(pattern)))
 
 
-def _quote(spec: CsvSpec) -> str:
-    return re.escape(spec.quote or '"')
+def _field_pattern(spec: CsvSpec) -> str:
+    """A delimiter and the field after it, as the CSV reader takes a line: a field that begins with a quote goes
+    to its closing quote and on to the next delimiter, or, never closed, to the end of the line."""
+    d, q = re.escape(spec.delimiter), re.escape(spec.quote or '"')
+    escape = re.escape(spec.escape or spec.quote or '"')
+    inside = f"(?:[^{q}]|{q}{q})*+" if escape == q else f"(?:[^{q}{escape}]|{escape}.)*+"
+    bare = f"(?:(?!{d}).)*+"
+    return f"(?s){d}({q}{inside}{q}{bare}|{q}.*|{bare})"
 
 
 def _field_count(line: Column, spec: CsvSpec) -> Column:
-    """Fields in a CSV line: quoted spans removed, then the delimiters counted (Q22: quoted
-    delimiters do not split)."""
-    q = _quote(spec)
-    bare = F.regexp_replace(line, f"{q}[^{q}]*{q}", "")
-    return F.size(F.split(bare, re.escape(spec.delimiter)))
+    """Fields in a CSV line (Q22: quoted delimiters do not split)."""
+    return F.regexp_count(F.concat(F.lit(spec.delimiter), line), F.lit(_field_pattern(spec)))
 
 
 def _split_header(line: Column, spec: CsvSpec) -> Column:
-    q = _quote(spec)
-    parts = F.split(line, re.escape(spec.delimiter) + f"(?=(?:[^{q}]*{q}[^{q}]*{q})*[^{q}]*$)")
+    q = re.escape(spec.quote or '"')
+    parts = F.regexp_extract_all(F.concat(F.lit(spec.delimiter), line), F.lit(_field_pattern(spec)), F.lit(1))
     return F.transform(parts, lambda x: F.regexp_replace(x, f"^\\s*{q}|{q}\\s*$", ""))
 
 
@@ -52,6 +55,7 @@ def _record_profile(spark: SparkSession, path: str | list[str], spec: CsvSpec, g
     if glob:
         r = r.option("pathGlobFilter", glob)
     quote, at = spec.quote or '"', spec.header_position if spec.header else -1
+    own = spec.escape if spec.escape not in (None, quote) else None   # an escape character of its own
 
     def run(batches):
         for pdf in batches:
@@ -59,7 +63,7 @@ def _record_profile(spark: SparkSession, path: str | list[str], spec: CsvSpec, g
             for name, content in zip(pdf["path"], pdf["content"]):
                 text = io.TextIOWrapper(io.BytesIO(bytes(content)), encoding=spec.encoding, errors="replace", newline="")
                 header, widest, n, seen = None, 0, 0, -1
-                for record in csv.reader(text, delimiter=spec.delimiter, quotechar=quote, escapechar=spec.escape if spec.escape != quote else None):
+                for record in csv.reader(text, delimiter=spec.delimiter, quotechar=quote, escapechar=own, doublequote=own is None):
                     if not record or not any(record) and len(record) == 1 or spec.comment and record[0].startswith(spec.comment):
                         continue
                     seen += 1

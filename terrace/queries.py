@@ -28,6 +28,7 @@ from .quality.engine import python_rule, run_controls, save_results, validate
 from .quality.files import check_filenames, columns_result, csv_profile, flag_unchanged, format_result
 from .quality.rules import master_frame, rules_frame
 from .session import scratch_path
+from .sinks.commit import Commits
 from .sinks.tables import append, delete_where, merge_into, overwrite_partitions, read_target, write_raw
 from .sources.files import archive_lines, list_files, read_csv, read_nested_json, read_xml
 from .sources.tables import read_partition, read_table, table_schema
@@ -507,6 +508,37 @@ def merge_update_columns(spark, sf_dir):
     return read_target(spark, spec)
 
 
+CLUSTERED_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey BETWEEN m.a AND m.b THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority, true AS others_unchanged
+FROM orders, (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 2 AS a,
+                     min(o_orderkey) + (max(o_orderkey) - min(o_orderkey)) // 2 + (max(o_orderkey) - min(o_orderkey)) // 100 AS b FROM orders) m
+UNION ALL
+SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true FROM orders WHERE o_orderkey % 500 = 0
+"""
+
+
+@register("merge_clustered", CLUSTERED_SQL)
+def merge_clustered(spark, sf_dir):
+    """About 1 % of all orders, and some new ones, merged into an unpartitioned table whose files hold key
+    ranges: files without one of those keys stay as they are."""
+    o = T(spark, sf_dir, "orders")
+    rows = o.count()
+    spec = TableSpec(scratch_path(spark, "orders_clustered"), schema=o.schema, primary_keys=["o_orderkey"], partition_field=None, clustered=True,
+                     file_rows=max(1, rows // 50))
+    append(spark, o, spec)
+    before = set(Commits(spark, spec.path).files())
+    ends = o.agg(F.min("o_orderkey").alias("a"), F.max("o_orderkey").alias("b")).first()
+    middle, width = ends.a + (ends.b - ends.a) // 2, (ends.b - ends.a) // 100
+    changes = o.where(F.col("o_orderkey").between(middle, middle + width)).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    fresh = o.where(F.col("o_orderkey") % 500 == 0).withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000)
+    res = merge_into(spark, spec, changes.unionByName(fresh))
+    stayed = before & set(Commits(spark, spec.path).files())
+    if res.merge.updated == 0 or res.merge.inserted == 0:
+        raise RuntimeError("the merge found no rows")
+    return read_target(spark, spec).withColumn("others_unchanged", F.lit(len(before) - len(stayed) <= max(3, len(before) // 10)))
+
+
 EVENT_TABLE_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "data_date"]
 
 
@@ -527,6 +559,22 @@ def append_q(spark, sf_dir):
     return read_target(spark, spec).select(*EVENT_COLS)
 
 
+@register("append_once", """
+SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS data_date FROM events
+""")
+def append_once(spark, sf_dir):
+    """K3: batches with a name are added once, though the first is sent twice and the second comes between; the
+    batch that was skipped reports the figures of the first time."""
+    e = fx.events_with_date(spark, sf_dir)
+    spec = _events_spec(spark, e)
+    early = e.where(F.col("data_date") <= "2024-01-15")
+    first = append(spark, early, spec, token="early")
+    append(spark, e.where(F.col("data_date") > "2024-01-15"), spec, token="late")
+    if append(spark, early, spec, token="early") != first:
+        raise RuntimeError("the second sending of a batch reported other figures")
+    return read_target(spark, spec).select(*EVENT_COLS)
+
+
 @register("overwrite_partitions", """
 SELECT event_id, user_id, event_type,
        CASE WHEN strftime(ts, '%Y-%m-%d') >= '2024-01-20' THEN value * 2 ELSE value END AS value,
@@ -833,6 +881,7 @@ def landing_dedupe(spark, sf_dir):
     return flag_unchanged(incoming, known).select("file_name", "is_duplicate")
 
 
+EVENT_PLACES = ["north/ev_2024-01-01.csv", "south/ev_2024-01-01.csv", "north/ev_2024-01-02.csv", "south/ev_2024-01-02.csv"]
 EVENT_RAW_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
@@ -864,6 +913,38 @@ def landing_to_raw(spark, sf_dir):
     return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
 
 
+@register("landing_redelivery", """
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date,
+       CASE event_id % 4 WHEN 1 THEN 'south/ev_2024-01-01.csv' ELSE 'north/ev_2024-01-02.csv' END AS delivery
+FROM events WHERE event_id % 4 IN (1, 2)
+UNION ALL
+SELECT event_id, user_id, event_type, value * 2, props, strftime(ts, '%Y-%m-%d'), 'south/ev_2024-01-02.csv'
+FROM events WHERE event_id % 4 = 3 AND strftime(ts, '%Y-%m-%d') <= '2024-01-10'
+""")
+def landing_redelivery(spark, sf_dir):
+    """L1/L2/K6: deliveries of equal names in two folders, filed by a date in their rows.  One comes again without
+    any row, another with half of its dates and other values; landed file by file, each replaces exactly
+    what it brought before."""
+    e = T(spark, sf_dir, "events").withColumn("place", F.element_at(F.array(*map(F.lit, EVENT_PLACES)), (F.col("event_id") % 4).cast("int") + 1))
+    cells = ["event_id", F.date_format("ts", fx.TS_FORMAT), "user_id", "event_type", "value", F.concat(F.lit('"'), F.replace("props", F.lit('"'), F.lit('""')), F.lit('"'))]
+
+    def lines(rows):
+        return rows.select(F.col("place").alias("name"), F.concat_ws(",", *[F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c, F.lit("")) for c in cells]).alias("value"))
+    spec = LandingSpec(filename_pattern=r"ev_.*\.csv", date_column="ts")
+    raw = TableSpec(scratch_path(spark, "raw_redelivered"), partition_field="data_date")
+    header = ",".join(EVENT_RAW_COLS)
+    first = fx.deliver(lines(e), scratch_path(spark, "landing_first"), header, EVENT_PLACES)
+    again = e.where((F.col("place") == EVENT_PLACES[3]) & (F.date_format("ts", "yyyy-MM-dd") <= "2024-01-10")).withColumn("value", F.col("value") * 2)
+    second = fx.deliver(lines(again), scratch_path(spark, "landing_second"), header, [EVENT_PLACES[0], EVENT_PLACES[3]])
+    land(spark, first, spec, raw, columns=EVENT_RAW_COLS)
+    res = land(spark, second, spec, raw, columns=EVENT_RAW_COLS, files_per_batch=1)
+    bad = res.status.where(F.col("status") != "PROCESSED").count()
+    if bad:
+        raise RuntimeError(f"{bad} landing files were not processed")
+    typed = cast_to(read_target(spark, res.table, with_source=True), {"event_id": "bigint", "user_id": "bigint", "value": "double"})
+    return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date", F.col("source_file").alias("delivery"))
+
+
 def _mixed_landing(spark, sf_dir):
     """A JSON landing folder: pretty-printed documents of the customers of each nation, one document without
     the expected level, one with an object where the list should be, and a file of another name."""

@@ -1,9 +1,9 @@
 """Table writes on Parquet folders: K3 append, K4 partition overwrite, K1/K2 merge, K5 delete,
 K6/K7 raw partitions.
 
-Parquet has no row-level MERGE or DELETE, so both rewrite only the partitions they touch, in one
-write: dynamic partition overwrite moves finished partitions in at job commit, so the plan may read
-what it replaces.  Unpartitioned tables are written beside the old one and swapped in.
+Parquet has no row-level MERGE or DELETE, so both rewrite the files that hold a matching row, and no
+others.  Every write stages its files below the table and takes effect as one commit (see ``commit``),
+which is refused and worked out again if another writer was faster, and written once for a ``token``.
 
 Every write conforms the rows to the table (declared column order and types, whole-row
 DISTINCT), so files of one table never disagree on a column's type.
@@ -11,16 +11,22 @@ DISTINCT), so files of one table never disagree on a column's type.
 
 from __future__ import annotations
 
+import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, IntegralType, MapType, StringType, StructField, StructType, TimestampType
 
-from ..operators.merge import Clause, MergeCounts, check_duplicate_source_keys, merge_frames, plan_merge
+from ..operators.merge import Clause, MergeCounts, check_duplicate_source_keys, key_match, merge_frames, new_rows, plan_merge
 from ..session import delete_path, hadoop_fs, observed, path_exists, scratch_path
+from ..sources.files import literal_path, source_path_of
 from ..specs import TableSpec
+from .commit import STAGED, CommitConflict, Commits, new_token
+
+#: How often a write is worked out before it gives up to faster writers.
+ATTEMPTS = 4
 
 
 @dataclass
@@ -28,18 +34,29 @@ class WriteResult:
     rows_written: int | None = None
     partitions: list | None = None
     merge: MergeCounts | None = None
+    files_added: int | None = None
+    files_removed: int | None = None
     bytes_added: int | None = None
     bytes_removed: int | None = None
 
+    def __add__(self, other: WriteResult) -> WriteResult:
+        """Figures of two writes of one table together."""
+        return WriteResult(self.rows_written + other.rows_written, sorted({*(self.partitions or []), *(other.partitions or [])}), None,
+                           *[getattr(self, f) + getattr(other, f) for f in ("files_added", "files_removed", "bytes_added", "bytes_removed")])
+
 
 def _writer(df: DataFrame, spec: TableSpec, mode: str):
     """Partitioned writes first REBALANCE on the partition columns: rows of one partition value
     meet in few tasks (few, large files instead of tasks x partitions small ones), and AQE
-    splits a partition value that holds a large share of the rows and coalesces small ones."""
+    splits a partition value that holds a large share of the rows and coalesces small ones.  Files
+    of a clustered table are written in the order of its keys."""
+    keys = _cluster_keys(spec)
     if spec.partition_columns:
         df = df.hint("rebalance", *spec.partition_columns)
-        return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*spec.partition_columns)
-    return df.write.mode(mode)
+    df = df.sortWithinPartitions(*spec.partition_columns, *keys) if keys else df
+    w = df.write.mode(mode)
+    w = w.option("maxRecordsPerFile", spec.file_rows) if spec.file_rows else w
+    return w.partitionBy(*spec.partition_columns) if spec.partition_columns else w
 
 
 def read_target(spark: SparkSession, spec: TableSpec, with_source: bool = False) -> DataFrame:
@@ -94,20 +111,69 @@ def conform_to_table(spark: SparkSession, df: DataFrame, spec: TableSpec) -> Dat
     return entries.dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in out.columns])
 
 
-def append(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
-    """Conformed rows appended."""
-    obs = Observation(f"append_{uuid.uuid4().hex[:8]}")
-    data = conform_to_table(spark, df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
-    _writer(data, spec, "append").parquet(spec.path)
-    return WriteResult(rows_written=observed(obs, "rows"))
+def _cluster_keys(spec: TableSpec) -> list[Column]:
+    return [F.col(f"`{k}`") for k in spec.primary_keys if k not in spec.partition_columns] if spec.clustered else []
+
+
+def _clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """For an unpartitioned table whose files hold ranges of its keys: rows dealt by key range (the DISTINCT
+    that follows needs no further shuffle), so that a later merge finds its keys in few files."""
+    keys = _cluster_keys(spec)
+    return df.repartitionByRange(*keys) if keys and not spec.partition_columns else df
+
+
+def _result(facts: dict, **more) -> WriteResult:
+    """A write's figures as its commit wrote them down, so that a batch that comes again reports the same."""
+    said = {k: json.loads(v) for k, v in facts.items()}
+    merge = said.pop("merge", None)
+    known = {k: v for k, v in said.items() if k in WriteResult.__dataclass_fields__}
+    return WriteResult(**(known | more), merge=MergeCounts(**merge) if merge else None)
+
 
+def _retried(spark: SparkSession, spec: TableSpec, token: str | None, attempt) -> WriteResult:
+    """Runs ``attempt(commits, token, base)``, which ends in a commit; after a conflict the change is worked out anew
+    on the table as it is then.  A batch whose ``token`` is committed already is not written again."""
+    commits = Commits(spark, spec.path)
+    done = commits.facts(token) if token else None
+    if done is not None:
+        commits.version()
+        return _result(done)
+    token = token or new_token()
+    for n in range(ATTEMPTS):
+        try:
+            return _result(attempt(commits, token, commits.version()))
+        except CommitConflict:
+            if n == ATTEMPTS - 1:
+                raise
+        finally:
+            delete_path(spark, f"{spec.path.rstrip('/')}/{STAGED}/{token}")
 
-def overwrite_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
+
+def _staged_rows(commits: Commits, token: str, rows: DataFrame, spec: TableSpec) -> tuple[str, Observation]:
+    """Rows written aside, partitioned as the table is."""
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    staged = commits.staging(token)
+    _writer(rows.observe(obs, F.count(F.lit(1)).alias("rows")), spec, "overwrite").parquet(staged)
+    return staged, obs
+
+
+def append(spark: SparkSession, df: DataFrame, spec: TableSpec, token: str | None = None) -> WriteResult:
+    """Conformed rows appended; a batch with a ``token`` once, however often it is sent."""
+    def attempt(commits, token, base):
+        staged, obs = _staged_rows(commits, token, conform_to_table(spark, _clustered(df, spec), spec), spec)
+        return commits.commit(token, base, staged, {}, facts={"rows_written": observed(obs, "rows")})
+    return _retried(spark, spec, token, attempt)
+
+
+def overwrite_partitions(spark: SparkSession, df: DataFrame, spec: TableSpec, token: str | None = None) -> WriteResult:
     """K4: only the partitions present in ``df`` are replaced (whole table if unpartitioned)."""
-    obs = Observation(f"overwrite_{uuid.uuid4().hex[:8]}")
-    data = conform_to_table(spark, df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
-    _writer(data, spec, "overwrite").parquet(spec.path)
-    return WriteResult(rows_written=observed(obs, "rows"))
+    def attempt(commits, token, base):
+        staged, obs = _staged_rows(commits, token, conform_to_table(spark, _clustered(df, spec), spec), spec)
+        below = len(f"{STAGED}/{token}/")
+        folders = sorted({n[below:].rpartition("/")[0] for n in commits.files(f"{STAGED}/{token}", True)})
+        removed = {n: size for f in folders for n, size in commits.files(f).items()}
+        return commits.commit(token, base, staged, removed, folders, {"rows_written": observed(obs, "rows")})
+    return _retried(spark, spec, token, attempt)
 
 
 def _partition_values(df: DataFrame, field: str) -> list[tuple]:
@@ -117,20 +183,6 @@ def _partition_values(df: DataFrame, field: str) -> list[tuple]:
     return [(r.v, r.s) for r in rows]
 
 
-def _existing_partitions(spark: SparkSession, spec: TableSpec) -> list[tuple]:
-    """The table's partition directories, from the file system listing (metadata only)."""
-    fs, root = hadoop_fs(spark, spec.path)
-    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    prefix = f"{spec.partition_field}="
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix):
-            text = utils.unescapePathName(name[len(prefix):])
-            out.append((None, None) if text == "__HIVE_DEFAULT_PARTITION__" else (text, text))
-    return out
-
-
 def _is_default(text) -> bool:
     """NULL and '' both live in Spark's default partition directory."""
     return text is None or text == ""
@@ -153,66 +205,81 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def _files(spark: SparkSession, path: str) -> dict[str, int]:
-    """Name and size of the data files of a folder (not below it); a listing, no content."""
-    fs, folder = hadoop_fs(spark, path)
-    return {st.getPath().getName(): int(st.getLen()) for st in fs.listStatus(folder) if st.isFile()} if fs.exists(folder) else {}
-
-
-def _partition_folders(spark: SparkSession, spec: TableSpec, values: list[tuple]) -> list[str]:
-    """Partition folders, named exactly as Spark names them (escaping, NULL)."""
+def partition_folder(spark: SparkSession, values: dict) -> str:
+    """The folder of partition values, named exactly as Spark names it (escaping, NULL)."""
     utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    return [f"{spec.path.rstrip('/')}/{utils.getPartitionPathString(spec.partition_field, text)}" for _, text in values]
+    return "/".join(utils.getPartitionPathString(field, text) for field, text in values.items())
+
+
+def _table_files(spark: SparkSession, df: DataFrame, path: str, *more) -> DataFrame:
+    """``df``'s rows with ``_file``, the path within the table of the file that each comes from."""
+    root = hadoop_fs(spark, path)[0].makeQualified(hadoop_fs(spark, path)[1]).toUri().getPath()
+    name = source_path_of(F.col("_metadata.file_path"))
+    below = F.substring_index(name, root.rstrip("/") + "/", -1)
+    return df.select(*more, below.alias("_file"))
+
+
+def _rows_of(spark: SparkSession, spec: TableSpec, files: list[str], like: DataFrame) -> DataFrame:
+    """The rows of some files of the table, with the columns and types of ``like``."""
+    if not files:
+        return like.limit(0)
+    schema = StructType([f for f in like.schema.fields])
+    paths = [literal_path(f"{spec.path.rstrip('/')}/{f}") for f in files]
+    return spark.read.schema(schema).option("basePath", spec.path).parquet(*paths).select(*[F.col(f"`{c}`") for c in like.columns])
+
+
+def key_ranges(source: DataFrame, key: str, most: int = 32) -> Column | None:
+    """A condition on ``key`` that holds for every source row with a key, as a few ranges: a filter that
+    the Parquet reader answers from footers, so row groups without a source key are not read.  NULL keys
+    are let through.  None for types without ranges, or for a source without keys."""
+    kind = source.schema[key].dataType
+    c = F.col(f"`{key}`")
+    if not isinstance(kind, (IntegralType, DateType, TimestampType, StringType)):
+        return None
+    ends = source.agg(F.min(c).alias("a"), F.max(c).alias("b")).first()
+    if ends.a is None:
+        return None
+    if isinstance(kind, IntegralType) and ends.b > ends.a:
+        step = (ends.b - ends.a) // most + 1
+        runs = source.where(c.isNotNull()).groupBy(((c - F.lit(ends.a)) / F.lit(step)).cast("long").alias("run")).agg(F.min(c).alias("a"), F.max(c).alias("b"))
+        pairs = [(r.a, r.b) for r in runs.collect()]   # at most ``most`` rows
+    else:
+        pairs = [(ends.a, ends.b)]
+    out = c.isNull()
+    for a, b in pairs:
+        out = out | c.between(F.lit(a), F.lit(b))
+    return out
 
 
-def _replace_table(spark: SparkSession, rows: DataFrame, path: str) -> tuple[int, int]:
-    """An unpartitioned table anew: written beside the old one and swapped in by renames, so a failed
-    write leaves the table as it was.  Returns bytes added and removed."""
-    tag = uuid.uuid4().hex[:8]
-    new, old = f"{path.rstrip('/')}__new_{tag}", f"{path.rstrip('/')}__old_{tag}"
-    try:
-        rows.write.parquet(new)
-    except Exception:
-        delete_path(spark, new)
-        raise
-    added, removed = sum(_files(spark, new).values()), sum(_files(spark, path).values())
-    fs, now = hadoop_fs(spark, path)
-    if not fs.rename(now, hadoop_fs(spark, old)[1]) or not fs.rename(hadoop_fs(spark, new)[1], now):
-        raise RuntimeError(f"could not swap {new} in for {path}; the table as it was is at {old}")
-    delete_path(spark, old)
-    return added, removed
-
-
-def _rewrite(spark: SparkSession, spec: TableSpec, new_rows: DataFrame, touched: list | None) -> tuple[int, int]:
-    """Write the new content of the ``touched`` partitions in one pass: dynamic overwrite commits by
-    moving finished partitions in, so the plan may read the partitions that it replaces, and a failed
-    job leaves them as they were.  A touched partition whose files are still the old ones got no
-    rows; it is removed.  Returns bytes added and removed (from listings)."""
-    if not spec.partition_columns:
-        return _replace_table(spark, new_rows, spec.path)
-    folders = _partition_folders(spark, spec, touched or [])
-    before = {f: _files(spark, f) for f in folders}
-    _writer(new_rows, spec, "overwrite").parquet(spec.path)
-    added = removed = 0
-    for folder in folders:
-        now = _files(spark, folder)
-        if before[folder] and now == before[folder]:
-            delete_path(spark, folder)
-            now = {}
-        added, removed = added + sum(now.values()), removed + sum(before[folder].values())
-    return added, removed
+def _touched_files(spark: SparkSession, spec: TableSpec, scope: Column | None, src: DataFrame, null_safe: bool) -> dict[str, str | None]:
+    """The files with a row that a source row matches: only key columns are read, and of those only the
+    row groups whose range has a source key.  The list is as long as the table has files, at most."""
+    table = read_target(spark, spec, with_source=True)
+    table = table.where(scope) if scope is not None else table
+    for key in spec.primary_keys:
+        if key not in spec.partition_columns:
+            near = key_ranges(src, key)
+            if near is not None:
+                table = table.where(near)
+            break
+    rows = _table_files(spark, table, spec.path, *[F.col(f"`{k}`") for k in spec.primary_keys]).alias("t")
+    keys = src.select(*[F.col(f"`{k}`") for k in spec.primary_keys]).alias("s")
+    hit = rows.join(keys, key_match("t", "s", spec.primary_keys, null_safe), "left_semi")
+    return [r._file for r in hit.select("_file").distinct().collect()]
 
 
 def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy: str = "upsert",
                update_columns: list[str] | None = None, null_safe: bool = False,
-               check_duplicates: bool = True, clauses: list[Clause] | None = None) -> WriteResult:
+               check_duplicates: bool = True, clauses: list[Clause] | None = None, token: str | None = None) -> WriteResult:
     """Merge ``source`` into the table on ``spec.primary_keys``, by a named strategy or by
     conditional ``clauses``.
 
-    The conformed source is staged once (it is read several times); the new content is written once.
-    When the partition column is a key, only the partitions the source names are read and
-    rewritten (partition pruning on the scan); otherwise, and with clauses for rows that the source
-    lacks, the whole table is.
+    The conformed source is staged once (it is read several times).  Only *files* with a matching row are
+    rewritten: they are found by the keys, with partition pruning where the partition column is a key and
+    row-group pruning by key ranges.  With clauses for rows that the source lacks, every file is.  The new
+    files and the removal of the old ones are one commit; if another writer changed the partitions in
+    between, the merge is worked out again on the table as it is then.  ``kept`` counts the unchanged rows
+    of the partitions that the source names (of the table, where the partition column is no key).
     """
     if not path_exists(spark, spec.path):
         if clauses is not None:
@@ -222,63 +289,106 @@ def merge_into(spark: SparkSession, spec: TableSpec, source: DataFrame, strategy
             source = merge_frames(empty, conform_to_table(spark, source, spec), spec.primary_keys, clauses=clauses)
         elif strategy in ("update_only", "delete_matched"):
             return WriteResult(rows_written=0, merge=MergeCounts(0, 0, 0, 0))
-        res = append(spark, source, spec)
-        return WriteResult(rows_written=res.rows_written, merge=MergeCounts(res.rows_written, 0, 0, 0))
-    cols = _target_columns(spark, spec, source)
+        res = append(spark, source, spec, token)
+        return replace(res, merge=MergeCounts(res.rows_written, 0, 0, 0))
     src, src_path = stage(spark, conform_to_table(spark, source, spec), "merge_source")
-    try:
+    pf = spec.partition_field
+    by_partition = pf and pf in spec.primary_keys and not any(c.when == "not_matched_by_source" for c in clauses or [])
+
+    def attempt(commits, token, base):
+        cols = _target_columns(spark, spec, source)
         target = read_target(spark, spec).select(*cols)
-        pf = spec.partition_field
-        touched = None
-        if pf and pf in spec.primary_keys and not any(c.when == "not_matched_by_source" or pf in c.values for c in clauses or []):
-            touched = _partition_values(src, pf)
-            if not touched:
-                return WriteResult(rows_written=0, partitions=[], merge=MergeCounts(0, 0, 0, 0))
-            target = target.where(_in_partitions(pf, touched))
+        values = _partition_values(src, pf) if by_partition else None
+        scope = _in_partitions(pf, values) if by_partition else None
+        if by_partition and not values:
+            return commits.commit(token, base, None, {}, facts={"rows_written": 0, "partitions": [], "merge": vars(MergeCounts(0, 0, 0, 0))})
+        if any(c.when == "not_matched_by_source" for c in clauses or []):
+            files = list(commits.files(deep=True))
+        else:
+            files = _touched_files(spark, spec, scope, src, null_safe)
+        old = _rows_of(spark, spec, files, target)
         if check_duplicates:
-            check_duplicate_source_keys(target, src, spec.primary_keys)
-        plan = plan_merge(target, src, spec.primary_keys, strategy, update_columns, null_safe, clauses)
-        # partition column not a key: the whole table is rewritten, every existing partition touched
-        rewrite = touched if touched is not None or not pf else _existing_partitions(spark, spec)
-        added, removed = _rewrite(spark, spec, plan.frame, rewrite)
+            check_duplicate_source_keys(old, src, spec.primary_keys, null_safe)
+        if strategy == "insert_only" and clauses is None:   # matched rows stay as they are, and so do their files
+            frame, counts, files = new_rows(old, src, spec.primary_keys, null_safe), None, []
+        else:
+            plan = plan_merge(old, src, spec.primary_keys, strategy, update_columns, null_safe, clauses)
+            frame, counts = plan.frame, plan.counts
+        staged, obs = _staged_rows(commits, token, frame, spec)
+        written = observed(obs, "rows")
+        done = counts() if counts else MergeCounts(written, 0, 0, 0)
+        before = (target.where(scope) if by_partition else target).select().count()   # from footers
+        done = replace(done, kept=before - done.updated - done.deleted)
+        sizes = {n: commits.files(n.rpartition("/")[0]).get(n, 0) for n in files} if len(files) < 100 else {n: s for n, s in commits.files(deep=True).items() if n in set(files)}
+        folders = [partition_folder(spark, {pf: text}) for _, text in values] if by_partition else [""]
+        return commits.commit(token, base, staged, sizes, folders,
+                              {"rows_written": done.total, "partitions": sorted((s for _, s in values), key=str) if by_partition else None, "merge": vars(done)})
+    try:
+        return _retried(spark, spec, token, attempt)
     finally:
         delete_path(spark, src_path)
-    counts = plan.counts()
-    return WriteResult(counts.total, None if touched is None else [v for v, _ in touched], counts, added, removed)
 
 
-def delete_where(spark: SparkSession, spec: TableSpec, predicate: str) -> WriteResult:
+def delete_where(spark: SparkSession, spec: TableSpec, predicate: str, token: str | None = None) -> WriteResult:
     """K5: rows where ``predicate`` is true are removed (NULL keeps the row, as SQL DELETE).
-    Only partitions holding a matching row are rewritten (filter and write)."""
+    Only files holding a matching row are rewritten (filter and write); ``kept`` counts the other rows of
+    their partitions."""
     if not path_exists(spark, spec.path):
         return WriteResult(rows_written=0)
-    table = read_target(spark, spec)
-    pred = F.coalesce(F.expr(predicate), F.lit(False))
-    pf = spec.partition_field
-    touched = _partition_values(table.where(pred), pf) if pf else None
-    if pf and not touched:
-        return WriteResult(rows_written=0, partitions=[])
-    base = table.where(_in_partitions(pf, touched)) if pf else table
-    obs = Observation(f"delete_{uuid.uuid4().hex[:8]}")
-    marked = base.withColumn("_gone", pred).observe(
-        obs, F.count_if(F.col("_gone")).alias("deleted"), F.count_if(~F.col("_gone")).alias("kept"))
-    added, removed = _rewrite(spark, spec, marked.where(~F.col("_gone")).drop("_gone"), touched)
-    deleted, kept = observed(obs, "deleted"), observed(obs, "kept")
-    return WriteResult(kept, None if touched is None else [v for v, _ in touched], MergeCounts(0, 0, deleted, kept), added, removed)
-
-
-def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec) -> WriteResult:
+
+    def attempt(commits, token, base):
+        table = read_target(spark, spec, with_source=True)
+        pred, pf = F.coalesce(F.expr(predicate), F.lit(False)), spec.partition_field
+        part = [F.col(f"`{pf}`").alias("v"), F.col(f"`{pf}`").cast("string").alias("s")] if pf else [F.lit(None).alias("v"), F.lit("").alias("s")]
+        hit = _table_files(spark, table.where(pred), spec.path, *part).groupBy("_file", "v", "s").agg(F.count(F.lit(1)).alias("n")).collect()
+        if not hit:
+            return commits.commit(token, base, None, {}, facts={"rows_written": 0, "partitions": [] if pf else None, "merge": vars(MergeCounts(0, 0, 0, 0))})
+        values = list({r.s: (r.v, r.s) for r in hit}.values())
+        files = [r._file for r in hit]
+        staged, obs = _staged_rows(commits, token, _rows_of(spark, spec, files, table).where(~pred), spec)
+        deleted = sum(r.n for r in hit)
+        before = (table.where(_in_partitions(pf, values)) if pf else table).select().count()
+        every = commits.files(deep=True) if len(files) > 100 else {n: s for f in {n.rpartition("/")[0] for n in files} for n, s in commits.files(f).items()}
+        folders = [partition_folder(spark, {pf: text}) for _, text in values] if pf else [""]
+        return commits.commit(token, base, staged, {n: every.get(n, 0) for n in files}, folders,
+                              {"rows_written": observed(obs, "rows"), "partitions": sorted((s for _, s in values), key=str) if pf else None,
+                               "merge": vars(MergeCounts(0, 0, deleted, before - deleted))})
+    return _retried(spark, spec, token, attempt)
+
+
+def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: list[str] | None = None, token: str | None = None) -> WriteResult:
     """K6/K7: records filed as delivered (repeated records stay) under
     ``<table>/<partition_field>=<value>/``, and below it by delivered file if the table has a
-    ``source_field``; partitions are created by the write.  A re-delivered file replaces only its own
-    partition; without a source field a re-delivered date replaces its."""
+    ``source_field``; partitions are created by the write.
+
+    ``delivered`` names all files of this delivery, those without any row too.  The commit records which
+    partitions each of them filled, and takes out every partition that its last delivery filled: a file
+    that is delivered again, with other dates or none, replaces exactly what it brought before.  Without
+    a source field a re-delivered date replaces its partition."""
     missing = [c for c in spec.partition_columns if c not in df.columns]
     if missing or not spec.partition_columns:
         raise ValueError(f"{missing or spec.partition_field!r}: not a partition column of the rows")
-    obs = Observation(f"raw_{uuid.uuid4().hex[:8]}")
-    data = table_rows(spark, df, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
-    _writer(data, spec, "overwrite").parquet(spec.path)
-    return WriteResult(rows_written=observed(obs, "rows"))
+    delivered = sorted(set(delivered or [])) if spec.source_field else []
+
+    def attempt(commits, token, base):
+        staged, obs = _staged_rows(commits, token, table_rows(spark, df, spec), spec)
+        below = len(f"{STAGED}/{token}/")
+        fresh = {n[below:].rpartition("/")[0] for n in commits.files(f"{STAGED}/{token}", True)}
+        before, now = set(), []
+        if delivered:
+            names = spark.createDataFrame([(s,) for s in delivered], "source string")
+            for r in commits.deliveries().join(names, "source").collect():   # of these files only
+                before |= set(r.partitions)
+            ending = {partition_folder(spark, {spec.source_field: s}): s for s in delivered}
+            filled: dict[str, list[str]] = {s: [] for s in delivered}
+            for folder in sorted(fresh):
+                filled.setdefault(ending.get(folder.rpartition("/")[2], folder), []).append(folder)
+            now = sorted(filled.items())
+        removed = {n: size for f in sorted(fresh | before) for n, size in commits.files(f).items()}
+        scope = sorted(fresh | before)
+        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh)}, now)
+        return facts
+    return _retried(spark, spec, token, attempt)
 
 
 def register_partition(spark: SparkSession, table: str, field: str, value: str) -> None:

@@ -440,3 +440,101 @@ def test_stored_hashes_spare_the_archive(spark):
                                    ("p/insert_date=2024-01-01/insert_time=01:00:00/b.csv", "b.csv", "c81e728d9d4c2f636f067f89cc14862c"),
                                    ("p/insert_date=2024-01-02/insert_time=01:00:00/b.csv", "b.csv", "other")], "path string, file_name string, content_md5 string")
     assert {r.file_name: r.is_duplicate for r in flag_unchanged(incoming, known).collect()} == {"a.csv": True, "b.csv": False}
+
+
+# ------------------------------------------------------------------ deliveries
+
+
+def _rows(spark, res, *cols):
+    return sorted(tuple(r) for r in read_target(spark, res.table, with_source=True).select(*cols).collect())
+
+
+@pytest.mark.parametrize("each", [1, 2, 5000])
+def test_equal_names_in_two_folders_do_not_depend_on_batches(spark, tmp_dir, each):
+    write(f"{tmp_dir}/land/a/d_2024-01-05.csv", "id,v\n1,a\n")
+    write(f"{tmp_dir}/land/b/d_2024-01-05.csv", "id,v\n2,b\n")
+    spec = LandingSpec(filename_pattern=r"d_.*")
+    res = land(spark, f"{tmp_dir}/land", spec, TableSpec(f"{tmp_dir}/raw"), columns=["id", "v"], files_per_batch=each)
+    assert res.written.rows_written == 2 and res.written.files_added == 2
+    assert _rows(spark, res, "id", "source_file") == [("1", "a/d_2024-01-05.csv"), ("2", "b/d_2024-01-05.csv")]
+
+
+def test_a_delivery_replaces_all_it_brought_before(spark, tmp_dir):
+    spec = LandingSpec(filename_pattern=r"d_.*", date_column="d")
+    raw = TableSpec(f"{tmp_dir}/raw")
+
+    def deliver(text, n):
+        write(f"{tmp_dir}/in{n}/d_2024-01-01.csv", text)
+        return land(spark, f"{tmp_dir}/in{n}", spec, raw, columns=["id", "d"])
+    write(f"{tmp_dir}/other/d_2024-01-09.csv", "id,d\n7,2024-01-02\n")
+    land(spark, f"{tmp_dir}/other", spec, raw, columns=["id", "d"])
+    assert _rows(spark, deliver("id,d\n1,2024-01-01\n2,2024-01-02\n", 1), "id", "data_date") == [("1", "2024-01-01"), ("2", "2024-01-02"), ("7", "2024-01-02")]
+    again = deliver("id,d\n3,2024-01-01\n4,2024-01-03\n", 2)
+    assert _rows(spark, again, "id", "data_date") == [("3", "2024-01-01"), ("4", "2024-01-03"), ("7", "2024-01-02")]
+    assert (again.written.files_added, again.written.files_removed) == (2, 2)
+    empty = deliver("id,d\n", 3)
+    assert [r.status for r in empty.status.collect()] == ["PROCESSED"] and _rows(spark, empty, "id") == [("7",)]
+    assert not os.path.exists(f"{tmp_dir}/raw/data_date=2024-01-03")
+    assert _rows(spark, deliver("id,d\n5,2024-01-04\n", 4), "id", "data_date") == [("5", "2024-01-04"), ("7", "2024-01-02")]
+
+
+def test_a_failing_table_is_no_fault_of_the_files(spark, tmp_dir, monkeypatch):
+    from terrace.plans import landing
+    for day in range(1, 6):
+        write(f"{tmp_dir}/land/d_2024-01-0{day}.csv", f"id,v\n{day},a\n")
+    tries = []
+
+    def full(*args, **kwargs):
+        tries.append(1)
+        raise OSError("disk full")
+    monkeypatch.setattr(landing, "write_raw", full)
+    with pytest.raises(OSError, match="disk full"):
+        land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"d_.*"), TableSpec(f"{tmp_dir}/raw"), columns=["id", "v"])
+    assert len(tries) == 1
+
+
+def test_a_landing_with_a_token_runs_once(spark, tmp_dir):
+    write(f"{tmp_dir}/land/d_2024-01-05.csv", "id,v\n1,a\n")
+    spec, raw = LandingSpec(filename_pattern=r"d_.*"), TableSpec(f"{tmp_dir}/raw")
+    first = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"], token="run-1")
+    names = sorted(os.listdir(f"{tmp_dir}/raw/data_date=2024-01-05/source_file=d_2024-01-05.csv"))
+    again = land(spark, f"{tmp_dir}/land", spec, raw, columns=["id", "v"], token="run-1")
+    assert again.written == first.written and names == sorted(os.listdir(f"{tmp_dir}/raw/data_date=2024-01-05/source_file=d_2024-01-05.csv"))
+    assert any(n.startswith("run-1-0-") for n in names)
+
+
+def test_quotes_within_quotes_are_doubled(spark, tmp_dir):
+    write(f"{tmp_dir}/land/d_2024-01-01.csv", 'id,name\n1,"x ""y"" , z"\n2,"plain"\n3,5" pipe\n')
+    write(f"{tmp_dir}/land/d_2024-01-02.csv", 'id,name\n1,"x ""y"" , z",1\n')
+    res = land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"d_.*"), TableSpec(f"{tmp_dir}/raw"), columns=["id", "name"])
+    assert {r.file_name: r.status for r in res.status.collect()} == {"d_2024-01-01.csv": "PROCESSED", "d_2024-01-02.csv": "ERROR"}
+    assert _rows(spark, res, "id", "name") == [("1", 'x "y" , z'), ("2", "plain"), ("3", '5" pipe')]
+    write(f"{tmp_dir}/slash/d_2024-01-01.csv", 'id,name\n1,"x \\" , z"\n')
+    res = land(spark, f"{tmp_dir}/slash", LandingSpec(filename_pattern=r"d_.*", csv=CsvSpec(escape="\\")), TableSpec(f"{tmp_dir}/raw2"), columns=["id", "name"])
+    assert _rows(spark, res, "id", "name") == [("1", 'x " , z')]
+
+
+def test_field_counts_are_the_readers(spark):
+    import random
+    from pyspark.sql import functions as F
+    from terrace.quality.files import _field_count
+    rng = random.Random(2)
+    for spec in (CsvSpec(), CsvSpec(quote="'", delimiter="|"), CsvSpec(delimiter="\t")):
+        letters = [spec.quote or '"'] * 3 + [spec.delimiter] * 3 + ["a", " ", "\\"]
+        lines = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(600)}
+        options = {k: v for k, v in spec.read_options().items() if k not in ("header", "multiLine", "encoding")} | {"columnNameOfCorruptRecord": "bad"}
+
+        def whole(k):
+            return F.from_csv("line", ", ".join(f"c{i} string" for i in range(k)) + ", bad string", options)["bad"].isNull()
+        width = F.coalesce(*[F.when(whole(k), F.lit(k)) for k in range(1, 11)])
+        df = spark.createDataFrame([(line,) for line in lines], "line string").select("line", width.alias("m"), _field_count(F.col("line"), spec).alias("n"))
+        assert df.where("NOT m <=> n").collect() == []
+
+
+@pytest.mark.parametrize("encoding", ["utf-8-sig", "utf-16"])
+def test_json_with_a_byte_order_mark(spark, tmp_dir, encoding):
+    os.makedirs(f"{tmp_dir}/land")
+    with open(f"{tmp_dir}/land/j_2024-01-01.json", "wb") as fh:
+        fh.write('{\n "rows": [{"a": "é"}]}'.encode(encoding))
+    res = land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"j_.*", file_format="json", json=JsonSpec("rows")), TableSpec(f"{tmp_dir}/raw"), columns=["a"])
+    assert [(r.status, r.error) for r in res.status.collect()] == [("PROCESSED", "")] and _rows(spark, res, "a") == [("é",)]

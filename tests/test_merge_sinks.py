@@ -225,3 +225,127 @@ def test_map_columns_are_written_without_repeats(spark, tmp_dir):
     spec = TableSpec(f"{tmp_dir}/t", schema=df.schema, partition_field="d")
     append(spark, df, spec)
     assert sorted(len(r.m) for r in read_target(spark, spec).collect()) == [1, 2]
+
+
+# ------------------------------------------------------------------ commits
+
+
+def names(path):
+    import os
+    return {n for n in os.listdir(path) if n.endswith(".parquet") and not n.startswith((".", "_"))}
+
+
+@pytest.mark.parametrize("strategy", ["upsert", "update_only", "delete_matched", "insert_only"])
+def test_only_files_with_a_matching_row_are_rewritten(spark, tmp_dir, strategy):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    spec = TableSpec(f"{tmp_dir}/t", schema=schema, primary_keys=["k"], partition_field=None, clustered=True, file_rows=10)
+    base = [(i, f"t{i}", "x") for i in range(0, 400, 2)] + [(None, "n", "x")]
+    append(spark, spark.createDataFrame(base, SCHEMA), spec)
+    before = names(spec.path)
+    assert len(before) >= 20
+    src = [(100, "s", "y"), (102, "s", "y"), (101, "s", "y"), (None, "s", "y")]
+    res = merge_into(spark, spec, spark.createDataFrame(src, SCHEMA), strategy)
+    gone = before - names(spec.path)
+    assert len(gone) == res.files_removed and (len(gone) == 0 if strategy == "insert_only" else 1 <= len(gone) <= 2)
+    want = merge_frames(spark.createDataFrame(base, SCHEMA), spark.createDataFrame(src, SCHEMA), ["k"], strategy)
+    assert rows(read_target(spark, spec)) == rows(want)
+    assert res.merge.kept == len(base) - res.merge.updated - res.merge.deleted
+
+
+def test_delete_rewrites_only_files_with_a_hit(spark, tmp_dir):
+    spec = TableSpec(f"{tmp_dir}/t", schema=spark.createDataFrame([], SCHEMA).schema, primary_keys=["k"], partition_field=None, clustered=True, file_rows=10)
+    append(spark, spark.createDataFrame([(i, "v", "x") for i in range(100)], SCHEMA), spec)
+    before = names(spec.path)
+    res = delete_where(spark, spec, "k = 55")
+    assert len(before - names(spec.path)) == 1 and (res.merge.deleted, res.merge.kept, res.rows_written) == (1, 99, 9)
+    assert read_target(spark, spec).count() == 99
+    res = delete_where(spark, spec, "k = 5555")
+    assert (res.files_added, res.files_removed, res.merge.deleted) == (0, 0, 0)
+
+
+def test_duplicate_null_keys_of_a_null_safe_merge_raise(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["k"])
+    append(spark, spark.createDataFrame([(None, "t", "p"), (1, "a", "p")], SCHEMA), spec)
+    src = spark.createDataFrame([(None, "p", "p"), (None, "q", "p")], SCHEMA)
+    with pytest.raises(DuplicateSourceKeyError):
+        merge_into(spark, spec, src, null_safe=True)
+    assert merge_into(spark, spec, src).merge.inserted == 2     # NULL matches nothing
+
+
+def test_a_batch_with_a_token_is_written_once(spark, tmp_dir):
+    spec = _spec(spark, tmp_dir, ["k"])
+    batch = spark.createDataFrame([(1, "a", "p1"), (2, "b", "p2")], SCHEMA)
+    first = append(spark, batch, spec, token="b1")
+    assert append(spark, batch, spec, token="b1") == first and read_target(spark, spec).count() == 2
+    src = spark.createDataFrame([(2, "B", "p2"), (3, "C", "p2")], SCHEMA)
+    merged = merge_into(spark, spec, src, token="b2")
+    delete_where(spark, spec, "k = 3", token="b3")
+    assert merge_into(spark, spec, src, token="b2") == merged
+    assert rows(read_target(spark, spec)) == [(1, "a", "p1"), (2, "B", "p2")]
+
+
+def test_a_commit_that_was_cut_off_is_finished_by_the_next_writer(spark, tmp_dir, monkeypatch):
+    from terrace.sinks import commit
+    spec = _spec(spark, tmp_dir, ["k"])
+    append(spark, spark.createDataFrame([(1, "a", "p1"), (2, "b", "p2")], SCHEMA), spec)
+    done = commit.Commits._carry_out
+
+    def lost(self, number, plan):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(commit.Commits, "_carry_out", lost)
+    monkeypatch.setattr("terrace.sinks.tables.delete_path", lambda *a: None)   # a lost driver clears nothing up
+    with pytest.raises(KeyboardInterrupt):
+        overwrite_partitions(spark, spark.createDataFrame([(9, "z", "p2")], SCHEMA), spec, token="w")
+    assert rows(read_target(spark, spec)) == [(1, "a", "p1"), (2, "b", "p2")]
+    monkeypatch.undo()
+    assert commit.Commits._carry_out is done
+    append(spark, spark.createDataFrame([(3, "c", "p3")], SCHEMA), spec)
+    assert rows(read_target(spark, spec)) == [(1, "a", "p1"), (3, "c", "p3"), (9, "z", "p2")]
+    assert overwrite_partitions(spark, spark.createDataFrame([(9, "z", "p2")], SCHEMA), spec, token="w").rows_written == 1
+    assert read_target(spark, spec).count() == 3
+
+
+def test_a_merge_is_worked_out_again_after_a_faster_writer(spark, tmp_dir, monkeypatch):
+    from terrace.sinks import commit, tables
+    spec = _spec(spark, tmp_dir, ["k"], part=None)
+    append(spark, spark.createDataFrame([(1, "a", "x")], SCHEMA), spec)
+    real, other = tables.plan_merge, []
+
+    def slow(*args, **kwargs):
+        if not other:
+            other.append(append(spark, spark.createDataFrame([(2, "b", "x")], SCHEMA), spec))
+        return real(*args, **kwargs)
+    monkeypatch.setattr(tables, "plan_merge", slow)
+    res = merge_into(spark, spec, spark.createDataFrame([(1, "A", "x"), (2, "B", "x")], SCHEMA))
+    assert rows(read_target(spark, spec)) == [(1, "A", "x"), (2, "B", "x")] and (res.merge.inserted, res.merge.updated) == (0, 2)
+    monkeypatch.setattr(tables, "ATTEMPTS", 1)
+    other.clear()
+    with pytest.raises(commit.CommitConflict):
+        merge_into(spark, spec, spark.createDataFrame([(1, "C", "x")], SCHEMA))
+
+
+def test_merges_of_other_partitions_do_not_disturb_each_other(spark, tmp_dir, monkeypatch):
+    from terrace.sinks import tables
+    spec = _spec(spark, tmp_dir, ["d", "k"])
+    append(spark, spark.createDataFrame([(1, "a", "p1"), (1, "b", "p2")], SCHEMA), spec)
+    real, calls = tables.plan_merge, []
+
+    def slow(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 1:
+            merge_into(spark, spec, spark.createDataFrame([(1, "B", "p2")], SCHEMA))
+        return real(*args, **kwargs)
+    monkeypatch.setattr(tables, "plan_merge", slow)
+    merge_into(spark, spec, spark.createDataFrame([(1, "A", "p1")], SCHEMA))
+    assert rows(read_target(spark, spec)) == [(1, "A", "p1"), (1, "B", "p2")] and len(calls) == 2
+
+
+def test_key_ranges_reach_the_reader(spark, tmp_dir):
+    from terrace.sinks.tables import key_ranges
+    spark.range(1000).selectExpr("id AS k").write.parquet(f"{tmp_dir}/t")
+    src = spark.createDataFrame([(5,), (6,), (900,), (None,)], "k long")
+    near = spark.read.parquet(f"{tmp_dir}/t").where(key_ranges(src, "k"))
+    assert near.count() < 100 and {r.k for r in near.collect()} >= {5, 6, 900}
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan
+    assert key_ranges(src.where("k IS NULL"), "k") is None

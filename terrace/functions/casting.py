@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DateType, MapType, NumericType, StringType, StructField, StructType,
+                               TimestampNTZType, TimestampType)
 
 from .text import clean_name
 
@@ -16,14 +17,8 @@ from .text import clean_name
 TRUE_WORDS = ["true", "t", "yes", "y", "si", "s", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "0"]
 
-# Type names that are try-cast.  The reference casts int, double, float, date, timestamp and
-# decimal(p,s); bigint / smallint / tinyint are try-cast too (documented widening).
-_TRY_CAST_TYPES = {"int", "integer", "bigint", "smallint", "tinyint", "double", "float",
-                   "date", "timestamp", "timestamp_ntz"}
-
-
-def type_name(dtype: DataType | str) -> str:
-    return (dtype if isinstance(dtype, str) else dtype.simpleString()).strip().lower()
+#: Types whose text is try-cast: numbers of any width, dates and timestamps.
+TRY_CAST = (NumericType, DateType, TimestampType, TimestampNTZType)
 
 
 def cast_bool(col: Column | str) -> Column:
@@ -35,16 +30,14 @@ def cast_bool(col: Column | str) -> Column:
 
 
 def cast_expr(col: Column | str, target: DataType | str) -> Column:
-    """The typed expression for one column."""
+    """The typed expression for one column; types may be given as DDL."""
     c = F.col(col) if isinstance(col, str) else col
-    name = type_name(target)
-    if name in _TRY_CAST_TYPES or name.startswith("decimal"):
-        return c.try_cast(name)
-    if "struct<" in name or "array<" in name or name.startswith("map<"):
-        return F.from_json(c, name)
-    if name == "boolean":
+    kind = DataType.fromDDL(target) if isinstance(target, str) else target
+    if isinstance(kind, BooleanType):
         return cast_bool(c)
-    return c
+    if isinstance(kind, (StructType, ArrayType, MapType)):
+        return F.from_json(c, kind.simpleString().lower())   # keys are compared in lower case
+    return c.try_cast(kind) if isinstance(kind, TRY_CAST) else c
 
 
 def cast_to(df: DataFrame, target: StructType | dict, keep_unknown: bool = True) -> DataFrame:
@@ -70,7 +63,6 @@ def cast_to(df: DataFrame, target: StructType | dict, keep_unknown: bool = True)
 
 def all_string_schema(columns: list[str]) -> StructType:
     """Every column a nullable string."""
-    from pyspark.sql.types import StructField
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
@@ -89,14 +81,19 @@ _SINGLE_VALUE = r"(:\s*)'([^']+)'"
 _TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?'
 
 
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once, however often ``then`` names it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _rewritten(col: Column, pattern: str, group: int, rewrite) -> Column:
     """``col`` with each match of ``pattern`` replaced by ``rewrite(group)``: the text is split around the
     matches, which are rewritten and zipped back in."""
-    parts = F.split(col, pattern, -1)
-    found = F.transform(F.regexp_extract_all(col, F.lit(pattern), group), rewrite)
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(1)))
-    joined = F.array_join(F.zip_with(found, rest, lambda f, p: F.concat(f, F.coalesce(p, F.lit("")))), "")
-    return F.when(F.size(found) == 0, col).otherwise(F.concat(F.element_at(parts, 1), joined))
+    def around(c: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(c, F.lit(pattern), group), rewrite)
+        return _once(F.split(c, pattern, -1), lambda parts: F.concat(
+            F.element_at(parts, 1), F.array_join(F.zip_with(found, F.slice(parts, 2, F.size(parts)), lambda f, p: F.concat(f, F.coalesce(p, F.lit("")))), "")))
+    return _once(col, lambda c: F.when(c.rlike(pattern), around(c)).otherwise(c))
 
 
 def _plain_key(key: Column) -> Column:
@@ -119,22 +116,25 @@ def repair_json(col: Column | str) -> Column:
     """Make dirty map text parseable JSON with the four rewrites, all JVM-side (no Python UDF
     on the row path).  Text that is JSON already only has its keys normalised (Q21); ``key=value``
     (rewrite 1) is looked for only where no quoted key is, so equal signs in quoted values stay."""
-    c = F.col(col) if isinstance(col, str) else col
-    step1 = F.when(c.rlike(_QUOTED_KEY), c).otherwise(F.regexp_replace(c, _KV, '"$1": "$2"'))
-    step2 = normalise_keys(step1)
-    step3 = F.regexp_replace(step2, _SINGLE_KEY, '"$1"$2')
-    dirty = F.regexp_replace(step3, _SINGLE_VALUE, '$1"$2"')
-    return F.when(F.try_parse_json(c).isNotNull(), normalise_json_keys(c)).otherwise(dirty)
+    def dirty(c: Column) -> Column:
+        step1 = F.when(c.rlike(_QUOTED_KEY), c).otherwise(F.regexp_replace(c, _KV, '"$1": "$2"'))
+        step3 = F.regexp_replace(normalise_keys(step1), _SINGLE_KEY, '"$1"$2')
+        return F.regexp_replace(step3, _SINGLE_VALUE, '$1"$2"')
+    return _once(F.col(col) if isinstance(col, str) else col,
+                 lambda c: F.when(F.try_parse_json(c).isNotNull(), normalise_json_keys(c)).otherwise(dirty(c)))
 
 
 def repair_json_columns(df: DataFrame, target: StructType) -> DataFrame:
-    """Repair every column whose target type is a struct, and strip non-word characters from
-    column names (the reference's clean-up step before the cast)."""
-    types = {f.name.lower(): type_name(f.dataType) for f in target.fields}
-    out = []
-    for name in df.columns:
-        expr = F.col(f"`{name}`")
-        if "struct<" in types.get(name.lower(), "string"):
-            expr = repair_json(expr)
-        out.append(expr.alias(clean_name(name)))
-    return df.select(*out)
+    """The text of every column that is to hold a struct somewhere, repaired; all columns under their
+    plain names."""
+    nested = {f.name.lower() for f in target.fields if _holds_struct(f.dataType)}
+    fixed = {c: repair_json(F.col(f"`{c}`")) if c.lower() in nested else F.col(f"`{c}`") for c in df.columns}
+    return df.select(*[expr.alias(clean_name(c)) for c, expr in fixed.items()])
+
+
+def _holds_struct(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _holds_struct(kind.elementType)
+    if isinstance(kind, MapType):
+        return _holds_struct(kind.keyType) or _holds_struct(kind.valueType)
+    return isinstance(kind, StructType)

@@ -73,3 +73,13 @@ def normalise_header(col: Column | str) -> Column:
 def clean_name(name: str) -> str:
     """Drop non-word characters from a column name."""
     return re.sub(r"\W", "", name)
+
+
+def fill_template(text: str, params: dict, quote: bool = False) -> str:
+    """``{name}`` becomes the value of that name; other braces (a regex quantifier, JSON) stay.  With
+    ``quote`` values are made safe inside SQL string literals, where Spark takes a backslash as an escape."""
+    def value(found: re.Match) -> str:
+        out = str(params[found[1]])
+        return out.replace("\\", "\\\\").replace("'", "\\'") if quote else out
+    names = "|".join(map(re.escape, sorted(params, key=len, reverse=True)))
+    return re.sub(r"\{(%s)\}" % names, value, text) if names else text

@@ -227,16 +227,18 @@ def _unreadable(read, paths: list[str]) -> list[tuple[str, str]]:
 
 def _write_files(write, read, paths: list[str]) -> tuple[WriteResult | None, list[tuple[str, str]]]:
     """What was written, and (path, error) of files that cannot be read.  Only reading tells that a file is
-    at fault: if every file can be read, the error is the sink's and is raised."""
+    at fault: if every file can be read, the error is the sink's and is raised.  The commit notes the files
+    it left out, so a batch that is committed already knows them."""
     try:
-        return write(paths), []
+        done = write(paths, [])
+        return done, [tuple(note) for note in done.notes]
     except Exception:
         bad = _unreadable(read, paths)
         if not bad:
             raise
     names = {p for p, _ in bad}
     good = [p for p in paths if p not in names]
-    return (write(good) if good else None), bad
+    return (write(good, bad) if good else None), bad
 
 
 def _batches(paths, each: int):
@@ -313,11 +315,11 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
     def read(paths: list[str]) -> None:
         _file_rows(spark, paths, spec, raw, columns, date_from, root).write.format("noop").mode("overwrite").save()
 
-    written, unreadable = WriteResult(0, [], None, 0, 0, 0, 0), []
+    written, unreadable = WriteResult(0, [], None, 0, 0, 0, 0), []   # of all batches
     for i, batch in enumerate(_batches(status.where(F.col("status") == "PROCESSED").select("path").orderBy("path"), files_per_batch)):
-        def write(paths: list[str]) -> WriteResult:
+        def write(paths: list[str], left_out: list[tuple[str, str]]) -> WriteResult:
             delivered = [p.rsplit(root.rstrip("/") + "/", 1)[-1] for p in paths]
-            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root), raw, delivered, token and f"{token}-{i}")
+            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root), raw, delivered, token and f"{token}-{i}", left_out)
         done, bad = _write_files(write, read, batch)
         written, unreadable = written if done is None else written + done, unreadable + bad
     if unreadable:

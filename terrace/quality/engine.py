@@ -13,15 +13,17 @@ If a shared job fails, its rules run one by one, so only the failing rule gets a
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
-from ..functions.text import regex_find
+from ..functions.text import fill_template, regex_find
 from ..functions.thresholds import threshold_flag
 from ..operators.sets import union_all
 from ..session import observed, scratch_path
@@ -68,21 +70,82 @@ class Counts:
     invalid_columns: list = field(default_factory=list)
 
 
-def _as_outcomes(df: DataFrame, rule: dict) -> DataFrame:
-    """A rule's result frame must have ``identifier`` and a numeric or boolean ``result``.
-    Adds the row's validity under the rule's own limits."""
-    if df is None or "identifier" not in df.columns or "result" not in df.columns:
-        raise RuleError('the result frame must have the columns "identifier" and "result"')
-    kind = df.schema["result"].dataType
+@dataclass
+class Outcomes:
+    """The rows (_rule, identifier, flag, _null) of one rule.  Where the rule is a plain projection of a
+    ``source``, ``entry`` is its row as a struct over that source's columns, and ``where`` its condition."""
+    frame: DataFrame
+    source: DataFrame | None = None
+    entry: Column | None = None
+    where: Column | None = None
+
+
+def _judged(rule: dict, kind, identifier: Column, result: Column) -> list[Column]:
+    """The outcome of a row, with its validity under the rule's own limits."""
     if not isinstance(kind, (BooleanType, NumericType)):
         raise RuleError(f"a result must be numeric or boolean, not {kind.simpleString()}")
     boolean = isinstance(kind, BooleanType)
     _check_result_type(rule, boolean)
-    num = F.col("result").cast("int").cast("double") if boolean else F.col("result").cast("double")
-    flag = threshold_flag(num, F.col("result") if boolean else F.lit(None).cast("boolean"), rule["control_threshold_type"],
+    num = result.cast("int").cast("double") if boolean else result.cast("double")
+    flag = threshold_flag(num, result if boolean else F.lit(None).cast("boolean"), rule["control_threshold_type"],
                           rule["control_threshold_min"], rule["control_threshold_max"])
-    return df.select(F.lit(rule["_rule"]).alias("_rule"), F.col("identifier").cast("string").alias("identifier"),
-                     flag.alias("flag"), F.col("result").isNull().alias("_null"))
+    return [F.lit(rule["_rule"]).alias("_rule"), identifier.cast("string").alias("identifier"), flag.alias("flag"), result.isNull().alias("_null")]
+
+
+def _as_outcomes(df: DataFrame, rule: dict) -> Outcomes:
+    """A rule's result frame must have ``identifier`` and a numeric or boolean ``result``."""
+    if df is None or "identifier" not in df.columns or "result" not in df.columns:
+        raise RuleError('the result frame must have the columns "identifier" and "result"')
+    return Outcomes(df.select(*_judged(rule, df.schema["result"].dataType, F.col("identifier"), F.col("result"))))
+
+
+def _over(source: DataFrame, rule: dict, identifier: Column, result: Column, where: Column | None = None) -> Outcomes:
+    """A rule that is a projection of ``source``: it can share one scan with others."""
+    kind = source.select(result.alias("result")).schema["result"].dataType
+    own = _judged(rule, kind, identifier, result)
+    return Outcomes((source if where is None else source.where(where)).select(*own), source, F.struct(*own), where)
+
+
+#: A rule text that may be a plain projection of one table.
+PROJECTION = re.compile(r"\s*SELECT\s+(.+?)\s+AS\s+identifier\s*,\s*(.+?)\s+AS\s+result\s+FROM\s+([\w.`]+)(?:\s+WHERE\s+(.+?))?\s*;?\s*", re.I | re.S)
+
+
+def _projection(spark: SparkSession, text: str, frame: DataFrame, rule: dict) -> Outcomes | None:
+    """The rule's expressions over its table, if the text is a plain projection.  The pattern only
+    guesses them: Spark says whether they mean the same as the text (``sameSemantics``), and that they
+    are values of a row (they stand beside all columns, as no aggregate or generator can)."""
+    found = PROJECTION.fullmatch(text)
+    if not found:
+        return None
+    identifier, result, table, where = found.groups()
+    try:
+        source = spark.table(table)
+        kept = source.where(where) if where else source
+        if not kept.selectExpr(f"{identifier} AS identifier", f"{result} AS result").sameSemantics(frame):
+            return None
+        source.selectExpr("*", f"struct({identifier})", f"struct({result})")
+        own = _over(source, rule, F.expr(identifier), F.expr(result), F.expr(where) if where else None)
+        source.select(F.explode(F.array(own.entry)))
+        return own
+    except (AnalysisException, ParseException):
+        return None
+
+
+def fused(outcomes: list[Outcomes]) -> list[DataFrame]:
+    """A5: the outcomes of rules over one and the same source by one scan of it; of the others each by its own."""
+    groups: list[list[Outcomes]] = []
+    for own in outcomes:
+        mates = next((g for g in groups if own.source is not None and g[0].source is not None and g[0].source.sameSemantics(own.source)), None)
+        mates.append(own) if mates else groups.append([own])
+    out = []
+    for group in groups:
+        if len(group) == 1:
+            out.append(group[0].frame)
+            continue
+        entries = [F.when(F.lit(True) if o.where is None else o.where, o.entry) for o in group]
+        rows = group[0].source.select(F.explode(F.array(*entries)).alias("o")).where(F.col("o").isNotNull())
+        out.append(rows.select("o.*"))
+    return out
 
 
 def _check_result_type(rule: dict, is_boolean: bool) -> None:
@@ -129,26 +192,29 @@ def regex_counts(df: DataFrame, rules: list[tuple[dict, list[str]]]) -> dict[int
     return out
 
 
-def sql_outcomes(spark: SparkSession, rule: dict, df: DataFrame | None, params: dict) -> DataFrame:
+def sql_outcomes(spark: SparkSession, rule: dict, df: DataFrame | None, params: dict) -> Outcomes:
     """The rule text with {file_date}/{file_name}/… filled in; ``data`` names the checked
     frame."""
     if df is not None:
         df.createOrReplaceTempView("data")
-    text = rule["control_description"].format(**params) if params else rule["control_description"]
-    return _as_outcomes(spark.sql(text), rule)
+    text = fill_template(rule["control_description"], params, quote=True)
+    frame = spark.sql(text)
+    plain = _as_outcomes(frame, rule)
+    return _projection(spark, text, frame, rule) or plain
 
 
-def python_outcomes(df: DataFrame | None, rule: dict, params: dict, registry: dict) -> DataFrame:
-    """A registered function; Data-level rules receive the frame, File-level rules do not."""
+def python_outcomes(df: DataFrame | None, rule: dict, params: dict, registry: dict) -> Outcomes:
+    """A registered function; Data-level rules receive the frame, File-level rules do not.  It returns a
+    frame with identifier and result, or these two as columns over the frame it was given."""
     name = rule["control_description"]
     fn = registry.get(name)
     if fn is None:
         raise RuleError(f"validation function {name!r} is not registered")
     out = fn(df, rule, **params) if rule.get("control_level") == "Data" else fn(rule, **params)
-    return _as_outcomes(out, rule)
+    return _over(df, rule, *out) if isinstance(out, tuple) and df is not None else _as_outcomes(out, rule)
 
 
-def rule_outcomes(spark: SparkSession, df: DataFrame | None, rule: dict, params: dict, registry: dict) -> DataFrame:
+def rule_outcomes(spark: SparkSession, df: DataFrame | None, rule: dict, params: dict, registry: dict) -> Outcomes:
     kind = rule.get("control_algorithm_type")
     if kind == "SQL":
         return sql_outcomes(spark, rule, df, params)
@@ -161,14 +227,14 @@ def _message(e: Exception) -> str:
     return f"{type(e).__name__}: {e}"
 
 
-def _write_outcomes(frames: dict[int, DataFrame], path: str) -> dict[int, Counts]:
+def _write_outcomes(frames: dict[int, Outcomes], path: str) -> dict[int, Counts]:
     """A5: counts of each rule, observed while the invalid identifiers are written to ``path``."""
     obs = Observation(f"rules_{uuid.uuid4().hex[:8]}")
     own = {place: F.col("_rule") == place for place in frames}
     metrics = [m for place, mine in own.items() for m in (
         F.count_if(mine).alias(f"total_{place}"), F.count_if(mine & ~F.col("flag")).alias(f"invalid_{place}"),
         F.count_if(mine & F.col("_null")).alias(f"null_{place}"))]
-    seen = union_all(list(frames.values())).observe(obs, *metrics)
+    seen = union_all(fused(list(frames.values()))).observe(obs, *metrics)
     seen.where(~F.col("flag")).select("_rule", "identifier").write.parquet(path)
     return {place: Counts(*[observed(obs, f"{m}_{place}") for m in ("total", "invalid", "null")]) for place in frames}
 
@@ -245,7 +311,7 @@ def run_controls(spark: SparkSession, df: DataFrame | None, rules: DataFrame, pa
     rule_rows = [{**r.asDict(), "_rule": i} for i, r in enumerate(rules.select("*", F.array_join(violation_list(), "; ").alias("v")).collect())]
     by_place = {r["_rule"]: r for r in rule_rows}
     errors = _id_errors(rule_rows)
-    frames: dict[int, DataFrame] = {}
+    frames: dict[int, Outcomes] = {}
     regex: list[tuple[dict, list[str]]] = []
     for rule in rule_rows:
         place = rule["_rule"]

@@ -33,7 +33,7 @@ from .sinks.tables import append, delete_where, merge_into, overwrite_partitions
 from .sources.files import archive_lines, list_files, read_csv, read_nested_json, read_xml
 from .sources.tables import read_partition, read_table, table_schema
 from .specs import CsvSpec, DateRepair, JsonSpec, LandingSpec, ReportSpec, TableSpec, XmlSpec
-from .streaming.landing_stream import start_landing
+from .streaming.landing_stream import start_controlled_landing, start_landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -389,8 +389,8 @@ def repair_json_q(spark, sf_dir):
              .when(F.col("event_id") % 4 == 1, F.concat(F.lit("{K="), k, F.lit(", note="), "note", F.lit("}")))
              .when(F.col("event_id") % 4 == 2, F.concat(F.lit("{'@K': "), k, F.lit(", 'Note': \""), "note", F.lit("\"}")))
              .otherwise(F.concat(F.lit("{'@K': '"), k, F.lit("', 'Note': '"), F.replace("note", F.lit("'"), F.lit("")), F.lit("'}"))))
-    parsed = F.from_json(repair_json(dirty), "struct<k:string,note:string>")
-    return e.select("event_id", parsed.getField("k").try_cast("int").alias("k"), parsed.getField("note").alias("note"))
+    parsed = e.select("event_id", F.from_json(repair_json(dirty), "struct<k:string,note:string>").alias("r"))   # parsed once, read twice
+    return parsed.select("event_id", F.col("r.k").try_cast("int").alias("k"), F.col("r.note").alias("note"))
 
 
 @register("parse_dates_multi", """
@@ -612,9 +612,8 @@ DQ_DATE = "2024-01-15"
 
 @python_rule("positive_quantity")
 def positive_quantity(df, rule, **params):
-    """Data-level Python rule: every line has a quantity above one unit."""
-    ident = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    return df.select(ident.alias("identifier"), (F.col("l_quantity") > 1.0).alias("result"))
+    """Data-level Python rule, as columns over the checked frame: every line has a quantity above one unit."""
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")), F.col("l_quantity") > 1.0
 
 
 # Each entry: the rule row, the SQL giving (identifier, result) for the oracle, the oracle's flag
@@ -1119,6 +1118,38 @@ def streaming_landing(spark, sf_dir):
     return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date")
 
 
+@register("streaming_landing_checked", """
+WITH e AS (SELECT strftime(ts, '%Y-%m-%d') AS day, CAST(day(ts) AS INTEGER) % 7 AS k, count(*) AS n FROM events GROUP BY ALL)
+SELECT CASE k WHEN 6 THEN 'note_' ELSE 'ev_' END || day || '.csv' AS file_name, CASE k WHEN 3 THEN 'ERROR' WHEN 5 THEN 'ERROR' WHEN 6 THEN 'SKIP_PATTERN' ELSE 'PROCESSED' END AS status,
+       CASE WHEN k IN (3, 5, 6) THEN 0 ELSE n END AS rows FROM e
+""")
+def streaming_landing_checked(spark, sf_dir):
+    """L1/L2 incremental: daily files land in micro-batches with all controls.  Some have a field too many, some
+    another header, some another name; the second half of the month comes after a restart of the stream.
+    Every file has one status, and the rows of those that passed are in the table once."""
+    e = T(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd")).withColumn("k", F.dayofmonth("ts") % 7)
+    cells = ["event_id", F.date_format("ts", fx.TS_FORMAT), "user_id", "event_type", "value"]
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c, F.lit("")) for c in cells])
+    lines = e.select(F.concat(F.when(F.col("k") == 6, "note_").otherwise("ev_"), "day", F.lit(".csv")).alias("name"),
+                     F.when(F.col("k") == 3, F.concat(line, F.lit(",extra"))).otherwise(line).alias("value"), "day", "k")
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    folder = scratch_path(spark, "landing_checked")
+    raw = TableSpec(scratch_path(spark, "raw_checked"), partition_field="data_date")
+    status = TableSpec(scratch_path(spark, "landing_status"), partition_field=None)
+    spec = LandingSpec(filename_pattern=r"ev_.*\.csv")
+    for half in (F.col("day") <= "2024-01-15", F.col("day") > "2024-01-15"):
+        for own, header in ((F.col("k") != 5, ",".join(columns)), (F.col("k") == 5, "id,at,user,kind,amount")):
+            mine = lines.where(half & own)
+            fx.deliver(mine, folder, header, sorted(r.name for r in mine.select("name").distinct().collect()))   # a name per day
+        q = start_controlled_landing(spark, folder, spec, raw, columns, status, checkpoint=f"{raw.path}_stream", max_files_per_trigger=8)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    landed = spark.read.parquet(raw.path).groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("n"))
+    told = spark.read.parquet(status.path)
+    return told.join(landed, "file_name", "left").select("file_name", "status", F.coalesce("n", F.lit(0)).alias("rows"))
+
+
 @register("schema_lookup", """
 WITH e AS (SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS data_date FROM events)
 SELECT 'event_id' AS column_name, 1 AS position, false AS is_partition, count(event_id) AS filled FROM e

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +38,12 @@ class WriteResult:
     files_removed: int | None = None
     bytes_added: int | None = None
     bytes_removed: int | None = None
+    notes: list = field(default_factory=list)   # what the writer left in the commit, see ``write_raw``
 
     def __add__(self, other: WriteResult) -> WriteResult:
         """Figures of two writes of one table together."""
         return WriteResult(self.rows_written + other.rows_written, sorted({*(self.partitions or []), *(other.partitions or [])}), None,
-                           *[getattr(self, f) + getattr(other, f) for f in ("files_added", "files_removed", "bytes_added", "bytes_removed")])
+                           *[getattr(self, f) + getattr(other, f) for f in ("files_added", "files_removed", "bytes_added", "bytes_removed", "notes")])
 
 
 def _writer(df: DataFrame, spec: TableSpec, mode: str):
@@ -356,7 +357,8 @@ def delete_where(spark: SparkSession, spec: TableSpec, predicate: str, token: st
     return _retried(spark, spec, token, attempt)
 
 
-def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: list[str] | None = None, token: str | None = None) -> WriteResult:
+def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: list[str] | None = None, token: str | None = None,
+              notes: list | None = None) -> WriteResult:
     """K6/K7: records filed as delivered (repeated records stay) under
     ``<table>/<partition_field>=<value>/``, and below it by delivered file if the table has a
     ``source_field``; partitions are created by the write.
@@ -386,7 +388,7 @@ def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: li
             now = sorted(filled.items())
         removed = {n: size for f in sorted(fresh | before) for n, size in commits.files(f).items()}
         scope = sorted(fresh | before)
-        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh)}, now)
+        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh), "notes": notes or []}, now)
         return facts
     return _retried(spark, spec, token, attempt)
 

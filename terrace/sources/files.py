@@ -266,13 +266,13 @@ def expand_archives(files: DataFrame, kind: str = "zip", include_archive: bool =
     return files.select("path", "content").mapInPandas(_expand(kind, include_archive), ARCHIVE_SCHEMA)
 
 
-def list_files(spark: SparkSession, path: str, glob: str | None = None, with_content: bool = False) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None, with_content: bool = False) -> DataFrame:
     """Recursive listing ``(path, file_name, modificationTime, length[, content])``.  Without
     ``content`` the files are not opened (column pruning)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(literal_path(path))
+    df = r.load([literal_path(p) for p in path] if isinstance(path, list) else literal_path(path))
     cols = ["path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "modificationTime", "length"]
     if with_content:
         cols.append("content")

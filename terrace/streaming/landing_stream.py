@@ -5,19 +5,29 @@ This is the streaming form of the reference's delta mode (one run per incoming f
 a file-source stream (each file is read once, tracked in the source log) into the Parquet file
 sink partitioned by the file date.  The file sink commits through its ``_spark_metadata`` log, so
 a retried micro-batch after a lost executor or driver never duplicates rows, and batch readers of
-the table path see only committed files.  Per-file controls that need a whole file (CSV format,
-header check, duplicate copies) stay in the batch job :func:`terrace.plans.landing.land`.
+the table path see only committed files.
+
+:func:`start_controlled_landing` is the form with controls: every micro-batch of new files goes through
+the whole landing job (names, formats, columns, duplicate copies, rules; any format), commits under the
+batch's name, and files a status row for each file.  A batch that is run again after a failure finds its
+commits and adds nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.casting import all_string_schema
 from ..functions.text import anchored, file_date
+from ..plans.landing import land
+from ..session import hadoop_fs
+from ..sinks.tables import append
 from ..sources.files import literal_path, source_path
 from ..specs import LandingSpec, TableSpec
 
@@ -63,3 +73,46 @@ def start_landing(spark: SparkSession, folder: str, spec: LandingSpec, raw: Tabl
          .option("checkpointLocation", checkpoint or default_checkpoint(raw)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start(raw.path)
+
+
+#: Columns of the status table of a controlled landing.
+STATUS = "path string, file_name string, file_date string, status string, error string, content_md5 string, delivery string, batch long"
+
+
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that owns a checkpoint folder, made when the folder is."""
+    fs, at = hadoop_fs(spark, f"{checkpoint.rstrip('/')}/landing_id")
+    if not fs.exists(at):
+        fs.mkdirs(at.getParent())
+        out = fs.create(at, False)
+        out.write(bytearray(uuid.uuid4().hex[:12].encode()))
+        out.close()
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def start_controlled_landing(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, columns: list[str] | None,
+                             status: TableSpec, checkpoint: str | None = None, max_files_per_trigger: int = 1000,
+                             available_now: bool = True, processing_time: str | None = None, **options) -> StreamingQuery:
+    """Lands new files of ``folder`` in micro-batches of at most ``max_files_per_trigger``, each with all
+    controls; ``options`` are those of :func:`terrace.plans.landing.land` (date_from, checks, processed, rules, ...).
+    Statuses go to the ``status`` table.  The stream only lists the files: their content is read by the
+    landing job of the batch."""
+    if status.schema is None:
+        status = replace(status, schema=StructType.fromDDL(STATUS))
+    checkpoint = checkpoint or default_checkpoint(raw)
+    own = _identity(spark, checkpoint)
+
+    def batch(files, number: int) -> None:
+        paths = [r.path for r in files.collect()]   # bounded by max_files_per_trigger
+        if paths:
+            res = land(spark, folder, spec, raw, columns, files=sorted(paths), token=f"{own}-{number}", **options)
+            append(spark, res.status.withColumn("batch", F.lit(number).cast("long")), status, token=f"{own}-{number}-status")
+    listed = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+              .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files_per_trigger)).load(literal_path(folder)).select("path"))
+    w = listed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
+    return w.start()

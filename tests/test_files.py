@@ -8,7 +8,8 @@ import zipfile
 from pyspark.sql import functions as F
 
 from terrace.plans.landing import land
-from terrace.plans.reports import fill_template, run_reports
+from terrace.functions.text import fill_template
+from terrace.plans.reports import output_folder, run_reports
 from terrace.quality.files import check_csv_columns, check_csv_format, check_filenames, flag_unchanged
 from terrace.sources.files import expand_archives, list_files, read_nested_json
 from terrace.specs import CsvSpec, JsonSpec, LandingSpec, ReportSpec, TableSpec
@@ -538,3 +539,51 @@ def test_json_with_a_byte_order_mark(spark, tmp_dir, encoding):
         fh.write('{\n "rows": [{"a": "é"}]}'.encode(encoding))
     res = land(spark, f"{tmp_dir}/land", LandingSpec(filename_pattern=r"j_.*", file_format="json", json=JsonSpec("rows")), TableSpec(f"{tmp_dir}/raw"), columns=["a"])
     assert [(r.status, r.error) for r in res.status.collect()] == [("PROCESSED", "")] and _rows(spark, res, "a") == [("é",)]
+
+
+def test_templates_fill_known_names_only(spark):
+    assert fill_template("{a}{9} {b} {c}", {"a": 1, "c": None}) == "1{9} {b} None"
+    assert fill_template("x{2}", {}) == "x{2}"
+    assert fill_template("'{v}'", {"v": "{w}", "w": "no"}) == "'{w}'"   # a value is no template
+
+
+@pytest.mark.parametrize("name,folder", [("Orders 2024 CSV", "orders_csv"), ("P & L Report", "p_l_report"), ("P & L 2024", "p_l"), ("My  Report!", "my_report"),
+                                         (" a1b-c ", "abc"), ("Año", "ao"), ("2024", "")])
+def test_report_folders(name, folder):
+    assert output_folder(name) == folder
+
+
+def test_controlled_stream_files_every_file_once(spark, tmp_dir, monkeypatch):
+    from terrace.streaming import landing_stream
+    write(f"{tmp_dir}/in/d_2024-01-01.csv", "id,v\n1,a\n1,a\n")
+    write(f"{tmp_dir}/in/d_2024-01-02.csv", "id,v\n2,b,c\n")
+    spec, raw, status = LandingSpec(filename_pattern=r"d_.*"), TableSpec(f"{tmp_dir}/raw"), TableSpec(f"{tmp_dir}/status", partition_field=None)
+
+    def start():
+        q = landing_stream.start_controlled_landing(spark, f"{tmp_dir}/in", spec, raw, ["id", "v"], status, checkpoint=f"{tmp_dir}/chk", max_files_per_trigger=10)
+        q.awaitTermination()
+
+    def lost(*args, **kwargs):
+        raise OSError("lost")
+    monkeypatch.setattr(landing_stream, "append", lost)
+    with pytest.raises(Exception, match="lost"):
+        start()                                   # rows are committed, statuses are not
+    assert spark.read.parquet(f"{tmp_dir}/raw").count() == 2
+    monkeypatch.undo()
+    write(f"{tmp_dir}/in/e_2024-01-03.csv", "id,v\n3,c\n")
+    write(f"{tmp_dir}/in/d_2024-01-04.csv", "id,v\n4,d\n")
+    start()
+    start()
+    assert sorted((r.file_name, r.status, r.batch) for r in spark.read.parquet(status.path).collect()) == [
+        ("d_2024-01-01.csv", "PROCESSED", 0), ("d_2024-01-02.csv", "ERROR", 0), ("d_2024-01-04.csv", "PROCESSED", 1), ("e_2024-01-03.csv", "SKIP_PATTERN", 1)]
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/raw").collect()) == ["1", "1", "4"]
+
+
+def test_a_committed_batch_knows_the_files_it_left_out(spark, tmp_dir):
+    write(f"{tmp_dir}/land/j_2024-01-01.json", '{"rows": [{"a": 1}]}')
+    write(f"{tmp_dir}/land/j_2024-01-02.json", '{"rows": 5}')
+    spec, raw = LandingSpec(filename_pattern=r"j_.*", file_format="json", json=JsonSpec("rows")), TableSpec(f"{tmp_dir}/raw")
+    runs = [land(spark, f"{tmp_dir}/land", spec, raw, columns=["a"], token="t") for _ in range(2)]
+    for res in runs:
+        assert {r.file_name: r.status for r in res.status.collect()} == {"j_2024-01-01.json": "PROCESSED", "j_2024-01-02.json": "ERROR"}
+    assert runs[0].written == runs[1].written

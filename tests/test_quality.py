@@ -177,3 +177,50 @@ def test_regex_rules_share_one_scan(spark, tmp_dir):
     from terrace.quality.engine import regex_counts
     counts = regex_counts(df, [({**r.asDict(), "_rule": i}, ["a", "b"]) for i, r in enumerate(rules.collect())])
     assert counts[1].invalid_columns == ["a"] and counts[1].valid_columns == ["b"]
+
+
+def test_rule_templates_quote_values_and_spare_braces(spark):
+    spark.createDataFrame([("it's.csv", "a12"), ("x.csv", "a1")], "f string, v string").createOrReplaceTempView("named")
+    rule = dict(control_master_id="M", control_table_id="T", control_algorithm_type="SQL", control_level="Data", control_threshold_type="Binary",
+                control_description="SELECT v AS identifier, v RLIKE '^a[0-9]{2}$' AS result FROM named WHERE f = '{file_name}'")
+    run = run_controls(spark, None, rules_frame(spark, [rule]), params={"file_name": "it's.csv", "file_date": "2024-01-01"})
+    assert [(r.status, r.total, r.invalid) for r in run.status.collect()] == [("ok", 1, 0)]
+
+
+def _rule_over(text, table="T", **kw):
+    return dict(control_master_id="M", control_table_id=table, control_algorithm_type="SQL", control_level="Data", control_threshold_type="Binary",
+                control_description=text) | kw
+
+
+def test_rules_over_one_table_share_its_scan(spark, tmp_dir, monkeypatch):
+    from terrace.quality import engine
+    spark.range(100).selectExpr("id", "id % 10 AS v", "CAST(id AS STRING) AS name").write.parquet(f"{tmp_dir}/t")
+    data = spark.read.parquet(f"{tmp_dir}/t")
+    data.createOrReplaceTempView("shared_t")
+    spark.range(5).createOrReplaceTempView("other_t")
+    rules = [_rule_over("SELECT name AS identifier, v < 9 AS result FROM shared_t", "plain"),
+             _rule_over("SELECT concat(name, ',', 'x') AS identifier, v < 5 AS result FROM shared_t WHERE id >= 50", "where"),
+             _rule_over("select count(*) as identifier, true as result from shared_t", "aggregate"),
+             _rule_over("SELECT DISTINCT v AS identifier, v < 3 AS result FROM shared_t", "distinct"),
+             _rule_over("SELECT a.name AS identifier, false AS result FROM shared_t a JOIN other_t b ON a.id = b.id", "join"),
+             _rule_over("columns_rule", "python", control_algorithm_type="Python"),
+             _rule_over("SELECT CAST(id AS STRING) AS identifier, id < 4 AS result FROM other_t", "other")]
+    seen = []
+    monkeypatch.setattr(engine, "union_all", lambda frames, real=engine.union_all: seen.append(frames) or real(frames))
+    run = run_controls(spark, data, rules_frame(spark, rules), registry={"columns_rule": lambda df, rule, **kw: (F.col("name"), F.col("v") != 0)})
+    got = {r.control_table_id: (r.status, r.total, r.invalid) for r in run.status.collect()}
+    assert got == {"plain": ("ok", 100, 10), "where": ("ok", 50, 25), "aggregate": ("ok", 1, 0), "distinct": ("ok", 10, 7), "join": ("ok", 5, 5),
+                   "python": ("ok", 100, 10), "other": ("ok", 5, 1)}
+    assert len(seen[0]) == 5    # plain, where and python are one; the others by themselves
+    scans = seen[0][0]._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    assert scans == 1
+    assert run.identifiers.where("control_table_id = 'where'").count() == 25
+    assert {r.identifier for r in run.identifiers.where("control_table_id = 'where'").limit(3).collect()} <= {f"{i},x" for i in range(50, 100)}
+
+
+def test_a_rule_that_fails_in_a_shared_scan_fails_alone(spark):
+    spark.range(10).selectExpr("id", "CAST(id AS STRING) AS s").createOrReplaceTempView("shared_u")
+    rules = [_rule_over("SELECT s AS identifier, id < 5 AS result FROM shared_u", "good"),
+             _rule_over("SELECT s AS identifier, CAST(concat(s, 'x') AS INT) > 0 AS result FROM shared_u", "bad")]
+    run = run_controls(spark, None, rules_frame(spark, rules))
+    assert {r.control_table_id: (r.status, r.total, r.invalid) for r in run.status.collect()} == {"good": ("ok", 10, 5), "bad": ("error", None, None)}

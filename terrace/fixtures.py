@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .session import delete_path, hadoop_fs
+from .sources.files import write_file
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -109,6 +110,19 @@ def zip_files(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_zip_each, "path string, content binary")
 
 
+def deliver_archives(lines: DataFrame, folder: str, header: str) -> None:
+    """Zip archives in ``folder``: ``lines`` (archive, member, value) grouped by archive, each member with
+    ``header``.  Groups are bounded by the caller."""
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            for member, values in group.sort_values("value").groupby("member")["value"]:
+                z.writestr(member, "\n".join([header, *values]) + "\n")
+        write_file(f"{folder}/{key[0]}", buf.getvalue())
+        return pd.DataFrame({"archive": [key[0]]})
+    lines.groupBy("archive").applyInPandas(run, "archive string").write.format("noop").mode("overwrite").save()
+
+
 def document_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents as delivered files, and earlier processed copies of them.
 

@@ -16,12 +16,12 @@ from pyspark.sql.types import StructType
 
 from ..functions.casting import all_string_schema, cast_to, repair_json_columns
 from ..functions.dates import apply_steps
-from ..sinks.tables import WriteResult, merge_into
+from ..sinks.tables import WriteResult, append, merge_into
 from ..session import observed
 from ..sources.files import partition_path, read_nested_json, read_raw
 from ..sources.tables import read_partition
 from ..specs import CsvSpec, JsonSpec, TableSpec
-from .metrics import with_read_metrics
+from .metrics import process_events, with_read_metrics
 from .reports import failed_outputs
 
 
@@ -67,8 +67,15 @@ class FlowResult:
         return (self.finished - self.started).total_seconds()
 
 
+def _finished(spark: SparkSession, process: str, result: FlowResult, events: TableSpec | None) -> FlowResult:
+    """M3: the process events of a flow that wrote, filed in the ``events`` table."""
+    if events is not None:
+        append(spark, process_events(spark, process, result.started, result.finished), events)
+    return result
+
+
 def raw_to_staging(spark: SparkSession, raw_base: str, staging: TableSpec, transform: Callable | None = None,
-                   **cast_options) -> FlowResult:
+                   events: TableSpec | None = None, **cast_options) -> FlowResult:
     """L3: datacast -> optional user transformation -> merge into staging on its keys."""
     started = dt.datetime.now()
     obs = Observation("raw_read")
@@ -76,17 +83,17 @@ def raw_to_staging(spark: SparkSession, raw_base: str, staging: TableSpec, trans
     if transform is not None:
         df = transform(df)
     written = merge_into(spark, staging, df)
-    return FlowResult(observed(obs, "rows"), written, started, dt.datetime.now())
+    return _finished(spark, "raw_to_staging", FlowResult(observed(obs, "rows"), written, started, dt.datetime.now()), events)
 
 
 def refine(spark: SparkSession, source: TableSpec, target: TableSpec, transform: Callable[[DataFrame], DataFrame],
-           mode: str = "full", value=None) -> FlowResult:
+           mode: str = "full", value=None, events: TableSpec | None = None, process: str = "refine") -> FlowResult:
     """L4: staging -> common / business: partition-aware read -> user code -> merge."""
     started = dt.datetime.now()
     obs = Observation("read")
     df = with_read_metrics(read_partition(spark, source, mode, value), obs)
     written = merge_into(spark, target, transform(df))
-    return FlowResult(observed(obs, "rows"), written, started, dt.datetime.now())
+    return _finished(spark, process, FlowResult(observed(obs, "rows"), written, started, dt.datetime.now()), events)
 
 
 def run_summary(spark: SparkSession, process: str, results: list[FlowResult], file_name: str | None = None,

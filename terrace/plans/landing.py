@@ -29,10 +29,10 @@ from ..operators.columns import fill_empty, stamp_partition
 from ..quality.files import (columns_result, content_lines, csv_lines, csv_profile, flag_unchanged, format_result,
                              member_profile, numbered_lines)
 from ..quality.engine import ControlRun, run_controls, save_results
-from ..sinks.tables import WriteResult, write_raw
-from ..session import checkpoint_root, hadoop_fs
-from ..sources.files import (archive_lines, archive_member_names, list_files, literal_path, nested_json_items,
-                             source_path, source_path_of)
+from ..sinks.tables import WriteResult, stage, sync_partitions, write_raw
+from ..session import checkpoint_root, delete_path, hadoop_fs
+from ..sources.files import (archive_contents, archive_directory, list_files, literal_path, member_contents, nested_json_items,
+                             reads_by_range, source_path, source_path_of)
 from ..specs import LandingSpec, TableSpec
 
 #: Files of one read: what the driver holds of the paths at a time.
@@ -58,16 +58,15 @@ def _root(spark: SparkSession, folder: str) -> str:
 
 
 def _file_status(spark: SparkSession, folder: str | list[str], spec: LandingSpec, columns: list[str] | None,
-                 processed: DataFrame | None, date_from: str, checks: tuple[str, ...]) -> DataFrame:
+                 processed: DataFrame | None, date_from: str, checks: tuple[str, ...], contents: DataFrame | None) -> DataFrame:
     files = list_files(spark, folder)
     name_ok = F.col("file_name").rlike(anchored(spec.filename_pattern))
     source = F.col("path") if date_from == "path" else F.col("file_name")
     files = files.withColumn("name_ok", name_ok).withColumn("file_date", file_date(source, spec.date_regex))
     errors = [] if spec.date_column else [F.when(F.col("file_date").isNull(), F.lit("no date in file name"))]
     if spec.zipped:
-        archives = _archives(spark, folder, spec)
         per_archive = []
-        names = archive_member_names(archives, spec.zipped, spec.csv.encoding)
+        names = contents.where(F.col("n") < 0)
         ok = F.col("member").rlike(anchored(spec.member_pattern)) if spec.member_pattern else F.lit(True)
         check_names = bool(spec.member_pattern) and "member_names" in checks
         per_archive.append(names.groupBy(F.col("archive").alias("path")).agg(
@@ -79,8 +78,7 @@ def _file_status(spark: SparkSession, folder: str | list[str], spec: LandingSpec
             F.lit("invalid member names: "), F.array_join("bad_members", ", "))))
         if spec.file_format == "csv" and ({"csv_format", "csv_columns"} & set(checks)):
             # D18/D19 on every member, one aggregation over the members' lines
-            lines = archive_lines(archives, spec.zipped, spec.csv.encoding, comment=spec.csv.comment, errors="skip")
-            prof = member_profile(lines, spec.csv)
+            prof = member_profile(contents.where(F.col("n") >= 0), spec.csv)
             if "csv_format" in checks and (spec.csv.header or columns):
                 fmt = format_result(prof, spec.csv, len(columns) if columns else None)
                 per_archive.append(fmt.groupBy("path").agg(F.bool_and("result").alias("format_ok")))
@@ -124,14 +122,21 @@ def _with_status(files: DataFrame) -> DataFrame:
                             .when(dup, "SKIP_DUPLICATE").otherwise("PROCESSED"))
 
 
-def _archives(spark: SparkSession, folder: str | list[str], spec: LandingSpec) -> DataFrame:
-    """Archive files of a folder whose name passes the file pattern (the filter on the file's
-    metadata prunes the listing, so other files are not opened), or of the given paths."""
-    r = spark.read.format("binaryFile")
-    named = F.col("_metadata.file_name").rlike(anchored(spec.filename_pattern))
-    if isinstance(folder, list):
-        return r.load([literal_path(p) for p in folder]).where(named).select("path", "content")
-    return r.option("recursiveFileLookup", "true").load(literal_path(folder)).where(named).select("path", "content")
+def _archive_contents(spark: SparkSession, folder: str | list[str], spec: LandingSpec) -> tuple[DataFrame, str]:
+    """The members of all archives whose name passes the file pattern, read once (a task for each member),
+    and staged: the checks and the parsing read them from there.  Other files are not opened."""
+    named = F.col("file_name").rlike(anchored(spec.filename_pattern))
+    files = list_files(spark, folder).where(named)
+    if reads_by_range(folder[0] if isinstance(folder, list) else _qualified(spark, folder)):
+        rows = member_contents(archive_directory(files, spec.zipped), spec.zipped, spec.csv.encoding, spec.csv.comment)
+    else:   # a store that only Spark can read
+        rows = archive_contents(list_files(spark, folder, with_content=True).where(named), spec.zipped, spec.csv.encoding, spec.csv.comment)
+    return stage(spark, rows, "archive_contents")
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    fs, at = hadoop_fs(spark, folder)
+    return str(fs.makeQualified(at).toString())
 
 
 def _line_options(spec: LandingSpec) -> dict:
@@ -145,7 +150,7 @@ def _parse_lines(lines: DataFrame, spec: LandingSpec, columns: list[str]) -> Dat
     return parsed.select("r.*", "path")
 
 
-def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: list[str] | None) -> DataFrame:
+def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: list[str] | None, contents: DataFrame | None) -> DataFrame:
     """Rows of the given files with the file's path; all values strings (Parquet: its types).  Header
     positions count content lines only (blank and comment lines are skipped), as a CSV header
     position does."""
@@ -153,8 +158,7 @@ def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: li
     files = [literal_path(p) for p in paths]
     hp = spec.csv.header_position
     if spec.zipped:
-        lines = archive_lines(_archives(spark, paths, spec), spec.zipped, spec.csv.encoding,
-                              comment=spec.csv.comment).withColumnRenamed("archive", "path")
+        lines = contents.where((F.col("n") >= 0) & F.col("archive").isin(paths)).withColumnRenamed("archive", "path")
         body = lines.where(F.col("n") > hp) if spec.csv.header else lines
         return _parse_lines(body, spec, columns)
     if spec.file_format == "csv" and spec.csv.header and hp > 0:
@@ -197,7 +201,8 @@ def _json_documents(spark: SparkSession, paths: list[str], spec: LandingSpec) ->
     return text.select(F.explode(F.when(whole_line, lines).otherwise(F.array("_text"))).alias("value"), "path")
 
 
-def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: TableSpec, columns: list[str] | None, date_from: str, root: str) -> DataFrame:
+def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: TableSpec, columns: list[str] | None, date_from: str, root: str,
+               contents: DataFrame | None = None) -> DataFrame:
     """Rows of some files, stamped with their date and delivery: both follow from the path."""
     name, delivery = F.element_at(F.split("path", "/"), -1), delivery_of(F.col("path"), root)
     stamp = file_date(F.col("path") if date_from == "path" else name, spec.date_regex)
@@ -206,7 +211,7 @@ def _file_rows(spark: SparkSession, paths: list[str], spec: LandingSpec, raw: Ta
         items = nested_json_items(docs, spec.json, spec.partition_field, file_date=F.col("_date"), keep=["_file"])
         m = F.from_json("item", "map<string,string>")
         return items.select(*[m.getItem(c).alias(c) for c in columns], spec.partition_field, F.col("_file").alias(raw.source_field))
-    rows = _parse(spark, paths, spec, columns)
+    rows = _parse(spark, paths, spec, columns, contents)
     if spec.date_column:   # Q28: the partition comes from a data column (file date as fallback)
         stamp = F.coalesce(F.date_format(F.try_to_date(F.col(spec.date_column)), "yyyy-MM-dd"), stamp)
     rows = stamp_partition(stamp_partition(rows, spec.partition_field, stamp), raw.source_field, delivery)
@@ -280,7 +285,8 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
          processed: DataFrame | None = None, date_from: str = "name",
          checks: tuple[str, ...] = ("csv_format", "csv_columns", "member_names"), rules: DataFrame | None = None,
          params: dict | None = None, registry: dict | None = None, results: TableSpec | None = None,
-         files: list[str] | None = None, token: str | None = None, files_per_batch: int = FILES_PER_BATCH) -> LandingResult:
+         files: list[str] | None = None, token: str | None = None, files_per_batch: int = FILES_PER_BATCH,
+         catalog_table: str | None = None) -> LandingResult:
     """Land the files of ``folder`` (or only ``files`` of it) in the raw table; returns per-file statuses and counts.
 
     Rows are filed by date and delivery, as delivered: repeated rows stay, several files of a date live side
@@ -288,7 +294,8 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
     failed ``checks`` make a file an ERROR.  With ``rules`` (effective rules of the landing layer), the checks
     are columns of the view ``data`` instead (name_ok, format_ok, columns_ok, error, ...): the rules judge
     them, results go to the ``results`` table, and only blocking rules stop files.  With a ``token`` every
-    batch is written once, however often the same landing is run."""
+    batch is written once, however often the same landing is run.  ``catalog_table`` names an external table
+    over the raw table's folder: after each commit it knows the partitions that are there (K7)."""
     if spec.zipped and spec.file_format != "csv":
         raise ValueError("archive members are landed as CSV; unpack other formats before landing")
     line_based = spec.zipped or (spec.file_format == "csv" and spec.csv.header and spec.csv.header_position > 0)
@@ -301,7 +308,9 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
     elif raw.schema is not None and raw.source_field not in raw.schema.fieldNames():
         raw = replace(raw, schema=StructType([*raw.schema.fields, StructField(raw.source_field, StringType())]))
     root = _root(spark, folder)
-    status = _file_status(spark, folder if files is None else files, spec, columns, processed, date_from, checks).checkpoint(eager=True)
+    given = folder if files is None else files
+    contents, contents_path = _archive_contents(spark, given, spec) if spec.zipped and files != [] else (None, None)
+    status = _file_status(spark, given, spec, columns, processed, date_from, checks, contents).checkpoint(eager=True)
     control = None
     if rules is not None:
         undated = F.when(F.col("file_date").isNull() & F.lit(spec.date_column is None), F.lit("no date in file name"))
@@ -313,19 +322,23 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         status = _with_status(status).checkpoint(eager=True)
 
     def read(paths: list[str]) -> None:
-        _file_rows(spark, paths, spec, raw, columns, date_from, root).write.format("noop").mode("overwrite").save()
+        _file_rows(spark, paths, spec, raw, columns, date_from, root, contents).write.format("noop").mode("overwrite").save()
 
     written, unreadable = WriteResult(0, [], None, 0, 0, 0, 0), []   # of all batches
     for i, batch in enumerate(_batches(status.where(F.col("status") == "PROCESSED").select("path").orderBy("path"), files_per_batch)):
         def write(paths: list[str], left_out: list[tuple[str, str]]) -> WriteResult:
             delivered = [p.rsplit(root.rstrip("/") + "/", 1)[-1] for p in paths]
-            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root), raw, delivered, token and f"{token}-{i}", left_out)
+            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root, contents), raw, delivered, token and f"{token}-{i}", left_out)
         done, bad = _write_files(write, read, batch)
         written, unreadable = written if done is None else written + done, unreadable + bad
+        if done is not None and catalog_table:
+            sync_partitions(spark, catalog_table, done.partitions, done.gone)
     if unreadable:
         found = spark.createDataFrame(unreadable, "path string, _unread string")
         status = status.join(found, "path", "left")
         status = status.withColumn("error", F.concat_ws("; ", F.nullif("error", F.lit("")), "_unread")).withColumn(
             "status", F.when(F.col("_unread").isNotNull(), "ERROR").otherwise(F.col("status")))
+    if contents_path:
+        delete_path(spark, contents_path)
     status = status.withColumn("delivery", delivery_of(F.col("path"), root))
     return LandingResult(status.select("path", "file_name", "file_date", "status", "error", "content_md5", "delivery"), written, raw, control)

@@ -26,10 +26,20 @@ def table_metrics(spark: SparkSession, path: str, name: str | None = None) -> Da
                         ).select(F.lit(name or path).alias("table"), "files", "bytes", "rows")
 
 
-def merge_metrics_frame(spark: SparkSession, name: str, counts) -> DataFrame:
-    """M2 write counts of one merge (inserted / updated / deleted / kept)."""
-    return spark.createDataFrame([(name, counts.inserted, counts.updated, counts.deleted, counts.kept)],
-                                 "table string, inserted long, updated long, deleted long, kept long")
+METRICS = ("operation string, rows_written long, inserted long, updated long, deleted long, files_added long, files_removed long, "
+           "bytes_added long, bytes_removed long, total_files long, total_bytes long, total_rows long")
+
+
+def write_metrics(spark: SparkSession, operation: str, result, path: str) -> DataFrame:
+    """M2: one row for a write: its own figures, and the table's totals after it (from the footers of its
+    files, read in tasks)."""
+    m = result.merge
+    own = (operation, result.rows_written, m.inserted if m else result.rows_written, m.updated if m else 0, m.deleted if m else 0,
+           result.files_added, result.files_removed, result.bytes_added, result.bytes_removed)
+    names = [c.split()[0] for c in METRICS.split(", ")]
+    written = spark.createDataFrame([own], ", ".join(METRICS.split(", ")[:len(own)]))
+    totals = table_metrics(spark, path).select(*[F.col(c).alias(f"total_{c}") for c in ("files", "bytes", "rows")])
+    return totals.withColumns({c: F.lit(v).cast(written.schema[c].dataType) for c, v in zip(names, own)}).select(*names)
 
 
 def process_events(spark: SparkSession, process: str, started: dt.datetime, finished: dt.datetime) -> DataFrame:

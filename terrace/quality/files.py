@@ -8,9 +8,8 @@ group-limit per file, so only those lines are ranked), and row widths are counte
 
 from __future__ import annotations
 
-import csv
-import io
 import re
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,53 +26,138 @@ def check_filenames(files: DataFrame, pattern: str, name_col: str = "file_name")
     return files.withColumn("identifier", F.col(name_col)).withColumn("result", F.col(name_col).rlike(anchored(pattern)))
 
 
-def _field_pattern(spec: CsvSpec) -> str:
-    """A delimiter and the field after it, as the CSV reader takes a line: a field that begins with a quote goes
-    to its closing quote and on to the next delimiter, or, never closed, to the end of the line."""
-    d, q = re.escape(spec.delimiter), re.escape(spec.quote or '"')
-    escape = re.escape(spec.escape or spec.quote or '"')
-    inside = f"(?:[^{q}]|{q}{q})*+" if escape == q else f"(?:[^{q}{escape}]|{escape}.)*+"
-    bare = f"(?:(?!{d}).)*+"
-    return f"(?s){d}({q}{inside}{q}{bare}|{q}.*|{bare})"
+@dataclass
+class _Grammar:
+    """The CSV reader's view of a line as patterns: delimiter, quote, the inside of quotes (as far as it goes),
+    and text up to the next delimiter."""
+    d: str
+    q: str
+    inside: str
+    bare: str
+
+    @classmethod
+    def of(cls, spec: CsvSpec) -> _Grammar:
+        d, q = re.escape(spec.delimiter), re.escape(spec.quote or '"')
+        escape = re.escape(spec.escape or spec.quote or '"')
+        inside = f"(?:[^{q}]|{q}{q})*+" if escape == q else f"(?:[^{q}{escape}]|{escape}.)*+"
+        return cls(d, q, inside, f"(?:(?!{d}).)*+")
+
+    @property
+    def field(self) -> str:
+        """A delimiter and the field after it: a field that begins with a quote goes to its closing quote and on to
+        the next delimiter, or, never closed, to the end of the line."""
+        return f"(?s){self.d}({self.q}{self.inside}{self.q}{self.bare}|{self.q}.*|{self.bare})"
+
+    @property
+    def whole(self) -> str:
+        return f"(?:{self.q}{self.inside}{self.q}{self.bare}|(?!{self.q}){self.bare})"
 
 
 def _field_count(line: Column, spec: CsvSpec) -> Column:
     """Fields in a CSV line (Q22: quoted delimiters do not split)."""
-    return F.regexp_count(F.concat(F.lit(spec.delimiter), line), F.lit(_field_pattern(spec)))
+    return F.regexp_count(F.concat(F.lit(spec.delimiter), line), F.lit(_Grammar.of(spec).field))
 
 
 def _split_header(line: Column, spec: CsvSpec) -> Column:
-    q = re.escape(spec.quote or '"')
-    parts = F.regexp_extract_all(F.concat(F.lit(spec.delimiter), line), F.lit(_field_pattern(spec)), F.lit(1))
-    return F.transform(parts, lambda x: F.regexp_replace(x, f"^\\s*{q}|{q}\\s*$", ""))
+    g = _Grammar.of(spec)
+    parts = F.regexp_extract_all(F.concat(F.lit(spec.delimiter), line), F.lit(g.field), F.lit(1))
+    return F.transform(parts, lambda x: F.regexp_replace(x, f"^\\s*{g.q}|{g.q}\\s*$", ""))
+
+
+#: What a block of lines adds to its file's profile, if it begins outside (0) or inside (1) of quotes: the same at its
+#: end, fields added to the record that was open and whether that ended, complete records begun here, the
+#: widest of them, fields of the one left open, and the header's text.
+_PART = ("path string, block long, start int, finish int, head int, ended boolean, rows long, widest int, left int, header string, head_done boolean")
+
+
+def _line_steps(lines: DataFrame, spec: CsvSpec) -> DataFrame:
+    """Each line as a step of a machine with two states: for a line that begins a record, its fields and whether
+    it ends inside of quotes; the same for a line that goes on inside of quotes."""
+    g, line = _Grammar.of(spec), F.col("line")
+    rest = F.regexp_extract(line, f"(?s)^{g.inside}{g.q}(.*)$", 1)
+    closes = line.rlike(f"(?s)^{g.inside}{g.q}")
+    blank = line.rlike(r"^[\x00-\x20]*$")
+    if spec.comment:
+        blank = blank | F.startswith(line, F.lit(spec.comment))
+    return lines.select(
+        "path", "block", "line", blank.alias("blank"),
+        _field_count(line, spec).alias("n0"), line.rlike(f"(?s)^(?:{g.whole}{g.d})*+{g.q}{g.inside}$").alias("open0"),
+        F.when(closes, F.regexp_count(rest, F.lit(g.field))).otherwise(0).alias("n1"),
+        (~closes | rest.rlike(f"(?s)^{g.bare}{g.d}(?:{g.whole}{g.d})*+{g.q}{g.inside}$")).alias("open1"))
+
+
+def _walk(start: int, block: int, rows, at: int) -> tuple:
+    """One block's part of the profile (_PART without path) for one start; ``at``: the header's place among the
+    records of a file, which is told by its first block (-1: none)."""
+    inside, head, ended, n, widest, width, seen = start == 1, 0, start == 0, 0, 0, 0, -1
+    header: list[str] = []
+    done = at < 0
+    for line, blank, n0, open0, n1, open1 in rows:
+        if inside:
+            inside = open1
+            if not ended:
+                head, ended = head + n1, not inside
+                continue
+            width += n1
+        elif blank:
+            continue
+        else:
+            inside, width, seen = open0, n0, seen + 1
+        first = block == 0 and start == 0
+        if first and seen == at:
+            header.append(line)
+        if not inside:
+            if first and seen <= at:
+                done = done or seen == at
+            else:
+                n, widest = n + 1, max(widest, width)
+            width = 0
+    return block, start, int(inside), head, ended, n, widest, width, "\n".join(header) if header else None, done
 
 
 def _record_profile(spark: SparkSession, path: str | list[str], spec: CsvSpec, glob: str | None) -> DataFrame:
-    """The profile of files whose records may span lines: such files are read whole, one per row, and
-    streamed record by record with the same delimiter, quote and escape as the reader's."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    quote, at = spec.quote or '"', spec.header_position if spec.header else -1
-    own = spec.escape if spec.escape not in (None, quote) else None   # an escape character of its own
+    """The profile of files whose records may span lines, by blocks in parallel.  Whether a block begins inside of
+    quotes is known only from all blocks before it, so each says what it holds in either case; the blocks
+    of a file (few rows) are then put together in order.  A header must end in the file's first block."""
+    at = spec.header_position if spec.header else -1
+    steps = _line_steps(csv_lines(spark, path, glob, spec), spec)
+    names = [c.split()[0] for c in _PART.split(", ")]
 
     def run(batches):
+        place, rows = None, []
+
+        def parts():
+            return pd.DataFrame([(place[0], *_walk(start, place[1], rows, at)) for start in (0, 1)], columns=names)
         for pdf in batches:
-            rows = []
-            for name, content in zip(pdf["path"], pdf["content"]):
-                text = io.TextIOWrapper(io.BytesIO(bytes(content)), encoding=spec.encoding, errors="replace", newline="")
-                header, widest, n, seen = None, 0, 0, -1
-                for record in csv.reader(text, delimiter=spec.delimiter, quotechar=quote, escapechar=own, doublequote=own is None):
-                    if not record or not any(record) and len(record) == 1 or spec.comment and record[0].startswith(spec.comment):
-                        continue
-                    seen += 1
-                    if seen == at:
-                        header = spec.delimiter.join(quote + " ".join(x.replace(quote, "").split()) + quote for x in record)
-                    elif seen > at:
-                        widest, n = max(widest, len(record)), n + 1
-                rows.append((name, header, widest, n))
-            yield pd.DataFrame(rows, columns=["path", "header", "max_width", "rows"])
-    return r.load(_literal(path)).select("path", "content").mapInPandas(run, "path string, header string, max_width int, rows long")
+            for key, group in pdf.groupby(["path", "block"], sort=False):
+                if key != place and rows:
+                    yield parts()
+                    rows = []
+                place = key
+                rows.extend(zip(*[group[c] for c in ("line", "blank", "n0", "open0", "n1", "open1")]))
+        if rows:
+            yield parts()
+
+    def joined(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        inside, width, n, widest, header, done = 0, 0, 0, 0, None, at < 0
+        for block, both in group.sort_values("block").groupby("block"):
+            p = both[both["start"] == inside].iloc[0]
+            if inside:
+                width += p["head"]
+                if p["ended"]:
+                    n, widest = n + 1, max(widest, width)
+            elif block == 0:
+                header, done = p["header"], bool(p["head_done"])
+            n, widest = n + p["rows"], max(widest, p["widest"])
+            if not inside or p["ended"]:
+                width = p["left"]
+            inside = p["finish"]
+        if inside and done:   # the last record's quotes are never closed
+            n, widest = n + 1, max(widest, width)
+        return pd.DataFrame({"path": [key[0]], "header": [header], "max_width": [int(widest)], "rows": [int(n)]})
+    per_block = steps.mapInPandas(run, _PART)
+    out = per_block.groupBy("path").applyInPandas(joined, "path string, header string, max_width int, rows long")
+    return out.withColumn("path", source_path_of(F.col("path")))
 
 
 def _literal(path: str | list[str]) -> str | list[str]:

@@ -7,9 +7,10 @@ write them under the session's shared checkpoint folder first.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType
 
@@ -23,6 +24,7 @@ from .operators.joins import equi_join
 from .operators.merge import Clause
 from .plans.flows import raw_to_staging, refine, run_summary
 from .plans.landing import land
+from .plans.metrics import write_metrics
 from .plans.reports import run_reports
 from .quality.engine import python_rule, run_controls, save_results, validate
 from .quality.files import check_filenames, columns_result, csv_profile, flag_unchanged, format_result
@@ -944,6 +946,38 @@ def landing_redelivery(spark, sf_dir):
     return typed.select("event_id", "user_id", "event_type", "value", "props", "data_date", F.col("source_file").alias("delivery"))
 
 
+ARCHIVES_SQL = """
+WITH a AS (SELECT c_nationkey AS nation, CAST(floor(c_custkey / 2000) AS BIGINT) AS part, count(*) AS n FROM customer GROUP BY ALL)
+SELECT 'cust_' || CAST(nation AS VARCHAR) || '_' || CAST(part AS VARCHAR) || '_2024-01-' || lpad(CAST(nation + 1 AS VARCHAR), 2, '0') || '.zip' AS file_name,
+       CASE nation WHEN 3 THEN 'ERROR' WHEN 5 THEN 'ERROR' WHEN 7 THEN 'ERROR' ELSE 'PROCESSED' END AS status,
+       CASE nation WHEN 3 THEN 'names' WHEN 5 THEN 'format' WHEN 7 THEN 'columns' ELSE '' END AS reason,
+       CASE WHEN nation IN (3, 5, 7) THEN 0 ELSE n END AS rows FROM a
+"""
+
+
+@register("landing_archives", ARCHIVES_SQL)
+def landing_archives(spark, sf_dir):
+    """Customers in zip archives of a hundred members each, read by a task for each member.
+    Some archives hold a member of another name, some lines with a field too many, some another header;
+    every archive has its status and reason, and the rows of the good ones land."""
+    c = T(spark, sf_dir, "customer")
+    nation = F.col("c_nationkey")
+    name = F.format_string("cust_%d_%d_2024-01-%02d.zip", nation, F.floor(F.col("c_custkey") / 2000), nation + 1)
+    member = F.format_string("%s_%d.csv", F.when((nation == 3) & (F.col("c_custkey") % 100 == F.min("c_custkey").over(Window.partitionBy(name)) % 100), "odd").otherwise("m"), F.col("c_custkey") % 100)
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_acctbal").cast("string"), F.when(nation == 5, F.lit("x")))
+    lines = c.select(name.alias("archive"), member.alias("member"), line.alias("value"), nation.alias("nation"))
+    folder = scratch_path(spark, "landing_archives")
+    for own, header in ((F.col("nation") != 7, CUST_HEADER), (F.col("nation") == 7, "c_custkey,c_name,balance")):
+        fx.deliver_archives(lines.where(own).drop("nation"), folder, header)
+    spec = LandingSpec(filename_pattern=r"cust_.*\.zip", zipped="zip", member_pattern=r"m_\d+\.csv")
+    raw = TableSpec(scratch_path(spark, "raw_archives"), partition_field="data_date")
+    res = land(spark, folder, spec, raw, columns=["c_custkey", "c_name", "c_acctbal"])
+    landed = read_target(spark, res.table, with_source=True).groupBy(F.col("source_file").alias("file_name")).agg(F.count(F.lit(1)).alias("n"))
+    reason = (F.when(F.col("error").contains("member names"), "names").when(F.col("error").contains("CSV format"), "format")
+              .when(F.col("error").contains("member columns"), "columns").otherwise(F.col("error")))
+    return res.status.join(landed, "file_name", "left").select("file_name", "status", reason.alias("reason"), F.coalesce("n", F.lit(0)).alias("rows"))
+
+
 def _mixed_landing(spark, sf_dir):
     """A JSON landing folder: pretty-printed documents of the customers of each nation, one document without
     the expected level, one with an object where the list should be, and a file of another name."""
@@ -1032,7 +1066,7 @@ STAGING_SCHEMA = StructType([
     StructField("data_date", StringType())])
 
 
-def _business_flow(spark, sf_dir):
+def _business_flow(spark, sf_dir, events=None):
     o = T(spark, sf_dir, "orders")
     raw = o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey"),
                    "o_orderstatus", F.col("o_totalprice").cast("string").alias("o_totalprice"),
@@ -1044,13 +1078,13 @@ def _business_flow(spark, sf_dir):
                         primary_keys=["data_date", "o_orderkey"], partition_field="data_date")
     r1 = raw_to_staging(spark, raw_base, staging, fmt="csv", mode="delta", file_date="2024-01-15", csv=CsvSpec(),
                         raw_columns=[c for c in raw.columns if c != "data_date"],
-                        steps=[DateRepair(["o_orderdate"], ["dd-MMM-yyyy", "yyyy/MM/dd"])])
+                        steps=[DateRepair(["o_orderdate"], ["dd-MMM-yyyy", "yyyy/MM/dd"])], events=events)
     business = TableSpec(scratch_path(spark, "customer_totals"), primary_keys=["o_custkey"], partition_field=None)
 
     def totals(df):
         return df.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total_spent"),
                                            F.count(F.lit(1)).alias("orders"), F.max("o_orderdate").alias("last_order"))
-    r2 = refine(spark, staging, business, totals, mode="delta", value="2024-01-15")
+    r2 = refine(spark, staging, business, totals, mode="delta", value="2024-01-15", events=events, process="business")
     return business, [r1, r2]
 
 
@@ -1093,6 +1127,74 @@ def flow_run_summary(spark, sf_dir):
                       F.array_join(checked, ",").alias("checked"), F.array_join(F.transform("output_errors", lambda x: x["name"]), ",").alias("failed"))
 
 
+@register("process_events", """
+SELECT p.process, e.event, 1 AS events, e.event = 'end' AS timed, n.orders
+FROM (VALUES ('raw_to_staging'), ('business')) p(process), (VALUES ('start'), ('end')) e(event), (SELECT count(*) AS orders FROM orders) n
+""")
+def process_events_q(spark, sf_dir):
+    """M3: the start and end events that the flows of raw -> staging -> business filed, the end with its duration."""
+    events = TableSpec(scratch_path(spark, "process_events"), partition_field=None)
+    _, results = _business_flow(spark, sf_dir, events)
+    out = read_target(spark, events).groupBy("process", "event").agg(
+        F.count(F.lit(1)).cast("int").alias("events"), F.bool_and((F.col("value") > 0) & (F.col("unit") == "Seconds")).alias("timed"))
+    return out.select("process", "event", "events", F.coalesce("timed", F.lit(False)).alias("timed"), F.lit(results[0].rows_read).cast("bigint").alias("orders"))
+
+
+@register("write_metrics", """
+WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS d FROM events), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE d <= '2024-01-15') AS early,
+  count(*) FILTER (WHERE d >= '2024-01-20') AS late, count(*) FILTER (WHERE event_id % 10 = 0) AS tenth, count(*) FILTER (WHERE event_id % 100 = 0) AS fresh,
+  count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) FILTER (WHERE event_type = 'error' AND event_id % 100 = 0) AS fresh_errors FROM e)
+SELECT 'append 1' AS operation, early AS inserted, 0::BIGINT AS updated, 0::BIGINT AS deleted, early AS total_rows, true AS balanced FROM n
+UNION ALL SELECT 'append 2', n - early, 0, 0, n, true FROM n
+UNION ALL SELECT 'overwrite', late, 0, 0, n, true FROM n
+UNION ALL SELECT 'merge', fresh, tenth, 0, n + fresh, true FROM n
+UNION ALL SELECT 'delete', 0, 0, errors + fresh_errors, n + fresh - errors - fresh_errors, true FROM n
+""")
+def write_metrics_q(spark, sf_dir):
+    """M2: figures of every kind of write and the table's totals after it; files and bytes before, added and removed
+    make those after."""
+    e = fx.events_with_date(spark, sf_dir)
+    spec = _events_spec(spark, e)
+    spec.primary_keys = ["data_date", "event_id"]
+    early, day = F.col("data_date") <= "2024-01-15", F.col("data_date")
+    changed = e.where(F.col("event_id") % 10 == 0).withColumn("value", F.col("value") + 1)
+    fresh = e.where(F.col("event_id") % 100 == 0).withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    steps = [("append 1", lambda: append(spark, e.where(early), spec)), ("append 2", lambda: append(spark, e.where(~early), spec)),
+             ("overwrite", lambda: overwrite_partitions(spark, e.where(day >= "2024-01-20").withColumn("value", F.col("value") * 2), spec)),
+             ("merge", lambda: merge_into(spark, spec, changed.unionByName(fresh))), ("delete", lambda: delete_where(spark, spec, "event_type = 'error'"))]
+    rows, files, size = [], 0, 0
+    for name, write in steps:
+        now = write_metrics(spark, name, write(), spec.path).first()
+        files, size = files + now.files_added - now.files_removed, size + now.bytes_added - now.bytes_removed
+        rows.append((name, now.inserted, now.updated, now.deleted, now.total_rows, files == now.total_files and size == now.total_bytes))
+    return spark.createDataFrame(rows, "operation string, inserted long, updated long, deleted long, total_rows long, balanced boolean")
+
+
+@register("catalog_partitions", """
+SELECT strftime(ts, '%Y-%m-%d') AS data_date, count(*) AS rows, count(DISTINCT event_id % 4) AS deliveries FROM events
+WHERE event_id % 4 <> 0 AND (event_id % 4 <> 3 OR strftime(ts, '%Y-%m-%d') <= '2024-01-10') GROUP BY ALL
+""")
+def catalog_partitions(spark, sf_dir):
+    """K7: landed events read through a catalog table whose partitions the landing keeps: those of a delivery that
+    comes again without rows, or without some dates, are forgotten."""
+    e = T(spark, sf_dir, "events").withColumn("place", F.element_at(F.array(*map(F.lit, EVENT_PLACES)), (F.col("event_id") % 4).cast("int") + 1))
+    columns = ["event_id", "ts", "user_id", "event_type"]
+
+    def lines(rows):
+        cells = [F.coalesce(F.date_format("ts", fx.TS_FORMAT) if c == "ts" else F.col(c).cast("string"), F.lit("")) for c in columns]
+        return rows.select(F.col("place").alias("name"), F.concat_ws(",", *cells).alias("value"))
+    path, name = scratch_path(spark, "raw_catalog"), f"raw_events_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE TABLE {name} ({', '.join(f'{c} STRING' for c in columns)}, data_date STRING, source_file STRING) USING parquet PARTITIONED BY (data_date, source_file) LOCATION '{path}'")
+    again = e.where((F.col("place") == EVENT_PLACES[3]) & (F.date_format("ts", "yyyy-MM-dd") <= "2024-01-10"))
+    spec, raw = LandingSpec(filename_pattern=r"ev_.*\.csv", date_column="ts"), TableSpec(path, partition_field="data_date")
+    for rows, names in ((e, EVENT_PLACES), (again, [EVENT_PLACES[0], EVENT_PLACES[3]])):
+        folder = fx.deliver(lines(rows), scratch_path(spark, "landing_catalog"), ",".join(columns), names)
+        land(spark, folder, spec, raw, columns=columns, catalog_table=name)
+    known = spark.sql(f"SHOW PARTITIONS {name}").select(F.regexp_extract("partition", "data_date=([^/]+)", 1).alias("data_date")).groupBy("data_date").agg(F.count(F.lit(1)).alias("deliveries"))
+    found = spark.table(name).groupBy("data_date").agg(F.count(F.lit(1)).alias("rows"))
+    return found.join(known, "data_date", "full").select("data_date", "rows", "deliveries")
+
+
 # ------------------------------------------------------------------ streaming and schema
 
 

@@ -39,11 +39,12 @@ class WriteResult:
     bytes_added: int | None = None
     bytes_removed: int | None = None
     notes: list = field(default_factory=list)   # what the writer left in the commit, see ``write_raw``
+    gone: list = field(default_factory=list)    # partitions that a delivery filled before and does not fill any more
 
     def __add__(self, other: WriteResult) -> WriteResult:
         """Figures of two writes of one table together."""
         return WriteResult(self.rows_written + other.rows_written, sorted({*(self.partitions or []), *(other.partitions or [])}), None,
-                           *[getattr(self, f) + getattr(other, f) for f in ("files_added", "files_removed", "bytes_added", "bytes_removed", "notes")])
+                           *[getattr(self, f) + getattr(other, f) for f in ("files_added", "files_removed", "bytes_added", "bytes_removed", "notes", "gone")])
 
 
 def _writer(df: DataFrame, spec: TableSpec, mode: str):
@@ -388,7 +389,7 @@ def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: li
             now = sorted(filled.items())
         removed = {n: size for f in sorted(fresh | before) for n, size in commits.files(f).items()}
         scope = sorted(fresh | before)
-        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh), "notes": notes or []}, now)
+        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh), "notes": notes or [], "gone": sorted(before - fresh)}, now)
         return facts
     return _retried(spark, spec, token, attempt)
 
@@ -398,4 +399,22 @@ def register_partition(spark: SparkSession, table: str, field: str, value: str)
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if field not in parts:
         raise ValueError(f"{field!r} is not a partition column of {table}")
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({field} = '{value}')")
+    sync_partitions(spark, table, [partition_folder(spark, {field: value})], [])
+
+
+def sync_partitions(spark: SparkSession, table: str, filled: list[str], gone: list[str], each: int = 200) -> None:
+    """K7: partition folders (as in a commit) that a catalog table is to know, and those it is to forget.  The
+    table's files are left alone: it must be external."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+    def spec(folder: str) -> str:
+        pairs = []
+        for step in folder.split("/"):
+            name, _, value = step.partition("=")
+            value = utils.unescapePathName(value)
+            text = "NULL" if value == "__HIVE_DEFAULT_PARTITION__" else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            pairs.append(f"`{name}` = {text}")
+        return f"PARTITION ({', '.join(pairs)})"
+    for word, ending, folders in (("ADD IF NOT EXISTS", " ", filled), ("DROP IF EXISTS", ", ", gone)):
+        for at in range(0, len(folders), each):
+            spark.sql(f"ALTER TABLE {table} {word} {ending.join(map(spec, folders[at:at + each]))}")

@@ -5,13 +5,19 @@ passes through the driver."""
 from __future__ import annotations
 
 import codecs
+import contextlib
 import io
+import re
 import tarfile
+import uuid
 import zipfile
 import zlib
 from typing import Iterator
+from urllib.parse import quote
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -139,7 +145,6 @@ def read_nested_json(spark: SparkSession, path: str | DataFrame, spec: JsonSpec,
 def _decimal_to_double(ddl: str) -> str:
     """A variant schema as a ``from_json`` type: OBJECT -> STRUCT, fractional DECIMAL -> DOUBLE,
     VOID (only NULLs seen) -> STRING."""
-    import re
     ddl = re.sub(r"\bOBJECT<", "STRUCT<", ddl)
     ddl = re.sub(r"\bVOID\b", "STRING", ddl)
     return re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl, flags=re.IGNORECASE)
@@ -218,7 +223,7 @@ LINE_CHUNK = 10_000
 # Characters a CSV reader treats as blank around a line (Java trim: every char <= U+0020).
 _BLANK = "".join(chr(i) for i in range(33))
 # Errors that mean a damaged archive or member (bad zip/tar structure, CRC, truncation, bad text).
-ARCHIVE_DAMAGE = (zipfile.BadZipFile, tarfile.TarError, zlib.error, EOFError, UnicodeDecodeError, OSError)
+ARCHIVE_DAMAGE = (zipfile.BadZipFile, tarfile.TarError, zlib.error, EOFError, UnicodeDecodeError, OSError, pa.ArrowInvalid)   # the last: a place that the file does not have
 
 
 def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8", chunk: int = LINE_CHUNK,
@@ -260,6 +265,154 @@ def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8",
     return files.select("path", "content").mapInPandas(run, "archive string, member string, n long, line string")
 
 
+# ---------------------------------------------------------------- S12 archives by range
+#: One row for every member (n = -1) with its error, if it has one, and one for each of its content lines.
+CONTENTS = "archive string, member string, n long, line string, error string"
+#: Most tasks that read members, and bytes of members for each.
+MEMBER_TASKS, TASK_BYTES = 100_000, 32 << 20
+
+
+def _store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path within it."""
+    plain = re.sub(r"^file:/+", "/", path)
+    if plain.startswith("/"):
+        return fs.LocalFileSystem(), plain
+    scheme, _, rest = path.partition("://")
+    return fs.FileSystem.from_uri(f"{scheme}://{quote(rest)}")
+
+
+def write_file(path: str, content: bytes) -> None:
+    """Writes a whole file from a task: under a name of its own first, then moved, so that a task that is run
+    twice leaves no broken file."""
+    system, at = _store(path)
+    system.create_dir(at.rpartition("/")[0], recursive=True)
+    own = f"{at}.{uuid.uuid4().hex}"
+    with system.open_output_stream(own) as out:
+        out.write(content)
+    system.move(own, at)
+
+
+def reads_by_range(path: str) -> bool:
+    """Whether tasks can open a path of this kind and read any part of it."""
+    try:
+        _store(path)
+        return True
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+
+
+def _directory(kind: str, raw) -> list[tuple[str, int, int]]:
+    """Names of an archive's file members, their places and sizes.  Places: of a zip the number in its central
+    directory; of a tar where the member's header begins (-1: it is compressed as a whole and read through)."""
+    if kind == "zip":
+        with zipfile.ZipFile(raw) as z:
+            return [(m.filename, i, m.file_size) for i, m in enumerate(z.infolist()) if not m.is_dir()]
+    if kind != "tar":
+        raise ValueError(f"unknown archive kind {kind!r}")
+    try:
+        with tarfile.open(fileobj=raw, mode="r:") as t:
+            return [(m.name, m.offset, m.size) for m in t if m.isfile()]
+    except tarfile.ReadError:
+        raw.seek(0)
+        with tarfile.open(fileobj=raw, mode="r:*") as t:
+            return [(m.name, -1, m.size) for m in t if m.isfile()]
+
+
+@contextlib.contextmanager
+def _member(kind: str, raw, member: str, place: int):
+    """A member's bytes as a stream.  Of a zip and of a plain tar only its own range is read."""
+    if kind == "zip":
+        with zipfile.ZipFile(raw) as z, z.open(z.infolist()[place]) as found:
+            yield found
+    elif place >= 0:
+        raw.seek(place)
+        with tarfile.open(fileobj=raw, mode="r:") as t, t.extractfile(t.next()) as found:
+            yield found
+    else:
+        with tarfile.open(fileobj=raw, mode="r:*") as t, t.extractfile(member) as found:
+            yield found
+
+
+def archive_directory(files: DataFrame, kind: str) -> DataFrame:
+    """``(archive, member, place, size, error)`` from the directories of archives (``path``): of a zip only its end is
+    read.  An archive without a readable directory gives one row with its error."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple] = []
+            for path in pdf["path"]:
+                try:
+                    system, at = _store(path)
+                    with system.open_input_file(at) as raw:
+                        rows += [(path, *own, None) for own in _directory(kind, raw)]
+                except ARCHIVE_DAMAGE as e:
+                    rows.append((path, None, None, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["archive", "member", "place", "size", "error"]).astype({"place": "Int64"})
+    return files.select("path").mapInPandas(run, "archive string, member string, place long, size long, error string")
+
+
+def _streamed(path: str, member: str, place: int, kind: str, opened, encoding: str, comment: str | None, chunk: int) -> Iterator[pd.DataFrame]:
+    """One member's rows of CONTENTS, a bounded number at a time; its own row comes last, with what went wrong."""
+    rows: list[tuple] = []
+    n, error = 0, None
+    try:
+        with opened() as raw, _member(kind, raw, member, place) as found, io.TextIOWrapper(found, encoding=encoding, newline=None) as text:
+            for line in text:
+                line = line.rstrip("\n")
+                if not line.strip(_BLANK) or (comment and line.startswith(comment)):
+                    continue
+                rows.append((path, member, n, line, None))
+                n += 1
+                if len(rows) >= chunk:
+                    yield pd.DataFrame(rows, columns=_CONTENT_NAMES)
+                    rows = []
+    except ARCHIVE_DAMAGE as e:
+        error = f"{type(e).__name__}: {e}"
+    yield pd.DataFrame([*rows, (path, member, -1, None, error)], columns=_CONTENT_NAMES)
+
+
+def member_contents(directory: DataFrame, kind: str, encoding: str = "utf-8", comment: str | None = None, chunk: int = LINE_CHUNK) -> DataFrame:
+    """The members of a directory, each read by one task as a stream, in CONTENTS: every byte is read once, and
+    a task, which reads one member after another, holds one batch of lines.  Content lines are those of :func:`archive_lines`.  A damaged member
+    has the rows before the damage and its error."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, member, place, error in zip(pdf["archive"], pdf["member"], pdf["place"], pdf["error"]):
+                if member is None:
+                    yield pd.DataFrame([(path, None, -1, None, error)], columns=_CONTENT_NAMES)
+                    continue
+
+                def opened(path=path):
+                    system, at = _store(path)
+                    return system.open_input_file(at)
+                yield from _streamed(path, member, int(place), kind, opened, encoding, comment, chunk)
+    # the rows are names, which say nothing of the work: the number of tasks follows from the members' bytes
+    found = directory.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+    least = 2 * directory.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(found.n, max(least, found.bytes // TASK_BYTES), MEMBER_TASKS))
+    dealt = directory.withColumn("_turn", F.pmod(F.xxhash64("archive", "member", "place"), F.lit(tasks))).repartition(tasks, "_turn").drop("_turn")
+    return dealt.mapInPandas(run, CONTENTS)
+
+
+_CONTENT_NAMES = ["archive", "member", "n", "line", "error"]
+
+
+def archive_contents(files: DataFrame, kind: str, encoding: str = "utf-8", comment: str | None = None) -> DataFrame:
+    """CONTENTS of whole archives given as ``(path, content)``, for stores that only Spark can read: one
+    archive (of at most 2 GB) is one task's work."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                raw = io.BytesIO(bytes(content))
+                try:
+                    members = _directory(kind, raw)
+                except ARCHIVE_DAMAGE as e:
+                    yield pd.DataFrame([(path, None, -1, None, f"{type(e).__name__}: {e}")], columns=_CONTENT_NAMES)
+                    continue
+                for member, place, _ in members:
+                    yield from _streamed(path, member, place, kind, lambda data=raw.getvalue(): io.BytesIO(data), encoding, comment, LINE_CHUNK)
+    return files.select("path", "content").mapInPandas(run, CONTENTS)
+
+
 def expand_archives(files: DataFrame, kind: str = "zip", include_archive: bool = False) -> DataFrame:
     """One row per archive member ``(archive, member, content, validate)``.  Input rows are
     ``(path, content)`` (``binaryFile``); each task holds one archive at a time."""

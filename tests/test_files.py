@@ -587,3 +587,82 @@ def test_a_committed_batch_knows_the_files_it_left_out(spark, tmp_dir):
     for res in runs:
         assert {r.file_name: r.status for r in res.status.collect()} == {"j_2024-01-01.json": "PROCESSED", "j_2024-01-02.json": "ERROR"}
     assert runs[0].written == runs[1].written
+
+
+# ------------------------------------------------------------------ archives by range
+
+
+def _tar(path, members, mode="w"):
+    import tarfile
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with tarfile.open(path, mode) as t:
+        folder = tarfile.TarInfo("sub")
+        folder.type = tarfile.DIRTYPE
+        t.addfile(folder)
+        for name, text in members.items():
+            info = tarfile.TarInfo(name)
+            info.size = len(text.encode())
+            t.addfile(info, io.BytesIO(text.encode()))
+
+
+@pytest.mark.parametrize("kind,mode", [("zip", None), ("tar", "w"), ("tar", "w:gz")])
+def test_members_are_read_by_tasks_of_their_own(spark, tmp_dir, kind, mode):
+    from pyspark.sql import functions as F
+    from terrace.sources.files import archive_contents, archive_directory, member_contents
+    members = {f"sub/m{i}.csv": "id,v\n\n" + "".join(f"{i},{j}\n" for j in range(i)) for i in range(40)} | {"empty.csv": ""}
+    path = f"{tmp_dir}/a/big 1.{kind}"
+    _zip(path, members) if kind == "zip" else _tar(path, members, mode)
+    files = list_files(spark, f"{tmp_dir}/a")
+    directory = archive_directory(files, kind)
+    assert sorted(r.member for r in directory.collect()) == sorted(members)
+    got = member_contents(directory, kind)
+    tasks = got.select(F.spark_partition_id().alias("p"), "member").distinct().collect()
+    assert len({t.p for t in tasks}) > 5 and len(tasks) == len(members)      # many tasks, a member in one each
+    want = {(m, n, line) for m, text in members.items() for n, line in enumerate(x for x in text.splitlines() if x)}
+    for rows in (got, archive_contents(list_files(spark, f"{tmp_dir}/a", with_content=True), kind)):
+        found = rows.collect()
+        assert {(r.member, r.n, r.line) for r in found if r.n >= 0} == want
+        assert sorted((r.member, r.error) for r in found if r.n < 0) == sorted((m, None) for m in members)
+
+
+def test_damage_is_told_by_member(spark, tmp_dir):
+    from terrace.sources.files import archive_directory, member_contents
+    _zip(f"{tmp_dir}/a/x.zip", {"good.csv": "1\n", "bad.csv": "2\n" * 3000})
+    raw = bytearray(open(f"{tmp_dir}/a/x.zip", "rb").read())
+    at = raw.index(b"bad.csv") + 12
+    raw[at] ^= 0xFF
+    open(f"{tmp_dir}/a/x.zip", "wb").write(bytes(raw))
+    write(f"{tmp_dir}/a/y.zip", "no archive")
+    found = member_contents(archive_directory(list_files(spark, f"{tmp_dir}/a"), "zip"), "zip").where("n < 0").collect()
+    errors = {(r.archive[-5:], r.member): r.error or "" for r in found}
+    assert errors["x.zip", "good.csv"] == "" and "CRC" in errors["x.zip", "bad.csv"] and errors["y.zip", None]
+
+
+@pytest.mark.parametrize("block", [40, 97, 1 << 20])
+def test_records_that_span_lines_are_profiled_by_blocks(spark, tmp_dir, block):
+    import csv
+    import random
+    from terrace.quality.files import csv_profile
+    rng = random.Random(block)
+    want = {}
+    os.makedirs(f"{tmp_dir}/in")
+    for i in range(6):
+        buf = io.StringIO(newline="")
+        w = csv.writer(buf, lineterminator="\n")
+        w.writerow(["id", 'na"me', "x"])
+        for j in range(rng.randrange(60)):
+            w.writerow(["".join(rng.choice(["a", "b c", ",", '"', "\n", "", "é"]) for _ in range(rng.randrange(9))) for _ in range(rng.choice([1, 2, 3, 3, 3, 4]))])
+        text = buf.getvalue()
+        with open(f"{tmp_dir}/in/f{i}.csv", "w", newline="") as fh:
+            fh.write(text)
+        records = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+        want[f"f{i}.csv"] = (max([len(r) for r in records[1:]], default=0), len(records) - 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = csv_profile(spark, f"{tmp_dir}/in", CsvSpec(multiline=True)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {r.path.rsplit("/", 1)[-1]: (r.max_width, r["rows"]) for r in got} == want
+    assert {r.header for r in got} == {'id,"na""me",x'}

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from terrace.plans.metrics import merge_metrics_frame, process_events, table_metrics, with_read_metrics
+from terrace.plans.metrics import process_events, table_metrics, with_read_metrics, write_metrics
 from terrace.sinks.tables import append, register_partition
 from terrace.specs import TableSpec
 from terrace.sources.tables import table_schema
@@ -21,12 +21,18 @@ def test_table_metrics_and_read_metrics(spark, tmp_dir):
     assert obs.get["rows"] == 2
 
 
-def test_process_events_and_merge_frame(spark):
+def test_process_events_and_write_metrics(spark, tmp_dir):
     t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
     ev = process_events(spark, "landing", t0, t0 + dt.timedelta(seconds=90)).collect()
     assert [(r.event, r.value, r.unit) for r in ev] == [("start", None, None), ("end", 90.0, "Seconds")]
-    from terrace.operators.merge import MergeCounts
-    assert merge_metrics_frame(spark, "t", MergeCounts(1, 2, 0, 3)).first().kept == 3
+    from terrace.sinks.tables import merge_into
+    df = spark.createDataFrame([(1, "a", "p1"), (2, "b", "p2")], "k int, v string, d string")
+    spec = TableSpec(f"{tmp_dir}/t", schema=df.schema, primary_keys=["k"], partition_field="d")
+    first = write_metrics(spark, "append", append(spark, df, spec), spec.path).first()
+    assert (first.rows_written, first.inserted, first.files_added, first.files_removed, first.total_rows) == (2, 2, 2, 0, 2)
+    then = write_metrics(spark, "merge", merge_into(spark, spec, spark.createDataFrame([(2, "B", "p2"), (3, "c", "p3")], df.schema)), spec.path).first()
+    assert (then.inserted, then.updated, then.deleted, then.total_rows, then.files_removed) == (1, 1, 0, 3, 1)
+    assert then.total_bytes == first.total_bytes + then.bytes_added - then.bytes_removed
 
 
 def test_schema_lookup_partition_last(spark, tmp_dir):
@@ -78,3 +84,19 @@ def test_stream_checkpoint_default_is_beside_the_table():
     from terrace.streaming.landing_stream import default_checkpoint
     assert default_checkpoint(TableSpec("/data/raw/t/")) == default_checkpoint(TableSpec("/data/raw/t")) == "/data/raw/t/_landing_checkpoint"
     assert default_checkpoint(TableSpec("s3a://lake/")) == "s3a://lake/_landing_checkpoint"
+
+
+def test_partitions_with_odd_values_are_synced(spark, tmp_dir):
+    from terrace.sinks.tables import read_target, sync_partitions
+    df = spark.createDataFrame([(1, "it's a/b"), (2, "x=1"), (3, None)], "k int, d string")
+    spec = TableSpec(f"{tmp_dir}/odd", schema=df.schema, partition_field="d")
+    res = append(spark, df, spec)
+    spark.sql("DROP TABLE IF EXISTS odd_parts")
+    spark.sql(f"CREATE TABLE odd_parts (k INT, d STRING) USING parquet PARTITIONED BY (d) LOCATION '{spec.path}'")
+    folders = [n.rpartition("/")[0] for n in __import__("terrace.sinks.commit", fromlist=["Commits"]).Commits(spark, spec.path).files(deep=True)]
+    sync_partitions(spark, "odd_parts", folders, [])
+    assert sorted(r.k for r in spark.table("odd_parts").collect()) == [1, 2, 3] and res.files_added == 3
+    sync_partitions(spark, "odd_parts", [], [f for f in folders if "x" in f])
+    assert sorted(r.k for r in spark.table("odd_parts").collect()) == [1, 3]
+    assert read_target(spark, spec).count() == 3      # files are left alone
+    spark.sql("DROP TABLE IF EXISTS odd_parts")

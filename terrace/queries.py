@@ -904,7 +904,7 @@ def landing_to_raw(spark, sf_dir):
     for half in (0, 1):
         folders.append(scratch_path(spark, "landing"))
         mine = twice.where(F.coalesce(F.pmod("user_id", F.lit(2)), F.lit(0)) == half)
-        mine.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(folders[-1])
+        mine.hint("rebalance", "day").write.partitionBy("day").options(header="true", escape='"').csv(folders[-1])
     for folder in [*folders, folders[1]]:
         res = land(spark, folder, spec, raw, columns=EVENT_RAW_COLS, date_from="path")
         bad = res.status.where(F.col("status") != "PROCESSED").count()
@@ -1208,7 +1208,7 @@ def streaming_landing(spark, sf_dir):
         "event_id", F.date_format("ts", fx.TS_FORMAT).alias("ts"), "user_id", "event_type", "value", "props",
         F.date_format("ts", "yyyy_MM_dd").alias("day"))
     folder = scratch_path(spark, "landing_stream_in")
-    e.hint("rebalance", "day").write.partitionBy("day").option("header", "true").csv(folder)
+    e.hint("rebalance", "day").write.partitionBy("day").options(header="true", escape='"').csv(folder)
     spec = LandingSpec(filename_pattern=r"part-\d{5}-.*\.csv", date_regex=r"day=(\d{4})_(\d{2})_(\d{2})")
     raw = TableSpec(scratch_path(spark, "raw_events_stream"), partition_field="data_date")
     q = start_landing(spark, folder, spec, raw, EVENT_RAW_COLS, date_from="path")

@@ -47,6 +47,7 @@ CHUNK, PIECE, TRIGGER_BYTES, PHRASE_BYTES = 2_000_000, 500_000, 32_000_000, 8_00
 HOT_CHUNKS = 2000
 ZSTD = 7  # level: chunks are written once and shuffled twice
 MOST = 31  # strings in a phrase: bits of a mask
+SLICE = 8192  # phrases that are hashed or copied at once
 U64 = np.uint64
 #: Triggers travel as their upper 39 bits and a flag: a shard holds a bounded number of them, so few meet by
 #: accident at any input size, and those that do are only looked at in vain.
@@ -145,7 +146,13 @@ class Phrases:
 def _gather(body: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     if not len(start):
         return body[:0]
-    return body[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+    out, at = np.empty(int(size.sum()), body.dtype), 0
+    for a in range(0, len(start), SLICE):
+        n = size[a:a + SLICE]
+        many = int(n.sum())
+        out[at:at + many] = body[np.repeat(start[a:a + SLICE] - (np.cumsum(n) - n), n) + np.arange(many)]
+        at += many
+    return out
 
 
 def _words_at(body: np.ndarray):
@@ -320,6 +327,17 @@ def _phrases(length: int, shards: int):
     return run
 
 
+def _polynomials(text: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Polynomial hash of each phrase; in slices, since every byte takes several numbers on the way."""
+    out, power = np.zeros(len(begin), U64), _power_tables()[0]
+    for a in range(0, len(begin), SLICE):
+        at, n = begin[a:a + SLICE], size[a:a + SLICE]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        own = text[at[0]:at[-1] + n[-1]]
+        out[a:a + SLICE] = np.add.reduceat(_TABLE[own] * power[place], at - at[0])
+    return out
+
+
 def _smaller(length: int):
     """Pass 3: dictionary, parse and suffix array of a shard; masks of strings with a smaller document."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -330,8 +348,7 @@ def _smaller(length: int):
         chunk = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
         size = count + length - 1
         begin = np.cumsum(size) - size
-        place = np.arange(len(text)) - np.repeat(begin, size)
-        mark = _marks(np.add.reduceat(_TABLE[text] * _power_tables()[0][place], begin), count)
+        mark = _marks(_polynomials(text, begin, size), count)
         # the parse: occurrences of each distinct phrase, by document
         parse = np.lexsort((doc, mark))
         first = np.concatenate([[True], mark[parse][1:] != mark[parse][:-1]])

@@ -8,7 +8,7 @@ their document frequencies are in sorted hash arrays in the shared folder (64-bi
 workers memory-map.
 
 The index keeps, for each word of the examples, its postings by example and the largest weight in
-every block of examples that has it.  Words of over 1 in ``COMMON`` examples are also columns of a matrix: their share
+every block of examples that has it; its arrays are in the shared folder too, and workers map them.  Words of over 1 in ``COMMON`` examples are also columns of a matrix: their share
 of all cosines is one product for many texts.  To that of a block a query adds the block maxima of its
 other words: blocks are visited from the highest bound on, and those whose bound is below the k-th best
 score are never scored, so the neighbours are exact.
@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -40,8 +40,8 @@ from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, Lo
 
 from ..session import scratch_path
 from .common import fold, lean, plainly, release, staged, units, words_of
-from .lm import _mapped, pack, summed, unpack, word_shard
-from .shared_arrays import write_array
+from .lm import _mapped, _opened, pack, summed, unpack, word_shard
+from .shared_arrays import map_array, write_array
 
 #: Most examples in the index (half of them toxic, as far as there are).
 EXAMPLES = 4000
@@ -52,6 +52,8 @@ FLUSH, WORD_BYTES = 500_000, 64_000_000
 BLOCK, COMMON = 64, 20
 #: Texts whose common words are multiplied at once.
 TOGETHER = 64
+#: Bytes of text whose words are counted before they are scored.
+SLICE_BYTES = 1 << 20
 NEIGHBOURS = 15
 U64 = np.uint64
 
@@ -95,6 +97,10 @@ def _spans(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+#: Arrays of an index that workers map.
+ARRAYS = ("value", "start", "place", "weight", "cell", "block", "first", "top", "column", "label", "ids", "matrix", "hashes", "numbers")
+
+
 @dataclass
 class Index:
     """Block-max inverted index of unit vectors with labels, and the curve from votes to probabilities."""
@@ -115,13 +121,44 @@ class Index:
     curve: tuple[float, float] = (0.0, 0.0)
     without: float = 0.0
     frequencies: Frequencies | None = None
-    matrix: np.ndarray | None = None  # made where it is used
+    matrix: np.ndarray | None = None  # weights of the common words by example
+    hashes: np.ndarray | None = None  # of the terms, sorted
+    numbers: np.ndarray | None = None  # the term of each hash
 
     def _known(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """The term of each word, or -1, and 1 + log of its count."""
-        t = np.fromiter(map(self.terms.get, counts, [-1] * len(counts)), np.int64, len(counts))
+        if self.hashes is None:
+            h = _hashes(self.terms)
+            self.numbers = np.argsort(h)
+            self.hashes = h[self.numbers]
+        t = np.full(len(counts), -1)
+        if len(counts) and len(self.hashes):
+            h = _hashes(counts)
+            place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            t = np.where(self.hashes[place] == h, self.numbers[place], -1)
         return t, 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
 
+    def share(self, folder: str) -> Index:
+        """Writes the arrays to the shared folder; what is left is small and opens them where it is used."""
+        self._known({})
+        self._common()
+        for name in ARRAYS:
+            write_array(folder, name, getattr(self, name))
+        return replace(self, terms={}, frequencies=self.frequencies, **{name: None for name in ARRAYS})
+
+    def opened(self, folder: str) -> Index:
+        """The index with its arrays mapped: workers of a machine share them, and read what their texts ask for."""
+        return replace(self, **{name: map_array(folder, name) for name in ARRAYS})
+
+    def _common(self) -> None:
+        if self.matrix is None:
+            common = np.flatnonzero(self.column >= 0)
+            lo = self.start[common, 0]
+            size = self.start[common, 1] - lo
+            at = _spans(lo, size)
+            self.matrix = np.zeros((len(common), -(-len(self.label) // BLOCK) * BLOCK))
+            self.matrix[np.repeat(np.arange(len(common)), size), self.place[at]] = self.weight[at]
+
     def _unit(self, t: np.ndarray, tf: np.ndarray, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(t)
         order = order[np.searchsorted(t[order], 0):]
@@ -135,13 +172,7 @@ class Index:
 
     def _shares(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """What the common words add to the cosines of each text with all examples."""
-        if self.matrix is None:
-            common = np.flatnonzero(self.column >= 0)
-            lo = self.start[common, 0]
-            size = self.start[common, 1] - lo
-            at = _spans(lo, size)
-            self.matrix = np.zeros((len(common), -(-len(self.label) // BLOCK) * BLOCK))
-            self.matrix[np.repeat(np.arange(len(common)), size), self.place[at]] = self.weight[at]
+        self._common()
         query = np.zeros((len(vectors), len(self.matrix)))
         for i, (t, v) in enumerate(vectors):
             c = self.column[t]
@@ -271,7 +302,6 @@ def build_index(terms: list[bytes], examples: list[tuple[int, int, dict[bytes, i
     bare_sum = np.sum(bare, axis=0)
     index.without = float((bare_sum[0]) / (bare_sum[1] + 1))
     index.curve = _logistic(np.array(votes), np.array(labels), np.array(weights))
-    index.matrix = None
     return index
 
 
@@ -367,6 +397,20 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, text: str
     return build_index(names, rows, sizes.get(1, 0), sizes.get(1, 0) + sizes.get(0, 0), frequencies=frequencies(docs, text))
 
 
+def _slices(texts: pa.Array):
+    """Word counts of a few texts at a time: what a worker holds of them is bounded."""
+    part, size = [], 0
+    for raw in texts:
+        raw = raw.as_py()
+        part.append(Counter(words_of(raw)))
+        size += len(raw or b"")
+        if size >= SLICE_BYTES:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def score(docs: DataFrame, index: Index, text: str = "text", keep: list[str] | None = None, with_text: bool = False) -> DataFrame:
     """``keep`` columns (default doc_id) of every row with ``score`` and ``evidence`` (the nearest examples,
     their labels and cosines)."""
@@ -374,18 +418,22 @@ def score(docs: DataFrame, index: Index, text: str = "text", keep: list[str] | N
     src = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("binary").alias("_text"))
     kind = ArrayType(StructType([StructField("doc_id", LongType()), StructField("label", DoubleType()), StructField("cosine", DoubleType())]))
     schema = StructType([*src.schema.fields, StructField("score", DoubleType()), StructField("evidence", kind)])
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES
+    folder = scratch_path(docs.sparkSession, "toxicity-index")
+    small = index.share(folder)   # bounded by EXAMPLES
 
     def run(batches):
-        own = shared.value
+        own = small.opened(folder)
         arrow = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.float64()), ("cosine", pa.float64())]))
-        for b in batches:
-            scores, evidence = [], []
-            texts = [Counter(words_of(raw.as_py())) for raw in b.column(b.schema.get_field_index("_text"))]
-            for p, near, cos in own.scores(texts):
-                scores.append(p)
-                evidence.append([{"doc_id": int(own.ids[i]), "label": float(own.label[i]), "cosine": float(c)} for i, c in zip(near, cos)])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(evidence, arrow)], names=[*b.schema.names, "score", "evidence"])
+        try:
+            for b in batches:
+                scores, evidence = [], []
+                for texts in _slices(b.column(b.schema.get_field_index("_text"))):
+                    for p, near, cos in own.scores(texts):
+                        scores.append(p)
+                        evidence.append([{"doc_id": int(own.ids[i]), "label": float(own.label[i]), "cosine": float(c)} for i, c in zip(near, cos)])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(evidence, arrow)], names=[*b.schema.names, "score", "evidence"])
+        finally:   # nothing of the index stays in the worker for later stages
+            _opened.cache_clear()
     out = src.mapInArrow(lean(run), schema)
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *(["_text"] if with_text else []), "score", "evidence")
 

@@ -243,27 +243,41 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
     return done
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """``doc_id``, ``fp`` (long) and ``component_id``: the smallest id reachable over links of at most
-    ``distance`` differing bits."""
+def _placed(docs: DataFrame, text: str, doc_id: str, shingle: int, distance: int) -> DataFrame:
+    """doc_id, fp, component_id and ``root``, the fingerprint that names the component."""
     fps, _ = staged(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shingle=shingle), "simhash-fps")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = links(nodes.select("fp"), distance)
     roots, path = staged(components(found, "a", "b"), "simhash-roots")
     placed = nodes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of, _ = staged(placed.join(least, "root").select("fp", "component_id"), "simhash-components")
+    of, _ = staged(placed.join(least, "root").select("fp", "component_id", "root"), "simhash-components")
     release(docs.sparkSession, path)
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(of, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
+    """``doc_id``, ``fp`` (long) and ``component_id``: the smallest id reachable over links of at most
+    ``distance`` differing bits."""
+    return _placed(docs, text, doc_id, shingle, distance).drop("root")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3, distance: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id (one, if several rows have it).
-    Where a component has no id at all, one row of each fingerprint stays.  Columns stay as they are."""
+    """``docs`` with one row of each component: that with the smallest id, and of several rows with that id in the
+    component one with the least fingerprint.  Rows with one id in several components count for each of
+    them.  Where a component has no id at all, one row of each fingerprint stays.  Columns stay as they are."""
     plain, text, doc_id, names = plainly(docs, text, doc_id)
-    near, _ = staged(near_duplicates(plain, text, doc_id, shingle, distance), "simhash-near")
-    first = near.where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = plain.join(first, doc_id, "left_semi").dropDuplicates([doc_id])
+    near, _ = staged(_placed(plain, text, doc_id, shingle, distance), "simhash-near")
+    first = near.where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias(doc_id), F.min("fp").alias("fp"))
+    several = near.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(doc_id)).agg((F.min("fp") != F.max("fp")).alias("several")).where("several")
+    named = plain.join(first.select(doc_id), doc_id, "left_semi")
+    if several.isEmpty():   # an id tells the text
+        named = named.dropDuplicates([doc_id])
+    else:
+        by_id = named.join(several, doc_id, "left_anti").dropDuplicates([doc_id])
+        told = fingerprints(named.join(several, doc_id, "left_semi").withColumn("_words", F.col(text)), "_words", plain.columns, shingle)
+        told = told.join(first.select(doc_id, "fp"), [doc_id, "fp"], "left_semi").dropDuplicates([doc_id, "fp"])
+        named = by_id.select(*plain.columns).unionAll(told.select(*plain.columns))
     bare = plain.where(F.col(doc_id).isNull())
     bare = fingerprints(bare.withColumn("_words", F.col(text)), "_words", plain.columns, shingle)
     bare = bare.join(near.where("component_id IS NULL").select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])

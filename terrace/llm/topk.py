@@ -10,9 +10,10 @@ Queries come in blocks too, and every block of queries meets every block of cand
 task holds is bounded by the block sizes, and only k rows a query and block of candidates leave it.
 
 Defined results: vectors that are null, or hold a null or non-finite number, take no part, as do
-null ids; shorter vectors count as filled up with zeros (an empty one scores 0); rows with the same
-id are one candidate, the one with the least vector; equal scores go to the smaller id; fewer
-candidates than k give fewer rows.  Scores are 64-bit, so |score| must stay below 2^62.
+null ids; shorter vectors count as filled up with zeros (an empty one scores 0); equal rows are one
+candidate, rows with one id and other vectors each are one, and as queries they share their id's k
+places; a row's own id is never its candidate; equal scores go to the smaller id; fewer candidates
+than k give fewer rows.  Scores are 64-bit, so |score| must stay below 2^62.
 """
 
 from __future__ import annotations
@@ -33,12 +34,12 @@ STEP = 8
 
 
 def whole_numbers(df: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
-    """``id`` and ``vec``: floor(scale * x) of each component x, as long; one row for an id."""
+    """``id`` and ``vec``: floor(scale * x) of each component x, as long; equal rows once."""
     x = F.col(embedding)
     good = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     vec = F.transform(x, lambda v: F.floor(F.lit(float(scale)) * v.cast("double")).cast("long"))
     rows = df.where(F.coalesce(good, F.lit(False)) & F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("id"), vec.alias("vec"))
-    return rows.groupBy("id").agg(F.min("vec").alias("vec"))
+    return rows.distinct()
 
 
 BLOCK = StructType([StructField("block", IntegerType()), StructField("n", IntegerType()), StructField("dims", IntegerType()),

@@ -201,6 +201,12 @@ def test_one_of_each_keeps_columns_and_bare_rows(spark):
     assert [r["text"] for r in out.where("doc_id IS NULL").collect()] == ["p q r"]
 
 
+def test_one_of_each_tells_texts_of_one_id_apart(spark):
+    docs = docs_of(spark, ["a b c d", "q w e r t", "a b c d", "q w e r t", "q w e r t", "solo one text"], [1, 1, 2, 1, 7, 3])
+    out = simhash.one_of_each(docs)
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, "a b c d"), (1, "q w e r t"), (3, "solo one text")]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}

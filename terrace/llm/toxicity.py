@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -54,6 +54,8 @@ BLOCK, COMMON = 64, 20
 TOGETHER = 64
 #: Bytes of text whose words are counted before they are scored.
 SLICE_BYTES = 1 << 20
+#: Words whose codes a worker remembers.
+REMEMBERED = 150_000
 NEIGHBOURS = 15
 U64 = np.uint64
 
@@ -79,7 +81,9 @@ class Frequencies:
     documents: int
 
     def of(self, words) -> np.ndarray:
-        h = _hashes(words)
+        return self.of_hashes(_hashes(words))
+
+    def of_hashes(self, h: np.ndarray) -> np.ndarray:
         out, shard = np.zeros(len(h), np.int64), word_shard(h, self.shards)
         order = np.lexsort((h, shard))
         ends = np.searchsorted(shard[order], np.arange(self.shards + 1))
@@ -124,6 +128,7 @@ class Index:
     matrix: np.ndarray | None = None  # weights of the common words by example
     hashes: np.ndarray | None = None  # of the terms, sorted
     numbers: np.ndarray | None = None  # the term of each hash
+    codes: dict[bytes, float] = field(default_factory=dict)  # of words met lately, see _learn
 
     def _known(self, counts: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
         """The term of each word, or -1, and 1 + log of its count."""
@@ -131,12 +136,30 @@ class Index:
             h = _hashes(self.terms)
             self.numbers = np.argsort(h)
             self.hashes = h[self.numbers]
-        t = np.full(len(counts), -1)
-        if len(counts) and len(self.hashes):
-            h = _hashes(counts)
-            place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            t = np.where(self.hashes[place] == h, self.numbers[place], -1)
-        return t, 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+        return self._terms(_hashes(counts)), 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+
+    def _terms(self, h: np.ndarray) -> np.ndarray:
+        if not len(h) or not len(self.hashes):
+            return np.full(len(h), -1)
+        place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[place] == h, self.numbers[place], -1)
+
+    def _learn(self, texts: list[dict[bytes, int]]) -> dict[bytes, float]:
+        """The code of every word of the texts: its term, or, for a word that is no term, its weight for one
+        occurrence as a negative number.  A worker remembers a bounded number of codes."""
+        new = {w for counts in texts for w in counts if w not in self.codes}
+        if len(self.codes) + len(new) > REMEMBERED:
+            self.codes.clear()
+            new = {w for counts in texts for w in counts}
+        h = _hashes(new)
+        t = self._terms(h)
+        code, bare = t.astype(float), t < 0
+        if self.frequencies is None:
+            code[bare] = -1e-200   # no part in the norm
+        else:
+            code[bare] = -_idf(self.frequencies.of_hashes(h[bare]), self.frequencies.documents) * _relevance(np.zeros(1))
+        self.codes.update(zip(new, code.tolist()))
+        return self.codes
 
     def share(self, folder: str) -> Index:
         """Writes the arrays to the shared folder; what is left is small and opens them where it is used."""
@@ -144,11 +167,11 @@ class Index:
         self._common()
         for name in ARRAYS:
             write_array(folder, name, getattr(self, name))
-        return replace(self, terms={}, frequencies=self.frequencies, **{name: None for name in ARRAYS})
+        return replace(self, terms={}, codes={}, frequencies=self.frequencies, **{name: None for name in ARRAYS})
 
     def opened(self, folder: str) -> Index:
         """The index with its arrays mapped: workers of a machine share them, and read what their texts ask for."""
-        return replace(self, **{name: map_array(folder, name) for name in ARRAYS})
+        return replace(self, codes={}, **{name: np.asarray(map_array(folder, name)) for name in ARRAYS})
 
     def _common(self) -> None:
         if self.matrix is None:
@@ -219,8 +242,15 @@ class Index:
 
     def scores(self, texts: list[dict[bytes, int]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Score, nearest examples and cosines of each text, given by the counts of its words."""
-        known = [self._known(counts) for counts in texts]
-        rests = self._rests(texts, known) if self.frequencies else [0.0] * len(texts)
+        if self.hashes is None:
+            self._known({})
+        codes, known, rests = self._learn(texts), [], []
+        for counts in texts:
+            code = np.fromiter(map(codes.__getitem__, counts), float, len(counts))
+            tf = 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+            bare = code < 0
+            known.append((code[~bare].astype(np.int64), tf[~bare]))
+            rests.append(float(np.sum((tf[bare] * code[bare]) ** 2)))
         out = []
         for at in range(0, len(texts), TOGETHER):
             vectors = [self._unit(*k, rest) for k, rest in zip(known[at:at + TOGETHER], rests[at:at + TOGETHER])]
@@ -230,18 +260,6 @@ class Index:
                 out.append((1 / (1 + math.exp(-max(-500.0, min(500.0, a * self.vote(near, cos) + b)))) if len(near) else self.without, near, cos))
         return out
 
-    def _rests(self, texts: list[dict[bytes, int]], known: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
-        """The sum of the squared weights of the words of each text that are no terms."""
-        numbers: dict[bytes, int] = {}
-        doc, word, tf = [], [], [np.zeros(0)]
-        for i, (counts, (t, n)) in enumerate(zip(texts, known)):
-            own = [numbers.setdefault(w, len(numbers)) for w, k in zip(counts, t.tolist()) if k < 0]
-            doc += [i] * len(own)
-            word += own
-            tf.append(n[t < 0])
-        idf = _idf(self.frequencies.of(numbers), self.frequencies.documents) * _relevance(np.zeros(1))
-        return np.bincount(np.array(doc, np.int64), (np.concatenate(tf) * idf[np.array(word, np.int64)]) ** 2, len(texts)).tolist()
-
 
 def build_index(terms: list[bytes], examples: list[tuple[int, int, dict[bytes, int]]], positives: int, total: int, k: int = NEIGHBOURS,
                 frequencies: Frequencies | None = None) -> Index:

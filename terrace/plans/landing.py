@@ -37,6 +37,8 @@ from ..specs import LandingSpec, TableSpec
 
 #: Files of one read: what the driver holds of the paths at a time.
 FILES_PER_BATCH = 5000
+#: If no file of a batch is larger, opening and writing files is the work: a write task has so many of them.
+SMALL_FILE, FILES_PER_TASK = 1 << 20, 50
 
 
 @dataclass
@@ -158,7 +160,8 @@ def _parse(spark: SparkSession, paths: list[str], spec: LandingSpec, columns: li
     files = [literal_path(p) for p in paths]
     hp = spec.csv.header_position
     if spec.zipped:
-        lines = contents.where((F.col("n") >= 0) & F.col("archive").isin(paths)).withColumnRenamed("archive", "path")
+        archive = F.col("archive")   # the range leaves out most parts of the contents, which lie in the archives' order
+        lines = contents.where((F.col("n") >= 0) & archive.between(min(paths), max(paths)) & archive.isin(paths)).withColumnRenamed("archive", "path")
         body = lines.where(F.col("n") > hp) if spec.csv.header else lines
         return _parse_lines(body, spec, columns)
     if spec.file_format == "csv" and spec.csv.header and hp > 0:
@@ -246,10 +249,11 @@ def _write_files(write, read, paths: list[str]) -> tuple[WriteResult | None, lis
     return (write(good, bad) if good else None), bad
 
 
-def _batches(paths, each: int):
-    batch: list[str] = []
-    for row in paths.toLocalIterator():
-        batch.append(row["path"])
+def _batches(files, each: int):
+    """(path, length) of some files at a time."""
+    batch: list[tuple[str, int]] = []
+    for row in files.toLocalIterator():
+        batch.append((row["path"], row["length"]))
         if len(batch) == each:
             yield batch
             batch = []
@@ -257,6 +261,13 @@ def _batches(paths, each: int):
         yield batch
 
 
+def _write_tasks(spark: SparkSession, files: list[tuple[str, int]]) -> int | None:
+    """How many tasks write the rows of some small files; None where the rows are the work."""
+    if max(size for _, size in files) > SMALL_FILE:
+        return None
+    return max(len(files) // FILES_PER_TASK, min(len(files), spark.sparkContext.defaultParallelism))
+
+
 def _gate(spark: SparkSession, status: DataFrame, rules: DataFrame, params: dict | None, registry: dict | None, results) -> tuple[DataFrame, ControlRun]:
     """The landing rules run over the files' status frame (view ``data``: one row per file, the
     outcome of every check as a column; identifiers are paths); results are stored, and only a
@@ -325,11 +336,13 @@ def land(spark: SparkSession, folder: str, spec: LandingSpec, raw: TableSpec, co
         _file_rows(spark, paths, spec, raw, columns, date_from, root, contents).write.format("noop").mode("overwrite").save()
 
     written, unreadable = WriteResult(0, [], None, 0, 0, 0, 0), []   # of all batches
-    for i, batch in enumerate(_batches(status.where(F.col("status") == "PROCESSED").select("path").orderBy("path"), files_per_batch)):
+    for i, batch in enumerate(_batches(status.where(F.col("status") == "PROCESSED").select("path", "length").orderBy("path"), files_per_batch)):
+        tasks = _write_tasks(spark, batch)
+
         def write(paths: list[str], left_out: list[tuple[str, str]]) -> WriteResult:
             delivered = [p.rsplit(root.rstrip("/") + "/", 1)[-1] for p in paths]
-            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root, contents), raw, delivered, token and f"{token}-{i}", left_out)
-        done, bad = _write_files(write, read, batch)
+            return write_raw(spark, _file_rows(spark, paths, spec, raw, columns, date_from, root, contents), raw, delivered, token and f"{token}-{i}", left_out, tasks)
+        done, bad = _write_files(write, read, [path for path, _ in batch])
         written, unreadable = written if done is None else written + done, unreadable + bad
         if done is not None and catalog_table:
             sync_partitions(spark, catalog_table, done.partitions, done.gone)

@@ -47,13 +47,16 @@ class WriteResult:
                            *[getattr(self, f) + getattr(other, f) for f in ("files_added", "files_removed", "bytes_added", "bytes_removed", "notes", "gone")])
 
 
-def _writer(df: DataFrame, spec: TableSpec, mode: str):
+def _writer(df: DataFrame, spec: TableSpec, mode: str, tasks: int | None = None):
     """Partitioned writes first REBALANCE on the partition columns: rows of one partition value
     meet in few tasks (few, large files instead of tasks x partitions small ones), and AQE
-    splits a partition value that holds a large share of the rows and coalesces small ones.  Files
-    of a clustered table are written in the order of its keys."""
+    splits a partition value that holds a large share of the rows and coalesces small ones.  Where
+    many partitions hold few rows each, the files are the work, not the rows: ``tasks`` says how many
+    tasks share them.  Files of a clustered table are written in the order of its keys."""
     keys = _cluster_keys(spec)
-    if spec.partition_columns:
+    if spec.partition_columns and tasks:
+        df = df.repartition(tasks, *spec.partition_columns)
+    elif spec.partition_columns:
         df = df.hint("rebalance", *spec.partition_columns)
     df = df.sortWithinPartitions(*spec.partition_columns, *keys) if keys else df
     w = df.write.mode(mode)
@@ -151,11 +154,11 @@ def _retried(spark: SparkSession, spec: TableSpec, token: str | None, attempt) -
             delete_path(spark, f"{spec.path.rstrip('/')}/{STAGED}/{token}")
 
 
-def _staged_rows(commits: Commits, token: str, rows: DataFrame, spec: TableSpec) -> tuple[str, Observation]:
+def _staged_rows(commits: Commits, token: str, rows: DataFrame, spec: TableSpec, tasks: int | None = None) -> tuple[str, Observation]:
     """Rows written aside, partitioned as the table is."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     staged = commits.staging(token)
-    _writer(rows.observe(obs, F.count(F.lit(1)).alias("rows")), spec, "overwrite").parquet(staged)
+    _writer(rows.observe(obs, F.count(F.lit(1)).alias("rows")), spec, "overwrite", tasks).parquet(staged)
     return staged, obs
 
 
@@ -359,7 +362,7 @@ def delete_where(spark: SparkSession, spec: TableSpec, predicate: str, token: st
 
 
 def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: list[str] | None = None, token: str | None = None,
-              notes: list | None = None) -> WriteResult:
+              notes: list | None = None, tasks: int | None = None) -> WriteResult:
     """K6/K7: records filed as delivered (repeated records stay) under
     ``<table>/<partition_field>=<value>/``, and below it by delivered file if the table has a
     ``source_field``; partitions are created by the write.
@@ -367,29 +370,31 @@ def write_raw(spark: SparkSession, df: DataFrame, spec: TableSpec, delivered: li
     ``delivered`` names all files of this delivery, those without any row too.  The commit records which
     partitions each of them filled, and takes out every partition that its last delivery filled: a file
     that is delivered again, with other dates or none, replaces exactly what it brought before.  Without
-    a source field a re-delivered date replaces its partition."""
+    a source field a re-delivered date replaces its partition.  ``tasks``: see :func:`_writer`."""
     missing = [c for c in spec.partition_columns if c not in df.columns]
     if missing or not spec.partition_columns:
         raise ValueError(f"{missing or spec.partition_field!r}: not a partition column of the rows")
     delivered = sorted(set(delivered or [])) if spec.source_field else []
 
     def attempt(commits, token, base):
-        staged, obs = _staged_rows(commits, token, table_rows(spark, df, spec), spec)
+        staged, obs = _staged_rows(commits, token, table_rows(spark, df, spec), spec, tasks)
         below = len(f"{STAGED}/{token}/")
-        fresh = {n[below:].rpartition("/")[0] for n in commits.files(f"{STAGED}/{token}", True)}
+        files = commits.files(f"{STAGED}/{token}", True)
+        fresh = {n[below:].rpartition("/")[0] for n in files}
         before, now = set(), []
         if delivered:
             names = spark.createDataFrame([(s,) for s in delivered], "source string")
             for r in commits.deliveries().join(names, "source").collect():   # of these files only
                 before |= set(r.partitions)
-            ending = {partition_folder(spark, {spec.source_field: s}): s for s in delivered}
+            utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+            ending = {utils.getPartitionPathString(spec.source_field, s): s for s in delivered}
             filled: dict[str, list[str]] = {s: [] for s in delivered}
             for folder in sorted(fresh):
                 filled.setdefault(ending.get(folder.rpartition("/")[2], folder), []).append(folder)
             now = sorted(filled.items())
         removed = {n: size for f in sorted(fresh | before) for n, size in commits.files(f).items()}
         scope = sorted(fresh | before)
-        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh), "notes": notes or [], "gone": sorted(before - fresh)}, now)
+        facts = commits.commit(token, base, staged, removed, scope, {"rows_written": observed(obs, "rows"), "partitions": sorted(fresh), "notes": notes or [], "gone": sorted(before - fresh)}, now, files)
         return facts
     return _retried(spark, spec, token, attempt)
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 import codecs
 import contextlib
 import io
+import itertools
 import re
 import tarfile
 import uuid
@@ -270,6 +271,8 @@ def archive_lines(files: DataFrame, kind: str = "zip", encoding: str = "utf-8",
 CONTENTS = "archive string, member string, n long, line string, error string"
 #: Most tasks that read members, and bytes of members for each.
 MEMBER_TASKS, TASK_BYTES = 100_000, 32 << 20
+#: What opening a member costs, as bytes that could be read in that time, and runs of members for each task.
+MEMBER_BYTES, LOTS_PER_TASK = 16 << 10, 4
 
 
 def _store(path: str) -> tuple[fs.FileSystem, str]:
@@ -318,24 +321,41 @@ def _directory(kind: str, raw) -> list[tuple[str, int, int]]:
             return [(m.name, -1, m.size) for m in t if m.isfile()]
 
 
-@contextlib.contextmanager
-def _member(kind: str, raw, member: str, place: int):
-    """A member's bytes as a stream.  Of a zip and of a plain tar only its own range is read."""
-    if kind == "zip":
-        with zipfile.ZipFile(raw) as z, z.open(z.infolist()[place]) as found:
-            yield found
-    elif place >= 0:
-        raw.seek(place)
-        with tarfile.open(fileobj=raw, mode="r:") as t, t.extractfile(t.next()) as found:
-            yield found
-    else:
-        with tarfile.open(fileobj=raw, mode="r:*") as t, t.extractfile(member) as found:
-            yield found
+class _Opened:
+    """An archive opened once for several of its members, one after another."""
+
+    def __init__(self, kind: str, raw):
+        self.kind, self.raw, self.whole, self.entries = kind, raw, None, None
+        if kind == "zip":
+            self.whole = zipfile.ZipFile(raw)
+            self.entries = self.whole.infolist()
+
+    @contextlib.contextmanager
+    def member(self, name: str, place: int):
+        """A member's bytes as a stream.  Of a zip and of a plain tar only its own range is read."""
+        if self.kind == "zip":
+            with self.whole.open(self.entries[place]) as found:
+                yield found
+        elif place >= 0:
+            self.raw.seek(place)
+            with tarfile.open(fileobj=self.raw, mode="r:") as t, t.extractfile(t.next()) as found:
+                yield found
+        else:
+            if self.whole is None:
+                self.whole = tarfile.open(fileobj=self.raw, mode="r:*")
+            with self.whole.extractfile(name) as found:
+                yield found
+
+    def close(self) -> None:
+        if self.whole is not None:
+            self.whole.close()
+        self.raw.close()
 
 
 def archive_directory(files: DataFrame, kind: str) -> DataFrame:
-    """``(archive, member, place, size, error)`` from the directories of archives (``path``): of a zip only its end is
-    read.  An archive without a readable directory gives one row with its error."""
+    """``(archive, member, place, size, start, error)`` from the directories of archives (``path``): of a zip only its end
+    is read.  ``start`` is what the members before it in the archive weigh (see ``MEMBER_BYTES``).  An archive without a
+    readable directory gives one row with its error."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows: list[tuple] = []
@@ -343,54 +363,73 @@ def archive_directory(files: DataFrame, kind: str) -> DataFrame:
                 try:
                     system, at = _store(path)
                     with system.open_input_file(at) as raw:
-                        rows += [(path, *own, None) for own in _directory(kind, raw)]
+                        start, own = 0, []
+                        for member, place, size in _directory(kind, raw):
+                            own.append((path, member, place, size, start, None))
+                            start += size + MEMBER_BYTES
+                    rows += own
                 except ARCHIVE_DAMAGE as e:
-                    rows.append((path, None, None, 0, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["archive", "member", "place", "size", "error"]).astype({"place": "Int64"})
-    return files.select("path").mapInPandas(run, "archive string, member string, place long, size long, error string")
+                    rows.append((path, None, None, 0, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["archive", "member", "place", "size", "start", "error"]).astype({"place": "Int64"})
+    return files.select("path").mapInPandas(run, "archive string, member string, place long, size long, start long, error string")
 
 
-def _streamed(path: str, member: str, place: int, kind: str, opened, encoding: str, comment: str | None, chunk: int) -> Iterator[pd.DataFrame]:
-    """One member's rows of CONTENTS, a bounded number at a time; its own row comes last, with what went wrong."""
-    rows: list[tuple] = []
-    n, error = 0, None
+def _streamed(path: str, members, kind: str, opened, encoding: str, comment: str | None) -> Iterator[tuple]:
+    """Rows of CONTENTS of some members of one archive, which is opened once (and again after damage); a member's
+    own row comes after its lines, with what went wrong."""
+    source = None
     try:
-        with opened() as raw, _member(kind, raw, member, place) as found, io.TextIOWrapper(found, encoding=encoding, newline=None) as text:
-            for line in text:
-                line = line.rstrip("\n")
-                if not line.strip(_BLANK) or (comment and line.startswith(comment)):
-                    continue
-                rows.append((path, member, n, line, None))
-                n += 1
-                if len(rows) >= chunk:
-                    yield pd.DataFrame(rows, columns=_CONTENT_NAMES)
-                    rows = []
-    except ARCHIVE_DAMAGE as e:
-        error = f"{type(e).__name__}: {e}"
-    yield pd.DataFrame([*rows, (path, member, -1, None, error)], columns=_CONTENT_NAMES)
+        for member, place in members:
+            n, error = 0, None
+            try:
+                if source is None:
+                    source = _Opened(kind, opened())
+                with source.member(member, place) as found, io.TextIOWrapper(found, encoding=encoding, newline=None) as text:
+                    for line in text:
+                        line = line.rstrip("\n")
+                        if not line.strip(_BLANK) or (comment and line.startswith(comment)):
+                            continue
+                        yield path, member, n, line, None
+                        n += 1
+            except ARCHIVE_DAMAGE as e:
+                error = f"{type(e).__name__}: {e}"
+                source = None
+            yield path, member, -1, None, error
+    finally:
+        if source is not None:
+            source.close()
+
+
+def _frames(rows: Iterator[tuple], chunk: int) -> Iterator[pd.DataFrame]:
+    while part := list(itertools.islice(rows, chunk)):
+        yield pd.DataFrame(part, columns=_CONTENT_NAMES)
 
 
 def member_contents(directory: DataFrame, kind: str, encoding: str = "utf-8", comment: str | None = None, chunk: int = LINE_CHUNK) -> DataFrame:
     """The members of a directory, each read by one task as a stream, in CONTENTS: every byte is read once, and
-    a task, which reads one member after another, holds one batch of lines.  Content lines are those of :func:`archive_lines`.  A damaged member
-    has the rows before the damage and its error."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    a task, which reads one member after another, holds one batch of lines.  Members that lie together in an archive
+    and weigh little are one lot, for which the archive is opened once; a large archive is many lots.  Lots are dealt in
+    the order of their archives, so that some archives are found in few of the parts.  Content lines are those of
+    :func:`archive_lines`.  A damaged member has the rows before the damage and its error."""
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
-            for path, member, place, error in zip(pdf["archive"], pdf["member"], pdf["place"], pdf["error"]):
-                if member is None:
-                    yield pd.DataFrame([(path, None, -1, None, error)], columns=_CONTENT_NAMES)
-                    continue
+            for path, members in zip(pdf["archive"], pdf["members"]):
+                for m in members:
+                    if m["member"] is None:
+                        yield path, None, -1, None, m["error"]
 
                 def opened(path=path):
                     system, at = _store(path)
                     return system.open_input_file(at)
-                yield from _streamed(path, member, int(place), kind, opened, encoding, comment, chunk)
-    # the rows are names, which say nothing of the work: the number of tasks follows from the members' bytes
-    found = directory.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
+                yield from _streamed(path, [(m["member"], int(m["place"])) for m in members if m["member"] is not None], kind, opened, encoding, comment)
+    # the rows are names, which say nothing of the work: the number of tasks follows from the members' weight
+    found = directory.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("size") + MEMBER_BYTES), F.lit(0)).alias("bytes")).first()
     least = 2 * directory.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(found.n, max(least, found.bytes // TASK_BYTES), MEMBER_TASKS))
-    dealt = directory.withColumn("_turn", F.pmod(F.xxhash64("archive", "member", "place"), F.lit(tasks))).repartition(tasks, "_turn").drop("_turn")
-    return dealt.mapInPandas(run, CONTENTS)
+    each = max(1, found.bytes // (LOTS_PER_TASK * tasks))
+    lots = directory.groupBy("archive", F.floor(F.col("start") / each).alias("lot")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "place", "member", "error"))).alias("members"))
+    return lots.repartitionByRange(tasks, "archive", "lot").mapInPandas(lambda batches: _frames(rows_of(batches), chunk), CONTENTS)
 
 
 _CONTENT_NAMES = ["archive", "member", "n", "line", "error"]
@@ -399,18 +438,17 @@ _CONTENT_NAMES = ["archive", "member", "n", "line", "error"]
 def archive_contents(files: DataFrame, kind: str, encoding: str = "utf-8", comment: str | None = None) -> DataFrame:
     """CONTENTS of whole archives given as ``(path, content)``, for stores that only Spark can read: one
     archive (of at most 2 GB) is one task's work."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                raw = io.BytesIO(bytes(content))
+                data = bytes(content)
                 try:
-                    members = _directory(kind, raw)
+                    members = _directory(kind, io.BytesIO(data))
                 except ARCHIVE_DAMAGE as e:
-                    yield pd.DataFrame([(path, None, -1, None, f"{type(e).__name__}: {e}")], columns=_CONTENT_NAMES)
+                    yield path, None, -1, None, f"{type(e).__name__}: {e}"
                     continue
-                for member, place, _ in members:
-                    yield from _streamed(path, member, place, kind, lambda data=raw.getvalue(): io.BytesIO(data), encoding, comment, LINE_CHUNK)
-    return files.select("path", "content").mapInPandas(run, CONTENTS)
+                yield from _streamed(path, [(member, place) for member, place, _ in members], kind, lambda data=data: io.BytesIO(data), encoding, comment)
+    return files.select("path", "content").mapInPandas(lambda batches: _frames(rows_of(batches), LINE_CHUNK), CONTENTS)
 
 
 def expand_archives(files: DataFrame, kind: str = "zip", include_archive: bool = False) -> DataFrame:

@@ -625,6 +625,55 @@ def test_members_are_read_by_tasks_of_their_own(spark, tmp_dir, kind, mode):
         assert sorted((r.member, r.error) for r in found if r.n < 0) == sorted((m, None) for m in members)
 
 
+def test_members_of_a_small_archive_are_read_together(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from terrace.sources.files import archive_directory, member_contents
+    for a in range(60):
+        _zip(f"{tmp_dir}/a/{a}.zip", {f"m{i}.csv": f"{a},{i}\n" for i in range(8)})
+    got = member_contents(archive_directory(list_files(spark, f"{tmp_dir}/a"), "zip"), "zip").where("n >= 0")
+    at = got.select(F.spark_partition_id().alias("p"), "archive", "member", "line").collect()
+    assert sorted(r.line for r in at) == sorted(f"{a},{i}" for a in range(60) for i in range(8))
+    parts = {}
+    for r in at:
+        parts.setdefault(r.archive, set()).add(r.p)
+    assert len(parts) == 60 and max(map(len, parts.values())) <= 2                # opened by one task, or by two where lots meet
+    assert len(set().union(*parts.values())) > 5                                  # all of them by many
+    order = sorted(parts, key=lambda a: a.encode())
+    assert all(max(parts[x]) <= min(parts[y]) for x, y in zip(order, order[1:]))   # so a batch of archives is in few parts
+
+
+@pytest.mark.parametrize("kind,mode", [("zip", None), ("tar", "w"), ("tar", "w:gz")])
+def test_an_archive_is_opened_once_for_its_members(tmp_dir, kind, mode):
+    from terrace.sources.files import _directory, _streamed
+    path, opened = f"{tmp_dir}/x.{kind}", []
+    members = {f"m{i}.csv": f"{i}\n" for i in range(9)}
+    _zip(path, members) if kind == "zip" else _tar(path, members, mode)
+
+    def opening():
+        opened.append(open(path, "rb"))
+        return opened[-1]
+    with open(path, "rb") as raw:
+        places = [(name, place) for name, place, _ in _directory(kind, raw)]
+    rows = list(_streamed("x", places, kind, opening, "utf-8", None))
+    assert [r[3] for r in rows if r[2] >= 0] == list(map(str, range(9))) and not any(r[4] for r in rows)
+    assert len(opened) == 1 and opened[0].closed
+
+
+def test_many_small_files_are_written_by_many_tasks(spark, tmp_dir):
+    from terrace.plans.landing import SMALL_FILE, _write_tasks
+    assert _write_tasks(spark, [("a", 10)] * 5000) >= 100
+    assert _write_tasks(spark, [("a", 10)] * 3 + [("b", SMALL_FILE + 1)]) is None
+    for i in range(40):
+        _zip(f"{tmp_dir}/in/Z_{i}_20240101.zip", {"m.csv": f"id,v\n{i},1\n{i},1\n"})
+    spec = LandingSpec(filename_pattern=r"Z_.*", zipped="zip", date_regex=r"(\d{4})(\d{2})(\d{2})")
+    raw = TableSpec(f"{tmp_dir}/raw", partition_field="data_date")
+    for _ in range(2):   # the second delivery replaces the first
+        res = land(spark, f"{tmp_dir}/in", spec, raw, columns=["id", "v"], files_per_batch=25)
+        rows = read_target(spark, res.table, with_source=True).collect()
+        assert sorted((r.id, r.source_file) for r in rows) == sorted((str(i), f"Z_{i}_20240101.zip") for i in range(40) for _ in range(2))
+        assert res.written.files_added == 40
+
+
 def test_damage_is_told_by_member(spark, tmp_dir):
     from terrace.sources.files import archive_directory, member_contents
     _zip(f"{tmp_dir}/a/x.zip", {"good.csv": "1\n", "bad.csv": "2\n" * 3000})

@@ -1,9 +1,10 @@
 """BPE encoding and decoding with a pair occurrence index.
 
 All distinct pieces of a batch of texts that are not yet known to the worker are merged together:
-an index maps every rank to all its positions, a heap holds the active ranks, and the lowest rank
-is applied at all its positions before the index of the neighbours is brought up to date.  For each
-piece the lowest rank goes first, from the left, so the result is that of merging it alone.
+the index holds the rank of the pair at every position, and in each round every piece's lowest rank is
+applied at all its positions, from the left, before the index of the neighbours is brought up to date.
+For short pieces, nearly all of them, the index is an array and a round works on all pieces at once; for
+long ones it maps every rank to its positions, and a heap holds the active ranks.
 
 Defined results: a null text counts as empty and has no tokens; an empty text has no tokens; text
 of any length is encoded whole; repeated rows give repeated results; added tokens written out in a
@@ -37,6 +38,10 @@ YOUNG_LOWER = normalizers.Lowercase()
 #: Pieces whose tokens a worker remembers in each of two generations: when the younger is full, it
 #: becomes the older, so pieces that come often stay.
 REMEMBERED = 80_000
+#: Bytes of a short piece: it takes fewer rounds than this.
+SHORT = 48
+#: The rank of a pair that is never merged.
+NEVER = np.iinfo(np.int32).max
 
 
 def byte_letters() -> list[str]:
@@ -69,9 +74,17 @@ class Codec:
         letters = byte_letters()
         self.inner = [self.vocab[c] for c in letters]
         self.last = [self.vocab[c + self.end] for c in letters]
-        #: piece -> (number of tokens, ids joined by blanks, tokens joined by blanks)
-        self.known: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
+        #: the same as arrays: ids of the bytes, pairs as one number in ascending order with their ranks, and merged ids by rank
+        self.inner_ids, self.last_ids = np.array(self.inner, np.int32), np.array(self.last, np.int32)
+        self.span = max(self.token, default=0) + 1
+        pairs = np.array([a * self.span + b for a, b in self.merge] + [-1], np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.ranks = pairs[order], np.array([rank for rank, _ in self.merge.values()] + [NEVER], np.int32)[order]
+        self.merged = np.array([new for _, _, new in self.by_rank], np.int32)
+        self.digits = {i: str(i) for i in self.token}
+        #: piece (or id of an added token) -> (number of tokens, ids joined by blanks, tokens joined by blanks)
+        self.known: dict[str | int, tuple[int, str, str]] = {}
+        self.older: dict[str | int, tuple[int, str, str]] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text without added tokens: NFC, lower case by character, pattern matches.
@@ -87,17 +100,72 @@ class Codec:
         return PIECE.findall(text.replace("Σ", "σ").lower())
 
     def merge_all(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of each piece, by one pair occurrence index over all of them."""
+        """The ids of each piece, by one pair occurrence index over all short and one over all long ones."""
+        raw = [p.encode() for p in pieces]
+        out: list[list[int]] = [[]] * len(raw)
+        for merging, own in ((self._merge_short, [i for i, r in enumerate(raw) if len(r) <= SHORT]), (self._merge_long, [i for i, r in enumerate(raw) if len(r) > SHORT])):
+            if own:
+                for i, ids in zip(own, merging([raw[i] for i in own])):
+                    out[i] = ids
+        return out
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids."""
+        keys = left.astype(np.int64) * self.span + right
+        at = np.searchsorted(self.pairs, keys)
+        at[at == len(self.pairs)] = 0
+        return np.where(self.pairs[at] == keys, self.ranks[at], NEVER)
+
+    def _merge_short(self, raw: list[bytes]) -> list[list[int]]:
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        piece = np.repeat(np.arange(len(raw)), sizes)          # of each position
+        last = np.cumsum(sizes) - 1                            # each piece's last position
+        ids = self.inner_ids[data]
+        ids[last] = self.last_ids[data[last]]
+        rank = np.full(len(ids), NEVER, np.int32)              # of the pair that begins at each position
+        rank[:-1] = self._rank_of(ids[:-1], ids[1:])
+        rank[last] = NEVER
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            first = np.flatnonzero(np.concatenate([[True], piece[1:] != piece[:-1]]))
+            lengths = np.diff(np.append(first, len(ids)))
+            lowest = np.minimum.reduceat(rank, first)
+            going = np.repeat(lowest != NEVER, lengths)
+            if not going.all():
+                done.append((piece[~going], ids[~going]))
+                piece, ids, rank, lowest, lengths = piece[going], ids[going], rank[going], lowest[lowest != NEVER], lengths[lowest != NEVER]
+                if not len(ids):
+                    break
+            at = np.flatnonzero(rank == np.repeat(lowest, lengths))
+            # pairs that overlap (a a a) follow one another: from the left, every other one is merged
+            run = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1]))
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
+            ids[at] = self.merged[rank[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            now = at - np.arange(len(at))                      # where the merged ids are after the others went
+            piece, ids, rank = piece[keep], ids[keep], rank[keep]
+            near = np.concatenate([now, now[now > 0] - 1])
+            rank[near] = NEVER
+            near = near[near + 1 < len(ids)]
+            near = near[piece[near] == piece[near + 1]]
+            rank[near] = self._rank_of(ids[near], ids[near + 1])
+        piece, ids = (np.concatenate(parts) for parts in zip(*done))
+        ids = ids[np.argsort(piece, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(piece, minlength=len(raw))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _merge_long(self, pieces: list[bytes]) -> list[list[int]]:
         ids: list[int] = []
         prev: list[int] = []
         after: list[int] = []
         starts: list[int] = []
         where: dict[int, list[int]] = {}
         merge, inner, last = self.merge, self.inner, self.last
-        for piece in pieces:
+        for raw in pieces:
             at = len(ids)
             starts.append(at)
-            raw = piece.encode()
             n = len(raw)
             ids.extend([inner[b] for b in raw[:-1]])
             ids.append(last[raw[-1]])
@@ -138,27 +206,28 @@ class Codec:
             out.append(own)
         return out
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: set[str | int]) -> None:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        known, older, new = self.known, self.older, []
-        for piece in pieces:
-            if piece not in known:
-                if piece in older:
-                    known[piece] = older[piece]
-                else:
-                    new.append(piece)
+        known, older, new, digits, token = self.known, self.older, [], self.digits, self.token
+        for piece in pieces.difference(known):
+            if piece in older:
+                known[piece] = older[piece]
+            elif piece.__class__ is str:
+                new.append(piece)
+            else:
+                known[piece] = (1, digits[piece], token[piece])
         for piece, ids in zip(new, self.merge_all(new)):
-            known[piece] = (len(ids), " ".join(map(str, ids)), " ".join([self.token[i] for i in ids]))
+            known[piece] = (len(ids), " ".join([digits[i] for i in ids]), " ".join([token[i] for i in ids]))
 
     def encode_batch(self, texts: list[str | None]):
         """Yields (number of tokens, ids joined by blanks, decoded text) for each text."""
         split = [self._pieces_and_added(t or "") for t in texts]
-        self.learn({p for own in split for p in own if p.__class__ is str})
-        known = self.known
+        self.learn(set().union(*split))
+        find = self.known.__getitem__
         for own in split:
-            found = [known[p] if p.__class__ is str else (1, str(p), self.token[p]) for p in own]
-            yield sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])
+            n, ids, decoded = zip(*map(find, own)) if own else ((), (), ())
+            yield sum(n), " ".join(ids), " ".join(decoded)
 
     def _pieces_and_added(self, text: str) -> list[str | int]:
         if self.split is None or "<|" not in text and not self.split.search(text):

@@ -54,6 +54,13 @@ def test_bpe_any_text(texts):
         assert decoded == lib.decode(want, skip_special_tokens=False)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aabbcnéthe日ıß🙂", min_size=1, max_size=70), min_size=1, max_size=30))
+def test_bpe_rounds_over_all_pieces_merge_as_the_heap(pieces):
+    own, raw = bpe.codec(TOKENIZER), [p.encode() for p in [*pieces, "a" * 9, "x"]]
+    assert own._merge_short(raw) == own._merge_long(raw) == own.merge_all([r.decode() for r in raw])
+
+
 def test_bpe_forgets_and_empty_table(spark, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     own = bpe.Codec(TOKENIZER)

@@ -16,12 +16,12 @@ if any of its label rows says so, without label rows it is neither; an empty tab
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
@@ -44,6 +44,24 @@ class Matrix:
     paths: list[str]
 
 
+def _rows(texts: pa.Array, numbers: Numbers) -> list[bytes]:
+    """For each text the numbers of its words, ascending, and how often each comes.  The words of all texts are told
+    apart together, so that ``numbers`` is asked once for each."""
+    kind = pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string()
+    split = pc.ascii_split_whitespace(texts.fill_null(b"").view(kind))
+    words, text = split.flatten(), pc.list_parent_indices(split)
+    full = pc.greater(pc.binary_length(words), 0)
+    words, text = words.filter(full).dictionary_encode(), text.filter(full).to_numpy()
+    names = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    ids = np.fromiter(map(numbers.__getitem__, names), np.int64, len(names))
+    keys = np.sort(text << 32 | ids[words.indices.to_numpy()])
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts, keys = np.diff(first, append=len(keys)).astype(np.uint32), keys[first]
+    cuts = np.searchsorted(keys, np.arange(len(texts) + 1) << 32).tolist()
+    ids = (keys & 0xFFFFFFFF).astype(np.uint32)
+    return [np.concatenate([ids[a:b], counts[a:b]]).tobytes() for a, b in zip(cuts, cuts[1:])]
+
+
 def _counted(kept: int, shards: int):
     """Each document's words and how often they come, by the numbers of its unit; then the unit's words."""
     def words(schema, unit, numbers):
@@ -55,15 +73,9 @@ def _counted(kept: int, shards: int):
         numbering = next_units()
         unit, numbers, size = next(numbering), Numbers(), 0
         for batch in batches:
-            texts, n, found = batch.column(kept), batch.num_rows, []
-            for i in range(n):
-                text = texts[i].as_py() or b""
-                size += len(text)
-                own = Counter(text.split())
-                row = np.empty(2 * len(own), np.uint32)
-                row[:len(own)] = np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own))
-                row[len(own):] = np.fromiter(own.values(), np.uint32, len(own))
-                found.append(row.tobytes())
+            texts, n = batch.column(kept), batch.num_rows
+            size += pc.sum(pc.binary_length(texts)).as_py() or 0
+            found = _rows(texts, numbers)
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array([unit] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(found, pa.binary())],
                                              names=[*batch.schema.names[:kept], "unit", "shard", "data"])
             if size >= UNIT_BYTES:
@@ -98,7 +110,7 @@ def _shards(kept: int, folder: str):
                     if unit != last:
                         last, ids = unit, map_array(folder, f"{unit}-figures")
                     indices, counts = ids[np.concatenate([r[0] for r in rows])], np.concatenate([r[1] for r in rows])
-                    order = np.lexsort((indices, np.repeat(np.arange(len(sizes)), sizes)))
+                    order = np.argsort(np.repeat(np.arange(len(sizes)), sizes) << 40 | indices)   # by row, then number: no two are equal
                     indices, counts = indices[order], counts[order]
                 struct = pa.StructArray.from_arrays(own.columns[:kept], names=own.schema.names[:kept])
                 yield pa.RecordBatch.from_arrays([pa.array([unit], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), struct),
@@ -148,8 +160,7 @@ def row_figures(matrix: Matrix) -> DataFrame:
 def flagged(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", part: str = "lang") -> DataFrame:
     """doc_id, part, digest of the text and the flags A to D of every document."""
     body = F.coalesce(F.col(text), F.lit(""))
-    letters = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
-    upper = F.length(body) - F.length(F.translate(body, letters, ""))
+    upper = F.octet_length(F.regexp_replace(body, "[^A-Z]+", ""))
     marked = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), body.alias("text"),
                          (100 * upper > 10 * F.length(body)).alias("c"), body.rlike(r"[#$%&*|]").alias("d"), F.sha2(body.cast("binary"), 256).alias("digest"))
     figures = row_figures(document_term_matrix(marked, "text", ["doc_id", "part", "c", "d", "digest"]))

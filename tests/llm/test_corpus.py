@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -129,6 +130,23 @@ def brute_audit(rows, labels):
     return sorted(out)
 
 
+def test_audit_counts_the_words_of_many_texts_together():
+    texts = [None, b"", b" \x0b", b"a b a \t\r\na\x0cc", "\x1c \x85 é\u3000é日 本".encode(), b"\xff\xfe a", b"  lead b", b"long" * 99]
+    asked, numbers = [], unit_words.Numbers()
+
+    class Asked(dict):
+        def __getitem__(self, word):
+            asked.append(word)
+            return numbers[word]
+    rows = filter_audit._rows(pa.array([b"cut", *texts, *texts], pa.binary()).slice(1), Asked())
+    assert len(asked) == len(numbers) and set(asked) == {w for t in texts for w in (t or b"").split()}   # each word once
+    for text, row in zip([*texts, *texts], rows, strict=True):
+        ids, counts = np.frombuffer(row, np.uint32).reshape(2, -1)
+        want = Counter((text or b"").split())
+        assert ids.tolist() == sorted(numbers[w] for w in want) and dict(zip(ids.tolist(), counts.tolist())) == {numbers[w]: n for w, n in want.items()}
+    assert filter_audit._rows(pa.array([], pa.binary()), Asked()) == []
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_audit_of_odd_rows(spark, monkeypatch, small):
     if small:
